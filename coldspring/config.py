@@ -65,7 +65,7 @@ class ScaleConfig:
     # Splitters and hot-key lists that get broadcast stay below this many rows.
     max_hot_rows: int = 50_000
     # Ratings gathered by one vectorised call (factor solve, profile sum).
-    edges_per_block: int = 50_000
+    edges_per_block: int = 20_000
     # Up to this size the catalog is broadcast; above it, it is cut into shards.
     broadcast_bytes: int = 256 * 1024 * 1024
     # Size of one catalog shard and one block of users in the sharded plan.

@@ -25,14 +25,23 @@ def outer_sum(matrix: np.ndarray) -> np.ndarray:
     return (matrix.T @ matrix).ravel()
 
 
-def weighted_sums(targets, sources, weights, vector_ids, vectors, chunk: int = 8192):
-    """(unique targets, sum of weight * vector(source) per target)."""
-    order = np.argsort(targets, kind="stable")
-    targets, sources, weights = targets[order], sources[order], weights[order]
+def _grouped(targets, sources, weights, vector_ids):
+    """Edges sorted by target: (unique targets, starts, ends, vector rows, weights). An edge
+    whose source has no vector is left out, as a zero vector would add nothing."""
     by_id = np.argsort(vector_ids, kind="stable")
-    found = by_id[np.searchsorted(vector_ids, sources, sorter=by_id)]
+    place = np.searchsorted(vector_ids, sources, sorter=by_id)
+    rows = by_id[np.minimum(place, len(by_id) - 1)] if len(by_id) else np.zeros(len(sources), dtype=int)
+    known = vector_ids[rows] == sources if len(by_id) else np.zeros(len(sources), dtype=bool)
+    targets, rows, weights = targets[known], rows[known], weights[known]
+    order = np.argsort(targets, kind="stable")
+    targets, rows, weights = targets[order], rows[order], weights[order]
     unique, starts = np.unique(targets, return_index=True)
-    ends = np.append(starts[1:], len(targets))
+    return unique, starts, np.append(starts[1:], len(targets)).astype(int), rows, weights
+
+
+def weighted_sums(targets, sources, weights, vector_ids, vectors, chunk: int = 8192):
+    """(unique targets, sum of weight * vector(source) per target)."""
+    unique, starts, ends, found, weights = _grouped(targets, sources, weights, vector_ids)
     out = np.zeros((len(unique), vectors.shape[1]))
     first = 0
     while first < len(unique):
@@ -52,17 +61,14 @@ def ridge_rows(targets, sources, weights, vector_ids, vectors, gram, split_targe
     [Y'diag(w)Y | Y'(1+w)] are passed on for summing instead.
     """
     dims = vectors.shape[1]
-    order = np.argsort(targets, kind="stable")
-    targets, sources, weights = targets[order], sources[order], weights[order]
-    by_id = np.argsort(vector_ids, kind="stable")
-    found = by_id[np.searchsorted(vector_ids, sources, sorter=by_id)]
-    unique, starts = np.unique(targets, return_index=True)
-    ends = np.append(starts[1:], len(targets))
+    unique, starts, ends, found, weights = _grouped(targets, sources, weights, vector_ids)
     is_split = np.isin(unique, split_targets)
     ids, solved, split_ids, parts = [], [], [], []
     # With fewer rows than dims the inverse of (G + V'V) follows from a rows x rows
-    # system (Woodbury identity), with G^-1 shared by the whole block.
-    through = np.linalg.solve(gram, vectors.T).T
+    # system (Woodbury identity); G^-1 is applied once per vector used in the block.
+    used, found = np.unique(found, return_inverse=True)
+    vectors = vectors[used]
+    through = vectors @ np.linalg.inv(gram)
     for t, lo, hi, split in zip(unique, starts, ends, is_split):
         rows, w = found[lo:hi], weights[lo:hi]
         y = vectors[rows]

@@ -25,6 +25,7 @@ INIT_SD = 0.01
 class Factors:
     users: DataFrame     # id, vec
     items: DataFrame     # id, vec
+    item_vectors: gather.Vectors
     item_gram: np.ndarray
 
 
@@ -33,8 +34,8 @@ def initial_items(item_stats: DataFrame, cfg: AlsConfig) -> DataFrame:
         "als", cfg.seed, "item_id", cfg.factors, INIT_SD).alias("vec"))
 
 
-def regularised_gram(vectors: DataFrame, cfg: AlsConfig) -> np.ndarray:
-    return gather.gram(vectors, "vec", cfg.factors) + cfg.regularization * np.eye(cfg.factors)
+def regularised_gram(vectors: gather.Vectors, cfg: AlsConfig) -> np.ndarray:
+    return vectors.gram() + cfg.regularization * np.eye(cfg.factors)
 
 
 def fit(train_pairs: DataFrame, item_stats: DataFrame, user_stats: DataFrame, n_pairs: int,
@@ -48,19 +49,23 @@ def fit(train_pairs: DataFrame, item_stats: DataFrame, user_stats: DataFrame, n_
         train_pairs.select(F.col("item_id").alias("target"), F.col("user_id").alias("src"), weight),
         n_pairs, scale, workspace, "als-item",
         item_stats.select(F.col("item_id").alias("target"), F.col("n_item").alias("n")))
-    return fit_blocks(by_user, by_item, item_stats, cfg, workspace)
+    return fit_blocks(by_user, by_item, item_stats, user_stats, cfg, scale, workspace)
 
 
 def fit_blocks(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stats: DataFrame,
-               cfg: AlsConfig, workspace: Workspace) -> Factors:
-    items = workspace.stage(initial_items(item_stats, cfg), "als-init")
+               user_stats: DataFrame, cfg: AlsConfig, scale: ScaleConfig, workspace: Workspace) -> Factors:
+    n_items, n_users = item_stats.count(), user_stats.count()
+
+    def half_step(blocks: gather.EdgeBlocks, fixed: gather.Vectors, n: int, name: str) -> gather.Vectors:
+        solved = gather.gather_ridge(blocks, fixed, regularised_gram(fixed, cfg))
+        return gather.Vectors(workspace.stage(solved, name), n, cfg.factors, scale)
+
+    items = gather.Vectors(workspace.stage(initial_items(item_stats, cfg), "als-init"), n_items, cfg.factors, scale)
     users = None
     for step in range(cfg.iterations):
-        users = workspace.stage(gather.gather_ridge(
-            by_user, items, cfg.factors, regularised_gram(items, cfg), workspace, "als-user"), f"als-users-{step}")
-        items = workspace.stage(gather.gather_ridge(
-            by_item, users, cfg.factors, regularised_gram(users, cfg), workspace, "als-item"), f"als-items-{step}")
-    return Factors(users, items, regularised_gram(items, cfg))
+        users = half_step(by_user, items, n_users, f"als-users-{step}")
+        items = half_step(by_item, users, n_items, f"als-items-{step}")
+    return Factors(users.table, items.table, items, regularised_gram(items, cfg))
 
 
 def fold_in(new_pairs: DataFrame, n_pairs: int, factors: Factors, cfg: AlsConfig,
@@ -74,4 +79,4 @@ def fold_in(new_pairs: DataFrame, n_pairs: int, factors: Factors, cfg: AlsConfig
         new_pairs.select(F.col("id").alias("target"), F.col("item_id").alias("src"),
                      (F.col("rating") * F.lit(cfg.alpha)).alias("w")),
         n_pairs, scale, workspace, "als-fold")
-    return gather.gather_ridge(blocks, factors.items, cfg.factors, factors.item_gram, workspace, "als-fold")
+    return gather.gather_ridge(blocks, factors.item_vectors, factors.item_gram)

@@ -23,6 +23,7 @@ TIE_BREAK = 1e-6
 @dataclass
 class ItemFeatures:
     table: DataFrame     # item_id, features
+    n_items: int
     dims: int
 
 
@@ -66,63 +67,88 @@ def tfidf_table(items: DataFrame, tags: DataFrame | None, n_items: int, cfg: Con
     return tfidf(counts, vocab, hot)
 
 
-def text_embedding(weights: DataFrame, cfg: ContentConfig, scale: ScaleConfig,
-                   workspace: Workspace) -> tuple[DataFrame, int]:
+# Up to this many terms the Gram matrix of the terms is small enough to factor directly.
+SMALL_VOCABULARY = 1024
+
+
+def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale: ScaleConfig,
+                   workspace: Workspace, small: int = SMALL_VOCABULARY) -> tuple[DataFrame, int]:
     """(id, vec): uncentred truncated SVD of the TF-IDF rows, as U * Sigma.
 
-    Randomised subspace iteration: each pass multiplies by the sparse matrix or its
-    transpose with a gather; only (dims + oversample)^2 matrices reach the driver.
+    A small vocabulary is factored exactly from its Gram matrix; a larger one by randomised
+    subspace iteration, where each pass multiplies by the sparse matrix or its transpose with
+    a gather, and only (dims + oversample)^2 matrices reach the driver.
     """
     weights = workspace.stage(weights, "tfidf")
-    terms = weights.select("term").distinct()
-    limit = row_limit(0, scale)
-    numbered = workspace.stage(
-        with_position(terms, [], ["term"], limit).select("term", F.col("_pos").cast("long").alias("term_no")),
-        "terms")
-    n_terms = numbered.count()
+    counts = workspace.stage(weights.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-sizes")
+    n_terms, top, total = counts.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
     dims = min(cfg.text_dims, n_terms - 1)
     if dims < 1:
         return weights.select(F.col("item_id").alias("id"), F.array().cast("array<double>").alias("vec")).limit(0), 0
+    numbered = workspace.stage(
+        with_position(counts.select("term"), [], ["term"], scale.rows_per_task,
+                      known_cold=n_terms <= scale.rows_per_task)
+        .select("term", F.col("_pos").cast("long").alias("term_no")), "terms")
+    limit = row_limit(total, scale)
+    hot = hot_keys(counts, "term", "n", limit) if top > limit else None
+    cells = spread_join(weights, numbered, "term", hot, "item_id").select("item_id", "term_no", "w")
+    if n_terms <= small:
+        return _exact_embedding(cells, n_terms, dims, workspace), dims
+    return _subspace_embedding(workspace.stage(cells, "tfidf-cells"), total, n_items, n_terms, dims, cfg, scale,
+                               workspace), dims
+
+
+def _times(df: DataFrame, matrix: np.ndarray) -> DataFrame:
+    """Each row vector times a small matrix."""
+    def run(batches):
+        for batch in batches:
+            m = kernels.to_matrix(batch.column(1), matrix.shape[0]) @ matrix
+            yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(m)], ["id", "vec"])
+    return df.select("id", "vec").mapInArrow(run, "id long, vec array<double>")
+
+
+def _exact_embedding(cells: DataFrame, n_terms: int, dims: int, workspace: Workspace) -> DataFrame:
+    rows = cells.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("term_no", "w"))).alias("_m"))
+    dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_terms - 1).cast("long")),
+                        lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(0.0)))
+    rows = workspace.stage(rows.select(F.col("item_id").alias("id"), dense.alias("vec")), "tfidf-rows")
+    values, basis = np.linalg.eigh(gather.gram(rows, "vec", n_terms))
+    return _times(rows, basis[:, np.argsort(-values)[:dims]])       # A V = U Sigma
+
+
+def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: int, dims: int,
+                        cfg: ContentConfig, scale: ScaleConfig, workspace: Workspace) -> DataFrame:
     width = min(n_terms, dims + cfg.svd_oversample)
-
-    counts = weights.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.agg(F.max("n"), F.sum("n")).first()
-    limit = row_limit(top[1], scale)
-    hot = hot_keys(counts, "term", "n", limit) if top[0] > limit else None
-    cells = workspace.stage(spread_join(weights, numbered, "term", hot, "item_id")
-                            .select("item_id", "term_no", "w"), "tfidf-cells")
     to_items = gather.build_blocks(cells.select(F.col("item_id").alias("target"), F.col("term_no").alias("src"), "w"),
-                                   top[1], scale, workspace, "svd-items")
+                                   n_cells, scale, workspace, "svd-items")
     to_terms = gather.build_blocks(cells.select(F.col("term_no").alias("target"), F.col("item_id").alias("src"), "w"),
-                                   top[1], scale, workspace, "svd-terms")
-
-    def combine(df: DataFrame, matrix: np.ndarray, out_dims: int) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                m = kernels.to_matrix(batch.column(1), matrix.shape[0]) @ matrix
-                yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(m)], ["id", "vec"])
-        return df.select("id", "vec").mapInArrow(run, "id long, vec array<double>")
-
-    def orthonormal(df: DataFrame) -> DataFrame:
-        """Rows times G^(-1/2), G the Gram matrix (directions without weight are dropped to 0)."""
-        values, basis = np.linalg.eigh(gather.gram(df, "vec", width))
+                                   n_cells, scale, workspace, "svd-terms")
+
+    def vectors(df: DataFrame, n: int, name: str) -> gather.Vectors:
+        return gather.Vectors(workspace.stage(df, name), n, width, scale)
+
+    def orthonormal(v: gather.Vectors) -> gather.Vectors:
+        """Rows times G^(-1/2), G the Gram matrix (directions without weight become 0)."""
+        values, basis = np.linalg.eigh(v.gram())
         inverse = np.where(values > values.max() * 1e-14, 1.0 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-        return combine(df, (basis * inverse) @ basis.T, width)
-
-    start = numbered.select(F.col("term_no").alias("id"), hashing.normal_vector(
-        "svd", cfg.seed, "term_no", width, 1.0).alias("vec"))
-    by_item = workspace.stage(gather.gather_sum(to_items, start, width), "svd-start")
-    # With width = n_terms the first pass already spans the whole row space.
-    for step in range(cfg.svd_passes if width < n_terms else 1):
-        by_term = workspace.stage(gather.gather_sum(to_terms, orthonormal(by_item), width), f"svd-terms-{step}")
-        by_item = workspace.stage(gather.gather_sum(to_items, orthonormal(by_term), width), f"svd-items-{step}")
-    basis = workspace.stage(orthonormal(by_item), "svd-basis")
-    by_term = workspace.stage(gather.gather_sum(to_terms, basis, width), "svd-right")
+        return gather.Vectors(_times(v.table, (basis * inverse) @ basis.T), v.n, width, scale)
+
+    start = vectors(numbered_normals(cells, cfg.seed, width), n_terms, "svd-draws")
+    by_item = vectors(gather.gather_sum(to_items, start), n_items, "svd-start")
+    for step in range(cfg.svd_passes):
+        by_term = vectors(gather.gather_sum(to_terms, orthonormal(by_item)), n_terms, f"svd-terms-{step}")
+        by_item = vectors(gather.gather_sum(to_items, orthonormal(by_term)), n_items, f"svd-items-{step}")
+    basis = vectors(orthonormal(by_item).table, n_items, "svd-basis")
+    by_term = vectors(gather.gather_sum(to_terms, basis), n_terms, "svd-right")
     # by_term is the transpose of B = Q'A, so its Gram matrix is B B'.
-    values, rotation = np.linalg.eigh(gather.gram(by_term, "vec", width))
+    values, rotation = np.linalg.eigh(by_term.gram())
     keep = np.argsort(-values)[:dims]
-    sigma = np.sqrt(np.maximum(values[keep], 0.0))
-    return combine(basis, rotation[:, keep] * sigma, dims), dims
+    return _times(basis.table, rotation[:, keep] * np.sqrt(np.maximum(values[keep], 0.0)))
+
+
+def numbered_normals(cells: DataFrame, seed: int, width: int) -> DataFrame:
+    return cells.select(F.col("term_no").alias("id")).distinct().select(
+        "id", hashing.normal_vector("svd", seed, "id", width, 1.0).alias("vec"))
 
 
 def block_rows(items: DataFrame, cfg: ContentConfig) -> DataFrame:
@@ -170,7 +196,8 @@ def item_features(items: DataFrame, tags: DataFrame | None, n_items: int, cfg: C
     text_dims = 0
     if cfg.text_weight > 0:
         if embedding is None:
-            embedding = text_embedding(tfidf_table(items, tags, n_items, cfg, scale, workspace), cfg, scale, workspace)
+            embedding = text_embedding(tfidf_table(items, tags, n_items, cfg, scale, workspace), n_items, cfg, scale,
+                                       workspace)
         vecs, text_dims = embedding
         zero = F.array_repeat(F.lit(0.0), text_dims)
         table = (table.join(vecs.select(F.col("id").alias("item_id"), vectors.unit("vec").alias("_text")),
@@ -178,7 +205,7 @@ def item_features(items: DataFrame, tags: DataFrame | None, n_items: int, cfg: C
                  .withColumn("_text", vectors.scale(F.coalesce("_text", zero), F.lit(cfg.text_weight)))
                  .select("item_id", F.concat("_blocks", "_text").alias("_blocks")))
     out = workspace.stage(table.select("item_id", vectors.unit("_blocks").alias("features")), "item-features")
-    return ItemFeatures(out, n_sparse + text_dims)
+    return ItemFeatures(out, n_items, n_sparse + text_dims)
 
 
 def user_profiles(train_pairs: DataFrame, n_pairs: int, features: ItemFeatures, scale: ScaleConfig,
@@ -188,6 +215,6 @@ def user_profiles(train_pairs: DataFrame, n_pairs: int, features: ItemFeatures,
         train_pairs.select(F.col(id_name).alias("target"), F.col("item_id").alias("src"),
                            (F.col("rating") - F.lit(RATING_MIDPOINT)).alias("w")),
         n_pairs, scale, workspace, "profiles", degrees)
-    summed = gather.gather_sum(blocks, features.table.select(F.col("item_id").alias("id"),
-                                                             F.col("features").alias("vec")), features.dims)
+    rows = features.table.select(F.col("item_id").alias("id"), F.col("features").alias("vec"))
+    summed = gather.gather_sum(blocks, gather.Vectors(rows, features.n_items, features.dims, scale))
     return summed.select("id", vectors.unit("vec").alias("vec"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,16 @@ from coldspring.workspace import Workspace
 
 @dataclass
 class EdgeBlocks:
-    edges: DataFrame     # block, target, src, w, split
-    needed: DataFrame    # src, block
+    edges: DataFrame     # block, target, src, w, split; partitioned by block
     n_blocks: int
     has_split: bool
+    workspace: Workspace
+    name: str
+
+    @cached_property
+    def needed(self) -> DataFrame:
+        """(src, block): which vectors each block asks for."""
+        return self.workspace.stage(self.edges.select("src", "block").distinct(), f"{self.name}-needed")
 
 
 def tree_sum(df: DataFrame, column: str, width: int, fan_in: int = 32) -> np.ndarray:
@@ -39,8 +46,9 @@ def tree_sum(df: DataFrame, column: str, width: int, fan_in: int = 32) -> np.nda
                 total += kernels.to_matrix(batch.column(0), width).sum(axis=0)
         yield pa.RecordBatch.from_arrays([kernels.to_list_column(total[None, :])], ["v"])
 
-    once = df.select(column).mapInArrow(add, "v array<double>")
-    few = once.repartition(fan_in).mapInArrow(add, "v array<double>")
+    few = df.select(column).mapInArrow(add, "v array<double>")
+    if df.rdd.getNumPartitions() > fan_in:      # ``df`` is a staged table: no job runs here
+        few = few.repartition(fan_in).mapInArrow(add, "v array<double>")
     return np.sum([np.array(row.v) for row in few.collect()], axis=0)
 
 
@@ -80,9 +88,16 @@ def build_blocks(edges: DataFrame, n_edges: int, scale: ScaleConfig, workspace:
     blocked = edges.select(
         F.pmod(F.xxhash64("target", "_salt"), F.lit(n_blocks)).cast("int").alias("block"),
         "target", "src", F.col("w").cast("double").alias("w"), "split")
-    staged = workspace.stage(blocked, f"{name}-edges")
-    needed = workspace.stage(staged.select("src", "block").distinct(), f"{name}-needed")
-    return EdgeBlocks(staged, needed, n_blocks, has_split)
+    # Checkpointed rather than written as a table: a checkpoint keeps the partitioning, so no
+    # pass over the edges (one per half-step of the factor fit) shuffles them again.
+    edges = workspace.checkpoint(blocked.repartition(_tasks(n_blocks, blocked), "block").sortWithinPartitions("block"))
+    return EdgeBlocks(edges, n_blocks, has_split, workspace, name)
+
+
+def _tasks(n_blocks: int, df: DataFrame) -> int:
+    """Tasks for ``n_blocks`` blocks: one for a few blocks each, so that hashing evens out."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(n_blocks, max(8 * cores, math.ceil(n_blocks / 8))))
 
 
 def _arrays(edges: pa.Table):
@@ -91,23 +106,60 @@ def _arrays(edges: pa.Table):
     return col("target"), col("src"), col("w"), col("split")
 
 
-def _per_block(blocks: EdgeBlocks, vectors: DataFrame, fn, schema: str) -> DataFrame:
-    shipped = blocks.needed.join(vectors.select(F.col("id").alias("src"), "vec"), "src")
-    return blocks.edges.groupBy("block").cogroup(shipped.groupBy("block")).applyInArrow(fn, schema)
+@dataclass
+class Vectors:
+    """A table (id, vec) of ``n`` vectors."""
+    table: DataFrame
+    n: int
+    dims: int
+    scale: ScaleConfig
+
+    @cached_property
+    def local(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, matrix) if the table is at most ``broadcast_bytes``, else None."""
+        if self.n * (self.dims + 1) * 8 > self.scale.broadcast_bytes:
+            return None
+        rows = self.table.select("id", "vec").toArrow()
+        return rows.column("id").to_numpy(), kernels.to_matrix(rows.column("vec"), self.dims)
+
+    def gram(self) -> np.ndarray:
+        if self.local is not None:
+            return kernels.outer_sum(self.local[1]).reshape(self.dims, self.dims)
+        return gram(self.table, "vec", self.dims)
+
+
+def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFrame:
+    """Run ``fn(edge arrays, vector ids, vector matrix)`` on every block.
 
+    A small vector table goes to the executors once; a larger one is joined with the
+    (src, block) needs and shuffled to the blocks.
+    """
+    if vectors.local is not None:
+        shared = vectors.table.sparkSession.sparkContext.broadcast(vectors.local)
 
-def gather_sum(blocks: EdgeBlocks, vectors: DataFrame, dims: int) -> DataFrame:
-    """(id, vec): sum of w * vector(src) per target. ``vectors``: (id, vec)."""
-    def run(edges: pa.Table, shipped: pa.Table) -> pa.Table:
-        targets, sources, weights, _ = _arrays(edges)
-        ids = shipped.column("src").to_numpy()
-        keep = np.isin(sources, ids)       # an edge without a vector adds nothing
-        ids_out, sums = kernels.weighted_sums(targets[keep], sources[keep], weights[keep], ids,
-                                              kernels.to_matrix(shipped.column("vec"), dims))
+        def alone(edges: pa.Table) -> pa.Table:
+            return fn(_arrays(edges), *shared.value)
+
+        return blocks.edges.groupBy("block").applyInArrow(alone, schema)
+
+    dims = vectors.dims
+
+    def met(edges: pa.Table, shipped: pa.Table) -> pa.Table:
+        return fn(_arrays(edges), shipped.column("src").to_numpy(), kernels.to_matrix(shipped.column("vec"), dims))
+
+    shipped = blocks.needed.join(vectors.table.select(F.col("id").alias("src"), "vec"), "src")
+    return blocks.edges.groupBy("block").cogroup(shipped.groupBy("block")).applyInArrow(met, schema)
+
+
+def gather_sum(blocks: EdgeBlocks, vectors: Vectors) -> DataFrame:
+    """(id, vec): sum of w * vector(src) per target."""
+    def run(edges, ids, matrix) -> pa.Table:
+        targets, sources, weights, _ = edges
+        ids_out, sums = kernels.weighted_sums(targets, sources, weights, ids, matrix)
         return pa.table({"id": pa.array(ids_out, pa.int64()), "vec": kernels.to_list_column(sums)})
 
     out = _per_block(blocks, vectors, run, "id long, vec array<double>")
-    return _sum_parts(out, dims) if blocks.has_split else out
+    return _sum_parts(out, vectors.dims) if blocks.has_split else out
 
 
 def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
@@ -123,17 +175,15 @@ def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
     return first.groupBy("id").applyInArrow(add, "id long, vec array<double>")
 
 
-def gather_ridge(blocks: EdgeBlocks, vectors: DataFrame, dims: int, gram_matrix: np.ndarray,
-                 workspace: Workspace, name: str) -> DataFrame:
+def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray) -> DataFrame:
     """(id, vec): the ridge solution of each target with any edge. ``gram_matrix`` holds
-    Y'Y + lambda I and is dims x dims."""
-    def run(edges: pa.Table, shipped: pa.Table) -> pa.Table:
-        targets, sources, weights, split = _arrays(edges)
-        keep = np.isin(sources, shipped.column("src").to_numpy())
-        targets, sources, weights, split = targets[keep], sources[keep], weights[keep], split[keep]
+    Y'Y + lambda I."""
+    dims = vectors.dims
+
+    def run(edges, known, matrix) -> pa.Table:
+        targets, sources, weights, split = edges
         ids, solved, split_ids, parts = kernels.ridge_rows(
-            targets, sources, weights, shipped.column("src").to_numpy(),
-            kernels.to_matrix(shipped.column("vec"), dims), gram_matrix, np.unique(targets[split]))
+            targets, sources, weights, known, matrix, gram_matrix, np.unique(targets[split]))
         none_a = pa.nulls(len(split_ids), pa.list_(pa.float64()))
         none_b = pa.nulls(len(ids), pa.list_(pa.float64()))
         return pa.table({
@@ -144,7 +194,7 @@ def gather_ridge(blocks: EdgeBlocks, vectors: DataFrame, dims: int, gram_matrix:
     out = _per_block(blocks, vectors, run, "id long, vec array<double>, part array<double>")
     if not blocks.has_split:
         return out.select("id", "vec")
-    out = workspace.stage(out, f"{name}-parts")
+    out = blocks.workspace.stage(out, f"{blocks.name}-parts")
 
     def solve(batches):
         for batch in batches:

@@ -50,16 +50,17 @@ def segment_table(vectors: DataFrame, segments: list[str]) -> DataFrame:
 
 def percentile(item_stats: DataFrame, n_items: int, limit: int) -> DataFrame:
     """Place in (n_item, item_id) order over n_items - 1; ties get distinct places."""
-    placed = with_position(item_stats, [], ["n_item", "item_id"], limit)
+    placed = with_position(item_stats, [], ["n_item", "item_id"], limit, known_cold=n_items <= limit)
     return placed.select("item_id", "n_item",
                          (F.col("_pos") / F.lit(float(max(n_items - 1, 1)))).alias("pct"))
 
 
-def head_items(item_stats: DataFrame, total_pairs: int, limit: int) -> DataFrame:
+def head_items(item_stats: DataFrame, total_pairs: int, n_items: int, limit: int) -> DataFrame:
     """Flag the most-rated items that together hold half of all training pairs: every item
     whose predecessors hold less than half."""
     ranked = item_stats.withColumn("_desc", -F.col("n_item"))
-    placed = with_position(ranked, [], ["_desc", "item_id"], limit, sums={"_upto": "n_item"})
+    placed = with_position(ranked, [], ["_desc", "item_id"], limit, known_cold=n_items <= limit,
+                           sums={"_upto": "n_item"})
     return placed.select("item_id", "n_item",
                          ((F.col("_upto") - F.col("n_item")) / F.lit(float(max(total_pairs, 1)))
                           < 0.5).alias("is_head"))

@@ -24,10 +24,12 @@ def counts_per(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def lowest_by_hash(ids: DataFrame, key: str, tag: str, seed: int, size: int, limit: int) -> DataFrame:
+def lowest_by_hash(ids: DataFrame, key: str, tag: str, seed: int, size: int, limit: int,
+                   n_ids: int | None = None) -> DataFrame:
     """``size`` ids drawn without replacement: the lowest in seeded hash order."""
     hashed = ids.select(key, hashing.digest(tag, seed, key).alias("_h"))
-    return skew.with_position(hashed, [], ["_h", key], limit).filter(F.col("_pos") < size).select(key)
+    placed = skew.with_position(hashed, [], ["_h", key], limit, known_cold=n_ids is not None and n_ids <= limit)
+    return placed.filter(F.col("_pos") < size).select(key)
 
 
 def pick_cold(counts: DataFrame, key: str, at_least: int, share: float, cfg: SplitConfig,
@@ -36,7 +38,8 @@ def pick_cold(counts: DataFrame, key: str, at_least: int, share: float, cfg: Spl
     facts = counts.agg(F.count(F.lit(1)).alias("total"),
                        F.count_if(F.col("n") >= at_least).alias("eligible")).first()
     size = min(facts.eligible, round(share * facts.total))
-    picked = lowest_by_hash(counts.filter(F.col("n") >= at_least), key, f"cold-{key}", cfg.seed, size, limit)
+    picked = lowest_by_hash(counts.filter(F.col("n") >= at_least), key, f"cold-{key}", cfg.seed, size, limit,
+                            facts.eligible)
     return picked.withColumn("keep_n", hashing.small_int(f"keep-{key}", cfg.seed, key, cfg.cold_below))
 
 

@@ -124,7 +124,8 @@ class Experiment:
     def embedding(self) -> tuple[DataFrame, int]:
         vecs, dims = content.text_embedding(
             content.tfidf_table(self.dataset.items, self.dataset.tags, self.sizes["n_items"], self.cfg.content,
-                                self.cfg.scale, self.workspace), self.cfg.content, self.cfg.scale, self.workspace)
+                                self.cfg.scale, self.workspace),
+            self.sizes["n_items"], self.cfg.content, self.cfg.scale, self.workspace)
         return self.workspace.stage(vecs, "embedding"), dims
 
     def features_for(self, cfg) -> content.ItemFeatures:

@@ -31,6 +31,8 @@ class Workspace:
         self.spark = spark
         self.root = f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex[:12]}"
         self._serial = 0
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(self.root)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         self._serial += 1
@@ -38,6 +40,17 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def checkpoint(self, df: DataFrame) -> DataFrame:
+        """A reliable checkpoint that keeps the partitioning and order of ``df``, so that later
+        groupings on the same key need neither shuffle nor sort. Spark records them only for a
+        plan that is fixed before it runs, hence adaptive execution is off for this one job."""
+        adaptive = self.spark.conf.get("spark.sql.adaptive.enabled")
+        self.spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.checkpoint()
+        finally:
+            self.spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
 
 def local_session(cores: int = 8, partitions: int | None = None, memory: str = "12g",
                   name: str = "coldspring") -> SparkSession:
