@@ -71,7 +71,7 @@ class ScaleConfig:
     # Size of one catalog shard and one block of users in the sharded plan.
     shard_bytes: int = 128 * 1024 * 1024
     # Scores held at once by one scoring call.
-    cells_per_batch: int = 4_000_000
+    cells_per_batch: int = 400_000
 
 
 @dataclass(frozen=True)

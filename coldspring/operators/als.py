@@ -30,7 +30,8 @@ class Factors:
 
 
 def initial_items(item_stats: DataFrame, cfg: AlsConfig) -> DataFrame:
-    return item_stats.select(F.col("item_id").alias("id"), hashing.normal_vector(
+    spread = item_stats.repartition(item_stats.sparkSession.sparkContext.defaultParallelism)
+    return spread.select(F.col("item_id").alias("id"), hashing.normal_vector(
         "als", cfg.seed, "item_id", cfg.factors, INIT_SD).alias("vec"))
 
 
@@ -58,14 +59,15 @@ def fit_blocks(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stat
 
     def half_step(blocks: gather.EdgeBlocks, fixed: gather.Vectors, n: int, name: str) -> gather.Vectors:
         solved = gather.gather_ridge(blocks, fixed, regularised_gram(fixed, cfg))
-        return gather.Vectors(workspace.stage(solved, name), n, cfg.factors, scale)
+        return gather.Vectors(solved, n, cfg.factors, scale).settle(workspace, name)
 
-    items = gather.Vectors(workspace.stage(initial_items(item_stats, cfg), "als-init"), n_items, cfg.factors, scale)
+    items = gather.Vectors(initial_items(item_stats, cfg), n_items, cfg.factors, scale).settle(workspace, "als-init")
     users = None
     for step in range(cfg.iterations):
         users = half_step(by_user, items, n_users, f"als-users-{step}")
         items = half_step(by_item, users, n_items, f"als-items-{step}")
-    return Factors(users.table, items.table, items, regularised_gram(items, cfg))
+    return Factors(users.as_table(workspace, "als-users"), items.as_table(workspace, "als-items"), items,
+                   regularised_gram(items, cfg))
 
 
 def fold_in(new_pairs: DataFrame, n_pairs: int, factors: Factors, cfg: AlsConfig,

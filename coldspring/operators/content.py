@@ -93,27 +93,20 @@ def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale:
     hot = hot_keys(counts, "term", "n", limit) if top > limit else None
     cells = spread_join(weights, numbered, "term", hot, "item_id").select("item_id", "term_no", "w")
     if n_terms <= small:
-        return _exact_embedding(cells, n_terms, dims, workspace), dims
+        return _exact_embedding(cells, n_items, n_terms, dims, scale, workspace), dims
     return _subspace_embedding(workspace.stage(cells, "tfidf-cells"), total, n_items, n_terms, dims, cfg, scale,
                                workspace), dims
 
 
-def _times(df: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """Each row vector times a small matrix."""
-    def run(batches):
-        for batch in batches:
-            m = kernels.to_matrix(batch.column(1), matrix.shape[0]) @ matrix
-            yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(m)], ["id", "vec"])
-    return df.select("id", "vec").mapInArrow(run, "id long, vec array<double>")
-
-
-def _exact_embedding(cells: DataFrame, n_terms: int, dims: int, workspace: Workspace) -> DataFrame:
+def _exact_embedding(cells: DataFrame, n_items: int, n_terms: int, dims: int, scale: ScaleConfig,
+                     workspace: Workspace) -> DataFrame:
     rows = cells.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("term_no", "w"))).alias("_m"))
     dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_terms - 1).cast("long")),
                         lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(0.0)))
-    rows = workspace.stage(rows.select(F.col("item_id").alias("id"), dense.alias("vec")), "tfidf-rows")
-    values, basis = np.linalg.eigh(gather.gram(rows, "vec", n_terms))
-    return _times(rows, basis[:, np.argsort(-values)[:dims]])       # A V = U Sigma
+    rows = gather.Vectors(workspace.stage(rows.select(F.col("item_id").alias("id"), dense.alias("vec")), "tfidf-rows"),
+                          n_items, n_terms, scale)
+    values, basis = np.linalg.eigh(gather.gram(rows.table, "vec", n_terms))
+    return rows.times(basis[:, np.argsort(-values)[:dims]]).table       # A V = U Sigma
 
 
 def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: int, dims: int,
@@ -124,26 +117,27 @@ def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: i
     to_terms = gather.build_blocks(cells.select(F.col("term_no").alias("target"), F.col("item_id").alias("src"), "w"),
                                    n_cells, scale, workspace, "svd-terms")
 
-    def vectors(df: DataFrame, n: int, name: str) -> gather.Vectors:
-        return gather.Vectors(workspace.stage(df, name), n, width, scale)
+    def settled(df: DataFrame, n: int, name: str) -> gather.Vectors:
+        return gather.Vectors(df, n, width, scale).settle(workspace, name)
 
     def orthonormal(v: gather.Vectors) -> gather.Vectors:
         """Rows times G^(-1/2), G the Gram matrix (directions without weight become 0)."""
         values, basis = np.linalg.eigh(v.gram())
         inverse = np.where(values > values.max() * 1e-14, 1.0 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-        return gather.Vectors(_times(v.table, (basis * inverse) @ basis.T), v.n, width, scale)
+        return v.times((basis * inverse) @ basis.T)
 
-    start = vectors(numbered_normals(cells, cfg.seed, width), n_terms, "svd-draws")
-    by_item = vectors(gather.gather_sum(to_items, start), n_items, "svd-start")
+    start = settled(numbered_normals(cells, cfg.seed, width), n_terms, "svd-draws")
+    by_item = settled(gather.gather_sum(to_items, start), n_items, "svd-start")
     for step in range(cfg.svd_passes):
-        by_term = vectors(gather.gather_sum(to_terms, orthonormal(by_item)), n_terms, f"svd-terms-{step}")
-        by_item = vectors(gather.gather_sum(to_items, orthonormal(by_term)), n_items, f"svd-items-{step}")
-    basis = vectors(orthonormal(by_item).table, n_items, "svd-basis")
-    by_term = vectors(gather.gather_sum(to_terms, basis), n_terms, "svd-right")
+        by_term = settled(gather.gather_sum(to_terms, orthonormal(by_item)), n_terms, f"svd-terms-{step}")
+        by_item = settled(gather.gather_sum(to_items, orthonormal(by_term)), n_items, f"svd-items-{step}")
+    basis = orthonormal(by_item)
+    by_term = settled(gather.gather_sum(to_terms, basis), n_terms, "svd-right")
     # by_term is the transpose of B = Q'A, so its Gram matrix is B B'.
     values, rotation = np.linalg.eigh(by_term.gram())
     keep = np.argsort(-values)[:dims]
-    return _times(basis.table, rotation[:, keep] * np.sqrt(np.maximum(values[keep], 0.0)))
+    out = basis.times(rotation[:, keep] * np.sqrt(np.maximum(values[keep], 0.0)))
+    return out.as_table(workspace, "svd-embedding")
 
 
 def numbered_normals(cells: DataFrame, seed: int, width: int) -> DataFrame:

@@ -106,27 +106,60 @@ def _arrays(edges: pa.Table):
     return col("target"), col("src"), col("w"), col("split")
 
 
-@dataclass
 class Vectors:
-    """A table (id, vec) of ``n`` vectors."""
-    table: DataFrame
-    n: int
-    dims: int
-    scale: ScaleConfig
+    """``n`` vectors as a table (id, vec) and, if they take at most ``broadcast_bytes``, also as
+    arrays (ids, matrix) that can be broadcast."""
+
+    def __init__(self, table: DataFrame, n: int, dims: int, scale: ScaleConfig):
+        self.n, self.dims, self.scale = n, dims, scale
+        self.table = table
+
+    @property
+    def is_small(self) -> bool:
+        return self.n * (self.dims + 1) * 8 <= self.scale.broadcast_bytes
 
     @cached_property
     def local(self) -> tuple[np.ndarray, np.ndarray] | None:
-        """(ids, matrix) if the table is at most ``broadcast_bytes``, else None."""
-        if self.n * (self.dims + 1) * 8 > self.scale.broadcast_bytes:
+        if not self.is_small:
             return None
         rows = self.table.select("id", "vec").toArrow()
         return rows.column("id").to_numpy(), kernels.to_matrix(rows.column("vec"), self.dims)
 
+    def settle(self, workspace: Workspace, name: str) -> "Vectors":
+        """Compute the vectors once: as arrays if they are small, else as a written table."""
+        if self.local is None:
+            self.table = workspace.stage(self.table, name)
+        return self
+
+    def as_table(self, workspace: Workspace, name: str) -> DataFrame:
+        if self.local is not None:
+            ids, matrix = self.local
+            rows = pa.table({"id": pa.array(ids), "vec": kernels.to_list_column(matrix)})
+            return workspace.stage(workspace.spark.createDataFrame(rows, "id long, vec array<double>"), name)
+        return self.table
+
+    @property
+    def spark(self):
+        return self.table.sparkSession
+
     def gram(self) -> np.ndarray:
         if self.local is not None:
             return kernels.outer_sum(self.local[1]).reshape(self.dims, self.dims)
         return gram(self.table, "vec", self.dims)
 
+    def times(self, matrix: np.ndarray) -> "Vectors":
+        """Each vector times a small matrix."""
+        def run(batches):
+            for batch in batches:
+                m = kernels.to_matrix(batch.column(1), matrix.shape[0]) @ matrix
+                yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(m)], ["id", "vec"])
+
+        out = Vectors(self.table.select("id", "vec").mapInArrow(run, "id long, vec array<double>"),
+                      self.n, matrix.shape[1], self.scale)
+        if self.local is not None:
+            out.local = (self.local[0], self.local[1] @ matrix)
+        return out
+
 
 def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFrame:
     """Run ``fn(edge arrays, vector ids, vector matrix)`` on every block.
@@ -135,7 +168,7 @@ def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFra
     (src, block) needs and shuffled to the blocks.
     """
     if vectors.local is not None:
-        shared = vectors.table.sparkSession.sparkContext.broadcast(vectors.local)
+        shared = vectors.spark.sparkContext.broadcast(vectors.local)
 
         def alone(edges: pa.Table) -> pa.Table:
             return fn(_arrays(edges), *shared.value)
