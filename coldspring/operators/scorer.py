@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from coldspring import kernels
 from coldspring.config import EngineConfig
 from coldspring.operators import gather
-from coldspring.operators.skew import first_per_group, hot_keys, row_limit, spread_join
+from coldspring.operators.skew import first_per_group, lookup
 from coldspring.workspace import Workspace
 
 # The display names of the compared models.
@@ -305,11 +305,7 @@ def with_marks(users: DataFrame, marks: DataFrame, n_shards: int | None) -> Data
 def finish_lists(lists: DataFrame, items: DataFrame, catalog: Catalog, spec: dict, mmr_names: list[str],
                  schema: str, cfg: EngineConfig) -> DataFrame:
     """Re-rank and measure merged lists: at most ``candidates`` rows per (model, user)."""
-    counts = lists.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.agg(F.max("n"), F.sum("n")).first()
-    limit = row_limit(top[1] or 0, cfg.scale)
-    hot = hot_keys(counts, "item_id", "n", limit) if (top[0] or 0) > limit else None
-    rows = spread_join(lists, items.select("item_id", "pct", "features"), "item_id", hot, "user_id")
+    rows = lookup(lists, items.select("item_id", "pct", "features"), "item_id", "user_id", cfg.scale)
     names = [field.split()[0] for field in schema.split(", ")]
 
     def finish(table: pa.Table) -> pa.Table:

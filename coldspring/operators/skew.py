@@ -46,6 +46,16 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | No
     return cut.join(copies, [key, "_part"], how).drop("_part")
 
 
+def lookup(left: DataFrame, right: DataFrame, key: str, spread, scale: ScaleConfig, how: str = "inner") -> DataFrame:
+    """``spread_join`` that finds the hot keys of ``left`` itself (one counting pass with map-side
+    combine). ``left`` is read twice, so stage it if it is costly."""
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    top, total = counts.agg(F.max("_rows"), F.sum("_rows")).first()
+    limit = row_limit(total or 0, scale)
+    hot = hot_keys(counts, key, "_rows", limit) if (top or 0) > limit else None
+    return spread_join(left, right, key, hot, spread, how)
+
+
 def with_position(df: DataFrame, keys: list[str], order: list[str], limit: int,
                   hot: DataFrame | None = None, known_cold: bool = False,
                   sums: dict[str, str] | None = None) -> DataFrame:
