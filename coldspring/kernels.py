@@ -12,7 +12,7 @@ def to_matrix(column, dims: int) -> np.ndarray:
         column = column.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
 
 
 def to_list_column(matrix: np.ndarray) -> pa.Array:
