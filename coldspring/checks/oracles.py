@@ -358,7 +358,7 @@ def with_parts(sql: str) -> str:
 
 
 def _top_list(model: str) -> str:
-    return with_parts(f"SELECT user_id, rank, item_id, {_r('score')} AS score FROM lists WHERE model = '{model}' AND rank <= 10")
+    return with_parts(f"SELECT user_id, rank, item_id, score FROM lists WHERE model = '{model}' AND rank <= 10")
 
 
 def _weights_sql(mode: str) -> str:
@@ -404,7 +404,7 @@ def statements() -> dict[str, str]:
         "user_profiles": f"""SELECT user_id, feature_no, {_r('coalesce(value, 0)')} AS value
           FROM (SELECT DISTINCT user_id FROM profiles) CROSS JOIN (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS feature_no
           FROM (SELECT DISTINCT feature FROM features)) LEFT JOIN profiles USING (user_id, feature)""",
-        "similar_items": f"""SELECT item_id, rank, neighbour_id, {_r('cosine')} AS cosine FROM (
+        "similar_items": f"""SELECT item_id, rank, neighbour_id, cosine FROM (
           SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY cosine DESC, neighbour_id) AS rank FROM (
             SELECT i.item_id, j.item_id AS neighbour_id, round(coalesce(c, 0), 9) + 0.0 AS cosine FROM items i CROSS JOIN items j
             LEFT JOIN cos_pairs ON a = i.item_id AND b = j.item_id WHERE i.item_id <> j.item_id)) WHERE rank <= 5""",
@@ -467,14 +467,14 @@ def statements() -> dict[str, str]:
             ELSE 'mostly likes (>=4)' END AS band, count(*) AS users, {_r('avg(ndcg_10)')} AS ndcg
           FROM frame JOIN (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1) USING (user_id)
           WHERE model = '{scorer.ADAPTIVE}' AND n_train BETWEEN 1 AND 4 GROUP BY 1""",
-        "recommend_new_users": f"""SELECT user_id AS request_id, n_user AS history_size, rank, item_id, {_r('score')} AS score,
+        "recommend_new_users": f"""SELECT user_id AS request_id, n_user AS history_size, rank, item_id, score,
             {_r(f'({_WEIGHTS["adaptive"][0]}) * z_cf')} AS cf, {_r(f'({_WEIGHTS["adaptive"][1]}) * z_content')} AS content,
             {_r(f'({_WEIGHTS["adaptive"][2]}) * z_popularity')} AS popularity, {_r(_WEIGHTS["adaptive"][0])} AS w_cf,
             {_r(_WEIGHTS["adaptive"][1])} AS w_content, {_r(_WEIGHTS["adaptive"][2])} AS w_popularity FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
             SELECT *, round({_blend('adaptive')}, 9) + 0.0 AS score FROM new_z
             WHERE (user_id, item_id) NOT IN (SELECT request_id, item_id FROM new_pairs))) WHERE rank <= 10""",
-        "hybrid_explain": f"""SELECT user_id, rank, item_id, {_r('score')} AS score, hit,
+        "hybrid_explain": f"""SELECT user_id, rank, item_id, score, hit,
             {_r(f'({_WEIGHTS["adaptive"][0]}) * z_cf')} AS cf, {_r(f'({_WEIGHTS["adaptive"][1]}) * z_content')} AS content,
             {_r(f'({_WEIGHTS["adaptive"][2]}) * z_popularity')} AS popularity, {_r(_WEIGHTS["adaptive"][0])} AS w_cf,
             {_r(_WEIGHTS["adaptive"][1])} AS w_content, {_r(_WEIGHTS["adaptive"][2])} AS w_popularity

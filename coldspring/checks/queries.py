@@ -83,13 +83,14 @@ class Lab:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Integers as BIGINT and doubles rounded to six decimals, so that engines agree."""
+    """Integers as BIGINT and doubles rounded to six decimals, so that engines agree. Ranking
+    scores are rounded already."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.LongType)):
             c = c.cast("long")
-        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in ("score", "cosine"):
             c = F.round(c, 6) + F.lit(0.0)
         out.append(c.alias(f.name))
     return df.select(*out)
@@ -179,11 +180,13 @@ def display_titles(lab):
 
 def popularity_global(lab):
     e = lab.plain
-    return popularity.global_scores(e.item_stats, e.sizes["n_pairs"], e.sizes["n_items"])
+    scores = popularity.global_scores(e.item_stats, e.sizes["n_pairs"], e.sizes["n_items"])
+    return scores.withColumn("score", F.round("score", 6))
 
 
 def popularity_segment(lab):
-    return popularity.segment_table(lab.plain.popularity_vectors, lab.plain.segments)
+    scores = popularity.segment_table(lab.plain.popularity_vectors, lab.plain.segments)
+    return scores.withColumn("score", F.round("score", 6))
 
 
 def popularity_percentile(lab):

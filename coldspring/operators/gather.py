@@ -198,7 +198,7 @@ def gather_sum(blocks: EdgeBlocks, vectors: Vectors) -> DataFrame:
 def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
     """Sum the vectors of one id; a group has at most one row per block of a split target,
     and is first summed within a few hash slots."""
-    def add(key, batches: pa.Table) -> pa.Table:
+    def add(key, batches):
         total = kernels.to_matrix(batches.column("vec"), dims).sum(axis=0)
         return pa.table({"id": pa.array([key[0].as_py()], pa.int64()),
                          "vec": kernels.to_list_column(total[None, :])})

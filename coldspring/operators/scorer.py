@@ -260,7 +260,7 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
 
     def meet(user_table: pa.Table, item_table: pa.Table) -> pa.Table:
-        arrays = item_arrays(item_table, catalog.factor_dims, catalog.feature_dims, n_popularity)
+        arrays = item_arrays(item_table, spec["factor_dims"], spec["feature_dims"], n_popularity)
         tables = score_table(user_table, arrays, moments, spec)
         return pa.concat_tables(tables) if tables else _empty(schema)
 
@@ -272,7 +272,7 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
     if mmr_names:
         merged = merged.filter(F.col("rank") <= F.when(F.col("model").isin(mmr_names), cfg.rerank.candidates)
                                .otherwise(k))
-    out = finish_lists(workspace.stage(merged, "merged-lists"), items, catalog, spec, mmr_names, schema, cfg)
+    out = finish_lists(workspace.stage(merged, "merged-lists"), items, spec, mmr_names, schema, cfg)
     return out.filter("hit") if only_hits else out
 
 
@@ -302,15 +302,15 @@ def with_marks(users: DataFrame, marks: DataFrame, n_shards: int | None) -> Data
             .withColumn("seen", F.coalesce("seen", none)).withColumn("liked", F.coalesce("liked", none)))
 
 
-def finish_lists(lists: DataFrame, items: DataFrame, catalog: Catalog, spec: dict, mmr_names: list[str],
-                 schema: str, cfg: EngineConfig) -> DataFrame:
+def finish_lists(lists: DataFrame, items: DataFrame, spec: dict, mmr_names: list[str], schema: str,
+                 cfg: EngineConfig) -> DataFrame:
     """Re-rank and measure merged lists: at most ``candidates`` rows per (model, user)."""
     rows = lookup(lists, items.select("item_id", "pct", "features"), "item_id", "user_id", cfg.scale)
     names = [field.split()[0] for field in schema.split(", ")]
 
     def finish(table: pa.Table) -> pa.Table:
         table = table.sort_by("rank")
-        features = kernels.to_matrix(table.column("features"), catalog.feature_dims)
+        features = kernels.to_matrix(table.column("features"), spec["feature_dims"])
         if table.column("model")[0].as_py() in mmr_names:
             taken = kernels.diversify(
                 table.column("score").to_numpy(), table.column("pct").to_numpy(), features,

@@ -60,6 +60,7 @@ def local_session(cores: int = 8, partitions: int | None = None, memory: str = "
              .config("spark.driver.memory", memory)
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
              .config("spark.executorEnv.OMP_NUM_THREADS", "1")
