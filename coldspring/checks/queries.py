@@ -226,8 +226,10 @@ def als_rank1_factors(lab):
 
 def als_rank1_fold_in(lab):
     _, ratings = lab.new_requests
-    pairs = lab.workspace.stage(ratings.withColumnRenamed("request_id", "id"), "fold-pairs")
-    folded = als.fold_in(pairs, pairs.count(), lab.plain.factors, PLAIN.als, PLAIN.scale, lab.workspace)
+    pairs = lab.workspace.stage(ratings.select(F.col("request_id").alias("target"), F.col("item_id").alias("src"),
+                                               F.col("rating").alias("w")), "fold-pairs")
+    blocks = gather.build_blocks(pairs, pairs.count(), PLAIN.scale, lab.workspace, "fold")
+    folded = als.fold_in(blocks, lab.plain.factors, PLAIN.als)
     return folded.select(F.col("id").alias("request_id"), F.get("vec", F.lit(0)).alias("value"))
 
 

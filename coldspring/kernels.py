@@ -63,31 +63,50 @@ def ridge_rows(targets, sources, weights, vector_ids, vectors, gram, split_targe
     dims = vectors.shape[1]
     unique, starts, ends, found, weights = _grouped(targets, sources, weights, vector_ids)
     is_split = np.isin(unique, split_targets)
-    ids, solved, split_ids, parts = [], [], [], []
-    # With fewer rows than dims the inverse of (G + V'V) follows from a rows x rows
-    # system (Woodbury identity); G^-1 is applied once per vector used in the block.
     used, found = np.unique(found, return_inverse=True)
     vectors = vectors[used]
     through = vectors @ np.linalg.inv(gram)
-    for t, lo, hi, split in zip(unique, starts, ends, is_split):
-        rows, w = found[lo:hi], weights[lo:hi]
-        y = vectors[rows]
-        if split:
-            split_ids.append(t)
-            parts.append(np.concatenate([((y.T * w) @ y).ravel(), y.T @ (1.0 + w)]))
-            continue
-        ids.append(t)
-        if hi - lo < dims:
-            z, root = through[rows], np.sqrt(w)
-            inner = (z @ y.T) * root[:, None] * root[None, :]
-            inner[np.diag_indices_from(inner)] += 1.0
-            base = z.T @ (1.0 + w)
-            solved.append(base - z.T @ (root * np.linalg.solve(inner, root * (y @ base))))
-        else:
-            solved.append(np.linalg.solve(gram + (y.T * w) @ y, y.T @ (1.0 + w)))
-    shape = dims * dims + dims
-    return (np.array(ids, dtype=np.int64), np.array(solved).reshape(-1, dims),
-            np.array(split_ids, dtype=np.int64), np.array(parts).reshape(-1, shape))
+    solved = np.zeros((len(unique), dims))
+    sizes = ends - starts
+    # Targets with the same number of rows are solved together.
+    for size in np.unique(sizes[~is_split]):
+        same = np.flatnonzero((sizes == size) & ~is_split)
+        step = max(1, 1_000_000 // (size * dims))
+        for at in range(0, len(same), step):
+            some = same[at:at + step]
+            cells = starts[some, None] + np.arange(size)
+            rows, w = found[cells], weights[cells]
+            y = vectors[rows]
+            if size < dims:
+                solved[some] = _short_ridge(y, through[rows], w)
+            else:
+                a = gram + (y * w[:, :, None]).transpose(0, 2, 1) @ y
+                b = ((1.0 + w)[:, None, :] @ y)[:, 0, :]
+                solved[some] = np.linalg.solve(a, b[:, :, None])[:, :, 0]
+    parts = np.zeros((int(is_split.sum()), dims * dims + dims))
+    for row, at in enumerate(np.flatnonzero(is_split)):
+        y, w = vectors[found[starts[at]:ends[at]]], weights[starts[at]:ends[at]]
+        parts[row] = np.concatenate([((y.T * w) @ y).ravel(), y.T @ (1.0 + w)])
+    return unique[~is_split], solved[~is_split], unique[is_split], parts
+
+
+def _short_ridge(y, z, w):
+    """(G + Y'WY)^-1 Y'(1+w) for a stack of targets with fewer rows than dims, from a
+    rows x rows system (Woodbury identity); ``z`` = Y G^-1, shared by all targets."""
+    root = np.sqrt(w)
+    inner = (z @ y.transpose(0, 2, 1)) * root[:, :, None] * root[:, None, :]
+    inner += np.eye(y.shape[1])
+    base = ((1.0 + w)[:, None, :] @ z)[:, 0, :]
+    right = root * (y @ base[:, :, None])[:, :, 0]
+    left = np.linalg.solve(inner, right[:, :, None])[:, :, 0]
+    return base - ((root * left)[:, None, :] @ z)[:, 0, :]
+
+
+def scatter(lengths, places, values, width: int) -> np.ndarray:
+    """Rows of (place, value) lists as a dense matrix."""
+    out = np.zeros((len(lengths), width))
+    out[np.repeat(np.arange(len(lengths)), lengths), places] = values
+    return out
 
 
 def solve_packed(packed: np.ndarray, gram: np.ndarray) -> np.ndarray:

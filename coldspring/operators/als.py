@@ -39,26 +39,20 @@ def regularised_gram(vectors: gather.Vectors, cfg: AlsConfig) -> np.ndarray:
     return vectors.gram() + cfg.regularization * np.eye(cfg.factors)
 
 
-def fit(train_pairs: DataFrame, item_stats: DataFrame, user_stats: DataFrame, n_pairs: int,
+def rating_blocks(train_pairs: DataFrame, n_pairs: int, scale: ScaleConfig, workspace: Workspace,
+                  target: str, src: str, stats: DataFrame, n: str) -> gather.EdgeBlocks:
+    """The training pairs cut into blocks by ``target``, with the rating as edge weight."""
+    return gather.build_blocks(
+        train_pairs.select(F.col(target).alias("target"), F.col(src).alias("src"), F.col("rating").alias("w")),
+        n_pairs, scale, workspace, f"by-{target}", stats.select(F.col(target).alias("target"), F.col(n).alias("n")))
+
+
+def fit(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stats: DataFrame, user_stats: DataFrame,
         cfg: AlsConfig, scale: ScaleConfig, workspace: Workspace) -> Factors:
-    weight = (F.col("rating") * F.lit(cfg.alpha)).alias("w")
-    by_user = gather.build_blocks(
-        train_pairs.select(F.col("user_id").alias("target"), F.col("item_id").alias("src"), weight),
-        n_pairs, scale, workspace, "als-user",
-        user_stats.select(F.col("user_id").alias("target"), F.col("n_user").alias("n")))
-    by_item = gather.build_blocks(
-        train_pairs.select(F.col("item_id").alias("target"), F.col("user_id").alias("src"), weight),
-        n_pairs, scale, workspace, "als-item",
-        item_stats.select(F.col("item_id").alias("target"), F.col("n_item").alias("n")))
-    return fit_blocks(by_user, by_item, item_stats, user_stats, cfg, scale, workspace)
-
-
-def fit_blocks(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stats: DataFrame,
-               user_stats: DataFrame, cfg: AlsConfig, scale: ScaleConfig, workspace: Workspace) -> Factors:
     n_items, n_users = item_stats.count(), user_stats.count()
 
     def half_step(blocks: gather.EdgeBlocks, fixed: gather.Vectors, n: int, name: str) -> gather.Vectors:
-        solved = gather.gather_ridge(blocks, fixed, regularised_gram(fixed, cfg))
+        solved = gather.gather_ridge(blocks, fixed, regularised_gram(fixed, cfg), cfg.alpha)
         return gather.Vectors(solved, n, cfg.factors, scale).settle(workspace, name)
 
     items = gather.Vectors(initial_items(item_stats, cfg), n_items, cfg.factors, scale).settle(workspace, "als-init")
@@ -70,15 +64,10 @@ def fit_blocks(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stat
                    regularised_gram(items, cfg))
 
 
-def fold_in(new_pairs: DataFrame, n_pairs: int, factors: Factors, cfg: AlsConfig,
-            scale: ScaleConfig, workspace: Workspace) -> DataFrame:
+def fold_in(by_new_user: gather.EdgeBlocks, factors: Factors, cfg: AlsConfig) -> DataFrame:
     """(id, vec) for users outside the training data, item vectors fixed.
     A user all of whose items lack a vector has no row (the zero vector).
 
-    ``new_pairs``: (id, item_id, rating), one row per pair.
+    ``by_new_user``: blocks of (user, item, rating) edges.
     """
-    blocks = gather.build_blocks(
-        new_pairs.select(F.col("id").alias("target"), F.col("item_id").alias("src"),
-                     (F.col("rating") * F.lit(cfg.alpha)).alias("w")),
-        n_pairs, scale, workspace, "als-fold")
-    return gather.gather_ridge(blocks, factors.item_vectors, factors.item_gram)
+    return gather.gather_ridge(by_new_user, factors.item_vectors, factors.item_gram, cfg.alpha)

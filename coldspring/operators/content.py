@@ -100,13 +100,9 @@ def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale:
 
 def _exact_embedding(cells: DataFrame, n_items: int, n_terms: int, dims: int, scale: ScaleConfig,
                      workspace: Workspace) -> DataFrame:
-    rows = cells.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("term_no", "w"))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_terms - 1).cast("long")),
-                        lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(0.0)))
-    rows = gather.Vectors(workspace.stage(rows.select(F.col("item_id").alias("id"), dense.alias("vec")), "tfidf-rows"),
-                          n_items, n_terms, scale)
-    values, basis = np.linalg.eigh(gather.gram(rows.table, "vec", n_terms))
-    return rows.times(basis[:, np.argsort(-values)[:dims]]).table       # A V = U Sigma
+    rows = workspace.stage(gather.densify(cells, "item_id", "term_no", "w", n_terms), "tfidf-rows")
+    values, basis = np.linalg.eigh(gather.gram(rows, "vec", n_terms))
+    return gather.Vectors(rows, n_items, n_terms, scale).times(basis[:, np.argsort(-values)[:dims]]).table   # A V = U Sigma
 
 
 def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: int, dims: int,
@@ -145,70 +141,82 @@ def numbered_normals(cells: DataFrame, seed: int, width: int) -> DataFrame:
         "id", hashing.normal_vector("svd", seed, "id", width, 1.0).alias("vec"))
 
 
-def block_rows(items: DataFrame, cfg: ContentConfig) -> DataFrame:
-    """Sparse [genres | decade] blocks before the final scaling: (item_id, feature, value).
-    Each block has unit length times its weight; no genres or no year gives no rows."""
+def block_rows(items: DataFrame) -> DataFrame:
+    """Sparse [genres | decade] blocks, each of unit length: (item_id, feature, value). No
+    genres or no year gives no rows."""
     kinds = F.array_distinct("genres")
     genre = (items.select("item_id", F.explode(kinds).alias("g"), F.size(kinds).alias("n"))
-             .select("item_id", F.concat(F.lit("genre:"), "g").alias("feature"),
-                     (F.lit(cfg.genre_weight) / F.sqrt("n")).alias("value")))
+             .select("item_id", F.concat(F.lit("genre:"), "g").alias("feature"), (1.0 / F.sqrt("n")).alias("value")))
     decade = (items.filter(F.col("year").isNotNull())
               .select("item_id", F.concat(F.lit("decade:"), text.decade(F.col("year"))).alias("feature"),
-                      F.lit(cfg.year_weight).alias("value")))
+                      F.lit(1.0).alias("value")))
     return genre.unionByName(decade)
 
 
+def _block_weight(cfg: ContentConfig):
+    return F.when(F.col("feature").startswith("genre:"), F.lit(cfg.genre_weight)).otherwise(F.lit(cfg.year_weight))
+
+
 def unit_block_rows(items: DataFrame, cfg: ContentConfig) -> DataFrame:
-    """``block_rows`` scaled to unit length per item (the features when there is no text)."""
-    rows = block_rows(items, cfg)
+    """Weighted ``block_rows`` of unit length per item (the features when there is no text)."""
+    rows = block_rows(items).withColumn("value", F.col("value") * _block_weight(cfg))
     length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("item_id")))
     return rows.select("item_id", "feature", F.when(length > 0, F.col("value") / length)
                        .otherwise(F.lit(0.0)).alias("value"))
 
 
-def item_features(items: DataFrame, tags: DataFrame | None, n_items: int, cfg: ContentConfig,
-                  scale: ScaleConfig, workspace: Workspace,
-                  embedding: tuple[DataFrame, int] | None = None) -> ItemFeatures:
-    """Dense unit rows. ``embedding`` reuses a text embedding computed before."""
-    rows = workspace.stage(block_rows(items, cfg), "feature-rows")
-    names = rows.select("feature").distinct()
+@dataclass
+class FeatureBlocks:
+    """The unit blocks before weighting; every choice of weights is a projection of them."""
+    table: DataFrame          # item_id, blocks
+    n_items: int
+    n_decades: int
+    n_genres: int
+    text_dims: int
+
+    def weighted(self, cfg: ContentConfig) -> ItemFeatures:
+        """Dense unit rows [decades | genres | text]."""
+        weights = np.concatenate([np.full(self.n_decades, cfg.year_weight), np.full(self.n_genres, cfg.genre_weight),
+                                  np.full(self.text_dims, cfg.text_weight)])
+        dims = len(weights)
+
+        def run(batches):
+            for batch in batches:
+                m = kernels.to_matrix(batch.column(1), dims) * weights
+                length = np.linalg.norm(m, axis=1, keepdims=True)
+                unit = np.divide(m, length, out=m, where=length > 0)
+                yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(unit)], ["item_id", "features"])
+
+        return ItemFeatures(self.table.mapInArrow(run, "item_id long, features array<double>"), self.n_items, dims)
+
+
+def feature_blocks(items: DataFrame, n_items: int, embedding: tuple[DataFrame, int] | None, scale: ScaleConfig,
+                   workspace: Workspace) -> FeatureBlocks:
+    rows = workspace.stage(block_rows(items), "feature-rows")
+    counts = workspace.stage(rows.groupBy("feature").agg(F.count(F.lit(1)).alias("n")), "feature-counts")
+    top, total, n_names, n_genres = counts.agg(F.max("n"), F.sum("n"), F.count(F.lit(1)),
+                                               F.count_if(F.col("feature").startswith("genre:"))).first()
+    # Names sort decades before genres.
     numbered = workspace.stage(
-        with_position(names, [], ["feature"], scale.rows_per_task)
-        .select("feature", F.col("_pos").cast("int").alias("feature_no")), "feature-names")
-    n_sparse = numbered.count()
-    counts = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.agg(F.max("n"), F.sum("n")).first()
-    limit = row_limit(top[1] or 0, scale)
-    hot = hot_keys(counts, "feature", "n", limit) if (top[0] or 0) > limit else None
-    sparse = (spread_join(rows, numbered, "feature", hot, "item_id")
-              .groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("feature_no", "value"))).alias("_m")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(n_sparse - 1)),
-                        lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0))) \
-        if n_sparse else F.array().cast("array<double>")
-    table = items.select("item_id").join(sparse, "item_id", "left")
-    table = table.select("item_id", dense.alias("_blocks"))
+        with_position(counts.select("feature"), [], ["feature"], scale.rows_per_task, known_cold=n_names <= scale.rows_per_task)
+        .select("feature", F.col("_pos").alias("feature_no")), "feature-names")
+    limit = row_limit(total or 0, scale)
+    hot = hot_keys(counts, "feature", "n", limit) if (top or 0) > limit else None
+    cells = spread_join(rows, numbered, "feature", hot, "item_id")
+    dense = gather.densify(cells, "item_id", "feature_no", "value", n_names)
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    table = (items.select("item_id").join(dense.withColumnRenamed("id", "item_id"), "item_id", "left")
+             .select("item_id", F.coalesce("vec", zeros(n_names)).alias("blocks")))
     text_dims = 0
-    if cfg.text_weight > 0:
-        if embedding is None:
-            embedding = text_embedding(tfidf_table(items, tags, n_items, cfg, scale, workspace), n_items, cfg, scale,
-                                       workspace)
+    if embedding is not None:
         vecs, text_dims = embedding
-        zero = F.array_repeat(F.lit(0.0), text_dims)
-        table = (table.join(vecs.select(F.col("id").alias("item_id"), vectors.unit("vec").alias("_text")),
-                            "item_id", "left")
-                 .withColumn("_text", vectors.scale(F.coalesce("_text", zero), F.lit(cfg.text_weight)))
-                 .select("item_id", F.concat("_blocks", "_text").alias("_blocks")))
-    out = workspace.stage(table.select("item_id", vectors.unit("_blocks").alias("features")), "item-features")
-    return ItemFeatures(out, n_items, n_sparse + text_dims)
-
-
-def user_profiles(train_pairs: DataFrame, n_pairs: int, features: ItemFeatures, scale: ScaleConfig,
-                  workspace: Workspace, degrees: DataFrame | None = None, id_name: str = "user_id") -> DataFrame:
-    """(id, vec): unit sum of (rating - midpoint) * item features."""
-    blocks = gather.build_blocks(
-        train_pairs.select(F.col(id_name).alias("target"), F.col("item_id").alias("src"),
-                           (F.col("rating") - F.lit(RATING_MIDPOINT)).alias("w")),
-        n_pairs, scale, workspace, "profiles", degrees)
+        table = (table.join(vecs.select(F.col("id").alias("item_id"), vectors.unit("vec").alias("_text")), "item_id", "left")
+                 .select("item_id", F.concat("blocks", F.coalesce("_text", zeros(text_dims))).alias("blocks")))
+    return FeatureBlocks(workspace.stage(table, "feature-blocks"), n_items, n_names - n_genres, n_genres, text_dims)
+
+
+def user_profiles(by_user: gather.EdgeBlocks, features: ItemFeatures, scale: ScaleConfig) -> DataFrame:
+    """(id, vec): unit sum of (rating - midpoint) * item features over the (user, item, rating) edges."""
     rows = features.table.select(F.col("item_id").alias("id"), F.col("features").alias("vec"))
-    summed = gather.gather_sum(blocks, gather.Vectors(rows, features.n_items, features.dims, scale))
+    summed = gather.gather_sum(by_user, gather.Vectors(rows, features.n_items, features.dims, scale), RATING_MIDPOINT)
     return summed.select("id", vectors.unit("vec").alias("vec"))

@@ -67,6 +67,22 @@ def gram(df: DataFrame, column: str, dims: int, centre: np.ndarray | None = None
                     fan_in).reshape(dims, dims)
 
 
+def densify(cells: DataFrame, key: str, place: str, value: str, width: int) -> DataFrame:
+    """(id, vec) dense vectors from (key, place, value) rows; a key has at most ``width`` rows."""
+    lists = cells.groupBy(F.col(key).alias("id")).agg(
+        F.collect_list(F.struct(F.col(place).cast("long").alias("p"), F.col(value).cast("double").alias("v"))).alias("cells"))
+
+    def run(batches):
+        for batch in batches:
+            pairs = batch.column(1)
+            flat = pairs.flatten()
+            dense = kernels.scatter(np.diff(pairs.offsets.to_numpy()), flat.field("p").to_numpy(),
+                                    flat.field("v").to_numpy(), width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(dense)], ["id", "vec"])
+
+    return lists.mapInArrow(run, "id long, vec array<double>")
+
+
 def build_blocks(edges: DataFrame, n_edges: int, scale: ScaleConfig, workspace: Workspace,
                  name: str, degrees: DataFrame | None = None) -> EdgeBlocks:
     """``edges``: (target, src, w). ``degrees``: (target, n), computed here if not given."""
@@ -184,11 +200,11 @@ def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFra
     return blocks.edges.groupBy("block").cogroup(shipped.groupBy("block")).applyInArrow(met, schema)
 
 
-def gather_sum(blocks: EdgeBlocks, vectors: Vectors) -> DataFrame:
-    """(id, vec): sum of w * vector(src) per target."""
+def gather_sum(blocks: EdgeBlocks, vectors: Vectors, less: float = 0.0) -> DataFrame:
+    """(id, vec): sum of (w - less) * vector(src) per target."""
     def run(edges, ids, matrix) -> pa.Table:
         targets, sources, weights, _ = edges
-        ids_out, sums = kernels.weighted_sums(targets, sources, weights, ids, matrix)
+        ids_out, sums = kernels.weighted_sums(targets, sources, weights - less, ids, matrix)
         return pa.table({"id": pa.array(ids_out, pa.int64()), "vec": kernels.to_list_column(sums)})
 
     out = _per_block(blocks, vectors, run, "id long, vec array<double>")
@@ -208,15 +224,15 @@ def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
     return first.groupBy("id").applyInArrow(add, "id long, vec array<double>")
 
 
-def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray) -> DataFrame:
+def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray, alpha: float = 1.0) -> DataFrame:
     """(id, vec): the ridge solution of each target with any edge. ``gram_matrix`` holds
-    Y'Y + lambda I."""
+    Y'Y + lambda I; the confidence of an edge is 1 + alpha * w."""
     dims = vectors.dims
 
     def run(edges, known, matrix) -> pa.Table:
         targets, sources, weights, split = edges
         ids, solved, split_ids, parts = kernels.ridge_rows(
-            targets, sources, weights, known, matrix, gram_matrix, np.unique(targets[split]))
+            targets, sources, alpha * weights, known, matrix, gram_matrix, np.unique(targets[split]))
         none_a = pa.nulls(len(split_ids), pa.list_(pa.float64()))
         none_b = pa.nulls(len(ids), pa.list_(pa.float64()))
         return pa.table({

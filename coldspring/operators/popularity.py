@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldspring.functions.buckets import segment
+from coldspring.operators.gather import densify
 from coldspring.operators.skew import spread_join, with_position
 
 
@@ -32,13 +33,18 @@ def segment_vectors(item_stats: DataFrame, seg_counts: DataFrame, segments: list
                     seg_totals: dict[str, int], total_pairs: int, n_items: int,
                     smoothing: float) -> DataFrame:
     """Per item the score in every segment, in ``segments`` order, then the global score."""
-    per_item = seg_counts.groupBy("item_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("segment", "n"))).alias("_by"))
+    place = F.array_position(F.array(*[F.lit(s) for s in segments]), F.col("segment")) - 1
+    dense = densify(seg_counts.withColumn("_place", place), "item_id", "_place", "n", len(segments)) \
+        if segments else None
     g = share(F.col("n_item"), total_pairs, n_items)
-    scores = [F.log((F.coalesce(F.try_element_at("_by", F.lit(s)), F.lit(0)) + smoothing * g)
-                    / F.lit(seg_totals[s] + smoothing)) for s in segments]
-    return (item_stats.join(per_item, "item_id", "left")
-            .select("item_id", "n_item", F.array(*scores, F.log(g)).alias("popularity")))
+    if dense is None:
+        return item_stats.select("item_id", "n_item", F.array(F.log(g)).alias("popularity"))
+    bottoms = F.array(*[F.lit(float(seg_totals[s] + smoothing)) for s in segments])
+    counts = F.coalesce("vec", F.array_repeat(F.lit(0.0), len(segments)))
+    scores = F.zip_with(counts, bottoms, lambda n, bottom: F.log((n + F.col("_prior")) / bottom))
+    return (item_stats.join(dense.withColumnRenamed("id", "item_id"), "item_id", "left")
+            .withColumn("_prior", smoothing * g)
+            .select("item_id", "n_item", F.concat(scores, F.array(F.log(g))).alias("popularity")))
 
 
 def segment_table(vectors: DataFrame, segments: list[str]) -> DataFrame:

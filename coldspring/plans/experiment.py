@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldspring.config import EngineConfig
-from coldspring.operators import als, content, interactions, popularity, scorer
+from coldspring.config import AlsConfig, EngineConfig
+from coldspring.operators import als, content, gather, interactions, popularity, scorer
 from coldspring.operators import split as splitting
 from coldspring.operators.skew import hot_keys, row_limit
 from coldspring.sources.tables import Dataset
@@ -128,70 +129,75 @@ class Experiment:
             self.sizes["n_items"], self.cfg.content, self.cfg.scale, self.workspace)
         return self.workspace.stage(vecs, "embedding"), dims
 
-    def features_for(self, cfg) -> content.ItemFeatures:
-        return content.item_features(self.dataset.items, self.dataset.tags, self.sizes["n_items"], cfg,
-                                     self.cfg.scale, self.workspace,
-                                     self.embedding if cfg.text_weight > 0 else None)
+    @cached_property
+    def feature_blocks(self) -> content.FeatureBlocks:
+        return content.feature_blocks(self.dataset.items, self.sizes["n_items"],
+                                      self.embedding if self.cfg.content.text_weight > 0 else None,
+                                      self.cfg.scale, self.workspace)
 
     @cached_property
     def features(self) -> content.ItemFeatures:
-        return self.features_for(self.cfg.content)
+        made = self.feature_blocks.weighted(self.cfg.content)
+        return replace(made, table=self.workspace.stage(made.table, "item-features"))
+
+    @cached_property
+    def by_user(self) -> gather.EdgeBlocks:
+        """Training pairs in blocks by user; the profiles and the factor fit both read them."""
+        return als.rating_blocks(self.train_pairs, self.sizes["n_pairs"], self.cfg.scale, self.workspace,
+                                 "user_id", "item_id", self.user_stats, "n_user")
 
-    def profiles_for(self, features: content.ItemFeatures) -> DataFrame:
-        degrees = self.user_stats.select(F.col("user_id").alias("target"), F.col("n_user").alias("n"))
-        return self.workspace.stage(content.user_profiles(
-            self.train_pairs, self.sizes["n_pairs"], features, self.cfg.scale, self.workspace, degrees), "profiles")
+    @cached_property
+    def by_item(self) -> gather.EdgeBlocks:
+        return als.rating_blocks(self.train_pairs, self.sizes["n_pairs"], self.cfg.scale, self.workspace,
+                                 "item_id", "user_id", self.item_stats, "n_item")
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return self.profiles_for(self.features)
+        return self.workspace.stage(content.user_profiles(self.by_user, self.features, self.cfg.scale), "profiles")
+
+    def fit_factors(self, cfg: AlsConfig) -> als.Factors:
+        return als.fit(self.by_user, self.by_item, self.item_stats, self.user_stats, cfg, self.cfg.scale, self.workspace)
 
     @cached_property
     def factors(self) -> als.Factors:
-        return als.fit(self.train_pairs, self.item_stats, self.user_stats, self.sizes["n_pairs"],
-                       self.cfg.als, self.cfg.scale, self.workspace)
+        return self.fit_factors(self.cfg.als)
 
     # --- what the scorer reads --------------------------------------------------
 
-    def catalog_of(self, features: content.ItemFeatures, factors: als.Factors | None) -> scorer.Catalog:
-        """One row per item. Without ``factors`` the CF part has no dimensions."""
-        dims = self.cfg.als.factors if factors is not None else 0
+    def catalog_rows(self, features: content.ItemFeatures, factor_rows: DataFrame | None, dims: int) -> DataFrame:
+        """One row per item for the scorer; items without a factor row get the zero vector."""
         zero = F.array_repeat(F.lit(0.0), dims)
-        rows = (self.popularity_vectors
-                .join(features.table, "item_id")
+        rows = (self.popularity_vectors.join(features.table, "item_id")
                 .join(self.percentiles.select("item_id", "pct"), "item_id"))
-        if factors is not None:
-            rows = rows.join(factors.items.select(F.col("id").alias("item_id"), F.col("vec").alias("_vec")),
-                             "item_id", "left")
-            rows = rows.withColumn("factors", F.coalesce("_vec", zero)).drop("_vec")
-        else:
+        if factor_rows is None:
             rows = rows.withColumn("factors", zero)
-        rows = rows.withColumn("tie_break", content.TIE_BREAK * F.log1p(F.col("n_item").cast("double")))
-        table = self.workspace.stage(rows.select("item_id", "n_item", "pct", "factors", "features",
-                                                 "popularity", "tie_break"), "catalog")
-        n = table.count()
-        if n != self.sizes["n_items"]:
-            raise ValueError(f"catalog has {n} rows for {self.sizes['n_items']} items")
-        return scorer.Catalog(table, n, dims, features.dims, self.segments)
+        else:
+            rows = rows.join(factor_rows.select(F.col("id").alias("item_id"), F.col("vec").alias("_vec")), "item_id", "left")
+            rows = rows.withColumn("factors", F.coalesce("_vec", zero))
+        return rows.select("item_id", "n_item", "pct", "factors", "features", "popularity",
+                           (content.TIE_BREAK * F.log1p(F.col("n_item").cast("double"))).alias("tie_break"))
 
     @cached_property
     def catalog(self) -> scorer.Catalog:
-        return self.catalog_of(self.features, self.factors)
+        dims = self.cfg.als.factors
+        table = self.workspace.stage(self.catalog_rows(self.features, self.factors.items, dims), "catalog")
+        n = table.count()
+        if n != self.sizes["n_items"]:
+            raise ValueError(f"catalog has {n} rows for {self.sizes['n_items']} items")
+        return scorer.Catalog(table, n, dims, self.features.dims, self.segments)
 
     @cached_property
     def moments(self) -> dict:
         return scorer.catalog_moments(self.catalog)
 
-    def user_state_of(self, profiles: DataFrame, feature_dims: int, factors: als.Factors | None) -> DataFrame:
+    def user_rows(self, profiles: DataFrame, feature_dims: int, factor_rows: DataFrame | None, dims: int) -> DataFrame:
         """user_id, n_user, segment_no, factors, profile for every known user."""
-        dims = self.cfg.als.factors if factors is not None else 0
-        return self.workspace.stage(assemble_users(
-            self.user_stats, self.user_segments, self.segments, profiles, feature_dims,
-            factors.users if factors is not None else None, dims), "user-state")
+        return assemble_users(self.user_stats, self.user_segments, self.segments, profiles, feature_dims, factor_rows, dims)
 
     @cached_property
     def user_state(self) -> DataFrame:
-        return self.user_state_of(self.profiles, self.features.dims, self.factors)
+        return self.workspace.stage(self.user_rows(self.profiles, self.features.dims, self.factors.users,
+                                                   self.cfg.als.factors), "user-state")
 
     @cached_property
     def marks(self) -> DataFrame:

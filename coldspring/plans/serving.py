@@ -58,9 +58,9 @@ def recommend_new_users(experiment: Experiment, requests: DataFrame, ratings: Da
         pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user")), "user_id", "left")
         .select("user_id", F.coalesce("n_user", F.lit(0)).cast("long").alias("n_user")), "request-stats")
     n_requests, n_pairs = stats.agg(F.count(F.lit(1)), F.sum("n_user")).first()
-    folded = als.fold_in(pairs.withColumnRenamed("user_id", "id"), n_pairs, experiment.factors, cfg.als, cfg.scale,
-                         experiment.workspace)
-    profiles = content.user_profiles(pairs, n_pairs, experiment.features, cfg.scale, experiment.workspace)
+    by_request = als.rating_blocks(pairs, n_pairs or 0, cfg.scale, experiment.workspace, "user_id", "item_id", stats, "n_user")
+    folded = als.fold_in(by_request, experiment.factors, cfg.als)
+    profiles = content.user_profiles(by_request, experiment.features, cfg.scale)
     segments = requests.select(F.col("request_id").alias("user_id"),
                                buckets.segment(F.col("gender"), F.col("age")).alias("segment")).filter("segment IS NOT NULL")
     state = stage(assemble_users(stats, segments, experiment.segments, profiles, experiment.features.dims, folded,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coldspring.config import AlsConfig, ContentConfig, ScaleConfig
-from coldspring.operators import als, content, metrics, scorer
+from coldspring.operators import als, content, gather, metrics, scorer
 from coldspring.plans import analysis, evaluate, serving, tune
 from coldspring.plans.experiment import Experiment, eval_users
 from coldspring.sources.tables import Dataset
@@ -49,7 +49,9 @@ def test_als_matches_dense_solution(everything, workspace, scale):
     cfg = AlsConfig(factors=4, regularization=0.1, iterations=3)
     e = everything
     start = matrix(als.initial_items(e.item_stats, cfg), 40)
-    got = als.fit(e.train_pairs, e.item_stats, e.user_stats, e.sizes["n_pairs"], cfg, scale, workspace)
+    blocks = [als.rating_blocks(e.train_pairs, e.sizes["n_pairs"], scale, workspace, *side)
+              for side in (("user_id", "item_id", e.user_stats, "n_user"), ("item_id", "user_id", e.item_stats, "n_item"))]
+    got = als.fit(*blocks, e.item_stats, e.user_stats, cfg, scale, workspace)
     users, items = dense_als(train_matrix(e), start, cfg)
     np.testing.assert_allclose(matrix(got.users, 60), users, atol=1e-7)
     np.testing.assert_allclose(matrix(got.items, 40), items, atol=1e-7)
@@ -62,12 +64,13 @@ def test_als_learns_the_two_groups(everything):
 
 
 def test_fold_in(spark, everything, workspace):
-    pairs = spark.createDataFrame([(1, 26, 5.0), (1, 27, 5.0), (1, 28, 4.0)], "id long, item_id long, rating double")
-    vec = als.fold_in(pairs, 3, everything.factors, SMALL.als, SMALL.scale, workspace).first().vec
+    pairs = spark.createDataFrame([(1, 26, 5.0), (1, 27, 5.0), (1, 28, 4.0)], "target long, src long, w double")
+    blocks = gather.build_blocks(pairs, 3, SMALL.scale, workspace, "fold")
+    vec = als.fold_in(blocks, everything.factors, SMALL.als).first().vec
     scores = matrix(everything.factors.items, 40) @ np.array(vec)
     assert scores[20:].mean() > scores[:20].mean()
-    none = als.fold_in(pairs.limit(0), 0, everything.factors, SMALL.als, SMALL.scale, workspace)
-    assert none.count() == 0                     # no ratings: no row, the zero vector
+    none = gather.build_blocks(pairs.limit(0), 0, SMALL.scale, workspace, "fold")
+    assert als.fold_in(none, everything.factors, SMALL.als).count() == 0      # no ratings: no row, the zero vector
 
 
 def random_titles(spark, n=300, words=60):
