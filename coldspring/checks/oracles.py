@@ -20,7 +20,7 @@ def _part(name: str, sql: str) -> None:
 
 
 def _r(expression: str) -> str:
-    return f"round({expression}, 6) + 0.0"
+    return f"round(({expression}) + 1e-11::DOUBLE, 6) + 0.0"
 
 
 def _md5(tag: str, seed: int, *ids: str) -> str:
@@ -515,7 +515,7 @@ def statements() -> dict[str, str]:
     out["genre_parse"] = """SELECT item_id, len(g) AS n, genre FROM (SELECT p_partkey AS item_id,
         CASE WHEN p_partkey % 9 = 0 THEN [] ELSE [p_type, p_brand] END AS g FROM part)
       LEFT JOIN LATERAL (SELECT unnest(g) AS genre) ON true"""
-    best = ", ".join(f"{m} = max({m}) OVER (PARTITION BY slice) AS best_{m}" for m in ("coverage", "novelty"))
+    best = ", ".join(f"round({m}, 9) = max(round({m}, 9)) OVER (PARTITION BY slice) AS best_{m}" for m in ("coverage", "novelty"))
     out["best_models"] = f"SELECT slice, model, {best} FROM summary"
     done = {name: with_parts(sql) for name, sql in out.items()}
     done["adaptive_weights"] = _weights_sql("adaptive")

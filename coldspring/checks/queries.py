@@ -82,6 +82,11 @@ class Lab:
         return requests, ratings.withColumn("request_id", F.col("request_id").cast("long"))
 
 
+# Added before rounding, so that a mean that ends in exactly half a digit rounds the same way
+# whatever order it was summed in.
+NUDGE = 1e-11
+
+
 def tidy(df: DataFrame) -> DataFrame:
     """Integers as BIGINT and doubles rounded to six decimals, so that engines agree. Ranking
     scores are rounded already."""
@@ -91,7 +96,7 @@ def tidy(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.LongType)):
             c = c.cast("long")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in ("score", "cosine"):
-            c = F.round(c, 6) + F.lit(0.0)
+            c = F.round(c + F.lit(NUDGE), 6) + F.lit(0.0)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -181,12 +186,12 @@ def display_titles(lab):
 def popularity_global(lab):
     e = lab.plain
     scores = popularity.global_scores(e.item_stats, e.sizes["n_pairs"], e.sizes["n_items"])
-    return scores.withColumn("score", F.round("score", 6))
+    return scores.withColumn("score", F.round(F.col("score") + NUDGE, 6))
 
 
 def popularity_segment(lab):
     scores = popularity.segment_table(lab.plain.popularity_vectors, lab.plain.segments)
-    return scores.withColumn("score", F.round("score", 6))
+    return scores.withColumn("score", F.round(F.col("score") + NUDGE, 6))
 
 
 def popularity_percentile(lab):

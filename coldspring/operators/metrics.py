@@ -125,11 +125,13 @@ def robustness(summary: DataFrame, k: int, cold_below: int) -> DataFrame:
             .select("model", "all_users", *hard, F.least(*ratios).alias("worst_vs_best")))
 
 
-def best_per_column(summary: DataFrame, names: list[str]) -> DataFrame:
-    """For each metric a flag whether the model has the slice's highest value."""
-    tops = summary.groupBy("slice").agg(*[F.max(f"`{n}`").alias(f"_top_{n}") for n in names])
-    joined = summary.join(tops, "slice")
-    return joined.select("slice", "model", *[(F.col(f"`{n}`") == F.col(f"`_top_{n}`")).alias(f"best_{n}") for n in names])
+def best_per_column(summary: DataFrame, names: list[str], digits: int = 9) -> DataFrame:
+    """For each metric a flag whether the model has the slice's highest value (values that agree
+    to ``digits`` decimals are equal)."""
+    rounded = summary.select("slice", "model", *[F.round(f"`{n}`", digits).alias(n) for n in names])
+    tops = rounded.groupBy("slice").agg(*[F.max(f"`{n}`").alias(f"_top_{n}") for n in names])
+    return rounded.join(tops, "slice").select(
+        "slice", "model", *[(F.col(f"`{n}`") == F.col(f"`_top_{n}`")).alias(f"best_{n}") for n in names])
 
 
 def geometric_mean(value: Column) -> Column:
