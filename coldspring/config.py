@@ -64,8 +64,13 @@ class ScaleConfig:
     rows_per_task: int = 1_000_000
     # Splitters and hot-key lists that get broadcast stay below this many rows.
     max_hot_rows: int = 50_000
-    # Ratings gathered by one vectorised call (factor solve, profile sum).
+    # Ratings gathered by one vectorised call (factor solve, profile sum): when the vectors
+    # are broadcast, and when they are shuffled to the blocks (fewer, larger blocks ask for
+    # fewer copies of each vector).
     edges_per_block: int = 20_000
+    shipped_edges_per_block: int = 500_000
+    # A user list of up to this many ids may be broadcast.
+    broadcast_ids: int = 1_000_000
     # Up to this size the catalog is broadcast; above it, it is cut into shards.
     broadcast_bytes: int = 256 * 1024 * 1024
     # Size of one catalog shard and one block of users in the sharded plan.

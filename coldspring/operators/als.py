@@ -40,11 +40,13 @@ def regularised_gram(vectors: gather.Vectors, cfg: AlsConfig) -> np.ndarray:
 
 
 def rating_blocks(train_pairs: DataFrame, n_pairs: int, scale: ScaleConfig, workspace: Workspace,
-                  target: str, src: str, stats: DataFrame, n: str) -> gather.EdgeBlocks:
-    """The training pairs cut into blocks by ``target``, with the rating as edge weight."""
+                  target: str, src: str, stats: DataFrame, n: str, src_bytes: int = 0) -> gather.EdgeBlocks:
+    """The training pairs cut into blocks by ``target``, with the rating as edge weight.
+    ``src_bytes``: size of the vectors that will be gathered."""
     return gather.build_blocks(
         train_pairs.select(F.col(target).alias("target"), F.col(src).alias("src"), F.col("rating").alias("w")),
-        n_pairs, scale, workspace, f"by-{target}", stats.select(F.col(target).alias("target"), F.col(n).alias("n")))
+        n_pairs, scale, workspace, f"by-{target}", stats.select(F.col(target).alias("target"), F.col(n).alias("n")),
+        shipped=src_bytes > scale.broadcast_bytes)
 
 
 def fit(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stats: DataFrame, user_stats: DataFrame,

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from coldspring import kernels
 from coldspring.config import ScaleConfig
+from coldspring.operators.skew import hot_keys, row_limit, spread_join
 from coldspring.workspace import Workspace
 
 
@@ -29,6 +30,16 @@ class EdgeBlocks:
     has_split: bool
     workspace: Workspace
     name: str
+    scale: ScaleConfig
+
+    @cached_property
+    def hot_sources(self) -> DataFrame | None:
+        """Sources that more blocks need than one task should send."""
+        counts = self.needed.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+        top, total = counts.agg(F.max("n"), F.sum("n")).first()
+        limit = row_limit(total or 0, self.scale)
+        return self.workspace.stage(hot_keys(counts, "src", "n", limit), f"{self.name}-hot-sources") \
+            if (top or 0) > limit else None
 
     @cached_property
     def needed(self) -> DataFrame:
@@ -83,22 +94,26 @@ def densify(cells: DataFrame, key: str, place: str, value: str, width: int) -> D
     return lists.mapInArrow(run, "id long, vec array<double>")
 
 
-def build_blocks(edges: DataFrame, n_edges: int, scale: ScaleConfig, workspace: Workspace,
-                 name: str, degrees: DataFrame | None = None) -> EdgeBlocks:
-    """``edges``: (target, src, w). ``degrees``: (target, n), computed here if not given."""
-    size = scale.edges_per_block
+def build_blocks(edges: DataFrame, n_edges: int, scale: ScaleConfig, workspace: Workspace, name: str,
+                 degrees: DataFrame | None = None, shipped: bool = False) -> EdgeBlocks:
+    """``edges``: (target, src, w). ``degrees``: (target, n), computed here if not given.
+    ``shipped``: the source vectors are too large to be broadcast."""
+    size = scale.shipped_edges_per_block if shipped else scale.edges_per_block
     n_blocks = max(1, math.ceil(n_edges / size))
     degrees = degrees if degrees is not None else edges.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
-    big = degrees.filter(F.col("n") > size).select(
-        "target", F.ceil(F.col("n") / size).cast("long").alias("_parts"))
-    big = workspace.stage(big, f"{name}-split-targets")
-    has_split = not big.isEmpty()
+    top = degrees.agg(F.max("n")).first()[0] or 0
+    has_split = top > size
     if has_split:
-        # At most n_edges / size targets, each with one row.
-        big = F.broadcast(big) if n_blocks <= scale.max_hot_rows else big
-        edges = (edges.join(big, "target", "left")
-                 .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("src"), F.col("_parts")), F.lit(0)))
-                 .withColumn("split", F.col("_parts").isNotNull()))
+        parts = F.ceil(F.col("n") / size).cast("long").alias("_of")
+        big = workspace.stage(degrees.filter(F.col("n") > size).select("target", parts), f"{name}-split-targets")
+        if n_blocks <= scale.max_hot_rows:      # and so at most that many split targets
+            edges = edges.join(F.broadcast(big), "target", "left")
+        else:
+            limit = row_limit(n_edges, scale)
+            hot = hot_keys(degrees, "target", "n", limit) if top > limit else None
+            edges = spread_join(edges, big, "target", hot, "src", "left")
+        edges = (edges.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("src"), F.col("_of")), F.lit(0)))
+                 .withColumn("split", F.col("_of").isNotNull()))
     else:
         edges = edges.withColumn("_salt", F.lit(0)).withColumn("split", F.lit(False))
     blocked = edges.select(
@@ -107,7 +122,7 @@ def build_blocks(edges: DataFrame, n_edges: int, scale: ScaleConfig, workspace:
     # Checkpointed rather than written as a table: a checkpoint keeps the partitioning, so no
     # pass over the edges (one per half-step of the factor fit) shuffles them again.
     edges = workspace.checkpoint(blocked.repartition(_tasks(n_blocks, blocked), "block").sortWithinPartitions("block"))
-    return EdgeBlocks(edges, n_blocks, has_split, workspace, name)
+    return EdgeBlocks(edges, n_blocks, has_split, workspace, name, scale)
 
 
 def _tasks(n_blocks: int, df: DataFrame) -> int:
@@ -196,7 +211,8 @@ def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFra
     def met(edges: pa.Table, shipped: pa.Table) -> pa.Table:
         return fn(_arrays(edges), shipped.column("src").to_numpy(), kernels.to_matrix(shipped.column("vec"), dims))
 
-    shipped = blocks.needed.join(vectors.table.select(F.col("id").alias("src"), "vec"), "src")
+    shipped = spread_join(blocks.needed, vectors.table.select(F.col("id").alias("src"), "vec"), "src",
+                          blocks.hot_sources, "block")
     return blocks.edges.groupBy("block").cogroup(shipped.groupBy("block")).applyInArrow(met, schema)
 
 
@@ -212,14 +228,34 @@ def gather_sum(blocks: EdgeBlocks, vectors: Vectors, less: float = 0.0) -> DataF
 
 
 def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
-    """Sum the vectors of one id; a group has at most one row per block of a split target,
-    and is first summed within a few hash slots."""
+    """Sum the vectors of one id: within each task as they come, then in hash slots, then
+    over the slots of an id, so that no step holds all parts of a hot id."""
+    room = max(1, (64 * 1024 * 1024) // (8 * dims))
+
+    def combine(batches):
+        def flush(sums):
+            return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()),
+                                               kernels.to_list_column(np.array(list(sums.values())))], ["id", "vec"])
+        sums = {}
+        for batch in batches:
+            for key, row in zip(batch.column(0).to_pylist(), kernels.to_matrix(batch.column(1), dims)):
+                if key in sums:
+                    sums[key] += row
+                else:
+                    if len(sums) >= room:
+                        yield flush(sums)
+                        sums = {}
+                    sums[key] = row.copy()
+        if sums:
+            yield flush(sums)
+
     def add(key, batches):
         total = kernels.to_matrix(batches.column("vec"), dims).sum(axis=0)
         return pa.table({"id": pa.array([key[0].as_py()], pa.int64()),
                          "vec": kernels.to_list_column(total[None, :])})
 
-    slots = parts.withColumn("_slot", F.pmod(F.hash("vec"), F.lit(32)))
+    combined = parts.select("id", "vec").mapInArrow(combine, "id long, vec array<double>")
+    slots = combined.withColumn("_slot", F.pmod(F.hash("vec"), F.lit(64)))
     first = slots.groupBy("id", "_slot").applyInArrow(add, "id long, vec array<double>")
     return first.groupBy("id").applyInArrow(add, "id long, vec array<double>")
 

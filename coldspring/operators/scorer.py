@@ -228,6 +228,8 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
             "penalty": cfg.rerank.popularity_penalty, "cells": cfg.scale.cells_per_batch,
             "factor_dims": catalog.factor_dims, "feature_dims": catalog.feature_dims,
             "parts": parts, "only_hits": only_hits, "sharded": False}
+    if n_users <= cfg.scale.broadcast_ids:
+        marks = marks.join(F.broadcast(users.select("user_id")), "user_id", "left_semi")
     n_popularity = len(catalog.segments) + 1
     schema = ("model string, user_id long, n_train long, rank int, item_id long, score double, "
               "hit boolean, n_item long, sim_before double")

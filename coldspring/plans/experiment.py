@@ -140,16 +140,19 @@ class Experiment:
         made = self.feature_blocks.weighted(self.cfg.content)
         return replace(made, table=self.workspace.stage(made.table, "item-features"))
 
+    def _vector_bytes(self, side: str) -> int:
+        return 8 * (self.cfg.als.factors + 1) * self.sizes[side]
+
     @cached_property
     def by_user(self) -> gather.EdgeBlocks:
         """Training pairs in blocks by user; the profiles and the factor fit both read them."""
         return als.rating_blocks(self.train_pairs, self.sizes["n_pairs"], self.cfg.scale, self.workspace,
-                                 "user_id", "item_id", self.user_stats, "n_user")
+                                 "user_id", "item_id", self.user_stats, "n_user", self._vector_bytes("n_items"))
 
     @cached_property
     def by_item(self) -> gather.EdgeBlocks:
         return als.rating_blocks(self.train_pairs, self.sizes["n_pairs"], self.cfg.scale, self.workspace,
-                                 "item_id", "user_id", self.item_stats, "n_item")
+                                 "item_id", "user_id", self.item_stats, "n_item", self._vector_bytes("n_users"))
 
     @cached_property
     def profiles(self) -> DataFrame:

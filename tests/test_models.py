@@ -185,6 +185,21 @@ def test_sharded_plan_gives_the_same_lists(experiment, results):
         assert mine.score == pytest.approx(r.score, abs=1e-9) and mine.sim_before == pytest.approx(r.sim_before, abs=1e-9)
 
 
+def test_no_limit_changes_a_result(experiment, results, workspace, frames):
+    """Every size limit set so low that each hot-key, split and sharded path is taken."""
+    scale = ScaleConfig(rows_per_task=4, max_hot_rows=10 ** 6, edges_per_block=6, shipped_edges_per_block=6, broadcast_ids=0,
+                        broadcast_bytes=0, shard_bytes=9 * experiment.catalog.row_bytes, cells_per_batch=50)
+    tight = Experiment(Dataset("fixture", *frames, None), replace(experiment.cfg, scale=scale, score_digits=7), workspace)
+    loose = Experiment(Dataset("fixture", *frames, None), replace(experiment.cfg, score_digits=7), workspace)
+    a, b = (sorted(map(tuple, e.split.ratings.select("user_id", "item_id", "case_id", "in_train").collect())) for e in (tight, loose))
+    assert a == b
+    frames_ = [evaluate.evaluate(e).summary.toPandas().sort_values(["slice", "model"]).reset_index(drop=True)
+               for e in (tight, loose)]
+    assert list(frames_[0].model) == list(frames_[1].model)
+    for name in ("users", "ndcg@5", "coverage", "novelty", "diversity"):
+        np.testing.assert_allclose(frames_[0][name].astype(float), frames_[1][name].astype(float), atol=1e-6, err_msg=name)
+
+
 def test_metrics_match_brute_force(experiment, results):
     liked = {}
     for r in experiment.liked.collect():

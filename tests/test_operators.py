@@ -115,7 +115,8 @@ def edges(spark, seed=0, n=3000):
     return rows, vecs, spark.createDataFrame(rows), table
 
 
-PLANS = [ScaleConfig(), ScaleConfig(edges_per_block=20), ScaleConfig(edges_per_block=20, broadcast_bytes=0)]
+PLANS = [ScaleConfig(), ScaleConfig(edges_per_block=20), ScaleConfig(edges_per_block=20, broadcast_bytes=0),
+         ScaleConfig(edges_per_block=20, broadcast_bytes=0, rows_per_task=30, max_hot_rows=100)]
 
 
 @pytest.mark.parametrize("scale", PLANS)
