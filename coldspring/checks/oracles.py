@@ -332,6 +332,82 @@ _part("edges", "SELECT quantile_cont(mainstream, [0.2, 0.4, 0.6, 0.8]) AS e FROM
 _part("item_relevant", "SELECT item_id, count(*) AS relevant FROM liked GROUP BY 1")
 
 
+def _swap(sql: str, names: dict) -> str:
+    """Replace whole words."""
+    out, word = [], ""
+    for ch in sql + " ":
+        if ch.isalnum() or ch == "_":
+            word += ch
+        else:
+            out += [names.get(word, word), ch]
+            word = ""
+    return "".join(out)
+
+
+def _copy(prefix: str, names: list[str], swaps: dict | None = None) -> None:
+    """Define ``names`` again under a prefix, reading each other and ``swaps``."""
+    table = {**{n: prefix + n for n in names}, **(swaps or {})}
+    for name in names:
+        _part(prefix + name, _swap(_PARTS[name], table))
+
+
+# The validation split: the same models fitted on the inner training rows.
+_copy("inner_", ["train", "user_stats", "item_stats", "liked", "totals", "eval_users", "cold_ids", "cold_eval_users", "global_pop",
+                 "segments", "segment_n", "segment_total", "segment_pop", "raw_profiles", "profile_norm", "profiles", "x1", "y1",
+                 "x2", "y2", "cosines", "has_profile", "signals", "z"], {"split": "inner_split"})
+_GRID = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a in (10, 100) for b in (10, 100) for c in (10, 100))
+_part("grid", f"SELECT * FROM (VALUES {_GRID}) g(k_user, k_item, k_content)")
+
+
+def _grid_hits(users: str, only: str = "") -> str:
+    cf = "(n_user / (n_user + k_user)) * (n_item / (n_item + k_item))"
+    t = "(n_user / (n_user + k_content))"
+    return f"""SELECT k_user, k_item, k_content, r.user_id, n_relevant, n_train,
+        coalesce(sum(1.0::DOUBLE / log2(rank + 1.0::DOUBLE)) FILTER (WHERE l.item_id IS NOT NULL), 0) / {_ideal(10)} AS ndcg
+      FROM (SELECT *, row_number() OVER (PARTITION BY k_user, k_item, k_content, user_id ORDER BY score DESC, item_id) AS rank
+        FROM (SELECT k_user, k_item, k_content, user_id, item_id, n_relevant, n_train, round({cf} * z_cf
+            + (1 - {cf}) * {t} * z_content + (1 - {cf}) * (1 - {t}) * z_popularity, 9) + 0.0 AS score
+          FROM inner_z JOIN {users} USING (user_id) ANTI JOIN inner_train USING (user_id, item_id) {only} CROSS JOIN grid)) r
+      LEFT JOIN inner_liked l ON l.user_id = r.user_id AND l.item_id = r.item_id WHERE rank <= 10
+      GROUP BY k_user, k_item, k_content, r.user_id, n_relevant, n_train"""
+
+
+_part("grid_ndcg", _grid_hits("inner_eval_users"))
+_part("grid_cold_ndcg", _grid_hits("inner_cold_eval_users", "SEMI JOIN inner_cold_ids USING (item_id)"))
+_part("grid_slices", """SELECT k_user, k_item, k_content, avg(ndcg) FILTER (WHERE n_train >= 5) AS warm_users,
+    avg(ndcg) FILTER (WHERE n_train < 5) AS cold_users FROM grid_ndcg GROUP BY 1, 2, 3""")
+_part("grid_cold_slice", "SELECT k_user, k_item, k_content, avg(ndcg) AS cold_items FROM grid_cold_ndcg GROUP BY 1, 2, 3")
+
+# Content without the decade block, ranked on the cold-item slice.
+_part("genre_only_blocks", "SELECT * FROM blocks WHERE feature LIKE 'genre:%'")
+_copy("genre_only_", ["features", "raw_profiles", "profile_norm", "profiles", "cosines", "has_profile", "signals", "z"],
+      {"blocks": "genre_only_blocks"})
+_part("genre_only_lists", _swap(_lists("cold_eval_users", 10, [scorer.CONTENT], "SEMI JOIN cold_ids USING (item_id)"),
+                                {"z": "genre_only_z"}))
+_part("genre_only_frame", f"""SELECT u.user_id, coalesce(sum(1.0::DOUBLE / log2(rank + 1.0::DOUBLE)) FILTER (WHERE hit), 0)
+    / {_ideal(10)} AS ndcg FROM cold_eval_users u LEFT JOIN genre_only_lists l ON l.user_id = u.user_id GROUP BY u.user_id, n_relevant""")
+
+# The worst cold users and the hardest cold items.
+_part("shown", "SELECT item_id, title || ' (' || year || ')' AS shown FROM items")
+_part("worst", f"""SELECT user_id, n_relevant FROM frame WHERE model = '{scorer.ADAPTIVE}' AND n_train BETWEEN 1 AND 4
+  ORDER BY round(ndcg_10, 9), n_relevant DESC, user_id LIMIT 3""")
+_part("liked_ranked", """SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY n_item DESC, item_id) AS rank
+  FROM liked JOIN item_stats USING (item_id) SEMI JOIN worst USING (user_id)""")
+_part("popular_cold", """SELECT item_id, count(*) AS fans_in_test FROM split JOIN cold_ids USING (item_id)
+  WHERE NOT in_train AND rating >= 4 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 40""")
+_part("fans", """SELECT item_id, user_id FROM (SELECT item_id, user_id, row_number() OVER (PARTITION BY item_id ORDER BY ts, user_id) AS n
+  FROM split SEMI JOIN popular_cold USING (item_id) WHERE NOT in_train AND rating >= 4) WHERE n <= 200""")
+_part("fan_rate", f"""SELECT f.item_id, avg((l.item_id IS NOT NULL)::INT) AS hit_rate FROM fans f LEFT JOIN
+  (SELECT user_id, item_id FROM cold_lists WHERE model = '{scorer.ADAPTIVE}' AND rank <= 10) l
+  ON l.user_id = f.user_id AND l.item_id = f.item_id GROUP BY 1""")
+_part("hardest", """SELECT item_id, fans_in_test, hit_rate FROM popular_cold JOIN fan_rate USING (item_id)
+  ORDER BY hit_rate, fans_in_test DESC, item_id LIMIT 6""")
+_part("nearest", """SELECT n.item_id, string_agg(shown, ' | ' ORDER BY rank) AS near FROM (
+    SELECT h.item_id, j.item_id AS other, row_number() OVER (PARTITION BY h.item_id ORDER BY round(coalesce(c, 0), 9) DESC, j.item_id) AS rank
+    FROM hardest h CROSS JOIN items j LEFT JOIN cos_pairs ON a = h.item_id AND b = j.item_id WHERE h.item_id <> j.item_id) n
+  JOIN shown s ON s.item_id = other WHERE rank <= 3 GROUP BY 1""")
+
+
 def _words(sql: str) -> set:
     out, word = set(), ""
     for ch in sql + " ":
@@ -503,6 +579,24 @@ def statements() -> dict[str, str]:
           30.0::DOUBLE AS k_content FROM item_stats""",
         "request_validation": "SELECT request_id, errors = '' AS valid, errors FROM checked",
     }
+    out["als_gram"] = f"""SELECT 'user' AS side, count(*) AS vectors, {_r('sum(v * v)')} AS gram FROM x2
+      UNION ALL SELECT 'item', count(*), {_r('sum(v * v)')} FROM y2"""
+    out["blend_grid"] = f"""SELECT k_user, k_item, k_content, {_r('warm_users')} AS warm_users, {_r('cold_users')} AS cold_users,
+      {_r('cold_items')} AS cold_items, {_r("""exp((ln(greatest(warm_users, 1e-9)) + ln(greatest(cold_users, 1e-9))
+      + ln(greatest(cold_items, 1e-9))) / 3)""")} AS objective FROM grid_slices JOIN grid_cold_slice USING (k_user, k_item, k_content)"""
+    out["content_ablation"] = f"""SELECT name AS content_features, {_r('ndcg')} AS ndcg FROM (
+      SELECT unnest(['all blocks', 'without title/tag text']) AS name, avg(ndcg_10) AS ndcg FROM cold_frame WHERE model = '{scorer.CONTENT}'
+      UNION ALL SELECT unnest(['genres only', 'without decade']), avg(ndcg) FROM genre_only_frame)"""
+    out["case_studies"] = f"""SELECT user_id, n_relevant AS liked_count, history, recommended, actually_liked FROM worst
+      LEFT JOIN (SELECT user_id, string_agg(shown || ' - ' || rating::BIGINT || ' stars', ' | ' ORDER BY item_id) AS history
+        FROM train JOIN shown USING (item_id) SEMI JOIN worst USING (user_id) GROUP BY 1) USING (user_id)
+      LEFT JOIN (SELECT user_id, string_agg(shown, ' | ' ORDER BY rank) AS recommended FROM lists JOIN shown USING (item_id)
+        WHERE model = '{scorer.ADAPTIVE}' AND rank <= 5 GROUP BY 1) USING (user_id)
+      LEFT JOIN (SELECT user_id, string_agg(shown, ' | ' ORDER BY rank) AS actually_liked FROM liked_ranked JOIN shown USING (item_id)
+        WHERE rank <= 5 GROUP BY 1) USING (user_id)"""
+    out["hardest_cold_items"] = f"""SELECT item_id, shown AS title, array_to_string(genres, ', ') AS genres, n_item AS train_ratings,
+        fans_in_test, {_r('hit_rate')} AS hit_rate, near AS nearest_by_content FROM hardest JOIN shown USING (item_id)
+      JOIN items USING (item_id) JOIN item_stats USING (item_id) JOIN nearest USING (item_id)"""
     titles = r"""SELECT p_partkey AS item_id, CASE p_partkey % 6 WHEN 0 THEN nm || ', The' || yr WHEN 1 THEN '  ' || nm || yr
         WHEN 2 THEN nm || ', A' WHEN 3 THEN nm || ', An (also, The)' || yr WHEN 4 THEN nm || ' (alias)' || yr || '  '
         ELSE nm END AS raw FROM (SELECT p_partkey, ' (' || (1950 + p_size) || ')' AS yr, array_to_string(

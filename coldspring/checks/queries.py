@@ -239,10 +239,13 @@ def als_rank1_fold_in(lab):
 
 
 def als_gram(lab):
-    """Elementwise sum of outer products of the rank-16 item factors."""
-    total = gather.gram(lab.full.factors.items, "vec", FULL.als.factors)
-    items = lab.full.factors.items.agg(F.count(F.lit(1)).alias("n_items"))
-    return items.withColumn("trace", F.lit(float(total.trace())))
+    """Sum of outer products of the factor vectors, as the solver uses it."""
+    e, rows = lab.plain, []
+    for side, df in (("user", e.factors.users), ("item", e.factors.items)):
+        total = float(gather.gram(df, "vec", PLAIN.als.factors)[0, 0])
+        rows.append(df.agg(F.count(F.lit(1)).alias("vectors")).select(F.lit(side).alias("side"), "vectors",
+                                                                      F.lit(total).alias("gram")))
+    return rows[0].unionByName(rows[1])
 
 
 # --- blending and ranking ---------------------------------------------------------
@@ -374,14 +377,21 @@ def cold_user_rating_bands(lab):
 
 
 def case_studies(lab):
-    return analysis.case_studies(lab.full, lab.full_results, 10)
+    cases = analysis.case_studies(lab.plain, lab.results, 10)
+    return cases.select("user_id", "liked_count", *[F.concat_ws(" | ", c).alias(c) for c in
+                                                    ("history", "recommended", "actually_liked")])
 
 
 def hardest_cold_items(lab):
-    return analysis.hardest_cold_items(lab.full, 10)
+    rows = analysis.hardest_cold_items(lab.plain, 10)
+    return rows.withColumn("nearest_by_content", F.concat_ws(" | ", "nearest_by_content"))
 
 
 def content_ablation(lab):
+    return analysis.content_ablation(lab.plain, 10)
+
+
+def content_ablation_text(lab):
     return analysis.content_ablation(lab.full, 10)
 
 
@@ -475,7 +485,7 @@ _NAMED = [interactions_collapse, drop_orphan_ratings, cold_pick_users, cold_pick
           als_gram, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain,
           ranking_metrics, hit_flags, beyond_accuracy, slice_metrics, cold_item_slice, robustness_table, best_models,
           geo_mean_objective, model_lift, dataset_facts, ndcg_by_history, weights_by_history, mainstream_quintiles,
-          popularity_bias, genre_recall, cold_user_rating_bands, case_studies, hardest_cold_items, content_ablation,
+          popularity_bias, genre_recall, cold_user_rating_bands, case_studies, hardest_cold_items, content_ablation, content_ablation_text,
           lsa_embedding, als_topk, full_slice_metrics, blend_grid, recommend_new_users, catalog_search,
           user_history_top, user_summary, example_users, dataset_meta, request_validation]
 

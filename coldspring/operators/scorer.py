@@ -247,7 +247,7 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
                 for table in score_table(pa.Table.from_batches([batch]), arrays, stats, spec):
                     yield from table.combine_chunks().to_batches()
 
-        tasks = max(spark.sparkContext.defaultParallelism,
+        tasks = max(3 * spark.sparkContext.defaultParallelism,
                     math.ceil(n_users * max(n_items, 1) / (5000 * cfg.scale.cells_per_batch)))
         return with_marks(users, marks, None).repartition(tasks).mapInArrow(run, schema)
 
