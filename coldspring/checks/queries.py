@@ -109,7 +109,7 @@ def interactions_collapse(lab):
 
 def drop_orphan_ratings(lab):
     stocked = lab.plain.dataset.items.filter(F.array_contains("genres", "PROMO"))
-    return drop_orphans(lab.plain.dataset.ratings, stocked).select("user_id", "item_id", "rating", "ts")
+    return drop_orphans(lab.plain.dataset.ratings, stocked, PLAIN.scale).select("user_id", "item_id", "rating", "ts")
 
 
 def cold_pick_users(lab):
@@ -135,7 +135,7 @@ def interaction_stats(lab):
 
 
 def sample_users(lab):
-    return splitting.sample_users(lab.plain.dataset.ratings, 500, 0, PLAIN.scale.rows_per_task)
+    return splitting.sample_users(lab.plain.dataset.ratings, 500, 0, PLAIN.scale, lab.workspace)
 
 
 def truth_relevant(lab):

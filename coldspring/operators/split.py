@@ -89,7 +89,11 @@ def make_split(ratings: DataFrame, cfg: SplitConfig, scale: ScaleConfig, workspa
     return Split(out, cold_users, cold_items)
 
 
-def sample_users(ratings: DataFrame, n: int, seed: int, limit: int) -> DataFrame:
+def sample_users(ratings: DataFrame, n: int, seed: int, scale: ScaleConfig, workspace: Workspace) -> DataFrame:
     """All ratings of ``n`` users drawn by seeded hash."""
-    picked = lowest_by_hash(ratings.select("user_id").distinct(), "user_id", "sample", seed, n, limit)
-    return ratings.join(picked, "user_id", "left_semi")
+    users = workspace.stage(counts_per(ratings, "user_id"), "sample-counts")
+    n_users, rows, top = users.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    limit = skew.row_limit(rows or 0, scale)
+    hot = skew.hot_keys(users, "user_id", "n", limit) if (top or 0) > limit else None
+    picked = lowest_by_hash(users, "user_id", "sample", seed, n, limit, n_users)
+    return skew.spread_join(ratings, picked, "user_id", hot, "item_id", "left_semi")

@@ -161,7 +161,10 @@ def validate_requests(experiment: Experiment, requests: DataFrame, ages=tuple(bu
     requests = stage(requests.withColumn("_user", F.try_to_number(F.trim("user_id"), F.lit("999999999999999999")).cast("long")),
                      "raw-requests")
     known_users = experiment.user_stats.select(F.col("user_id").alias("_user"), F.lit(True).alias("_known"))
-    rows = lookup(requests, known_users, "_user", "request_id", cfg.scale, "left")
+    # Only requests with a user id take part in the join, so that no task gets all NULL keys.
+    known = lookup(requests.filter(F.col("_user").isNotNull()).select("request_id", "_user"), known_users, "_user",
+                   "request_id", cfg.scale).select("request_id", "_known")
+    rows = requests.join(known, "request_id", "left")
     given = stage(requests.filter("user_id IS NULL").select("request_id", F.explode("ratings").alias("r"))
                   .select("request_id", F.col("r.item_id").alias("item_id"), F.col("r.rating").alias("rating")), "given")
     known_items = experiment.item_stats.select("item_id", F.lit(True).alias("_in_catalog"))

@@ -27,7 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def rating_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order line: who bought which part, when, and a 1-5 rating from quantity."""
+    """One row per order line: who bought which part, when, and a 1-5 rating from quantity.
+
+    The join is followed by an aggregation on other keys, so adaptive execution can split a
+    skewed order without a further shuffle."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
