@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coldspring.llm import mixing, near_dedup, url_filter
+from coldspring.llm import mixing, near_dedup, suffix_dedup, url_filter
 from coldspring.workspace import Workspace
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents"), Workspace(spark))
+
+
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     config = near_dedup.NearConfig(width=4)
     return near_dedup.near_groups(_table(spark, folder, "documents"), Workspace(spark), config)
@@ -78,7 +82,7 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)
 """
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_near_dedup, op9_mixing, op10_url_filter)}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op9_mixing, op10_url_filter)}
 _SQL = {"op9_mixing": _OP9_SQL, "op10_url_filter": _OP10_SQL}
 
 
