@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coldspring.llm import mixing, near_dedup, suffix_dedup, url_filter
+from coldspring.llm import decontaminate, line_quality, mixing, near_dedup, suffix_dedup, url_filter
 from coldspring.workspace import Workspace
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -25,6 +25,16 @@ def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, folder, "documents"), Workspace(spark), config)
 
 
+def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    field = line_quality.fit_lines(docs, _table(spark, folder, "labels"))
+    return line_quality.judge_documents(docs, field)
+
+
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"), Workspace(spark))
 
@@ -82,7 +92,7 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)
 """
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op9_mixing, op10_url_filter)}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter)}
 _SQL = {"op9_mixing": _OP9_SQL, "op10_url_filter": _OP10_SQL}
 
 

@@ -529,8 +529,8 @@ def _hot_windows(hot: DataFrame, config: RepeatConfig) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, workspace: Workspace, config: RepeatConfig = RepeatConfig(), id_col: str = "doc_id",
                    text_col: str = "text", whole: bool = False) -> DataFrame:
-    """One row (id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``; with ``whole`` also kept_text and spans,
-    the removed (begin, end) byte ranges as one flat array.
+    """One row (id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``; with ``whole`` also kept_text, spans (the
+    removed (begin, end) byte ranges as one flat array), and row, a struct of the other columns of ``docs``.
 
     A byte is removed if a string of ``length`` bytes over it also starts in a document with a smaller id. Texts are UTF-8
     bytes, a null text is empty, strings do not cross documents and are judged on the input. kept_text leaves out bytes of
@@ -538,11 +538,14 @@ def remove_repeats(docs: DataFrame, workspace: Workspace, config: RepeatConfig =
     and remove nothing. Only the id and text columns are read; an empty table gives an empty table.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(None).cast("int").alias("_"))
+    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), others.alias("_row"))
     size = F.octet_length("_text").cast("long")
     short = F.col("_id").isNull() | (size < config.length)
-    facts = workspace.stage(source.select("_id", F.md5(F.encode("_text", "UTF-8")).alias("_md5"), size.alias("_size"),
-                                          F.when(short, F.sha2(F.encode("_text", "UTF-8"), 256)).alias("_own_sha")), "repeat-facts")
+    content = F.encode("_text", "UTF-8")
+    facts = source.select("_id", F.md5(content).alias("_md5"), size.alias("_size"), F.when(short, F.sha2(content, 256)).alias("_own_sha"),
+                          *([F.when(short, F.col("_text")).alias("_own_text"), "_row"] if whole else []))
+    facts = workspace.stage(facts, "repeat-facts")
     copies = facts.groupBy("_md5").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
     rows, total = facts.agg(F.count(F.lit(1)), F.sum("_size")).first()
     # At most hot_texts entries, as each stands for more than rows / hot_texts rows.
@@ -552,9 +555,9 @@ def remove_repeats(docs: DataFrame, workspace: Workspace, config: RepeatConfig =
     buckets = max(parts, math.ceil((total or 0) / config.bucket_bytes))
 
     packed = "_bucket long, _kind int, _blob binary"
-    entries = (source.mapInArrow(_send_anchors(config, buckets, hot), packed)
+    entries = (source.select("_id", "_text").mapInArrow(_send_anchors(config, buckets, hot), packed)
                .groupBy("_bucket").applyInArrow(_match_anchors(buckets), packed))
-    texts = source.mapInArrow(_send_texts(config, buckets, hot), packed)
+    texts = source.select("_id", "_text").mapInArrow(_send_texts(config, buckets, hot), packed)
     cut = texts.groupBy("_bucket").cogroup(entries.groupBy("_bucket")).applyInArrow(_cut_segments(config), _SEGMENTS)
     cut = workspace.stage(cut, "repeat-segments")
     segments = cut.filter("_kind = 1")
@@ -587,8 +590,9 @@ def remove_repeats(docs: DataFrame, workspace: Workspace, config: RepeatConfig =
         "kept_sha256": F.when(copy, F.sha2(F.lit(b""), 256)).when(plain, F.col("_own_sha")).otherwise(F.col("_sha")),
     }
     if whole:
-        picked["kept_text"] = F.when(copy, F.lit("")).when(~F.col("_own_sha").isNotNull(), F.col("_kept_text"))
+        picked["kept_text"] = F.when(copy, F.lit("")).otherwise(F.coalesce("_own_text", "_kept_text"))
         picked["spans"] = F.when(copy, F.array(F.lit(0).cast("long"), F.col("_size"))).when(plain, F.array().cast("array<long>")).otherwise(F.col("_edges"))
+        picked["row"] = F.col("_row")
     return out.select(F.col("_id").alias(id_col), *[c.cast("long").alias(n) if n.startswith("n_") else c.alias(n) for n, c in picked.items()])
 
 
