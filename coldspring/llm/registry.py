@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coldspring.llm import decontaminate, line_quality, mixing, near_dedup, suffix_dedup, url_filter
+from coldspring.llm import decontaminate, language_id, line_quality, mixing, near_dedup, pairwise_quality, suffix_dedup, url_filter
 from coldspring.workspace import Workspace
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -25,6 +26,25 @@ def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, folder, "documents"), Workspace(spark), config)
 
 
+def _fold(folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``; ids that are null are in no fold."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    profiles = language_id.learn_profiles(docs.filter(_fold(4) != 2))
+    found = language_id.identify(docs, profiles)
+    return found.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    ranking = pairwise_quality.learn_ranking(docs, _table(spark, folder, "labels").filter(_fold(5) != 0))
+    found = pairwise_quality.score_documents(docs, ranking)
+    return found.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     field = line_quality.fit_lines(docs, _table(spark, folder, "labels"))
@@ -92,7 +112,7 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)
 """
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter)}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op4_language_id, op5_pairwise_quality, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter)}
 _SQL = {"op9_mixing": _OP9_SQL, "op10_url_filter": _OP10_SQL}
 
 
