@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldspring.llm import decontaminate, language_id, line_quality, mixing, near_dedup, pairwise_quality, suffix_dedup, url_filter
+from coldspring.llm import chat_format, decontaminate, html_extract, language_id, line_quality, mixing, near_dedup, pairwise_quality, suffix_dedup, url_filter
 from coldspring.workspace import Workspace
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -26,6 +26,11 @@ def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, folder, "documents"), Workspace(spark), config)
 
 
+def op3_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return html_extract.extract_pages(pages, html_extract.fit_extractor(pages))
+
+
 def _fold(folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; ids that are null are in no fold."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
@@ -45,6 +50,12 @@ def op5_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations")
+    chain = chat_format.learn_chain(turns)
+    return chat_format.parse_transcripts(chat_format.written_transcripts(turns), chain, Workspace(spark))
+
+
 def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     field = line_quality.fit_lines(docs, _table(spark, folder, "labels"))
@@ -112,7 +123,7 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)
 """
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op4_language_id, op5_pairwise_quality, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter)}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_html_extract, op4_language_id, op5_pairwise_quality, op6_chat_format, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter)}
 _SQL = {"op9_mixing": _OP9_SQL, "op10_url_filter": _OP10_SQL}
 
 
