@@ -54,10 +54,9 @@ def written_transcripts(turns: DataFrame, config: ChatConfig = ChatConfig()) ->
 
 
 def line_features(lines: list[str], roles: list[str]) -> np.ndarray:
-    """Four categories per line: marker (none, unknown, or a role's), words, last character, blank line before."""
-    out = np.zeros((len(lines), 4), dtype=np.int64)
+    """Three categories per line: marker (none, unknown, or a role's), words, last character."""
+    out = np.zeros((len(lines), 3), dtype=np.int64)
     place = {role: i + 2 for i, role in enumerate(roles)}
-    blank = False
     for i, line in enumerate(lines):
         found = MARKER.match(line)
         if found:
@@ -67,14 +66,13 @@ def line_features(lines: list[str], roles: list[str]) -> np.ndarray:
         out[i, 1] = 0 if not words else 1 if words < 4 else 2 if words < 12 else 3 if words < 40 else 4
         last = line.rstrip()[-1:]
         out[i, 2] = 0 if not last else 1 if last == "?" else 2 if last in ".!" else 3 if last in ":," else 4
-        out[i, 3] = blank
-        blank = not words
     return out
 
 
 @dataclass
 class Chain:
-    """Log probabilities of a hidden Markov model. States: 2 r for a line that opens a turn of role r, 2 r + 1 for its other lines."""
+    """Log probabilities of a hidden Markov model. States of role r: 3 r for a line that opens a turn, 3 r + 1 for its other lines,
+    3 r + 2 for a blank line that ends it."""
     roles: list[str]
     first: np.ndarray
     step: np.ndarray
@@ -108,9 +106,9 @@ class Chain:
 
 
 def fit_chain(rows: list[tuple], roles: list[str] | None = None) -> Chain:
-    """From (conversation, place, text, role, opens) in order: counts with one added to each."""
+    """From (conversation, place, text, role, kind of line: 0, 1 or 2) in order: counts with one added to each."""
     roles = roles or sorted({r[3] for r in rows}) or ["user"]
-    states, sizes = 2 * len(roles), (len(roles) + 2, 5, 5, 2)
+    states, sizes = 3 * len(roles), (len(roles) + 2, 5, 5)
     first, step = np.ones(states), np.ones((states, states))
     emit = [np.ones((states, n)) for n in sizes]
     number = {role: i for i, role in enumerate(roles)}
@@ -120,7 +118,7 @@ def fit_chain(rows: list[tuple], roles: list[str] | None = None) -> Chain:
         while end < len(rows) and rows[end][0] == rows[start][0]:
             end += 1
         part = rows[start:end]
-        state = np.array([2 * number[r[3]] + (0 if r[4] else 1) for r in part])
+        state = np.array([3 * number[r[3]] + r[4] for r in part])
         first[state[0]] += 1
         np.add.at(step, (state[:-1], state[1:]), 1)
         for k, column in enumerate(line_features([r[2] for r in part], roles).T):
@@ -128,8 +126,9 @@ def fit_chain(rows: list[tuple], roles: list[str] | None = None) -> Chain:
         start = end
     # a role's other lines follow a line of the same role only
     for r in range(len(roles)):
-        first[2 * r + 1] = 1e-9
-        step[[s for s in range(states) if s // 2 != r], 2 * r + 1] = 1e-9
+        first[[3 * r + 1, 3 * r + 2]] = 1e-9
+        for kind in (1, 2):
+            step[[s for s in range(states) if s // 3 != r], 3 * r + kind] = 1e-9
     return Chain(roles, np.log(first / first.sum()), np.log(step / step.sum(axis=1, keepdims=True)), [np.log(t / t.sum(axis=1, keepdims=True)) for t in emit])
 
 
@@ -143,8 +142,8 @@ def learn_chain(turns: DataFrame, config: ChatConfig = ChatConfig()) -> Chain:
         # the blank line before an unmarked turn still belongs to the turn before
         lead = r["bare"] and r["line"] == 0
         role = rows[-1][3] if lead and rows and rows[-1][0] == r["conv_id"] else r["role"]
-        opens = not lead and r["line"] == (1 if r["bare"] else 0)
-        rows.append((r["conv_id"], (r["turn"], r["line"]), r["text"], role, opens))
+        kind = 2 if lead else 0 if r["line"] == (1 if r["bare"] else 0) else 1
+        rows.append((r["conv_id"], (r["turn"], r["line"]), r["text"], role, kind))
     return fit_chain(rows)
 
 
@@ -174,7 +173,7 @@ def _ends(chain: Chain):
 
 def _borders(chain: Chain, ends: list) -> dict[tuple[int, int], tuple[int | None, int | None]]:
     """(conversation, range) -> (state before, state at the end) for conversations that span ranges."""
-    n = 2 * len(chain.roles)
+    n = 3 * len(chain.roles)
     by_conv: dict[int, list] = {}
     for row in sorted(ends, key=lambda r: (r["_conv"], r["_range"])):
         by_conv.setdefault(row["_conv"], []).append((row["_range"], np.frombuffer(row["_matrix"]).reshape(n + 1, n)))
@@ -224,9 +223,9 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
             entry, leave = borders.get((int(conv[a]), number), (None, None))
             state = chain.decode(chain.scores(line_features(texts[a:b], chain.roles)), entry, leave)
             for s, text in zip(state.tolist(), texts[a:b]):
-                role.append(chain.roles[s // 2])
-                opens.append(s % 2 == 0)
-                shown.append(MARKER.sub("", text, count=1) if s % 2 == 0 else text)
+                role.append(chain.roles[s // 3])
+                opens.append(s % 3 == 0)
+                shown.append(MARKER.sub("", text, count=1) if s % 3 == 0 else text)
         return pa.table({c: table.column(c) for c in ("_conv", *order, "_range")} |
                         {"_role": pa.array(role, pa.string()), "_opens": pa.array(opens, pa.bool_()), "_shown": pa.array(shown, pa.string())})
     schema = "_conv long, _turn long, _line long, _tie string, _range int, _role string, _opens boolean, _shown string"
