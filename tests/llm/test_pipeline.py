@@ -53,12 +53,12 @@ def test_stages_equal_brute_force(spark, workspace):
 
 def test_null_rows_go_through(spark, workspace):
     schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
-    prose = "\n".join(f"The {w} of a quiet line number {w * 2}, with words of its own {w ** 3}." for w in range(7, 30))
-    odd = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, prose, None, None, None), (None, prose, "en", "b", 5), (3, prose, "de", "a", 9), (4, "", "", "", 0)]
+    prose = "\n".join(" ".join(f"word{w * 12 + k}" for k in range(12)) + "." for w in range(20))
+    odd = [(None, None, None, None, None), (1, None, "en", "a", 0), (10 ** 9, prose, None, None, None), (None, prose, "en", "b", 5), (10 ** 9 + 1, prose, "de", "a", 9), (4, "", "", "", 0)]
     docs = spark.createDataFrame(odd, schema)
     for name, stage in corpus_pipeline.STAGES:
         docs = workspace.stage(stage(spark, docs, FOLDER), "odd")
-    assert sorted(str(r.doc_id) for r in docs.collect()) == ["2", "None"]
+    assert sorted(str(r.doc_id) for r in docs.collect()) == ["1000000000", "None"]
     docs = spark.createDataFrame([], schema)
     for name, stage in corpus_pipeline.STAGES:
         docs = workspace.stage(stage(spark, docs, FOLDER), "none")
