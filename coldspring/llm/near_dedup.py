@@ -27,6 +27,7 @@ from coldspring.llm.components import components
 from coldspring.workspace import Workspace
 
 CELLS, CELL_BLOCK = 1 << 16, 1 << 12
+FILTER_BITS, FILTER_BLOCK = 1 << 25, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -145,17 +146,52 @@ def _collide(config: NearConfig):
     return run
 
 
-def _sets(config: NearConfig):
+def _spots(nodes: np.ndarray) -> np.ndarray:
+    h = textkit.mixed(nodes.astype(np.uint64))
+    return np.concatenate([h % np.uint64(FILTER_BITS), (h >> np.uint64(32)) % np.uint64(FILTER_BITS)]).astype(np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(FILTER_BITS, dtype=bool)
+    for batch in batches:
+        bits[_spots(batch.column("_node").to_numpy())] = True
+    blocks = np.flatnonzero(bits.reshape(-1, FILTER_BLOCK).any(axis=1))
+    yield pa.RecordBatch.from_arrays([
+        pa.array(blocks, pa.int32()), pa.array([np.packbits(bits[b * FILTER_BLOCK:(b + 1) * FILTER_BLOCK]).tobytes() for b in blocks], pa.binary())],
+        names=["_block", "_bits"])
+
+
+def _join_marks(table: pa.Table) -> pa.Table:
+    joined = np.bitwise_or.reduce([np.frombuffer(v, dtype=np.uint8) for v in table.column("_bits").to_pylist()])
+    return pa.table({"_block": table.column("_block").slice(0, 1), "_bits": pa.array([joined.tobytes()], pa.binary())})
+
+
+def _sets(config: NearConfig, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids = batch.column("_id").to_numpy(zero_copy_only=False)
+            spots = _spots(ids).reshape(2, -1)
+            batch = batch.filter(pa.array(bits[spots[0]] & bits[spots[1]]))
             texts = textkit.utf8(batch.column("_text"))
             for a, b in textkit.pieces(texts):
                 sets = textkit.shingle_sets(texts[a:b], config.width)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("_node").slice(a, b - a), pa.array([s.tobytes() for s in sets], pa.binary())], names=["_node", "_set"])
+                    batch.column("_id").slice(a, b - a), pa.array([s.tobytes() for s in sets], pa.binary())], names=["_node", "_set"])
     return run
 
 
+def full_sets(source: DataFrame, nodes: DataFrame, config: NearConfig, workspace: Workspace, name: str) -> DataFrame:
+    """(_node, _set) for the texts of ``nodes``, and of some others that a filter of four megabytes cannot tell from them:
+    the texts need not be shuffled, and the joins that follow ignore the others."""
+    rows = (nodes.select("_node").distinct().mapInArrow(_mark, "_block int, _bits binary")
+            .groupBy("_block").applyInArrow(_join_marks, "_block int, _bits binary").collect())
+    bits = np.zeros(FILTER_BITS, dtype=bool)
+    for row in rows:
+        bits[row["_block"] * FILTER_BLOCK:(row["_block"] + 1) * FILTER_BLOCK] = np.unpackbits(np.frombuffer(row["_bits"], dtype=np.uint8)).astype(bool)
+    kept = source.filter(F.col("_id").isNotNull()).mapInArrow(_sets(config, bits), "_node long, _set binary")
+    return workspace.stage(kept, name)
+
+
 def _hash_sets(column) -> list[np.ndarray]:
     return [np.frombuffer(v, dtype=np.uint64) for v in column.to_pylist()]
 
@@ -283,9 +319,8 @@ def near_groups(docs: DataFrame, workspace: Workspace, config: NearConfig = Near
              .mapInArrow(_collide(config), "_lead long, _node long"))
     stars = workspace.stage(stars, "near-stars")
 
-    wanted = lists.select("_node").distinct()
-    texts = source.join(wanted, source["_id"] == wanted["_node"]).select("_node", "_text")
-    sets = workspace.stage(texts.mapInArrow(_sets(config), "_node long, _set binary"), "near-sets")
+    met = stars.select("_node").union(stars.select("_lead"))
+    sets = full_sets(source, met, config, workspace, "near-star-sets")
 
     # A leader's members are cut into parts of bounded size, each with its own copy of the leader.
     per_leader = stars.groupBy("_lead").agg(F.ceil(F.count(F.lit(1)) / config.block).alias("_parts"))
@@ -312,6 +347,7 @@ def near_groups(docs: DataFrame, workspace: Workspace, config: NearConfig = Near
              .select("_lead", "_i", "_j", "_side", "_node", "_root", "_short"))
     schema = "_lead long, _i long, _j long, _side long, _node long, _root long, _short binary"
     needed = workspace.stage(cells.groupBy("_lead", "_i", "_j").applyInArrow(_needed(config), schema), "near-needed")
+    sets = full_sets(source, needed, config, workspace, "near-block-sets")
     more = (needed.join(sets, "_node").groupBy("_lead", "_i", "_j")
             .applyInArrow(_confirm_block(config), "a long, b long"))
     roots = components(links.union(more), workspace, "near-roots")
