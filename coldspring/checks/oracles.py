@@ -321,10 +321,9 @@ _part("checked", f"""SELECT request_id, concat_ws(',', CASE WHEN model NOT IN ({
 
 # --- buckets ----------------------------------------------------------------------------------------
 
-_HISTORY = "CASE " + " ".join(f"WHEN {{n}} BETWEEN {lo} AND {hi} THEN '{buckets.history_label(lo, hi)}'"
-                              for lo, hi in buckets.HISTORY) + " END"
-_HISTORY_ROWS = ", ".join(f"({i}::BIGINT, '{buckets.history_label(lo, hi)}', {float(lo if hi >= buckets.OPEN_END else (lo + hi) / 2)}::DOUBLE)"
-                          for i, (lo, hi) in enumerate(buckets.HISTORY))
+_HISTORY = "CASE " + " ".join(f"WHEN {{n}} BETWEEN {lo} AND {hi} THEN '{label}'" for lo, hi, label in buckets.HISTORY) + " END"
+_HISTORY_ROWS = ", ".join(f"({i}::BIGINT, '{label}', {float(lo if hi == buckets.OPEN_END else (lo + hi) / 2)}::DOUBLE)"
+                          for i, (lo, hi, label) in enumerate(buckets.HISTORY))
 _part("mainstream", """SELECT user_id, avg(pct) AS mainstream FROM train JOIN pct USING (item_id) GROUP BY 1""")
 _part("warm_adaptive", f"""SELECT user_id, ndcg_10, recall_10, mainstream FROM frame JOIN mainstream USING (user_id)
   WHERE model = '{scorer.ADAPTIVE}' AND n_train >= 5""")
@@ -395,8 +394,7 @@ _part("liked_ranked", """SELECT user_id, item_id, row_number() OVER (PARTITION B
   FROM liked JOIN item_stats USING (item_id) SEMI JOIN worst USING (user_id)""")
 _part("popular_cold", """SELECT item_id, count(*) AS fans_in_test FROM split JOIN cold_ids USING (item_id)
   WHERE NOT in_train AND rating >= 4 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 40""")
-_part("fans", """SELECT item_id, user_id FROM (SELECT item_id, user_id, row_number() OVER (PARTITION BY item_id ORDER BY ts, user_id) AS n
-  FROM split SEMI JOIN popular_cold USING (item_id) WHERE NOT in_train AND rating >= 4) WHERE n <= 200""")
+_part("fans", "SELECT item_id, user_id FROM split SEMI JOIN popular_cold USING (item_id) WHERE NOT in_train AND rating >= 4")
 _part("fan_rate", f"""SELECT f.item_id, avg((l.item_id IS NOT NULL)::INT) AS hit_rate FROM fans f LEFT JOIN
   (SELECT user_id, item_id FROM cold_lists WHERE model = '{scorer.ADAPTIVE}' AND rank <= 10) l
   ON l.user_id = f.user_id AND l.item_id = f.item_id GROUP BY 1""")
@@ -609,7 +607,7 @@ def statements() -> dict[str, str]:
     out["genre_parse"] = """SELECT item_id, len(g) AS n, genre FROM (SELECT p_partkey AS item_id,
         CASE WHEN p_partkey % 9 = 0 THEN [] ELSE [p_type, p_brand] END AS g FROM part)
       LEFT JOIN LATERAL (SELECT unnest(g) AS genre) ON true"""
-    best = ", ".join(f"round({m}, 9) = max(round({m}, 9)) OVER (PARTITION BY slice) AS best_{m}" for m in ("coverage", "novelty"))
+    best = ", ".join(f"round({m}, 9) = max(round({m}, 9)) OVER (PARTITION BY slice) AS best_{m}" for m in ("precision", "recall", "ndcg", "hit", "coverage", "novelty", "diversity"))
     out["best_models"] = f"SELECT slice, model, {best} FROM summary"
     done = {name: with_parts(sql) for name, sql in out.items()}
     done["adaptive_weights"] = _weights_sql("adaptive")

@@ -329,7 +329,9 @@ def robustness_table(lab):
 
 
 def best_models(lab):
-    return metrics.best_per_column(_summary(lab), ["coverage", "novelty"])
+    names = ["precision", "recall", "ndcg", "hit"]
+    rows = _summary(lab).withColumnsRenamed({f"{n}@10": n for n in names})
+    return metrics.best_per_column(rows, [*names, "coverage", "novelty", "diversity"])
 
 
 def geo_mean_objective(lab):
@@ -383,16 +385,16 @@ def case_studies(lab):
 
 
 def hardest_cold_items(lab):
-    rows = analysis.hardest_cold_items(lab.plain, 10)
+    rows = analysis.hardest_cold_items(lab.plain, lab.results, 10)
     return rows.withColumn("nearest_by_content", F.concat_ws(" | ", "nearest_by_content"))
 
 
 def content_ablation(lab):
-    return analysis.content_ablation(lab.plain, 10)
+    return analysis.content_ablation(lab.plain, lab.results, 10)
 
 
 def content_ablation_text(lab):
-    return analysis.content_ablation(lab.full, 10)
+    return analysis.content_ablation(lab.full, lab.full_results, 10)
 
 
 def lsa_embedding(lab):

@@ -35,7 +35,11 @@ class ContentConfig:
     text_weight: float = 0.7
     text_dims: int = 64
     min_df: int = 2
-    svd_passes: int = 5
+    # Text embedding: the subspace is iterated until the residual of every kept direction is below this share of its
+    # weight; more than ``svd_passes`` passes are an error. Further directions speed it up: as many again, at least
+    # ``svd_oversample``.
+    svd_tolerance: float = 1e-7
+    svd_passes: int = 100
     svd_oversample: int = 10
     seed: int = 0
     # None means the English list that ships with Spark ML.

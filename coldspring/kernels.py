@@ -190,43 +190,49 @@ def best_rows(scores: np.ndarray, k: int, digits: int):
     else:
         floor = np.full(n_rows, -np.inf)
     floor = np.where(np.isfinite(floor), floor - slack, -np.finfo(float).max)
-    rows, ranks, places, values = [], [], [], []
-    for row in range(n_rows):
-        near = np.flatnonzero(scores[row] >= floor[row])
-        value = np.round(scores[row, near], digits) + 0.0
-        best = np.argsort(-value, kind="stable")[:k]
-        rows.append(np.full(len(best), row))
-        ranks.append(np.arange(1, len(best) + 1))
-        places.append(near[best])
-        values.append(value[best])
-    if not rows:
-        empty = np.zeros(0, dtype=int)
-        return empty, empty, empty, np.zeros(0)
-    return np.concatenate(rows), np.concatenate(ranks), np.concatenate(places), np.concatenate(values)
-
-
-def diversify(scores: np.ndarray, pct: np.ndarray, vectors: np.ndarray, k: int, lam: float,
-              penalty: float, digits: int) -> list[int]:
-    """Greedy maximal marginal relevance over one user's candidates (best first).
-
-    A pick maximises lam * relevance - (1 - lam) * (highest cosine to the picks so far);
-    equal values go to the earlier candidate.
+    rows, places = np.nonzero(scores >= floor[:, None])
+    values = np.round(scores[rows, places], digits) + 0.0
+    order = np.lexsort((places, -values, rows))
+    rows, places, values = rows[order], places[order], values[order]
+    ranks = np.arange(1, len(rows) + 1) - np.searchsorted(rows, rows)
+    kept = ranks <= k
+    return rows[kept], ranks[kept], places[kept], values[kept]
+
+
+def padded(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flat lists as a grid: (place of each cell in the flat arrays, whether the cell is used)."""
+    width = int(sizes.max()) if len(sizes) else 0
+    used = np.arange(width)[None, :] < sizes[:, None]
+    return np.where(used, starts[:, None] + np.arange(width)[None, :], 0), used
+
+
+def diversified(scores: np.ndarray, pct: np.ndarray, vectors: np.ndarray, used: np.ndarray, k: int, share: float, penalty: float,
+                digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal marginal relevance for many lists at once: (lists x picks) of cell numbers and which of them count.
+
+    ``scores``, ``pct``, ``used``: lists x cells; ``vectors``: lists x cells x dims. Relevance is the score scaled to 0..1 over the
+    list, less ``penalty * pct``; the next pick of a list has the largest share * relevance - (1 - share) * (largest
+    cosine to its picks, at least 0), equal values in cell order.
     """
-    low, high = scores.min(), scores.max()
-    relevance = (scores - low) / (high - low) if high > low else np.ones(len(scores))
-    relevance = relevance - penalty * pct
-    nearest = np.zeros(len(scores))
-    taken: list[int] = []
-    free = np.ones(len(scores), dtype=bool)
-    for _ in range(min(k, len(scores))):
-        value = np.where(free, np.round(lam * relevance - (1 - lam) * nearest, digits), -np.inf)
-        pick = int(np.argmax(value))
-        taken.append(pick)
-        free[pick] = False
-        nearest = np.maximum(nearest, vectors @ vectors[pick])
-    return taken
+    lists, cells = scores.shape
+    least = np.where(used, scores, np.inf).min(axis=1, initial=np.inf)[:, None]
+    most = np.where(used, scores, -np.inf).max(axis=1, initial=-np.inf)[:, None]
+    spread = most > least
+    relevance = np.where(spread, (scores - least) / np.where(spread, most - least, 1.0), 1.0) - penalty * pct
+    open_cells = used.copy()
+    closest = np.zeros((lists, cells))
+    picks = np.zeros((lists, min(k, cells)), dtype=int)
+    counts = np.zeros(picks.shape, dtype=bool)
+    every = np.arange(lists)
+    for step in range(picks.shape[1]):
+        worth = np.where(open_cells, np.round(share * relevance - (1 - share) * closest, digits), -np.inf)
+        picks[:, step] = worth.argmax(axis=1)
+        counts[:, step] = open_cells.any(axis=1)
+        open_cells[every, picks[:, step]] = False
+        np.maximum(closest, np.einsum("lcd,ld->lc", vectors, vectors[every, picks[:, step]]), out=closest)
+    return picks, counts
 
 
 def similarity_before(vectors: np.ndarray) -> np.ndarray:
-    """For each list member the sum of its cosines to the members ranked above it."""
-    return np.tril(vectors @ vectors.T, -1).sum(axis=1)
+    """For each cell of each list (lists x cells x dims) the sum of its cosines to the cells before it."""
+    return np.tril(vectors @ vectors.transpose(0, 2, 1), -1).sum(axis=2)

@@ -67,17 +67,13 @@ def tfidf_table(items: DataFrame, tags: DataFrame | None, n_items: int, cfg: Con
     return tfidf(counts, vocab, hot)
 
 
-# Up to this many terms the Gram matrix of the terms is small enough to factor directly.
-SMALL_VOCABULARY = 1024
-
-
 def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale: ScaleConfig,
-                   workspace: Workspace, small: int = SMALL_VOCABULARY) -> tuple[DataFrame, int]:
+                   workspace: Workspace) -> tuple[DataFrame, int]:
     """(id, vec): uncentred truncated SVD of the TF-IDF rows, as U * Sigma.
 
-    A small vocabulary is factored exactly from its Gram matrix; a larger one by randomised
-    subspace iteration, where each pass multiplies by the sparse matrix or its transpose with
-    a gather, and only (dims + oversample)^2 matrices reach the driver.
+    Found by subspace iteration at every size of the vocabulary: each pass multiplies by the sparse matrix and its
+    transpose with a gather, and only matrices of the width of the subspace reach the driver. The iteration ends when the
+    kept directions have settled; if the subspace has a direction for every term, that is after the first pass.
     """
     weights = workspace.stage(weights, "tfidf")
     counts = workspace.stage(weights.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-sizes")
@@ -92,22 +88,13 @@ def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale:
     limit = row_limit(total, scale)
     hot = hot_keys(counts, "term", "n", limit) if top > limit else None
     cells = spread_join(weights, numbered, "term", hot, "item_id").select("item_id", "term_no", "w")
-    if n_terms <= small:
-        return _exact_embedding(cells, n_items, n_terms, dims, scale, workspace), dims
     return _subspace_embedding(workspace.stage(cells, "tfidf-cells"), total, n_items, n_terms, dims, cfg, scale,
                                workspace), dims
 
 
-def _exact_embedding(cells: DataFrame, n_items: int, n_terms: int, dims: int, scale: ScaleConfig,
-                     workspace: Workspace) -> DataFrame:
-    rows = workspace.stage(gather.densify(cells, "item_id", "term_no", "w", n_terms), "tfidf-rows")
-    values, basis = np.linalg.eigh(gather.gram(rows, "vec", n_terms))
-    return gather.Vectors(rows, n_items, n_terms, scale).times(basis[:, np.argsort(-values)[:dims]]).table   # A V = U Sigma
-
-
 def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: int, dims: int,
                         cfg: ContentConfig, scale: ScaleConfig, workspace: Workspace) -> DataFrame:
-    width = min(n_terms, dims + cfg.svd_oversample)
+    width = min(n_terms, dims + max(dims, cfg.svd_oversample))
     to_items = gather.build_blocks(cells.select(F.col("item_id").alias("target"), F.col("term_no").alias("src"), "w"),
                                    n_cells, scale, workspace, "svd-items")
     to_terms = gather.build_blocks(cells.select(F.col("term_no").alias("target"), F.col("item_id").alias("src"), "w"),
@@ -116,24 +103,31 @@ def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: i
     def settled(df: DataFrame, n: int, name: str) -> gather.Vectors:
         return gather.Vectors(df, n, width, scale).settle(workspace, name)
 
-    def orthonormal(v: gather.Vectors) -> gather.Vectors:
-        """Rows times G^(-1/2), G the Gram matrix (directions without weight become 0)."""
+    def turned(v: gather.Vectors) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the directions of ``v``, largest first, and the matrix that makes them orthonormal (directions
+        without weight become 0)."""
         values, basis = np.linalg.eigh(v.gram())
-        inverse = np.where(values > values.max() * 1e-14, 1.0 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-        return v.times((basis * inverse) @ basis.T)
+        order = np.argsort(-values)
+        values, basis = np.maximum(values[order], 0.0), basis[:, order]
+        return values, basis * np.where(values > values[0] * 1e-14, 1.0 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
 
-    start = settled(numbered_normals(cells, cfg.seed, width), n_terms, "svd-draws")
-    by_item = settled(gather.gather_sum(to_items, start), n_items, "svd-start")
+    by_term = settled(numbered_normals(cells, cfg.seed, width), n_terms, "svd-draws")
+    by_term = by_term.times(turned(by_term)[1])
     for step in range(cfg.svd_passes):
-        by_term = settled(gather.gather_sum(to_terms, orthonormal(by_item)), n_terms, f"svd-terms-{step}")
-        by_item = settled(gather.gather_sum(to_items, orthonormal(by_term)), n_items, f"svd-items-{step}")
-    basis = orthonormal(by_item)
-    by_term = settled(gather.gather_sum(to_terms, basis), n_terms, "svd-right")
-    # by_term is the transpose of B = Q'A, so its Gram matrix is B B'.
-    values, rotation = np.linalg.eigh(by_term.gram())
-    keep = np.argsort(-values)[:dims]
-    out = basis.times(rotation[:, keep] * np.sqrt(np.maximum(values[keep], 0.0)))
-    return out.as_table(workspace, "svd-embedding")
+        # For orthonormal V: A V = U S, with U orthonormal, then A' U. If V is invariant, the lengths of A' U are S again.
+        by_item = settled(gather.gather_sum(to_items, by_term), n_items, f"svd-items-{step}")
+        weight, unit = turned(by_item)
+        basis = by_item.times(unit)
+        by_term = settled(gather.gather_sum(to_terms, basis), n_terms, f"svd-terms-{step}")
+        lengths = np.diag(by_term.gram())
+        kept = weight[:dims] > weight[0] * 1e-14
+        residual = np.sqrt(np.maximum(lengths[:dims][kept] - weight[:dims][kept], 0.0) / weight[:dims][kept])
+        if residual.max(initial=0.0) <= cfg.svd_tolerance or width == n_terms:
+            rotation = np.eye(width)[:, :dims] * np.sqrt(weight[:dims])
+            return basis.times(rotation).as_table(workspace, "svd-embedding")
+        by_term = by_term.times(turned(by_term)[1])
+    raise RuntimeError(f"the text embedding has not settled after {cfg.svd_passes} passes (residual {residual.max():.1e}): raise "
+                       "svd_passes, svd_oversample or svd_tolerance")
 
 
 def numbered_normals(cells: DataFrame, seed: int, width: int) -> DataFrame:

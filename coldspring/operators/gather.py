@@ -219,12 +219,16 @@ def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFra
 def gather_sum(blocks: EdgeBlocks, vectors: Vectors, less: float = 0.0) -> DataFrame:
     """(id, vec): sum of (w - less) * vector(src) per target."""
     def run(edges, ids, matrix) -> pa.Table:
-        targets, sources, weights, _ = edges
+        targets, sources, weights, split = edges
         ids_out, sums = kernels.weighted_sums(targets, sources, weights - less, ids, matrix)
-        return pa.table({"id": pa.array(ids_out, pa.int64()), "vec": kernels.to_list_column(sums)})
+        return pa.table({"id": pa.array(ids_out, pa.int64()), "vec": kernels.to_list_column(sums),
+                         "partial": pa.array(np.isin(ids_out, np.unique(targets[split])))})
 
-    out = _per_block(blocks, vectors, run, "id long, vec array<double>")
-    return _sum_parts(out, vectors.dims) if blocks.has_split else out
+    out = _per_block(blocks, vectors, run, "id long, vec array<double>, partial boolean")
+    if not blocks.has_split:
+        return out.select("id", "vec")
+    out = blocks.workspace.stage(out, f"{blocks.name}-sums")
+    return out.filter(~F.col("partial")).select("id", "vec").unionByName(_sum_parts(out.filter("partial"), vectors.dims))
 
 
 def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
@@ -233,21 +237,26 @@ def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
     room = max(1, (64 * 1024 * 1024) // (8 * dims))
 
     def combine(batches):
-        def flush(sums):
-            return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()),
-                                               kernels.to_list_column(np.array(list(sums.values())))], ["id", "vec"])
-        sums = {}
+        held, rows = [], 0
+
+        def flush():
+            ids, vectors = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            order = np.argsort(ids, kind="stable")
+            unique, starts = np.unique(ids[order], return_index=True)
+            return unique, np.add.reduceat(vectors[order], starts, axis=0)
         for batch in batches:
-            for key, row in zip(batch.column(0).to_pylist(), kernels.to_matrix(batch.column(1), dims)):
-                if key in sums:
-                    sums[key] += row
-                else:
-                    if len(sums) >= room:
-                        yield flush(sums)
-                        sums = {}
-                    sums[key] = row.copy()
-        if sums:
-            yield flush(sums)
+            if batch.num_rows:
+                held.append((batch.column(0).to_numpy(), kernels.to_matrix(batch.column(1), dims)))
+                rows += batch.num_rows
+            if rows >= room:
+                held = [flush()]
+                rows = len(held[0][0])
+                if rows >= room // 2:      # little left to add up here
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), kernels.to_list_column(held[0][1])], ["id", "vec"])
+                    held, rows = [], 0
+        if held:
+            ids, vectors = flush()
+            yield pa.RecordBatch.from_arrays([pa.array(ids), kernels.to_list_column(vectors)], ["id", "vec"])
 
     def add(key, batches):
         total = kernels.to_matrix(batches.column("vec"), dims).sum(axis=0)

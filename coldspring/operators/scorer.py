@@ -156,8 +156,7 @@ def _score_slice(table: pa.Table, items: dict, moments: dict, spec: dict) -> pa.
         elif spec["sharded"]:
             sim = np.zeros(len(rows))
         else:
-            sim = np.concatenate([kernels.similarity_before(items["features"][places[lo:hi]])
-                                  for lo, hi in _runs(rows)] or [np.zeros(0)])
+            sim = _similarities(rows, items["features"][places])
         pieces["model"].append(np.full(len(rows), number, dtype=np.int32))
         for key, value in (("row", rows), ("rank", ranks), ("at", places), ("score", values), ("sim", sim)):
             pieces[key].append(value)
@@ -181,21 +180,38 @@ def _score_slice(table: pa.Table, items: dict, moments: dict, spec: dict) -> pa.
     return pa.table(columns)
 
 
-def _runs(rows: np.ndarray):
-    edges = np.flatnonzero(np.diff(rows, prepend=-1, append=-1)) if len(rows) else []
-    return list(zip(edges[:-1], edges[1:]))
+def _grid(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flat rows that are sorted by list, as a padded grid of lists."""
+    starts = np.flatnonzero(np.diff(rows, prepend=-1)) if len(rows) else np.zeros(0, dtype=int)
+    return kernels.padded(starts, np.diff(np.append(starts, len(rows))))
+
+
+def _similarities(rows: np.ndarray, features: np.ndarray) -> np.ndarray:
+    cells, used = _grid(rows)
+    if not len(rows):
+        return np.zeros(0)
+    return kernels.similarity_before(features[cells] * used[:, :, None])[used]
 
 
 def _diversified(rows, places, values, items, spec):
-    out = [[], [], [], []]
-    for lo, hi in _runs(rows):
-        taken = np.array(kernels.diversify(
-            values[lo:hi], items["pct"][places[lo:hi]], items["features"][places[lo:hi]],
-            spec["k"], spec["mmr_lambda"], spec["penalty"], spec["digits"]), dtype=int)
-        for target, piece in zip(out, (rows[lo:hi][taken], np.arange(1, len(taken) + 1),
-                                       places[lo:hi][taken], values[lo:hi][taken])):
-            target.append(piece)
-    return [np.concatenate(piece) if piece else np.zeros(0, dtype=int) for piece in out]
+    """The re-ranked lists as (rows, ranks, places, values)."""
+    kept, ranks = _picks(rows, values, items["pct"][places], items["features"][places], spec)
+    return rows[kept], ranks, places[kept], values[kept]
+
+
+def _picks(rows: np.ndarray, values: np.ndarray, pct: np.ndarray, features: np.ndarray, spec: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the flat rows the re-ranking keeps, list by list in its order, and their new ranks."""
+    if not len(rows):
+        return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
+    cells, used = _grid(rows)
+    step = max(1, spec["cells"] * 8 // max(cells.shape[1] * max(features.shape[1], 1), 1))
+    kept, ranks = [], []
+    for at in range(0, len(cells), step):
+        c, u = cells[at:at + step], used[at:at + step]
+        picks, counts = kernels.diversified(values[c], pct[c], features[c], u, spec["k"], spec["mmr_lambda"], spec["penalty"], spec["digits"])
+        kept.append(np.take_along_axis(c, picks, axis=1)[counts])
+        ranks.append(np.broadcast_to(np.arange(1, picks.shape[1] + 1), picks.shape)[counts])
+    return np.concatenate(kept), np.concatenate(ranks)
 
 
 def _contributions(model, z, users, items, rows, places, cold_below) -> np.ndarray:
@@ -274,7 +290,11 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
     if mmr_names:
         merged = merged.filter(F.col("rank") <= F.when(F.col("model").isin(mmr_names), cfg.rerank.candidates)
                                .otherwise(k))
-    out = finish_lists(workspace.stage(merged, "merged-lists"), items, spec, mmr_names, schema, cfg)
+    merged = workspace.stage(merged, "merged-lists")
+    if only_hits and not mmr_names:      # nothing is re-ranked, and the vectors are not asked for
+        return merged.filter("hit")
+    depth = k * len(models) + cfg.rerank.candidates * len(mmr_names)
+    out = finish_lists(merged, items, spec, mmr_names, schema, cfg, n_users * depth)
     return out.filter("hit") if only_hits else out
 
 
@@ -305,22 +325,33 @@ def with_marks(users: DataFrame, marks: DataFrame, n_shards: int | None) -> Data
 
 
 def finish_lists(lists: DataFrame, items: DataFrame, spec: dict, mmr_names: list[str], schema: str,
-                 cfg: EngineConfig) -> DataFrame:
-    """Re-rank and measure merged lists: at most ``candidates`` rows per (model, user)."""
+                 cfg: EngineConfig, n_rows: int) -> DataFrame:
+    """Re-rank and measure merged lists: at most ``candidates`` rows per (model, user), ``n_rows`` at most in all."""
     rows = lookup(lists, items.select("item_id", "pct", "features"), "item_id", "user_id", cfg.scale)
     names = [field.split()[0] for field in schema.split(", ")]
+    # Whole users per part, about a shard's size of vectors together.
+    n_parts = max(1, math.ceil(n_rows * 8 * (spec["feature_dims"] + 16) / cfg.scale.shard_bytes))
 
     def finish(table: pa.Table) -> pa.Table:
-        table = table.sort_by("rank")
+        table = table.sort_by([("model", "ascending"), ("user_id", "ascending"), ("rank", "ascending")])
         features = kernels.to_matrix(table.column("features"), spec["feature_dims"])
-        if table.column("model")[0].as_py() in mmr_names:
-            taken = kernels.diversify(
-                table.column("score").to_numpy(), table.column("pct").to_numpy(), features,
-                spec["k"], spec["mmr_lambda"], spec["penalty"], spec["digits"])
-            table, features = table.take(taken), features[taken]
-        done = {name: table.column(name) for name in names}
-        done["rank"] = pa.array(np.arange(1, table.num_rows + 1, dtype=np.int32))
-        done["sim_before"] = pa.array(kernels.similarity_before(features))
+        model, user = table.column("model").to_numpy(zero_copy_only=False), table.column("user_id").to_numpy()
+        new = np.append(True, (model[1:] != model[:-1]) | (user[1:] != user[:-1]))[:len(user)]
+        lists = np.cumsum(new) - 1
+        rank = np.arange(1, len(lists) + 1) - np.searchsorted(lists, lists)
+        kept = np.arange(len(lists))
+        again = np.isin(model, mmr_names)
+        if again.any():
+            at = np.flatnonzero(again)
+            picks, ranks = _picks(lists[at], table.column("score").to_numpy()[at], table.column("pct").to_numpy()[at], features[at], spec)
+            kept = np.concatenate([np.flatnonzero(~again), at[picks]])
+            rank = np.concatenate([rank[~again], ranks])
+        order = np.argsort(lists[kept], kind="stable")
+        kept, rank = kept[order], rank[order]
+        done = {name: table.column(name).take(pa.array(kept)) for name in names}
+        done["rank"] = pa.array(rank.astype(np.int32))
+        done["sim_before"] = pa.array(_similarities(lists[kept], features[kept]))
         return pa.table(done)
 
-    return rows.groupBy("model", "user_id").applyInArrow(finish, schema)
+    return (rows.withColumn("_part", F.pmod(F.xxhash64("user_id"), F.lit(n_parts)))
+            .groupBy("_part").applyInArrow(finish, schema))

@@ -11,7 +11,7 @@ from coldspring.config import AlsConfig, ContentConfig, EngineConfig, SplitConfi
 from coldspring.plans.experiment import Experiment  # noqa: E402
 from coldspring.sources.tables import Dataset  # noqa: E402
 from coldspring.workspace import Workspace, local_session  # noqa: E402
-from tests.data import two_tastes  # noqa: E402
+from tests.data import ring  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,7 +28,7 @@ def workspace(spark):
 
 @pytest.fixture(scope="session")
 def frames(spark):
-    ratings, items, users = two_tastes()
+    ratings, items, users = ring()
     return (spark.createDataFrame(ratings), spark.createDataFrame(items, "item_id long, title string, year int, genres array<string>"),
             spark.createDataFrame(users, "user_id long, gender string, age int, occupation int"))
 

@@ -10,6 +10,7 @@ from coldspring.config import ScaleConfig, SplitConfig
 from coldspring.functions import buckets, text, vectors
 from coldspring.operators import gather, metrics, skew, split, weights
 from coldspring.config import BlendConfig
+from tests import data
 
 
 # --- skew-safe building blocks ---------------------------------------------------
@@ -72,7 +73,7 @@ def made(frames, workspace):
 
 def test_split_keeps_every_row_and_cold_limits(frames, made):
     rows, cold_users, cold_items = made
-    assert len(rows) == 720 and not rows.duplicated(["user_id", "item_id"]).any()
+    assert len(rows) == data.RATINGS and not rows.duplicated(["user_id", "item_id"]).any()
     assert len(cold_users) == 12 and len(cold_items) == 8
     train = rows[rows.in_train]
     assert all(train.user_id.value_counts().get(u, 0) < CFG.cold_below for u in cold_users)
@@ -168,28 +169,32 @@ def lists_of(spark, rows):
     return spark.createDataFrame(rows, "model string, user_id long, rank int, item_id long, n_item long, sim_before double")
 
 
-def test_metrics_by_hand(spark):
-    lists = lists_of(spark, [("m", 1, r, i, 0, 0.0) for r, i in enumerate([5, 1, 9, 3], 1)]
-                     + [("m", 2, r, i, 0, 0.0) for r, i in enumerate([1, 3, 7], 1)])
-    truth = spark.createDataFrame([(u, i) for u in (1, 2, 3) for i in (1, 3, 7)], "user_id long, item_id long")
-    users = spark.createDataFrame([(1, 3, 9), (2, 3, 9), (3, 3, 9)], "user_id long, n_relevant long, n_train long")
-    out = metrics.per_user(metrics.flag_hits(lists, truth), users, ["m"], [1, 3, 4], 4, 10).toPandas().set_index("user_id")
-    assert out.loc[1, "precision@4"] == pytest.approx(2 / 4)
-    assert out.loc[1, "recall@4"] == pytest.approx(2 / 3)
-    dcg, ideal = 1 / np.log2(3) + 1 / np.log2(5), 1 + 1 / np.log2(3) + 1 / np.log2(4)
-    assert out.loc[1, "ndcg@4"] == pytest.approx(dcg / ideal)
-    assert out.loc[1, "hit@1"] == 0 and out.loc[2, "ndcg@3"] == pytest.approx(1.0)
-    assert out.loc[3, "precision@4"] == 0 and out.loc[3, "ndcg@4"] == 0      # no list at all
-
-
-def test_coverage_and_diversity(spark):
-    lists = lists_of(spark, [("m", 1, 1, 0, 1, 0.0), ("m", 1, 2, 1, 1, 0.0), ("m", 2, 1, 1, 1, 0.0), ("m", 2, 2, 2, 1, 0.0)])
-    share = metrics.coverage(lists, 10, 4, F.array(F.lit("all"))).first()
-    assert share.coverage == pytest.approx(0.75)
-    users = spark.createDataFrame([(1, 1, 9), (2, 1, 9)], "user_id long, n_relevant long, n_train long")
-    frame = metrics.per_user(lists.withColumn("hit", F.lit(False)), users, ["m"], [2], 10, 7).toPandas()
-    assert (frame["diversity"] == 1.0).all() and frame["novelty"].iloc[0] == pytest.approx(2.0)
-    assert np.allclose(kernels.similarity_before(np.eye(3)), 0)
+def test_metrics_of_known_lists(spark):
+    """Relevant: 20 and 40 for user 7, five items for user 8, one item for user 9, who has no list."""
+    shown = {7: [10, 20, 30, 40, 50, 60], 8: [1, 2, 3, 4, 5, 6]}
+    lists = lists_of(spark, [("a", u, r, i, 0, 0.0) for u, items in shown.items() for r, i in enumerate(items, 1)])
+    relevant = {7: {20, 40}, 8: {1, 2, 3, 4, 90}, 9: {5}}
+    truth = spark.createDataFrame([(u, i) for u, items in relevant.items() for i in items], "user_id long, item_id long")
+    users = spark.createDataFrame([(u, len(items), 3) for u, items in relevant.items()], "user_id long, n_relevant long, n_train long")
+    out = metrics.per_user(metrics.flag_hits(lists, truth), users, ["a"], [1, 2, 6], 6, 10).toPandas().set_index("user_id")
+    for user, items in relevant.items():
+        for k in (1, 2, 6):
+            hits = [i in items for i in shown.get(user, [])[:k]]
+            gain = sum(1 / math.log2(place + 2) for place, hit in enumerate(hits) if hit)
+            most = sum(1 / math.log2(place + 2) for place in range(min(k, len(items))))
+            got = out.loc[user]
+            assert got[f"precision@{k}"] == pytest.approx(sum(hits) / k) and got[f"recall@{k}"] == pytest.approx(sum(hits) / len(items))
+            assert got[f"hit@{k}"] == float(any(hits)) and got[f"ndcg@{k}"] == pytest.approx(gain / most)
+
+
+def test_catalog_share_and_list_spread(spark):
+    rows = [("a", u, r, 3 * u + r, 2, 0.25 * (r - 1)) for u in (1, 2, 3) for r in (1, 2, 3)]     # items 4..12, none twice
+    lists = lists_of(spark, rows)
+    assert metrics.coverage(lists, 2, 30, F.array(F.lit("all"))).first().coverage == pytest.approx(6 / 30)
+    users = spark.createDataFrame([(u, 1, 9) for u in (1, 2, 3)], "user_id long, n_relevant long, n_train long")
+    frame = metrics.per_user(lists.withColumn("hit", F.lit(False)), users, ["a"], [3], 3, 14).toPandas()
+    # the cosines of a list of three add up to 0 + 0.25 + 0.5 over 3 pairs
+    assert np.allclose(frame["diversity"], 1 - 0.75 / 3)
 
 
 def test_title_parsing(spark):
@@ -220,26 +225,25 @@ def test_buckets(spark):
     assert [r[0] for r in df.select(buckets.lift_percent(F.col("a"), F.col("b"))).collect()] == [20, None]
 
 
-def test_weights_follow_history(spark):
-    df = spark.createDataFrame([(n, 30) for n in (0, 2, 10, 100)] + [(50, 0)], "u long, i long")
+def test_trust_moves_with_both_histories(spark):
+    grid = [(u, i) for u in (0, 1, 4, 5, 60, 900) for i in (0, 3, 5, 250)]
+    df = spark.createDataFrame(grid, "u long, i long")
+    cfg = BlendConfig(k_user=20, k_item=40, k_content=8)
     for mode in ("adaptive", "fixed", "switch"):
-        w = weights.pair_weights(F.col("u"), F.col("i"), BlendConfig(10, 10, 10), mode, 5)
-        rows = df.select("u", "i", *[w[s].alias(s) for s in weights.SIGNALS]).toPandas()
-        assert np.allclose(rows[list(weights.SIGNALS)].sum(axis=1), 1.0)
-        if mode == "adaptive":
-            cf = rows[rows.i == 30].cf.to_numpy()
-            assert cf[0] == 0 and (np.diff(cf) > 0).all() and cf[-1] < 1
-            assert rows.popularity[0] == 1.0
-            fresh = rows[rows.i == 0].iloc[0]
-            assert fresh.cf == 0 and fresh.content > 0.8
-        if mode == "fixed":
-            assert (rows.cf == 0.5).all()
+        w = weights.pair_weights(F.col("u"), F.col("i"), cfg, mode, 5)
+        got = {(r.u, r.i): r for r in df.select("u", "i", *[w[s].alias(s) for s in weights.SIGNALS]).collect()}
+        for (u, i), row in got.items():
+            cf, text_share = u / (u + 20) * i / (i + 40), u / (u + 8)
+            both = u >= 5 and i >= 5
+            want = {"adaptive": (cf, (1 - cf) * text_share, (1 - cf) * (1 - text_share)), "fixed": (0.5, 0.5, 0.0),
+                    "switch": (float(both), float(not both and u > 0), float(not both and u == 0))}[mode]
+            assert (row.cf, row.content, row.popularity) == pytest.approx(want)
 
 
-def test_zscore_of_constant_row_is_zero():
-    z = kernels.standardise(np.array([[1.0, 2, 3], [5, 5, 5]]), np.array([2.0, 5]), np.array([np.sqrt(2 / 3), 0]),
-                            np.array([True, True]))
-    assert z[0].mean() == pytest.approx(0) and z[0].std() == pytest.approx(1) and (z[1] == 0).all()
+def test_standard_scores_use_the_given_moments():
+    raw = np.array([[4.0, 8.0, 6.0, 2.0], [7.0, 7.0, 7.0, 7.0], [0.0, 1.0, 2.0, 9.0]])
+    z = kernels.standardise(raw, raw.mean(axis=1), raw.std(axis=1), np.array([True, True, False]))
+    assert np.allclose(z[0] * raw[0].std() + raw[0].mean(), raw[0]) and not z[1].any() and not z[2].any()
 
 
 def test_vector_expressions(spark):
@@ -253,16 +257,30 @@ def test_best_rows_break_ties_by_position():
     assert list(places[rows == 0]) == [1, 2, 3] and not (rows == 1).any() and list(places[rows == 2]) == [0, 1, 2]
 
 
-def test_diversify_against_plain_loop():
+def test_reranking_of_many_lists_at_once():
     rng = np.random.default_rng(3)
-    scores = np.sort(rng.random(30))[::-1]
-    vecs = rng.normal(size=(30, 5))
-    vecs /= np.linalg.norm(vecs, axis=1)[:, None]
-    pct = rng.random(30)
-    rel = (scores - scores.min()) / (scores.max() - scores.min()) - 0.1 * pct
-    want = []
-    for _ in range(8):
-        best = max((i for i in range(30) if i not in want),
-                   key=lambda i: 0.7 * rel[i] - 0.3 * max([0.0] + [float(vecs[i] @ vecs[j]) for j in want]))
-        want.append(best)
-    assert kernels.diversify(scores, pct, vecs, 8, 0.7, 0.1, 12) == want
+    sizes, cells, picks = [30, 5, 1, 17], 30, 8
+    scores, pct, vecs = rng.random((4, cells)), rng.random((4, cells)), rng.normal(size=(4, cells, 5))
+    vecs /= np.linalg.norm(vecs, axis=2)[:, :, None]
+    used = np.arange(cells)[None, :] < np.array(sizes)[:, None]
+    got, counts = kernels.diversified(scores, pct, vecs, used, picks, 0.7, 0.1, 12)
+    for row, size in enumerate(sizes):
+        s = scores[row, :size]
+        worth = ((s - s.min()) / (s.max() - s.min()) if size > 1 else np.ones(1)) - 0.1 * pct[row, :size]
+        mine = got[row][counts[row]].tolist()
+        assert len(mine) == min(size, picks) and len(set(mine)) == len(mine)
+        for at, pick in enumerate(mine):     # no other free cell is worth more
+            value = [0.7 * worth[c] - 0.3 * max([0.0, *(float(vecs[row, c] @ vecs[row, m]) for m in mine[:at])]) for c in range(size)]
+            assert value[pick] == pytest.approx(max(v for c, v in enumerate(value) if c not in mine[:at]))
+
+
+def test_similarity_before_adds_up_to_all_pairs():
+    v = np.random.default_rng(4).normal(size=(3, 6, 4))
+    got = kernels.similarity_before(v)
+    for row in range(3):
+        assert got[row, 0] == 0 and np.allclose(got[row], [sum(v[row, c] @ v[row, d] for d in range(c)) for c in range(6)])
+
+
+def test_padding_of_flat_lists():
+    cells, used = kernels.padded(np.array([0, 3, 4]), np.array([3, 1, 2]))
+    assert cells[used].tolist() == [0, 1, 2, 3, 4, 5] and used.sum(axis=1).tolist() == [3, 1, 2]

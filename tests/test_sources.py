@@ -1,3 +1,4 @@
+import tempfile
 import json
 
 import pytest
@@ -88,4 +89,4 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_root(Session("spark://host", **shared)) == "hdfs:///shared/checkpoints"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session("spark://host"))
-    assert checkpoint_root(Session("local[2]")).startswith("/tmp/")
+    assert checkpoint_root(Session("local[2]")).startswith(tempfile.gettempdir())
