@@ -66,8 +66,9 @@ class ScaleConfig:
 
     # An ordered or joined group above this many rows is split over tasks.
     rows_per_task: int = 1_000_000
-    # Splitters and hot-key lists that get broadcast stay below this many rows.
-    max_hot_rows: int = 50_000
+    # Splitters and hot-key lists that get broadcast stay below this many rows (some tens of bytes each), so
+    # that the limit above holds up to 2 * 10^12 rows.
+    max_hot_rows: int = 2_000_000
     # Ratings gathered by one vectorised call (factor solve, profile sum): when the vectors
     # are broadcast, and when they are shuffled to the blocks (fewer, larger blocks ask for
     # fewer copies of each vector).

@@ -22,16 +22,8 @@ def norm(vector) -> Column:
     return F.sqrt(F.aggregate(_col(vector), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def scale(vector, factor) -> Column:
-    return F.transform(_col(vector), lambda x: x * factor)
-
-
 def unit(vector) -> Column:
     """Divide by the length; a zero vector stays zero."""
     length = norm(vector)
     return F.when(length > 0, F.transform(_col(vector), lambda x: x / length)).otherwise(_col(vector))
 
-
-def constant(values) -> Column:
-    """A driver-side vector as a literal."""
-    return F.array(*[F.lit(float(v)) for v in values])

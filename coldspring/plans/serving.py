@@ -158,7 +158,7 @@ def validate_requests(experiment: Experiment, requests: DataFrame, ages=tuple(bu
     checked for new users only.
     """
     cfg, stage = experiment.cfg, experiment.workspace.stage
-    requests = stage(requests.withColumn("_user", F.try_to_number(F.trim("user_id"), F.lit("999999999999999999")).cast("long")),
+    requests = stage(requests.withColumn("_user", F.expr("try_cast(trim(user_id) AS bigint)")),
                      "raw-requests")
     known_users = experiment.user_stats.select(F.col("user_id").alias("_user"), F.lit(True).alias("_known"))
     # Only requests with a user id take part in the join, so that no task gets all NULL keys.

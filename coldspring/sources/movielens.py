@@ -33,12 +33,13 @@ def _require(spark: SparkSession, folder: str, names) -> None:
 
 
 def read_dat(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """'::' separated, Latin-1, no header, quotes are ordinary characters."""
-    return spark.read.csv(path, sep="::", encoding="ISO-8859-1", quote="", schema=schema)
+    """'::' separated, Latin-1, no header, quotes are ordinary characters. A row that does not fit the schema is an error."""
+    return spark.read.csv(path, sep="::", encoding="ISO-8859-1", quote="", schema=schema, mode="FAILFAST")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.csv(path, header=True, quote='"', escape='"', schema=schema)
+    """Header and quoted fields. A row that does not fit the schema is an error."""
+    return spark.read.csv(path, header=True, quote='"', escape='"', schema=schema, mode="FAILFAST")
 
 
 def catalog(movies: DataFrame) -> DataFrame:

@@ -40,6 +40,11 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self) -> None:
+        """Remove the tables of this workspace. Frames that read them can no longer be used."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def checkpoint(self, df: DataFrame) -> DataFrame:
         """A reliable checkpoint that keeps the partitioning and order of ``df``, so that later
         groupings on the same key need neither shuffle nor sort. Spark records them only for a

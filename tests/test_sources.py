@@ -1,5 +1,6 @@
-import tempfile
 import json
+import os
+import tempfile
 
 import pytest
 
@@ -90,3 +91,27 @@ def test_checkpoint_folder_comes_from_the_session():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session("spark://host"))
     assert checkpoint_root(Session("local[2]")).startswith(tempfile.gettempdir())
+
+
+def test_rows_that_do_not_fit_are_an_error(spark, tmp_path):
+    write(tmp_path, "movies.csv", "movieId,title,genres\n1,Some (1990),Drama\n")
+    write(tmp_path, "tags.csv", "userId,movieId,tag,timestamp\n")
+    write(tmp_path, "ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.5,964982703\nx,1,bad,9\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        movielens.load_csv(spark, str(tmp_path)).ratings.collect()
+
+
+def test_slice_table(spark):
+    names = ["precision@3", "recall@3", "ndcg@3", "hit@3", "coverage", "novelty", "diversity"]
+    rows = [("warm", "a", 4, *[0.5] * 7), ("cold", "a", 2, *[0.25] * 7), ("cold", "b", 2, *[0.75] * 7)]
+    summary = spark.createDataFrame(rows, ["slice", "model", "users", *names])
+    out = state.slice_table(summary, "cold", 3)
+    assert out.columns == ["model", *names] and sorted(map(tuple, out.collect())) == [("a", *[0.25] * 7), ("b", *[0.75] * 7)]
+
+
+def test_a_closed_workspace_leaves_nothing(spark):
+    workspace = Workspace(spark)
+    workspace.stage(spark.range(5), "some")
+    assert os.path.isdir(workspace.root.removeprefix("file:"))
+    workspace.close()
+    assert not os.path.exists(workspace.root.removeprefix("file:"))
