@@ -22,13 +22,14 @@ class Experiment:
     def __init__(self, dataset: Dataset, cfg: EngineConfig, workspace: Workspace,
                  ratings_with_split: DataFrame | None = None):
         """``ratings_with_split`` (ratings + in_train) replaces the split of this class, for a
-        validation split of training data or for fitting on everything."""
+        validation split of training data or for fitting on everything. It is a written table if the data set is."""
         self.cfg, self.workspace = cfg, workspace
         self.spark: SparkSession = workspace.spark
-        self.dataset = Dataset(dataset.name, workspace.stage(dataset.ratings, "ratings"),
-                               workspace.stage(dataset.items, "items"),
-                               None if dataset.users is None else workspace.stage(dataset.users, "users"),
-                               None if dataset.tags is None else workspace.stage(dataset.tags, "tags"))
+        tables = {name: getattr(dataset, name) for name in ("ratings", "items", "users", "tags")}
+        if not dataset.stored:
+            tables = {name: None if t is None else workspace.stage(t, name) for name, t in tables.items()}
+        self._given_is_stored = dataset.stored
+        self.dataset = Dataset(dataset.name, **tables, stored=True)
         self._given_split = ratings_with_split
 
     # --- split and history --------------------------------------------------
@@ -37,7 +38,8 @@ class Experiment:
     def split(self) -> splitting.Split:
         if self._given_split is not None:
             empty = self.spark.createDataFrame([], "user_id long, keep_n int")
-            return splitting.Split(self.workspace.stage(self._given_split, "split"), empty,
+            given = self._given_split if self._given_is_stored else self.workspace.stage(self._given_split, "split")
+            return splitting.Split(given, empty,
                                    empty.withColumnRenamed("user_id", "item_id"))
         made = splitting.make_split(self.dataset.ratings, self.cfg.split, self.cfg.scale, self.workspace)
         made.ratings = self.workspace.stage(made.ratings, "split")

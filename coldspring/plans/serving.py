@@ -99,30 +99,32 @@ def user_summary(experiment: Experiment) -> DataFrame:
     return out.join(profile, "user_id", "left")
 
 
-def _pairs(column: Column) -> Column:
-    """The distinct two-character pieces of a string."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(column) - 1), lambda i: F.substr(column, i, F.lit(2))))
+def _pieces(column: Column, width: int) -> Column:
+    """The distinct pieces of ``width`` characters of a string (none if it is shorter)."""
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(column) - (width - 1), F.lit(1))), lambda i: i + (width - 1) <= F.length(column))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(column, i, F.lit(width))))
 
 
 def search(experiment: Experiment, queries: DataFrame, rows: int = SEARCH_ROWS) -> DataFrame:
     """(query, rank, item_id, title, n_item): titles that contain the query, most rated first.
 
     ``queries``: distinct ``query`` strings; below two characters they find nothing. A title that
-    contains a query contains all its two-character pieces, so titles and queries meet on the
-    rarest piece of the query instead of every title meeting every query.
+    contains a query contains all its pieces of three characters (two for a query of two), so titles and
+    queries meet on the rarest piece of the query instead of every title meeting every query.
     """
     cfg, stage = experiment.cfg, experiment.workspace.stage
     titles = experiment.dataset.items.select("item_id", "title").filter(F.length("title") >= 2)
-    pieces = stage(titles.select("item_id", "title", F.explode(_pairs(F.lower("title"))).alias("piece")), "title-pieces")
+    lowered = F.lower("title")
+    pieces = stage(titles.select("item_id", "title", F.explode(F.concat(_pieces(lowered, 2), _pieces(lowered, 3))).alias("piece")), "title-pieces")
     sizes = stage(pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n")), "piece-sizes")
     needle = F.lower(F.trim("query"))
     asked = queries.filter(F.length(needle) >= 2)
-    rarest = (asked.select("query", F.explode(_pairs(needle)).alias("piece"))
+    own = F.when(F.length(needle) >= 3, _pieces(needle, 3)).otherwise(_pieces(needle, 2))
+    rarest = (asked.select("query", F.explode(own).alias("piece"))
               .join(sizes, "piece", "left").groupBy("query")
               .agg(F.min_by("piece", F.struct(F.coalesce("n", F.lit(0)), F.col("piece"))).alias("piece")))
-    rarest = rarest.groupBy("piece").agg(F.collect_list("query").alias("queries"))
-    met = (lookup(pieces, rarest, "piece", "item_id", cfg.scale)
-           .select("item_id", "title", F.explode("queries").alias("query"))
+    # Both sides may have many rows of a piece; adaptive execution splits such a join.
+    met = (pieces.join(rarest, "piece").select("item_id", "title", "query")
            .filter(text.contains_text(F.col("title"), F.col("query"))))
     counted = lookup(stage(met, "matches"), experiment.item_stats, "item_id", "query", cfg.scale)
     return first_per_group(counted, ["query"], [F.col("n_item").desc(), F.col("item_id")], rows)

@@ -17,6 +17,9 @@ from coldspring.sources.tables import Dataset
 from coldspring.workspace import Workspace
 
 
+FACTS = "config string, dataset string, feature_dims int, tables array<string>"
+
+
 def save_experiment(experiment: Experiment, path: str) -> str:
     """Write every fitted table under ``path``; an existing folder is an error."""
     e = experiment
@@ -27,24 +30,22 @@ def save_experiment(experiment: Experiment, path: str) -> str:
     for name, table in tables.items():
         if table is not None:
             table.write.parquet(f"{path}/{name}")
-    facts = e.spark.createDataFrame([(e.cfg.to_json(), e.dataset.name, e.features.dims)],
-                                    "config string, dataset string, feature_dims int")
+    written = [name for name, table in tables.items() if table is not None]
+    facts = e.spark.createDataFrame([(e.cfg.to_json(), e.dataset.name, e.features.dims, written)], FACTS)
     facts.coalesce(1).write.json(f"{path}/facts")
     return path
 
 
 def load_experiment(spark: SparkSession, path: str, workspace: Workspace) -> Experiment:
     """The fitted experiment; what is cheap to derive is derived again on first use."""
-    facts = spark.read.schema("config string, dataset string, feature_dims int").json(f"{path}/facts").first()
+    facts = spark.read.schema(FACTS).json(f"{path}/facts").first()
     cfg = EngineConfig.from_json(facts.config)
 
     def read(name):
-        try:
-            return spark.read.parquet(f"{path}/{name}")
-        except AnalysisException:
-            return None
+        """A table that was saved; one that is lost since is an error."""
+        return spark.read.parquet(f"{path}/{name}") if name in facts.tables else None
 
-    e = Experiment(Dataset(facts.dataset, read("ratings"), read("items"), read("users"), read("tags")), cfg, workspace)
+    e = Experiment(Dataset(facts.dataset, read("ratings"), read("items"), read("users"), read("tags"), stored=True), cfg, workspace)
     e.split = splitting.Split(read("split"), read("cold_users"), read("cold_items"))
     e.features = content.ItemFeatures(read("features"), e.sizes["n_items"], facts.feature_dims)
     e.profiles = read("profiles")

@@ -20,6 +20,7 @@ class Dataset:
     items: DataFrame              # item_id, title, year, genres
     users: DataFrame | None       # user_id, gender, age, occupation
     tags: DataFrame | None        # item_id, tag (one row per tag)
+    stored: bool = False          # the frames are plain reads of written tables, so nobody needs to write them again
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -53,6 +53,11 @@ def test_state_round_trip(spark, experiment, tmp_path):
     lists = [sorted(map(tuple, evaluate.ranked(e, users, e.models(), 5, "x").select("model", "user_id", "rank", "item_id").collect()))
              for e in (experiment, again)]
     assert lists[0] == lists[1]
+    written = os.listdir(again.workspace.root.removeprefix("file:"))
+    assert not [name for name in written if name.split("-", 1)[1] in ("ratings", "items", "users", "tags", "split")]      # no copy of the inputs
+    os.rename(f"{path}/users", f"{path}/users-lost")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        state.load_experiment(spark, path, Workspace(spark))
 
 
 def test_config_round_trip():
