@@ -187,8 +187,10 @@ def labelled_nodes(pages: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_extractor(pages: DataFrame, config: ExtractConfig = ExtractConfig(), id_col: str = "page_id", html_col: str = "html") -> boosting.Trees:
     """Trees fitted on pages written from the text of at most ``sample`` rows of ``pages``."""
-    rows = (pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html")).filter("_html is not null")
-            .orderBy(F.xxhash64("_id"), "_id", "_html").limit(config.sample).collect())
+    named = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html")).filter("_id is not null and _html is not null")
+    # Ids first, so that only the pages drawn travel.
+    drawn = named.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(config.sample)
+    rows = sorted(named.join(F.broadcast(drawn), "_id").limit(2 * config.sample).collect(), key=lambda r: (r["_id"], r["_html"]))
     pool = [text for row in rows for node in dom.parse(row["_html"]) for _, text, _ in node.units[:config.sample_units]][:config.sample * config.sample_units]
     pool = [t[:400] for t in pool] or ["text"]
     x, y = labelled_nodes(written_pages(pool, config))
