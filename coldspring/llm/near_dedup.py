@@ -314,8 +314,9 @@ def near_groups(docs: DataFrame, workspace: Workspace, config: NearConfig = Near
     leaders = postings.groupBy("_token").agg(F.min("_node").alias("_lead"), F.max("_node").alias("_last")).filter("_lead != _last")
     lists = workspace.stage(postings.join(leaders.select("_token", "_lead"), "_token").select("_lead", "_node").distinct(), "near-lists")
 
-    stars = (lists.filter("_lead != _node").join(nodes, "_node")
-             .join(nodes.select(F.col("_node").alias("_lead"), F.col("_sig").alias("_lead_sig")), "_lead")
+    # The joins that follow are sort-merge joins at every size, so that small runs tell what large ones need.
+    stars = (lists.filter("_lead != _node").join(nodes.hint("merge"), "_node")
+             .join(nodes.hint("merge").select(F.col("_node").alias("_lead"), F.col("_sig").alias("_lead_sig")), "_lead")
              .mapInArrow(_collide(config), "_lead long, _node long"))
     stars = workspace.stage(stars, "near-stars")
 
@@ -326,7 +327,7 @@ def near_groups(docs: DataFrame, workspace: Workspace, config: NearConfig = Near
     per_leader = stars.groupBy("_lead").agg(F.ceil(F.count(F.lit(1)) / config.block).alias("_parts"))
     members = stars.join(per_leader, "_lead").select("_lead", "_node", F.pmod(F.xxhash64("_node"), "_parts").alias("_part"))
     copies = per_leader.select("_lead", F.col("_lead").alias("_node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"))
-    links = (members.unionByName(copies).join(sets, "_node")
+    links = (members.unionByName(copies).join(sets.hint("merge"), "_node")
              .groupBy("_lead", "_part").applyInArrow(_confirm_star(config), "a long, b long"))
     # Rows that share an id but not their text are one document.
     named = features.filter("_n > 0 and _id is not null").join(classes.select("_key", "_node"), "_key")
@@ -348,7 +349,7 @@ def near_groups(docs: DataFrame, workspace: Workspace, config: NearConfig = Near
     schema = "_lead long, _i long, _j long, _side long, _node long, _root long, _short binary"
     needed = workspace.stage(cells.groupBy("_lead", "_i", "_j").applyInArrow(_needed(config), schema), "near-needed")
     sets = full_sets(source, needed, config, workspace, "near-block-sets")
-    more = (needed.join(sets, "_node").groupBy("_lead", "_i", "_j")
+    more = (needed.join(sets.hint("merge"), "_node").groupBy("_lead", "_i", "_j")
             .applyInArrow(_confirm_block(config), "a long, b long"))
     roots = components(links.union(more), workspace, "near-roots")
 
