@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ from coldspring.llm import textkit
 from coldspring.llm.ordered import partitions
 from coldspring.workspace import Workspace
 
+BLOCK = 1 << 14  # occurrences packed into one value
 LONGEST = 47  # windows of a segment, so that a segment of 50-byte windows has at most 96 bytes
 
 
@@ -38,11 +40,12 @@ LONGEST = 47  # windows of a segment, so that a segment of 50-byte windows has a
 class RepeatConfig:
     length: int = 50                # bytes of a passage that counts as repeated
     gram: int = 16                  # bytes of an anchor
-    bucket_bytes: int = 24 << 20    # text per bucket of passes one, two and four
-    bucket_windows: int = 400_000   # suffixes sorted together
-    flush_bytes: int = 16 << 20     # text a map task looks at before it sends
+    bucket_bytes: int = 8 << 20    # text per bucket of passes one, two and four
+    bucket_windows: int = 100_000   # suffixes sorted together, unless one anchor has more
+    flush_bytes: int = 6 << 20      # text a map task looks at before it sends
     hot_texts: int = 1_000_000      # most entries of the list of much copied texts
-    hot_segments: int = 50_000      # distinct segments of one anchor that are sorted together
+    hot_segments: int = 50_000      # distinct segments of one anchor that are sorted together, at least
+    hot_keys: int = 2_000_000       # most entries of the list of anchors with more
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -60,6 +63,37 @@ def _unpack(blobs: list[bytes], *kinds) -> list[np.ndarray]:
     return [np.concatenate(c) if c else np.empty(0, dtype=k) for c, k in zip(columns, kinds)]
 
 
+def _pack_entries(key: np.ndarray, handle: np.ndarray, at: np.ndarray, windows: np.ndarray) -> bytes:
+    """Entries in few bytes: 6 of the key (a chance match of the rest only costs a look), each handle once with the number of its
+    entries in a row, and integers as planes of bytes, which compress well."""
+    edges = np.flatnonzero(np.append(True, handle[1:] != handle[:-1])) if len(handle) else np.empty(0, dtype=np.int64)
+    runs = np.diff(np.append(edges, len(handle))).astype(np.uint32)
+    planes = [np.ascontiguousarray(v.astype(f"<u{w}").view(np.uint8).reshape(-1, w).T).tobytes() for v, w in ((runs, 4), (at, 4))]
+    return b"".join([struct.pack("<II", len(key), len(edges)), np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes(),
+                     handle[edges].tobytes(), *planes, windows.tobytes()])
+
+
+def _unpack_entries(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(key, handle, first window, windows) of all blobs, end to end."""
+    out: list[list[np.ndarray]] = [[], [], [], []]
+    for blob in blobs:
+        n, m = struct.unpack_from("<II", blob)
+        data, at = np.frombuffer(blob, dtype=np.uint8), 8
+        key = np.zeros((n, 8), dtype=np.uint8)
+        key[:, :6] = data[at:at + 6 * n].reshape(n, 6)
+        at += 6 * n
+        handle = data[at:at + 8 * m].copy().view(np.uint64)
+        at += 8 * m
+        runs = np.ascontiguousarray(data[at:at + 4 * m].reshape(4, m).T).view(np.uint32).ravel()
+        at += 4 * m
+        place = np.ascontiguousarray(data[at:at + 4 * n].reshape(4, n).T).view(np.uint32).ravel()
+        at += 4 * n
+        for column, value in zip(out, (key.view(np.uint64).ravel(), np.repeat(handle, runs), place, data[at:at + n])):
+            column.append(value)
+    kinds = (np.uint64, np.uint64, np.uint32, np.uint8)
+    return tuple(np.concatenate(c) if c else np.empty(0, dtype=k) for c, k in zip(out, kinds))
+
+
 def _handle(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2)[:, 0].copy()
 
@@ -77,9 +111,9 @@ def _distinct_texts(batches: Iterator[pa.RecordBatch], hot: dict[bytes, int], fl
     """(ids, digests, texts) of bounded size, each text once with its smallest id. Of a much copied text only the
     copy with the smallest id is looked at."""
     ids, digests, texts, place, held = [], [], [], {}, 0
-    for batch in batches:
-        numbers = batch.column("_id").to_pylist()
-        for number, text in zip(numbers, textkit.utf8(batch.column("_text"))):
+    parts = (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256))
+    for part in parts:
+        for number, text in zip(part.column("_id").to_pylist(), textkit.utf8(part.column("_text"))):
             if number is None or not text:
                 continue
             digest = hashlib.md5(text).digest()
@@ -152,14 +186,13 @@ def _repeated(key: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return out
 
 
-_ENTRY = (np.uint64, np.uint64, np.uint32, np.uint8)   # key, handle of the text, first window, windows (0: seen in two texts)
-
-
 def _send_anchors(config: RepeatConfig, buckets: int, hot: dict[bytes, int]):
-    """Kind 0: entries by key. Kind 1: entries that are known to repeat, by text."""
+    """Kind 0: entries by key; one without windows says that its key was seen in two texts. Kind 1: entries that are known to
+    repeat, by text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, digests, texts in _distinct_texts(batches, hot, config.flush_bytes):
             key, text, at, windows = anchors(texts, config.length, config.gram)
+            key = key & np.uint64((1 << 48) - 1)
             handle = _handle(digests)[text]
             known = _repeated(key, handle)
             flags = np.unique(key[known])
@@ -168,14 +201,14 @@ def _send_anchors(config: RepeatConfig, buckets: int, hot: dict[bytes, int]):
             keys = np.concatenate([key[free], flags])
             entries = (keys, np.concatenate([handle[free], np.zeros(len(flags), np.uint64)]),
                        np.concatenate([at[free], np.zeros(len(flags), np.uint32)]), np.concatenate([windows[free], np.zeros(len(flags), np.uint8)]))
-            rows += [(b, 0, _pack(*(e[p] for e in entries))) for b, p in _split((textkit.mixed(keys) % np.uint64(buckets)).astype(np.int64))]
+            rows += [(b, 0, _pack_entries(*(e[p] for e in entries))) for b, p in _split((textkit.mixed(keys) % np.uint64(buckets)).astype(np.int64))]
             rows += _by_text(key[known], handle[known], at[known], windows[known], buckets)
             yield _rows(rows)
     return run
 
 
 def _by_text(key, handle, at, windows, buckets: int) -> list[tuple]:
-    return [(b, 1, _pack(key[p], handle[p], at[p], windows[p])) for b, p in _split((handle % np.uint64(buckets)).astype(np.int64))]
+    return [(b, 1, _pack_entries(key[p], handle[p], at[p], windows[p])) for b, p in _split((handle % np.uint64(buckets)).astype(np.int64))]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -186,7 +219,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def _match_anchors(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         kinds, blobs, owners = (table.column(c).to_pylist() for c in ("_kind", "_blob", "_bucket"))
-        key, handle, at, windows = _unpack([b for b, k in zip(blobs, kinds) if k == 0], *_ENTRY)
+        key, handle, at, windows = _unpack_entries([b for b, k in zip(blobs, kinds) if k == 0])
         twice = _repeated(key, handle)
         flagged = key[windows == 0]
         keep = (twice | np.isin(key, flagged)) & (windows > 0)
@@ -227,17 +260,42 @@ def _texts(blobs: list[bytes]) -> tuple[np.ndarray, list[bytes], list[bytes]]:
     return np.array([found[d][0] for d in order], dtype=np.int64), order, [found[d][1] for d in order]
 
 
-_SEGMENTS = "_kind int, _bucket long, _key long, _place int, _low long, _high long, _blob binary"
+def _pack_segments(bucket: int, key: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, segments: list[bytes]) -> bytes:
+    sizes = np.array([len(x) for x in segments], dtype=np.uint8)
+    planes = [np.ascontiguousarray(v.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for v in (key.view(np.int64), low, high - low)]
+    head = struct.pack("<Iq", len(segments), bucket) + b"".join([*planes, place.astype(np.uint32).tobytes(), sizes.tobytes()])
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(segments))
 
 
-def _cut_segments(config: RepeatConfig):
-    """Kind 0: the occurrences of a bucket. Kind 1: its distinct segments with their smallest and largest id."""
+def _unpack_segments(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(bucket, key, place, low, high) and the segments of all blobs, end to end."""
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
+    segments: list[bytes] = []
+    for blob in blobs:
+        data = zstandard.ZstdDecompressor().decompress(blob)
+        n, bucket = struct.unpack_from("<Iq", data)
+        raw, at = np.frombuffer(data, dtype=np.uint8), 12
+        values = []
+        for _ in range(3):
+            values.append(np.ascontiguousarray(raw[at:at + 8 * n].reshape(8, n).T).view(np.int64).ravel())
+            at += 8 * n
+        place = raw[at:at + 4 * n].copy().view(np.uint32)
+        at += 4 * n
+        edges = np.cumsum(raw[at:at + n], dtype=np.int64) + at + n
+        segments += [data[a:b] for a, b in zip([at + n, *edges[:-1].tolist()], edges.tolist())]
+        for column, value in zip(out, (np.full(n, bucket), values[0], place.astype(np.int64), values[1], values[1] + values[2])):
+            column.append(value)
+    return (*(np.concatenate(c) if c else np.empty(0, dtype=np.int64) for c in out), segments)
+
+
+def _cut_segments(config: RepeatConfig, buckets: int):
+    """Kind 0: the occurrences in a bucket of texts. Kind 1: its distinct segments with their smallest and largest id, by anchor."""
     def run(texts: pa.Table, entries: pa.Table) -> pa.Table:
         if not texts.num_rows or not entries.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in _segment_types()})
+            return pa.Table.from_batches([_rows([])])
         bucket = texts.column("_bucket")[0].as_py()
         ids, digests, bodies = _texts(texts.column("_blob").to_pylist())
-        key, handle, at, windows = _unpack(entries.column("_blob").to_pylist(), *_ENTRY)
+        key, handle, at, windows = _unpack_entries(entries.column("_blob").to_pylist())
         handles = _handle(digests)
         by_handle = np.argsort(handles, kind="stable")
         text = by_handle[np.minimum(np.searchsorted(handles[by_handle], handle), len(handles) - 1)]
@@ -245,10 +303,12 @@ def _cut_segments(config: RepeatConfig):
         span = windows.astype(np.int64) + config.length - 1
         fits = (handles[text] == handle) & (at + span <= sizes[text])
         key, text, at, span = key[fits], text[fits], at[fits].astype(np.int64), span[fits]
-        data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
+        if not len(key):
+            return pa.Table.from_batches([_rows([])])
+        joined = b"".join(bodies)
         start = (np.cumsum(sizes) - sizes)[text] + at
-        # Equal segments of equal anchors, by a hash of the whole segment (two 64-bit halves in one key).
-        marks = _segment_hashes(data, start, span)
+        # Equal segments of equal anchors, by a 64-bit hash of the segment.
+        marks = _segment_hashes(np.frombuffer(joined, dtype=np.uint8), start, span)
         order = np.lexsort((span, marks, key))
         k, m, s = key[order], marks[order], span[order]
         new = np.ones(len(k), dtype=bool)
@@ -256,31 +316,44 @@ def _cut_segments(config: RepeatConfig):
         place = np.empty(len(k), dtype=np.int64)
         place[order] = np.cumsum(new) - 1
         heads = np.flatnonzero(new)
-        low = np.minimum.reduceat(ids[text[order]], heads) if len(heads) else ids[:0]
-        high = np.maximum.reduceat(ids[text[order]], heads) if len(heads) else ids[:0]
+        low = np.minimum.reduceat(ids[text[order]], heads)
+        high = np.maximum.reduceat(ids[text[order]], heads)
         first = order[heads]
-        joined = data.tobytes()
-        n = len(first)
-        blobs = [joined[a:a + w] for a, w in zip(start[first].tolist(), span[first].tolist())]
-        head = _pack(text.astype(np.uint32), at.astype(np.uint32), place.astype(np.uint32))
-        return pa.table({
-            "_kind": pa.array([0] + [1] * n, pa.int32()), "_bucket": pa.array([bucket] * (n + 1), pa.int64()),
-            "_key": pa.array(np.append(np.uint64(0), key[first]).view(np.int64)), "_place": pa.array(np.arange(-1, n), pa.int32()),
-            "_low": pa.array(np.append(0, low), pa.int64()), "_high": pa.array(np.append(0, high), pa.int64()),
-            "_blob": pa.array([head, *blobs], pa.binary())})
+        key, begin, end = key[first], start[first], start[first] + span[first]
+        columns = (text.astype(np.uint32), at.astype(np.uint32), place.astype(np.uint32))
+        rows = [(bucket, 0, _pack(*(c[i:i + BLOCK] for c in columns))) for i in range(0, len(text), BLOCK)]
+        for target, part in _split((textkit.mixed(key) % np.uint64(buckets)).astype(np.int64)):
+            segments = [joined[a:b] for a, b in zip(begin[part].tolist(), end[part].tolist())]
+            rows.append((target, 1, _pack_segments(bucket, key[part], part, low[part], high[part], segments)))
+        return pa.Table.from_batches([_rows(rows)])
     return run
 
 
-def _segment_types():
-    return [("_kind", pa.int32()), ("_bucket", pa.int64()), ("_key", pa.int64()), ("_place", pa.int32()),
-            ("_low", pa.int64()), ("_high", pa.int64()), ("_blob", pa.binary())]
+def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            key = _unpack_segments(batch.slice(at, 64).column("_blob").to_pylist())[1]
+            value, count = np.unique(key, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count, pa.int64())], names=["_key", "_n"])
+
+
+def _crowded_rows(hot: np.ndarray):
+    """The segments of crowded anchors as rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                bucket, key, place, low, high, segments = _unpack_segments(batch.slice(at, 64).column("_blob").to_pylist())
+                pick = np.flatnonzero(np.isin(key, hot))
+                yield pa.RecordBatch.from_arrays([pa.array(v[pick]) for v in (bucket, key, place, low, high)] + [pa.array([segments[i] for i in pick], pa.binary())],
+                                                 names=["_bucket", "_key", "_place", "_low", "_high", "_blob"])
+    return run
 
 
 def _segment_hashes(data: np.ndarray, start: np.ndarray, span: np.ndarray) -> np.ndarray:
     """A 64-bit hash of data[start:start + span], computed slice by slice."""
     out = np.empty(len(start), dtype=np.uint64)
     order = np.argsort(start, kind="stable")
-    step = 1 << 21
+    step = textkit.PIECE
     at = 0
     while at < len(order):
         base = int(start[order[at]])
@@ -300,39 +373,33 @@ def suffix_array(segments: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """(segment, offset, rest, prefix) of all suffixes with ``length`` bytes or more, sorted. ``rest`` is the length of a
     suffix, ``prefix`` what it shares with the one before it."""
     sizes = np.array([len(s) for s in segments], dtype=np.int64)
-    wide = LONGEST + length - 1 + 16
     words = -(-(LONGEST + length - 1) // 8)
+    wide = 8 * words + LONGEST + 8   # zeros after each segment, so that no suffix runs into the next
     grid = np.zeros((len(segments), wide), dtype=np.uint8)
     flat = np.frombuffer(b"".join(segments), dtype=np.uint8)
     row = np.repeat(np.arange(len(segments)), sizes)
     grid[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+    line = grid.ravel()
+    eight = np.zeros(len(line), dtype=np.uint64)   # the eight bytes from each place on, as a number that sorts like them
+    for b in range(8):
+        eight[:len(line) - b] |= line[b:].astype(np.uint64) << np.uint64(56 - 8 * b)
     counts = sizes - length + 1
     segment = np.repeat(np.arange(len(segments)), counts)
     offset = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
     rest = sizes[segment] - offset
     base = segment * wide + offset
-    line = grid.ravel()
-    columns = []
-    for w in range(words):
-        value = np.zeros(len(base), dtype=np.uint64)
-        for b in range(8):
-            at = np.minimum(base + 8 * w + b, len(line) - 1)
-            byte = np.where(8 * w + b < rest, line[at], 0).astype(np.uint64)
-            value = (value << np.uint64(8)) | byte
-        columns.append(value)
-    order = np.lexsort((rest, *columns[::-1]))
-    columns = [c[order] for c in columns]
-    segment, offset, rest = segment[order], offset[order], rest[order]
+    order = np.lexsort((rest, *[eight[base + 8 * w] for w in range(words - 1, -1, -1)]))
+    base, segment, offset, rest = base[order], segment[order], offset[order], rest[order]
     prefix = np.zeros(len(order), dtype=np.int64)
-    open_ = np.ones(max(len(order) - 1, 0), dtype=bool)
-    for value in columns:
-        differ = value[1:] ^ value[:-1]
-        # leading equal bytes of a word that differs
-        top = np.zeros(len(differ), dtype=np.int64)
-        for b in range(8):
-            top += (differ >> np.uint64(56 - 8 * b)) == 0
-        prefix[1:] += np.where(open_, top, 0)
-        open_ &= differ == 0
+    same = np.arange(1, len(order))
+    for w in range(words):
+        differ = eight[base[same] + 8 * w] ^ eight[base[same - 1] + 8 * w]
+        prefix[same] += 8
+        unequal = differ != 0
+        at, differ = same[unequal], differ[unequal]
+        for b in range(8):   # bytes of this word from the first difference on
+            prefix[at] -= differ >= np.uint64(1 << 8 * b)
+        same = same[~unequal]
     prefix[1:] = np.minimum(prefix[1:], np.minimum(rest[1:], rest[:-1]))
     return segment, offset, rest, prefix
 
@@ -340,8 +407,8 @@ def suffix_array(segments: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 BORDER, MANY = -1, -2  # what is left of a suffix, besides a byte: the start of its segment, or different bytes
 
 
-def repeat_intervals(segments: list[bytes], low: np.ndarray, high: np.ndarray, length: int) -> list[tuple[int, int, int, int]]:
-    """(segment, start, end, smallest id) for the occurrences of all maximal repeats that have a smaller id on one of their
+def repeat_intervals(segments: list[bytes], low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+    """Rows of (segment, start, end, smallest id) for the occurrences of all maximal repeats that have a smaller id on one of their
     occurrences. ``low`` and ``high``: the smallest and largest id of the texts that hold a segment.
 
     The stack holds the open intervals of the common-prefix tree: depth, first member, smallest and largest id, left byte,
@@ -350,9 +417,9 @@ def repeat_intervals(segments: list[bytes], low: np.ndarray, high: np.ndarray, l
     it brings a smaller id than the deeper one it was told of.
     """
     segment, offset, rest, prefix = suffix_array(segments, length)
-    out: list[tuple[int, int, int, int]] = []
+    out = array("q")   # four numbers for each told member
     if not len(segment):
-        return out
+        return np.empty((0, 4), dtype=np.int64)
     run = np.cumsum(prefix < length)
     heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
     sizes = np.diff(np.append(heads, len(run)))
@@ -366,7 +433,7 @@ def repeat_intervals(segments: list[bytes], low: np.ndarray, high: np.ndarray, l
         part = slice(head, head + size)
         _scan(segment[part].tolist(), offset[part].tolist(), rest[part].tolist(), prefix[part].tolist(), left[part].tolist(),
               lows[part].tolist(), highs[part].tolist(), length, out)
-    return out
+    return np.array(out, dtype=np.int64).reshape(-1, 4)
 
 
 def _scan(segment, offset, rest, prefix, left, low, high, length, out) -> None:
@@ -377,7 +444,7 @@ def _scan(segment, offset, rest, prefix, left, low, high, length, out) -> None:
                 if told is None or told > least:
                     for i in range(a, b):
                         if high[i] > least:
-                            out.append((segment[i], offset[i], offset[i] + depth, least))
+                            out.extend((segment[i], offset[i], offset[i] + depth, least))
             return [(parts[0][0], parts[-1][1], least)]
         return parts
 
@@ -420,52 +487,61 @@ def _scan(segment, offset, rest, prefix, left, low, high, length, out) -> None:
 _TOLD = (np.uint32, np.uint8, np.uint8, np.int64)   # place, start, end, smallest id
 
 
-def _tell(table: pa.Table, found: list[tuple[int, int, int, int]]) -> pa.Table:
+def _tell(bucket: np.ndarray, place: np.ndarray, start: np.ndarray, end: np.ndarray, least: np.ndarray) -> pa.Table:
     """What was found, by the bucket that holds the occurrences."""
-    if not found:
-        return pa.Table.from_batches([_rows([])])
-    row, start, end, least = (np.array(c, dtype=np.int64) for c in zip(*found))
-    bucket, place = table.column("_bucket").to_numpy()[row], table.column("_place").to_numpy()[row]
-    values = (place.astype(np.uint32), start.astype(np.uint8), end.astype(np.uint8), least)
+    values = (place.astype(np.uint32), start.astype(np.uint8), end.astype(np.uint8), least.astype(np.int64))
     return pa.Table.from_batches([_rows([(b, 1, _pack(*(v[p] for v in values))) for b, p in _split(bucket)])])
 
 
-def _sort_suffixes(config: RepeatConfig):
+def _sort_suffixes(config: RepeatConfig, hot: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
-        segments = table.column("_blob").to_pylist()
-        key = table.column("_key").to_numpy()
-        low, high = table.column("_low").to_numpy(), table.column("_high").to_numpy()
-        # The same segment can come from several buckets: one suffix set stands for all of them.
-        place: dict[tuple, int] = {}
-        owner = np.array([place.setdefault((k, s), len(place)) for k, s in zip(key.tolist(), segments)], dtype=np.int64)
-        least, most = np.full(len(place), np.iinfo(np.int64).max), np.full(len(place), np.iinfo(np.int64).min)
-        np.minimum.at(least, owner, low)
-        np.maximum.at(most, owner, high)
-        distinct = [s for _, s in place]
-        keys = np.array([k for k, _ in place], dtype=np.int64)
-        members: list[list[int]] = [[] for _ in distinct]
-        for row, o in enumerate(owner.tolist()):
-            members[o].append(row)
-        found = []
+        bucket, key, place, low, high, segments = _unpack_segments(table.column("_blob").to_pylist())
+        # The same segment can come from several buckets: one stands for all of them.
+        spans = np.array([len(x) for x in segments], dtype=np.int64)
+        marks = _segment_hashes(np.frombuffer(b"".join(segments), dtype=np.uint8), np.cumsum(spans) - spans, spans)
+        order = np.lexsort((spans, marks, key))
+        new = np.ones(len(order), dtype=bool)
+        for column in (key, marks, spans):
+            new[1:] &= column[order][1:] == column[order][:-1]
+        new[1:] = ~new[1:]
+        owner = np.empty(len(order), dtype=np.int64)
+        owner[order] = np.cumsum(new) - 1
+        heads = np.flatnonzero(new)
+        n = len(heads)
+        least = np.minimum.reduceat(low[order], heads) if n else low
+        most = np.maximum.reduceat(high[order], heads) if n else high
+        distinct, keys = [segments[i] for i in order[heads]], key[order[heads]]
+        del segments
+        by_owner = np.argsort(owner, kind="stable")
+        edges = np.searchsorted(owner[by_owner], np.arange(n + 1))
         order = np.argsort(keys, kind="stable")
+        order = order[~np.isin(keys[order], hot)]
+        found = []
         at = 0
         # Whole anchors at a time, about bucket_windows suffixes together.
         sizes = np.cumsum(np.array([len(distinct[i]) - config.length + 1 for i in order], dtype=np.int64))
         while at < len(order):
-            to = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + config.bucket_windows, side="right"))
-            to = max(to, at + 1)
+            to = max(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + config.bucket_windows, side="right")), at + 1)
             while to < len(order) and keys[order[to]] == keys[order[to - 1]]:
                 to += 1
             part = order[at:to]
-            for s, start, end, small in repeat_intervals([distinct[i] for i in part], least[part], most[part], config.length):
-                found += [(row, start, end, small) for row in members[part[s]] if high[row] > small]
+            told = repeat_intervals([distinct[i] for i in part], least[part], most[part], config.length)
+            if len(told):
+                segment, start, end, small = told.T
+                segment = part[segment]
+                count = edges[segment + 1] - edges[segment]
+                item = np.repeat(np.arange(len(segment)), count)
+                row = by_owner[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(edges[segment], count)]
+                use = high[row] > small[item]
+                row, item = row[use], item[use]
+                found.append((bucket[row], place[row], start[item], end[item], small[item]))
             at = to
-        return _tell(table, found)
+        return _tell(*(np.concatenate(c) for c in zip(*found))) if found else pa.Table.from_batches([_rows([])])
     return run
 
 
 def _tell_windows(table: pa.Table) -> pa.Table:
-    return _tell(table, [(i, s, e, m) for i, (s, e, m) in enumerate(zip(*(table.column(c).to_pylist() for c in ("_start", "_end", "_least"))))])
+    return _tell(*(table.column(c).to_numpy() for c in ("_bucket", "_place", "_start", "_end", "_least")))
 
 
 def _remove(config: RepeatConfig, whole: bool):
@@ -537,7 +613,7 @@ def remove_repeats(docs: DataFrame, workspace: Workspace, config: RepeatConfig =
     characters that were cut in half. Rows with equal ids do not remove each other's bytes. Rows with a null id stay whole
     and remove nothing. Only the id and text columns are read; an empty table gives an empty table.
     """
-    spark = docs.sparkSession
+    textkit.small_batches(docs.sparkSession)
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(None).cast("int").alias("_"))
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), others.alias("_row"))
     size = F.octet_length("_text").cast("long")
@@ -551,28 +627,26 @@ def remove_repeats(docs: DataFrame, workspace: Workspace, config: RepeatConfig =
     # At most hot_texts entries, as each stands for more than rows / hot_texts rows.
     often = max(64, math.ceil(rows / config.hot_texts))
     hot = {bytes.fromhex(r["_md5"]): r["_first"] for r in copies.filter((F.col("_copies") > often) & F.col("_first").isNotNull()).select("_md5", "_first").toLocalIterator()}
-    parts = partitions(docs)
-    buckets = max(parts, math.ceil((total or 0) / config.bucket_bytes))
+    buckets = max(partitions(docs), math.ceil((total or 0) / config.bucket_bytes))
 
     packed = "_bucket long, _kind int, _blob binary"
     entries = (source.select("_id", "_text").mapInArrow(_send_anchors(config, buckets, hot), packed)
                .groupBy("_bucket").applyInArrow(_match_anchors(buckets), packed))
     texts = source.select("_id", "_text").mapInArrow(_send_texts(config, buckets, hot), packed)
-    cut = texts.groupBy("_bucket").cogroup(entries.groupBy("_bucket")).applyInArrow(_cut_segments(config), _SEGMENTS)
+    cut = texts.groupBy("_bucket").cogroup(entries.groupBy("_bucket")).applyInArrow(_cut_segments(config, buckets), packed)
     cut = workspace.stage(cut, "repeat-segments")
     segments = cut.filter("_kind = 1")
-    windows = segments.agg(F.sum(F.octet_length("_blob") - (config.length - 1))).first()[0] or 0
-    crowded = segments.groupBy("_key").count().filter(F.col("count") > config.hot_segments).select("_key")
-    parts = max(parts, math.ceil(windows / config.bucket_windows))
-    columns = ["_key", "_bucket", "_place", "_low", "_high", "_blob"]
-    usual = segments.select(*columns)
-    told = None
-    if not crowded.isEmpty():
-        told = (_hot_windows(usual.join(crowded, "_key", "left_semi"), config)
-                .groupBy(F.pmod("_bucket", F.lit(parts)), F.pmod(F.xxhash64("_place"), F.lit(16))).applyInArrow(_tell_windows, packed))
-        usual = usual.join(crowded, "_key", "left_anti")
-    sorted_ = usual.groupBy(F.pmod(F.xxhash64("_key"), F.lit(parts))).applyInArrow(_sort_suffixes(config), packed)
-    told = sorted_ if told is None else sorted_.unionByName(told)
+    counts = segments.select("_blob").mapInArrow(_key_counts, "_key long, _n long").groupBy("_key").agg(F.sum("_n").alias("_n"))
+    counts = workspace.stage(counts.filter(F.col("_n") > min(config.hot_segments, 1000)), "repeat-anchors")
+    # At most hot_keys entries, as each stands for more than all / hot_keys segments.
+    total = segments.select(F.sum(F.octet_length("_blob"))).first()[0] or 0
+    crowd = max(config.hot_segments, math.ceil(total / config.hot_keys))
+    hot = np.sort(np.array([r["_key"] for r in counts.filter(F.col("_n") > crowd).select("_key").toLocalIterator()], dtype=np.int64))
+    told = segments.groupBy("_bucket").applyInArrow(_sort_suffixes(config, hot), packed)
+    if len(hot):
+        rows = segments.select("_blob").mapInArrow(_crowded_rows(hot), "_bucket long, _key long, _place long, _low long, _high long, _blob binary")
+        windows = _hot_windows(rows, config).withColumn("_part", F.pmod(F.xxhash64("_place"), F.lit(16)))
+        told = told.unionByName(windows.groupBy("_bucket", "_part").applyInArrow(_tell_windows, packed))
     told = told.unionByName(cut.filter("_kind = 0").select("_bucket", "_kind", "_blob"))
     schema = "_md5 string, _bytes long, _removed long, _spans long, _sha string" + (", _kept_text string, _edges array<long>" if whole else "")
     results = texts.groupBy("_bucket").cogroup(told.groupBy("_bucket")).applyInArrow(_remove(config, whole), schema)

@@ -7,8 +7,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-PIECE = 1 << 20  # bytes of text looked at together; one longer text is a piece of its own
+# Large buffers go back to the system when they are freed, not to a pool of this process: several workers share one executor.
+pa.set_memory_pool(pa.system_memory_pool())
+
+PIECE = 1 << 19  # bytes of text looked at together; one longer text is a piece of its own
 BASE = np.uint64(0x5851F42D4C957F2D)
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -17,6 +21,15 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long rows: at most 512 of them (Spark's default is 10,000) go to a Python worker at once. The setting
+    is the session's, as Spark reads it when a plan runs; it changes no result."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The texts of an Arrow column as bytes, nulls as empty."""
     return [b"" if value is None else value for value in column.cast(pa.binary()).to_pylist()]
@@ -44,7 +57,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, BASE, dtype=np.uint64), np.full(n, pow(int(BASE), -1, 1 << 64), dtype=np.uint64)
     up[0] = down[0] = 1
@@ -52,7 +65,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << 21
+    size = 1 << 20
     while size < n:
         size *= 2
     return _powers(size)
