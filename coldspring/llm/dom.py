@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -186,6 +187,14 @@ def features(nodes: list[Node]) -> np.ndarray:
             node.marks += child.marks
             node.tags += child.tags
             node.blocks += child.blocks
+    around = {}   # of the children of each node: their number, characters, longest, and how many have each tag
+    spots = [0] * len(nodes)
+    for node in nodes:
+        if node.children:
+            sizes = [c.chars for c in node.children]
+            around[node.order] = len(sizes), sum(sizes), max(sizes), Counter(c.tag for c in node.children)
+            for spot, child in enumerate(node.children):
+                spots[child.order] = spot
     whole = max(nodes[0].chars, 1)
     out = np.zeros((len(nodes), FEATURES))
     before = 0
@@ -208,14 +217,13 @@ def features(nodes: list[Node]) -> np.ndarray:
         at = N_OWN + len(FAMILIES) + 8
         own = sum(len(t) for _, t, _ in node.units)
         chars = max(node.chars, 1)
-        siblings = parent.children if parent else [node]
-        around = [s.chars for s in siblings] if len(siblings) <= 64 else [node.chars]
-        spot = siblings.index(node) if len(siblings) <= 64 else 0
+        siblings, total, longest, tags = around[parent.order] if parent else (1, node.chars, node.chars, {node.tag: 1})
+        below = around[node.order][3]["p"] if node.children else 0
         row[at:at + 22] = (
             np.log1p(node.chars), np.log1p(own), node.linked / chars, node.tags / chars * 50, node.chars / whole, node.words / max(node.blocks, 1) / 20,
-            node.marks / max(node.words, 1), node.depth, len(node.children), node.blocks, len(siblings), spot / max(len(siblings), 1),
-            np.log1p(sum(around) / len(around)), node.chars / max(max(around), 1), sum(s.tag == node.tag for s in siblings[:64]) / min(len(siblings), 64),
-            before / whole, out[parent.order][at + 2] if parent else 0, len(node.tokens), node.chars == 0, sum(c.tag == "p" for c in node.children[:200]),
+            node.marks / max(node.words, 1), node.depth, len(node.children), node.blocks, siblings, spots[i] / siblings,
+            np.log1p(total / siblings), node.chars / max(longest, 1), tags[node.tag] / siblings,
+            before / whole, out[parent.order][at + 2] if parent else 0, len(node.tokens), node.chars == 0, below,
             out[parent.order][at + 4] if parent else 1, parent.chars / whole if parent else 1)
         before += own
     return out

@@ -22,7 +22,7 @@ from coldspring.llm import boosting, dom
 class ExtractConfig:
     sample: int = 300       # pages that give text for training, those with the least hash of their id
     sample_units: int = 40  # pieces of text taken of each
-    layouts: int = 1200     # pages written for training
+    layouts: int = 1200     # pages written for training, some of them with hundreds of blocks
     batch_nodes: int = 20_000
 
 
@@ -84,7 +84,7 @@ class _Writer:
 
     # what stands around and inside it
     def links(self) -> str:
-        return "<ul>" + self.many(lambda: f'<li><a href="/{self.short().split(" ")[0]}">{self.short()}</a></li>', 2, 9) + "</ul>"
+        return "<ul>" + self.many(lambda: f'<li><a href="/{self.short().split(" ")[0]}">{self.short()}</a></li>', 2, 200 if self.chance(0.01) else 9) + "</ul>"
 
     def navigation(self) -> str:
         tag = self.pick(["nav", "nav", "div", "ul"])
@@ -123,7 +123,7 @@ class _Writer:
         each = lambda: f'<{one} class="{name}"><p>{self.text(3)}</p>{self.pick(["", f"<span>{self.short()}</span>"])}</{one}>'
         outer = self.pick(["section", "div", "div", "ul", "aside"])
         return (f'<{outer} {self.pick(["class", "id"])}="{self.pick(sorted(dom.TALK))}">{self.pick(["", f"<h3>{self.short()}</h3>"])}'
-                f'{self.many(each, 1, 5)}{self.form() if self.chance(0.3) else ""}</{outer}>')
+                f'{self.many(each, 1, 150 if self.chance(0.02) else 5)}{self.form() if self.chance(0.3) else ""}</{outer}>')
 
     def head(self) -> str:
         tag = self.pick(["header", "header", "div"])
@@ -138,9 +138,10 @@ class _Writer:
     def page(self) -> str:
         extras = [self.advert, self.notice, self.sidebar, self.form]
         body = f"<h1 data-truth>{self.short() if self.chance(0.5) else self.text(1)}</h1>" if self.chance(0.85) else ""
-        for _ in range(int(self.draw.integers(1, 16))):
+        long = self.chance(0.02)
+        for _ in range(int(self.draw.integers(65, 400) if long else self.draw.integers(1, 16))):
             body += self.paragraph()
-            if self.chance(0.08):
+            if self.chance(0.01 if long else 0.08):
                 body += self.pick([*extras, self.comments])()
         if self.chance(0.25):
             body += self.comments()

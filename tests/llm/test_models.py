@@ -259,6 +259,18 @@ def test_decoding_is_consistent():
         assert value(tuple(dom.decode(nodes, score))) == pytest.approx(best)
 
 
+def test_siblings_count_in_any_number():
+    draw = random.Random(5)
+    for n in (3, 64, 65, 300):
+        parts = [(draw.choice(["p", "p", "h2"]), "x" * draw.randrange(1, 90)) for _ in range(n)]
+        nodes = dom.parse("<div>" + "".join(f"<{t}>{body}</{t}>" for t, body in parts) + "</div>")
+        x = dom.features(nodes)[:, dom.N_OWN + len(dom.FAMILIES) + 8:]
+        sizes, tags = [len(body) for _, body in parts], [t for t, _ in parts]
+        assert x[1, 19] == tags.count("p")
+        for i, row in enumerate(x[2:]):
+            assert row[10:15].tolist() == pytest.approx([n, i / n, np.log1p(sum(sizes) / n), sizes[i] / max(sizes), tags.count(tags[i]) / n])
+
+
 @pytest.fixture(scope="module")
 def extractor():
     pool = ["the quick brown fox", "jumps over, it is.", "Lazy dogs sleep all day.", "und der Hund schläft", "una frase corta"] * 20
@@ -273,6 +285,15 @@ def test_held_out_layouts(extractor):
     assert ((trees.score(x) > 0) == (y > 0)).mean() > 0.99
 
 
+def test_long_articles_are_read_as_short_ones(extractor):
+    pool, trees = extractor
+    for n in (5, 63, 70, 250):
+        blocks = [f"{pool[i % 5]} {pool[(i + 2) % 5]} {i}" for i in range(n)]
+        page = ("<body><nav class=menu><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></nav><article><h1>Title</h1>" + "".join(f"<p>{b}</p>" for b in blocks)
+                + "</article><div class=comments>" + "<div class=comment><p>Nice text, thanks.</p></div>" * n + "</div></body>")
+        assert html_extract.extract(page, trees.score) == "\n".join(["Title", *blocks])
+
+
 def test_extracted_pages(spark, extractor):
     page = ("<html><head><title>t</title></head><body><header class='site-header'><h1>Site</h1></header><nav><ul><li><a href=/a>A</a></li><li><a href=/b>B</a></li></ul></nav>"
             "<div class='cookie-notice'>We use cookies.</div><article><h1>Title</h1><p>First  line,\nof &eacute;.</p><div class='ad'>Buy it.</div><p>Second line of text.</p>"
