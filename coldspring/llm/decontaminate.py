@@ -2,12 +2,13 @@
 
 A test item of m characters may appear with k = floor(share * m) edits. Cut into k + 1 pieces, at least
 one piece survives unchanged, so exact piece hits (one automaton for all pieces) find every place to look
-at. There the bit-parallel edit distance of Myers decides.
+at. There the bit-parallel edit distance of Myers decides. A short item counts only between word boundaries.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,10 +22,23 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class LeakConfig:
     share: float = 0.08          # edits allowed per character of a test item
-    least: int = 32              # shorter items are too short to tell a leak from chance, and are left out
+    least: int = 32              # shorter items must begin and end at word boundaries of the text, to tell a leak from chance
     block_bytes: int = 16 << 20  # test items sent to the tasks at once; more are matched block by block
 
 
+# Letters of scripts that put no space between words, or endings right behind them: a boundary is on either side.
+DENSE = re.compile("[\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1100-\u11ff\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3130-\u318f"
+                   "\u31f0-\u31ff\u3400-\u9fff\ua960-\ua97f\uac00-\ud7ff\uf900-\ufaff\uff66-\uffdc\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
+
+
+def boundary(text: str, at: int) -> bool:
+    """Whether a word may begin or end before character ``at``."""
+    if at <= 0 or at >= len(text):
+        return 0 <= at <= len(text)
+    a, b = text[at - 1], text[at]
+    return not (a.isalnum() and b.isalnum()) or bool(DENSE.match(a) or DENSE.match(b))
+
+
 def normal(text: str) -> str:
     """Lower-cased, with each run of white space as one space."""
     return " ".join(text.lower().split())
@@ -62,15 +76,47 @@ def myers(masks: dict[str, int], size: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def anchored(masks: dict[str, int], size: int, text: str) -> Iterator[int]:
+    """The edit distance of the pattern to each beginning of ``text``, from one character on. As ``myers``, but a later begin costs."""
+    full, top = (1 << size) - 1, 1 << (size - 1)
+    up, down, score = full, 0, size
+    for char in text:
+        same = masks.get(char, 0)
+        vertical = same | down
+        horizontal = (((same & up) + up) ^ up) | same
+        rise = down | (full & ~(horizontal | up))
+        fall = up & horizontal
+        score += 1 if rise & top else -1 if fall & top else 0
+        rise = ((rise << 1) | 1) & full
+        up = ((fall << 1) & full) | (full & ~(vertical | rise))
+        down = rise & vertical
+        yield score
+
+
+def words_distance(masks: dict[str, int], size: int, edits: int, text: str, starts: list[int]) -> int:
+    """Least edit distance of the pattern to a stretch of ``text`` between word boundaries that begins at most ``edits`` from one of
+    ``starts``; ``edits`` + 1 if there is none within the budget."""
+    best = edits + 1
+    for begin in sorted({s + d for s in starts for d in range(-edits, edits + 1)}):
+        if begin < 0 or begin >= len(text) or not boundary(text, begin):
+            continue
+        for end, far in enumerate(anchored(masks, size, text[begin:begin + size + edits]), begin + 1):
+            if far < best and boundary(text, end):
+                best = far
+        if not best:
+            break
+    return best
+
+
 class Matcher:
     """The pieces of some test items as one automaton."""
 
     def __init__(self, items: list[tuple[int, str]], config: LeakConfig):
-        self.items = []
+        self.items, self.least = [], config.least
         places = defaultdict(list)
         for number, text in items:
             text = normal(text or "")
-            if len(text) < max(config.least, 1):
+            if not text:
                 continue
             edits = math.floor(config.share * len(text))
             masks: dict[str, int] = defaultdict(int)
@@ -97,6 +143,11 @@ class Matcher:
         found = []
         for item, starts in spans.items():
             number, wanted, edits, masks = self.items[item]
+            if len(wanted) < self.least:
+                best = words_distance(masks, len(wanted), edits, text, starts)
+                if best <= edits:
+                    found.append((number, best))
+                continue
             if wanted in text:
                 found.append((number, 0))
                 continue
@@ -150,7 +201,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakC
     edits, by characters, after lower-casing and joining white space. ``distance`` is 0 for a verbatim leak, else the least
     edit distance.
 
-    Null and empty texts match nothing; items shorter than ``least`` characters are left out; equal items are reported each.
+    Null and empty texts match nothing; an item shorter than ``least`` characters counts only where it begins and ends at word
+    boundaries, by the same budget of edits; equal items are reported each.
     Rows that share an id are reported each. Only the named columns are read. The test items are the query set: they go to the
     tasks in blocks of at most ``block_bytes``, each block meets all documents.
     """

@@ -88,6 +88,32 @@ def test_leaks_equal_brute_force(spark, block_bytes):
     assert sorted(str((r.doc_id, r.text)) for r in clean.collect()) == sorted(str(r) for r in rows if r[1] not in gone)
 
 
+def test_anchored_is_edit_distance_to_beginnings():
+    draw = random.Random(11)
+    for _ in range(100):
+        pattern, text = ("".join(draw.choice("abc") for _ in range(draw.randrange(1, 32))) for _ in range(2))
+        row, want = list(range(len(pattern) + 1)), []
+        for at, c in enumerate(text, 1):
+            new = [at]
+            for i, p in enumerate(pattern, 1):
+                new.append(min(row[i] + 1, new[-1] + 1, row[i - 1] + (p != c)))
+            row = new
+            want.append(row[-1])
+        masks = {c: sum(1 << i for i, p in enumerate(pattern) if p == c) for c in set(pattern)}
+        assert list(decontaminate.anchored(masks, len(pattern), text)) == want
+
+
+def test_short_items_are_matched_between_word_boundaries(spark):
+    items = [(1, "Who wrote Hamlet?"), (2, "日本の首都はどこですか"), (3, "art"), (4, "2+2"), (5, "largest inland sea is caspian"), (6, " \n"), (7, "東")]
+    texts = {1: "Q: who  wrote\nHamlet? A: Shakespeare", 2: "問題。日本の首都はどこですか東京です", 3: "party cart artful", 4: "modern ART.", 5: "is 2+2 = 4", 6: "is 12+25",
+             7: "the largest inlnd sea is caspain, he said", 8: "who wrote hamlt? none", 9: "nothing", 10: None, 11: "xwho wrote hamlet?", 12: "yxwho wrote hamlet?", 13: "art"}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = docs(spark, list(texts.items()))
+    found = sorted(tuple(r) for r in decontaminate.find_leaks(table, bench).collect())
+    assert found == [(1, 1, 0), (2, 2, 0), (2, 7, 0), (4, 3, 0), (5, 4, 0), (8, 1, 1), (11, 1, 1), (13, 3, 0)]
+    assert {r.doc_id for r in decontaminate.drop_leaks(table, bench).collect()} == {3, 6, 7, 9, 10, 12}
+
+
 def test_leaks_of_nothing(spark):
     rows, items = leak_rows()
     bench = spark.createDataFrame(items, "item_id long, text string")
