@@ -74,6 +74,8 @@ def _count(config: LanguageConfig):
                                                  names=["_lang", "_gram", "_n"])
         for batch in batches:
             for lang, text in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist()):
+                if not text:
+                    continue
                 parts = held.setdefault(lang, [])
                 for at in range(0, len(text), textkit.PIECE):   # an n-gram over the seam of a very long text is left uncounted
                     parts.append(np.unique(gram_codes(text[at:at + textkit.PIECE], config.longest), return_counts=True))

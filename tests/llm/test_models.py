@@ -246,6 +246,14 @@ def test_gram_counts_do_not_depend_on_the_cut(spark):
         language_id.learn_profiles(table, language_id.LanguageConfig(grams=2, most_languages=1))
 
 
+def test_languages_of_empty_texts(spark):
+    rows = [(1, "en", "abc bca"), (2, "xx", ""), (3, "xx", ""), (4, "yy", "12 !"), (5, "de", ""), (6, "de", "cab")]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    for n in (1, 6):
+        assert language_id.learn_profiles(table.repartition(n)).languages == ["de", "en"]
+    assert language_id.learn_profiles(table.filter("lang = 'xx'")).languages == []
+
+
 # html
 
 def simple(page):
