@@ -199,7 +199,7 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
     """One row (conv_id, place, turn, role, rendered) per line of ``lines``, in place order of each conversation from 0.
 
     ``rendered`` is the line of the canonical transcript: a line that opens a turn is led by ``<|role|>`` (and closes the turn
-    before), its own speaker marker is taken off; the last line closes the transcript. A transcript is the rendered lines,
+    before), its own speaker marker is taken off if it names a role of the chain; the last line closes the transcript. A transcript is the rendered lines,
     joined by \\n in order of place.
 
     Lines are ordered by the two order columns, nulls first, ties by text. Null texts are empty lines; lines with a null
@@ -221,11 +221,13 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
         role, opens, shown = [], [], []
         for a, b in _stretches(conv):
             entry, leave = borders.get((int(conv[a]), number), (None, None))
-            state = chain.decode(chain.scores(line_features(texts[a:b], chain.roles)), entry, leave)
-            for s, text in zip(state.tolist(), texts[a:b]):
+            features = line_features(texts[a:b], chain.roles)
+            state = chain.decode(chain.scores(features), entry, leave)
+            # only the name of a role is a marker: "Note: ..." is text
+            for s, marker, text in zip(state.tolist(), features[:, 0].tolist(), texts[a:b]):
                 role.append(chain.roles[s // 3])
                 opens.append(s % 3 == 0)
-                shown.append(MARKER.sub("", text, count=1) if s % 3 == 0 else text)
+                shown.append(MARKER.sub("", text, count=1) if s % 3 == 0 and marker >= 2 else text)
         return pa.table({c: table.column(c) for c in ("_conv", *order, "_range")} |
                         {"_role": pa.array(role, pa.string()), "_opens": pa.array(opens, pa.bool_()), "_shown": pa.array(shown, pa.string())})
     schema = "_conv long, _turn long, _line long, _tie string, _range int, _role string, _opens boolean, _shown string"

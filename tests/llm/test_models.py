@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from coldspring.llm import boosting, chat_format, decontaminate, dom, html_extract, language_id, line_quality, pairwise_quality, textkit
 
@@ -378,6 +379,17 @@ def test_chat_ranges_give_the_same_path(spark, workspace):
     assert right > 0.95 * total
 
 
+def test_chat_keeps_words_that_name_no_role(spark, workspace):
+    chain = chat_format.learn_chain(turns(spark, random.Random(1), [6] * 12))
+    starts = ["Note: see below", "Error: no file", "[Draft] a text", "**Important:** read it", "### Title: x"]
+    rows = [(c, t, text) for c, start in enumerate(starts) for t, text in enumerate([start, "Bot: it is.", "", start, "Human: thanks, is it?"])]
+    lines = spark.createDataFrame(rows, "conv_id long, turn long, text string").withColumn("line", F.lit(0))
+    found = {(r.conv_id, r.place): r.rendered.split("\n") for r in chat_format.parse_transcripts(lines, chain, workspace).collect()}
+    for c, start in enumerate(starts):
+        assert found[c, 0][0].startswith("<|") and found[c, 0][1] == start and start in found[c, 3]
+        assert found[c, 1][-1] == "it is." and found[c, 4][-2] == "thanks, is it?"
+
+
 def test_chat_of_odd_rows(spark, workspace):
     table = turns(spark, random.Random(1), [6] * 12)
     chain = chat_format.learn_chain(table)
