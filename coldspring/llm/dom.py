@@ -43,6 +43,9 @@ _TAG_KIND = {"article": "article", "main": "main", "section": "section", "div":
 _KIND = {name: i for i, name in enumerate(TAGS)}
 
 
+LOOSE = "#text"   # stands for a unit of text directly in the page
+
+
 class Node:
     __slots__ = ("tag", "tokens", "parent", "children", "units", "order", "depth", "chars", "linked", "tags", "words", "marks", "blocks", "place", "truth")
 
@@ -69,7 +72,8 @@ def _tokens(attributes: str) -> tuple[frozenset, bool]:
 
 def parse(page: str) -> list[Node]:
     """The block elements of a page in page order; the first is the root. Text belongs to the innermost open block, cut into
-    units by the blocks in between. Elements that never show text are left out."""
+    units by the blocks in between; each unit directly in the page is a node of its own. Elements that never show text are left
+    out."""
     root = Node("body", frozenset(), None, 0)
     nodes, stack = [root], [root]
     inline: list[str] = []
@@ -83,7 +87,12 @@ def parse(page: str) -> list[Node]:
             text = " ".join(html.unescape("".join(t for t, _ in pending)).split())
             if text:
                 linked = sum(len(" ".join(html.unescape(t).split())) for t, in_link in pending if in_link)
-                stack[-1].units.append((place, text, min(linked, len(text))))
+                holder = stack[-1]
+                if holder is root:
+                    holder = Node(LOOSE, frozenset(), root, len(nodes))
+                    root.children.append(holder)
+                    nodes.append(holder)
+                holder.units.append((place, text, min(linked, len(text))))
                 place += 1
             pending.clear()
 
@@ -168,7 +177,7 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-N_OWN = len(TAGS) + len(FAMILIES) + 1
+N_OWN = len(TAGS) + len(FAMILIES) + 2
 FEATURES = N_OWN + len(FAMILIES) + 8 + 22
 
 
@@ -204,7 +213,8 @@ def features(nodes: list[Node]) -> np.ndarray:
         row[kind] = 1
         for k, family in enumerate(FAMILIES):
             row[len(TAGS) + k] = not family.isdisjoint(node.tokens)
-        row[N_OWN - 1] = "hidden" in node.tokens
+        row[N_OWN - 2] = "hidden" in node.tokens
+        row[N_OWN - 1] = node.tag == LOOSE
         parent = node.parent
         at = N_OWN
         if parent is not None:
@@ -248,6 +258,6 @@ def decode(nodes: list[Node], score: np.ndarray) -> list[bool]:
     return kept
 
 
-def kept_text(nodes: list[Node], kept: list[bool], root_kept: bool) -> str:
-    units = [u for node, yes in zip(nodes, kept) if yes and (node.parent is not None or root_kept) for u in node.units]
+def kept_text(nodes: list[Node], kept: list[bool]) -> str:
+    units = [u for node, yes in zip(nodes, kept) if yes for u in node.units]
     return "\n".join(text for _, text, _ in sorted(units))

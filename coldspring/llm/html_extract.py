@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from coldspring.llm import boosting, dom
 
 
+TRUTH = "\ue0f1"   # in written pages, marks loose text that is part of the article
+
+
 @dataclass(frozen=True)
 class ExtractConfig:
     sample: int = 300       # pages that give text for training, those with the least hash of their id
@@ -27,7 +30,8 @@ class ExtractConfig:
 
 
 class _Writer:
-    """Writes pages in random layouts. What is article text is marked by ``data-truth`` on the elements that hold it."""
+    """Writes pages in random layouts. What is article text is marked by ``data-truth`` on the elements that hold it, and by
+    ``TRUTH`` where no element does."""
 
     def __init__(self, pool: list[str], seed: int):
         self.draw = np.random.default_rng(seed)
@@ -82,7 +86,16 @@ class _Writer:
             return f"<table data-truth>{self.many(row, 1, 4)}</table>"
         return f"<section data-truth>{self.many(lambda: f'<p data-truth>{self.text(4)}</p>', 1, 4)}</section>"
 
+    def loose(self) -> str:
+        inner = self.pick([self.text(6), self.text(3) + "<br>" + self.text(5), f'{self.text(2)} <a href="/x">{self.short()}</a> {self.text(4)}', f"<b>{self.short()}</b> {self.text(4)}"])
+        return TRUTH + inner + self.pick(["<br>", "<br><br>", "<hr>", "\n"])
+
     # what stands around and inside it
+    def stray(self) -> str:
+        """Loose text that is not of the article."""
+        return self.pick([f'<a href="#x">{self.short()}</a>', self.short(), f"&copy; {self.short()} {self.text(1)}",
+                          self.many(lambda: f'<a href="/y">{self.short()}</a> {self.pick(["|", "&gt;", ""])} ', 2, 8)]) + "<hr>"
+
     def links(self) -> str:
         return "<ul>" + self.many(lambda: f'<li><a href="/{self.short().split(" ")[0]}">{self.short()}</a></li>', 2, 200 if self.chance(0.01) else 9) + "</ul>"
 
@@ -139,19 +152,25 @@ class _Writer:
         extras = [self.advert, self.notice, self.sidebar, self.form]
         body = f"<h1 data-truth>{self.short() if self.chance(0.5) else self.text(1)}</h1>" if self.chance(0.85) else ""
         long = self.chance(0.02)
+        # some articles stand in the page itself, and some elements of articles end too early: text is loose there
+        bare = self.pick([0.1, 0.4, 0.8]) if self.chance(0.12) else 0
+        early = "" if not bare or self.chance(0.6) else self.many(self.paragraph, 1, 5)
         for _ in range(int(self.draw.integers(65, 400) if long else self.draw.integers(1, 16))):
-            body += self.paragraph()
+            body += self.loose() if bare and self.chance(bare) else self.paragraph()
             if self.chance(0.01 if long else 0.08):
                 body += self.pick([*extras, self.comments])()
         if self.chance(0.25):
             body += self.comments()
         if self.chance(0.1):
             body += self.foot()
-        if self.chance(0.1):
+        if self.chance(0.1) and not bare:
             body = f"<header data-truth>{body[:body.find('</h1>') + 5]}</header>{body[body.find('</h1>') + 5:]}" if "</h1>" in body else body
         style = self.draw.random()
         names = ["content", "post", "entry-content", "story", "article-body", "main-content", "text", "post-body"]
-        if style < 0.55:
+        if bare:
+            head, inner = (body[:body.find("</h1>") + 5], body[body.find("</h1>") + 5:]) if "</h1>" in body else ("", body)
+            body = f"<article data-truth>{head}{early}</article>{inner}" if early else body
+        elif style < 0.55:
             body = f"<article{self.attributes(names) if self.chance(0.4) else ''} data-truth>{body}</article>"
         elif style < 0.75:
             body = f'<div {self.pick(["class", "id"])}="{self.pick(names)}" data-truth>{body}</div>'
@@ -159,10 +178,14 @@ class _Writer:
             body = f"<main{self.attributes(names)} data-truth>{body}</main>"
         else:
             body = f"<div data-truth>{body}</div>"
-        if self.chance(0.25):
+        if self.chance(0.25) and not bare:
             body = f'<div{self.attributes(["page", "container", "wrapper", "row"])} data-truth>{self.pick(["", self.navigation()])}{body}{self.sidebar() if self.chance(0.5) else ""}</div>'
         before = "".join(f() for f, share in ((self.head, 0.5), (self.navigation, 0.7), (self.notice, 0.3), (self.advert, 0.45)) if self.chance(share))
         after = "".join(f() for f, share in ((self.comments, 0.3), (self.sidebar, 0.4), (self.advert, 0.25), (self.form, 0.2), (self.notice, 0.2), (self.foot, 0.8)) if self.chance(share))
+        if self.chance(0.15):
+            before = self.stray() + before
+        if self.chance(0.15):
+            after = f"<hr>{self.stray()}{after}" if self.chance(0.5) else f"{after}<hr>{self.stray()}"
         page = f"<!DOCTYPE html><html><head><title>{self.short()}</title></head><body>{before}{body}{after}</body></html>"
         return page[:int(len(page) * self.draw.uniform(0.5, 1))] if self.chance(0.08) else page
 
@@ -179,7 +202,8 @@ def labelled_nodes(pages: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # the mark must not be seen by the features, so it travels in a word of its own
         nodes = dom.parse(page.replace(" data-truth", ' role="zztruthzz"'))
         for node in nodes:
-            node.truth = "zztruthzz" in node.tokens
+            node.truth = "zztruthzz" in node.tokens or any(TRUTH in text for _, text, _ in node.units)
+            node.units = [(place, text.replace(TRUTH, ""), linked) for place, text, linked in node.units]
             node.tokens = frozenset(t for t in node.tokens if "zztruthzz" not in t)
         rows.append(dom.features(nodes)[1:])
         truth += [node.truth for node in nodes[1:]]
@@ -193,7 +217,7 @@ def fit_extractor(pages: DataFrame, config: ExtractConfig = ExtractConfig(), id_
     drawn = named.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(config.sample)
     rows = sorted(named.join(F.broadcast(drawn), "_id").limit(2 * config.sample).collect(), key=lambda r: (r["_id"], r["_html"]))
     pool = [text for row in rows for node in dom.parse(row["_html"]) for _, text, _ in node.units[:config.sample_units]][:config.sample * config.sample_units]
-    pool = [t[:400] for t in pool] or ["text"]
+    pool = [t[:400].replace(TRUTH, " ") for t in pool] or ["text"]
     x, y = labelled_nodes(written_pages(pool, config))
     return boosting.fit(x, y)
 
@@ -209,15 +233,11 @@ def extract_all(pages: list[str | None], score) -> list[str]:
     scores = score(np.concatenate(rows)) if rows else np.empty(0)
     out, at = [], 0
     for nodes in trees:
-        if len(nodes) <= 1:
-            # text without any block element: there is nothing else to choose from
-            out.append(dom.kept_text(nodes, [True] * len(nodes), True))
-            continue
-        own = np.append(0.0, scores[at:at + len(nodes) - 1])
-        at += len(nodes) - 1
-        kept = dom.decode(nodes, own)
-        # loose text of the page itself is article text only if no element holds any
-        out.append(dom.kept_text(nodes, kept, not any(k and n.units for n, k in zip(nodes[1:], kept[1:]))))
+        own = np.append(0.0, scores[at:at + max(len(nodes) - 1, 0)])
+        at += max(len(nodes) - 1, 0)
+        # text without any block element: there is nothing else to choose from
+        bare = all(n.tag == dom.LOOSE for n in nodes[1:])
+        out.append(dom.kept_text(nodes, [True] * len(nodes) if bare else dom.decode(nodes, own)))
     return out
 
 

@@ -329,6 +329,17 @@ def test_long_articles_are_read_as_short_ones(extractor):
         assert html_extract.extract(page, trees.score) == "\n".join(["Title", *blocks])
 
 
+def test_text_directly_in_the_page(extractor):
+    pool, trees = extractor
+    long, more = " ".join(pool[:5] * 3), " ".join(pool[2:5] * 4)
+    rest = "<div class='sidebar'><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></div><footer class='site-footer'><p>&copy; Us</p></footer></body>"
+    assert html_extract.extract(f"<body><h1>Title</h1>{long}<br>{more}{rest}", trees.score) == f"Title\n{long} {more}"
+    early = f"<body><article><h1>Title</h1><p>{long}</p></article>{more}<p>{long}</p>{more}{rest}"
+    assert html_extract.extract(early, trees.score) == "\n".join(["Title", long, more, long, more])
+    stray = f"<body><a href=#c>Skip</a><hr><article><h1>Title</h1><p>{long}</p><p>{more}</p></article>{rest}"
+    assert html_extract.extract(stray, trees.score) == "\n".join(["Title", long, more])
+
+
 def test_extracted_pages(spark, extractor):
     page = ("<html><head><title>t</title></head><body><header class='site-header'><h1>Site</h1></header><nav><ul><li><a href=/a>A</a></li><li><a href=/b>B</a></li></ul></nav>"
             "<div class='cookie-notice'>We use cookies.</div><article><h1>Title</h1><p>First  line,\nof &eacute;.</p><div class='ad'>Buy it.</div><p>Second line of text.</p>"
