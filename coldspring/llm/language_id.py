@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ def _letters() -> np.ndarray:
 
 
 _IS_LETTER = None
+_NO_LETTER = re.compile(r"[\W\d_]")
 
 
 def gram_codes(text: str, longest: int) -> np.ndarray:
@@ -62,6 +64,17 @@ def ranked(codes: np.ndarray, grams: int) -> np.ndarray:
     return value[np.argsort(-count, kind="stable")][:grams]
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of ``textkit.PIECE`` characters or more, cut where a word ends, so that their n-grams are those of the text.
+    Lower-cased first, as that looks beyond a cut."""
+    text, at = text.lower(), 0
+    while at < len(text):
+        seam = _NO_LETTER.search(text, at + textkit.PIECE)
+        end = seam.start() if seam else len(text)
+        yield text[at:end]
+        at = end
+
+
 def _count(config: LanguageConfig):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -77,8 +90,8 @@ def _count(config: LanguageConfig):
                 if not text:
                     continue
                 parts = held.setdefault(lang, [])
-                for at in range(0, len(text), textkit.PIECE):   # an n-gram over the seam of a very long text is left uncounted
-                    parts.append(np.unique(gram_codes(text[at:at + textkit.PIECE], config.longest), return_counts=True))
+                for piece in _pieces(text):
+                    parts.append(np.unique(gram_codes(piece, config.longest), return_counts=True))
                 if len(parts) >= 200:
                     held[lang] = [_joined(parts)]
                     size = sum(len(p[0]) for ps in held.values() for p in ps)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +256,15 @@ def test_languages_of_empty_texts(spark):
     assert language_id.learn_profiles(table.filter("lang = 'xx'")).languages == []
 
 
+def test_long_texts_are_counted_whole():
+    config = language_id.LanguageConfig()
+    for text in ("abcdefg " * 200_000, "x" * textkit.PIECE + "yz, ab" * 9, "ab1ΑΣ.Α" * 150_000, "q" * (2 * textkit.PIECE + 5)):
+        batch = pa.RecordBatch.from_pydict({"_lang": ["en"], "_text": [text]})
+        found = next(language_id._count(config)(iter([batch])))
+        value, count = np.unique(language_id.gram_codes(text, config.longest), return_counts=True)
+        assert dict(zip(found.column("_gram").to_pylist(), found.column("_n").to_pylist())) == dict(zip(value.view(np.int64).tolist(), count.tolist()))
+
+
 # html
 
 def simple(page):
