@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldspring.llm import chat_format, decontaminate, html_extract, language_id, line_quality, mixing, near_dedup, pairwise_quality, suffix_dedup, url_filter
+from coldspring.llm import (bpe, chat_format, decontaminate, html_extract, language_id, line_quality, mixing, near_dedup, pairwise_quality, run_detection,
+                            suffix_dedup, url_filter, whitening)
 from coldspring.workspace import Workspace
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -75,6 +76,45 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages"), rules, Workspace(spark))
 
 
+def repeating_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, by the crc32 of its id, the words from some place on repeat a stretch of
+    their own. Rows without an id keep their text."""
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(draw % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    drawn = docs.select("doc_id", "text", words.alias("_words"), ((draw - draw % 10) / 10).cast("long").alias("_g"))
+    placed = drawn.withColumn("_n", F.size("_words")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    rest = F.col("_n") - F.col("_a")
+    period = (1 + F.floor(rest / (3 + F.col("_g") % 8))).cast("int")
+    sized = placed.withColumn("_p", period)
+    again = F.flatten(F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), F.ceil(rest / F.col("_p")).cast("int")))
+    text = F.array_join(F.slice(F.concat(F.slice("_words", F.lit(1), F.col("_a")), again), F.lit(1), F.col("_n")), " ")
+    return sized.select("doc_id", F.when(F.col("_a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = run_detection.periodic_runs(repeating_texts(_table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("fine"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("_best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.back")).alias("start"), F.col("_best.length").alias("length"),
+        (-F.col("_best.fine")).alias("period"), F.expr("(1000 * _best.length) div (-_best.fine)").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    merges = bpe.read_merges(public_tokenizers.path("word_bpe_49k.json"))
+    found = bpe.encode(_table(spark, folder, "documents"), merges)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors, Workspace(spark)))
+
+
 _OP9_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -123,7 +163,8 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)
 """
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_html_extract, op4_language_id, op5_pairwise_quality, op6_chat_format, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter)}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_html_extract, op4_language_id, op5_pairwise_quality, op6_chat_format, op7_line_quality, op8_decontaminate, op9_mixing, op10_url_filter,
+                                                                                  op11_periodic_runs, op12_bpe_codec, op13_whitening)}
 _SQL = {"op9_mixing": _OP9_SQL, "op10_url_filter": _OP10_SQL}
 
 
