@@ -271,6 +271,15 @@ for _step in range(1, 11):
       FROM m{_step - 1} m LEFT JOIN p{_step} p USING (user_id)
       LEFT JOIN cos_pairs ON a = m.item_id AND b = p.item_id""")
 
+# --- a model from outside: distance of prices, bare and with at most two items of a decade --------
+
+_part("taste", "SELECT user_id, avg(ln(p_retailprice::DOUBLE)) AS taste FROM train JOIN part ON p_partkey = item_id GROUP BY 1")
+_part("price_lists", """SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS place FROM (
+  SELECT user_id, item_id, year // 10 * 10 AS decade, round(-abs(taste - ln(p_retailprice::DOUBLE)) / ln(2.0::DOUBLE), 9) + 0.0 AS score
+  FROM taste SEMI JOIN eval_users USING (user_id) CROSS JOIN items JOIN part ON p_partkey = item_id ANTI JOIN train USING (user_id, item_id))""")
+_part("price_mixed", """SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY place) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, decade ORDER BY place) AS nth FROM price_lists WHERE place <= 50) WHERE nth <= 2""")
+
 # --- people outside the training data ---------------------------------------------------------
 
 _part("new_pairs", """SELECT l_suppkey::BIGINT AS request_id, l_partkey AS item_id,
@@ -595,6 +604,11 @@ def statements() -> dict[str, str]:
     out["hardest_cold_items"] = f"""SELECT item_id, shown AS title, array_to_string(genres, ', ') AS genres, n_item AS train_ratings,
         fans_in_test, {_r('hit_rate')} AS hit_rate, near AS nearest_by_content FROM hardest JOIN shown USING (item_id)
       JOIN items USING (item_id) JOIN item_stats USING (item_id) JOIN nearest USING (item_id)"""
+    out["custom_scorer_topk"] = f"""SELECT model, user_id, rank, item_id, score, l.user_id IS NOT NULL AS hit FROM (
+        SELECT 'Price' AS model, user_id, place AS rank, item_id, score FROM price_lists WHERE place <= 10
+        UNION ALL SELECT 'Price, two per decade', user_id, place, item_id, score FROM price_mixed WHERE place <= 10
+        UNION ALL SELECT model, user_id, rank, item_id, score FROM lists WHERE model = '{scorer.POPULARITY}' AND rank <= 10) b
+      LEFT JOIN liked l USING (user_id, item_id)"""
     titles = r"""SELECT p_partkey AS item_id, CASE p_partkey % 6 WHEN 0 THEN nm || ', The' || yr WHEN 1 THEN '  ' || nm || yr
         WHEN 2 THEN nm || ', A' WHEN 3 THEN nm || ', An (also, The)' || yr WHEN 4 THEN nm || ' (alias)' || yr || '  '
         ELSE nm END AS raw FROM (SELECT p_partkey, ' (' || (1950 + p_size) || ')' AS yr, array_to_string(

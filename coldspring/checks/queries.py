@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldspring.config import AlsConfig, ContentConfig, EngineConfig
 from coldspring.functions import buckets, text
-from coldspring.operators import als, content, gather, interactions, metrics, popularity, scorer, weights
+from coldspring.operators import als, content, gather, interactions, metrics, popularity, protocol, scorer, weights
 from coldspring.operators import split as splitting
 from coldspring.operators.skew import spread_join
 from coldspring.plans import analysis, evaluate, serving, tune
@@ -287,6 +288,42 @@ def hybrid_explain(lab):
     return lists.select("user_id", "rank", "item_id", "score", "hit", *scorer.PARTS)
 
 
+def price_distance(users: dict, items: dict, shared: float) -> np.ndarray:
+    """Score of a model from outside: how near the price is to what the user pays, in steps of a factor ``shared``."""
+    return -np.abs(users["taste"][:, None] - items["price"][None, :]) / np.log(shared)
+
+
+def price_bound(users: dict, items: dict, shared: float) -> np.ndarray:
+    low, high = items["price"].min(), items["price"].max()
+    return -np.maximum(np.maximum(low - users["taste"], users["taste"] - high), 0) / np.log(shared)
+
+
+def two_per_decade(lists: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Re-ranker from outside: rank order, but no third item of a decade."""
+    decade, used = lists["decade"], lists["used"]
+    earlier = np.tril(decade[:, :, None] == decade[:, None, :], -1).sum(axis=2)
+    allowed = used & (earlier < 2)
+    picks = np.argsort(~allowed, axis=1, kind="stable")[:, :k]
+    return picks, np.take_along_axis(allowed, picks, axis=1)
+
+
+def own_models(lab) -> dict[str, dict]:
+    """A model from outside the library (with columns of its own for users and items), bare and re-ranked."""
+    e = lab.plain
+    prices = table(lab.spark, lab.folder, "part").select(
+        F.col("p_partkey").cast("long").alias("item_id"), F.log(F.col("p_retailprice").cast("double")).alias("price"),
+        text.decade(F.lit(1950) + F.col("p_size")).cast("double").alias("decade"))
+    paid = spread_join(e.train_pairs, prices, "item_id", e.hot_items, "user_id")
+    own = protocol.OwnModel(price_distance, paid.groupBy("user_id").agg(F.avg("price").alias("taste")), prices, 2.0, price_bound)
+    return {scorer.POPULARITY: {"signal": "popularity"}, "Price": {"own": own},
+            "Price, two per decade": {"own": own, "rerank": protocol.Reranker(two_per_decade, 50)}}
+
+
+def custom_scorer_topk(lab):
+    lists = evaluate.ranked(lab.plain, lab.results.users, own_models(lab), 10, "own-lists")
+    return lists.select("model", "user_id", "rank", "item_id", "score", "hit")
+
+
 # --- metrics ---------------------------------------------------------------------
 
 def ranking_metrics(lab):
@@ -484,7 +521,7 @@ _NAMED = [interactions_collapse, drop_orphan_ratings, cold_pick_users, cold_pick
           interaction_stats, sample_users, truth_relevant, validation_split, title_year_split, genre_parse,
           history_buckets, display_titles, popularity_global, popularity_segment, popularity_percentile, head_tail_items,
           item_feature_blocks, tfidf_titles, user_profiles, similar_items, als_rank1_factors, als_rank1_fold_in,
-          als_gram, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain,
+          als_gram, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain, custom_scorer_topk,
           ranking_metrics, hit_flags, beyond_accuracy, slice_metrics, cold_item_slice, robustness_table, best_models,
           geo_mean_objective, model_lift, dataset_facts, ndcg_by_history, weights_by_history, mainstream_quintiles,
           popularity_bias, genre_recall, cold_user_rating_bands, case_studies, hardest_cold_items, content_ablation, content_ablation_text,

@@ -136,6 +136,28 @@ def raw_signals(users: dict, items: dict, wanted: set) -> dict:
     return out
 
 
+def shard_tops(items: dict) -> dict:
+    """What bounds the scores of a block of items: largest norms and values, and the ends of their history."""
+    norm = lambda m: float(np.sqrt(np.einsum("ij,ij->i", m, m).max(initial=0.0)))
+    return {"cf": norm(items["factors"]), "content": norm(items["features"]), "tie_break": float(items["tie_break"].max(initial=0.0)),
+            "popularity": items["popularity"].max(axis=1), "n_item": np.array([items["n_item"].min(), items["n_item"].max()])}
+
+
+def signal_bounds(users: dict, tops: dict, wanted: set) -> dict:
+    """Per user the most a signal can be for any item of the block; a little more, for rounding."""
+    out, more = {}, 1.0 + 1e-9
+    if "cf" in wanted:
+        out["cf"] = np.linalg.norm(users["factors"], axis=1) * tops["cf"] * more
+    if "content" in wanted:
+        length = np.linalg.norm(users["profile"], axis=1)
+        out["content"] = (length * tops["content"] + (length > 0) * tops["tie_break"]) * more
+    if "demographic" in wanted:
+        out["demographic"] = tops["popularity"][users["segment"]]
+    if "popularity" in wanted:
+        out["popularity"] = np.full(len(users["user_id"]), tops["popularity"][-1])
+    return out
+
+
 def row_moments(users: dict, moments: dict, wanted: set) -> dict:
     """Per user (mean, std, known) of each signal over the whole catalog, from the mean and
     covariance of the item vectors; no second pass over the scores is needed."""

@@ -4,9 +4,12 @@ The user x item matrix never leaves a task: a batch of users is scored against t
 with NumPy, seen items are masked, and only k rows per (model, user) come out.
 
 Two plans, chosen by the measured size of the catalog:
-* it fits ``broadcast_bytes``: one map over the users, no shuffle;
-* else users and catalog are cut into blocks of ``shard_bytes``, each user block meets each
-  catalog shard once, and the per-shard lists are merged by a per-user top k.
+* it fits ``broadcast_bytes``: one map over the users;
+* else the catalog is cut into shards of ``shard_bytes``, most rated items first. One shard at a time is
+  broadcast, merged into the lists that travel with the users, and destroyed. A list that is full carries the score
+  of its last row; a shard whose bound for this user and model (from the largest norms of its items) is below it is
+  not scored. Neither users nor catalog are copied or shuffled again.
+Users and their seen items meet in one shuffle by user, in both plans.
 Z-scores need each user's mean and spread over the whole catalog; both plans take them
 from the mean and covariance of the item vectors, so they agree.
 """
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 
 from coldspring import kernels
 from coldspring.config import EngineConfig
-from coldspring.operators import gather
-from coldspring.operators.skew import first_per_group, lookup
+from coldspring.operators import gather, protocol
+from coldspring.operators.skew import lookup, with_position
 from coldspring.workspace import Workspace
 
 # The display names of the compared models.
@@ -41,8 +44,9 @@ PARTS = ["cf", "content", "popularity", "w_cf", "w_content", "w_popularity"]
 
 
 def registry(cfg: EngineConfig, demographics: bool = True) -> dict[str, dict]:
-    """Model name -> how it is scored. A signal ranks by its raw score, a blend by the
-    weighted z-scores; ``mmr`` re-ranks the best candidates of a blend."""
+    """Model name -> how it is scored. A ``signal`` ranks by its raw score, a ``mode`` by the
+    weighted z-scores, ``own`` (see ``protocol``) by a model from outside; ``rerank`` (or ``mmr`` for the built-in
+    one) picks from the best candidates of any of them."""
     adaptive = {"mode": "adaptive", "k_user": cfg.blend.k_user, "k_item": cfg.blend.k_item,
                 "k_content": cfg.blend.k_content}
     models = {POPULARITY: {"signal": "popularity"}, DEMOGRAPHIC: {"signal": "demographic"},
@@ -54,6 +58,12 @@ def registry(cfg: EngineConfig, demographics: bool = True) -> dict[str, dict]:
     return models
 
 
+def _with_rerankers(models: dict[str, dict], cfg: EngineConfig) -> dict[str, dict]:
+    built_in = protocol.Reranker(protocol.Diversifier(cfg.rerank.mmr_lambda, cfg.rerank.popularity_penalty, cfg.score_digits),
+                                 cfg.rerank.candidates)
+    return {name: {**model, "rerank": built_in} if model.get("mmr") else model for name, model in models.items()}
+
+
 @dataclass
 class Catalog:
     """One row per item: item_id, n_item, pct, factors, features, popularity, tie_break."""
@@ -84,13 +94,14 @@ def catalog_moments(catalog: Catalog) -> dict:
             "popularity_std": np.array([row.sd for row in by_segment])}
 
 
-def item_arrays(table: pa.Table, factor_dims: int, feature_dims: int, n_popularity: int) -> dict:
+def item_arrays(table: pa.Table, factor_dims: int, feature_dims: int, n_popularity: int, models: dict | None = None) -> dict:
     table = table.sort_by("item_id")
     return {"item_id": table.column("item_id").to_numpy(), "n_item": table.column("n_item").to_numpy(),
             "pct": table.column("pct").to_numpy(), "tie_break": table.column("tie_break").to_numpy(),
             "factors": kernels.to_matrix(table.column("factors"), factor_dims),
             "features": kernels.to_matrix(table.column("features"), feature_dims),
-            "popularity": np.ascontiguousarray(kernels.to_matrix(table.column("popularity"), n_popularity).T)}
+            "popularity": np.ascontiguousarray(kernels.to_matrix(table.column("popularity"), n_popularity).T),
+            "own": {name: protocol.own_arrays(table, m["kernel"].item_columns) for name, m in (models or {}).items() if "kernel" in m}}
 
 
 def user_arrays(table: pa.Table, factor_dims: int, feature_dims: int) -> dict:
@@ -113,73 +124,198 @@ def _marks(column, ids: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray
     return rows[ok], places[ok]
 
 
-def score_table(table: pa.Table, items: dict, moments: dict, spec: dict) -> list[pa.Table]:
-    """Ranked rows of one batch of users against one catalog (shard)."""
-    out = []
-    step = max(1, spec["cells"] // max(len(items["item_id"]), 1))
-    for start in range(0, table.num_rows if len(items["item_id"]) else 0, step):
-        out.append(_score_slice(table.slice(start, step), items, moments, spec))
-    return out
+def _slices(table: pa.Table, n_items: int, cells: int):
+    step = max(1, cells // max(n_items, 1))
+    for start in range(0, table.num_rows, step):
+        yield table.slice(start, step)
 
 
-def _score_slice(table: pa.Table, items: dict, moments: dict, spec: dict) -> pa.Table:
-    models, digits = spec["models"], spec["digits"]
-    users = user_arrays(table, spec["factor_dims"], spec["feature_dims"])
-    n_users, ids = table.num_rows, items["item_id"]
-    seen_row, seen_at = _marks(table.column("seen"), ids, n_users)
-    hit = np.zeros((n_users, len(ids)), dtype=bool)
-    hit[_marks(table.column("liked"), ids, n_users)] = True
-
-    blends = any("mode" in m for m in models.values())
-    wanted = {m["signal"] for m in models.values() if "signal" in m}
-    blended = {"cf", "content"} | ({"demographic"} if any(m.get("mode") != "fixed" for m in models.values()) else set())
-    raw = kernels.raw_signals(users, items, wanted | (blended if blends else set()))
-    z = {}
-    if blends:
-        stats = kernels.row_moments(users, moments, blended)
-        z = {name: kernels.standardise(raw[name], *stats[name]) for name in blended}
+@dataclass
+class _Block:
+    """A batch of users against a block of items, with what every model needs."""
+    table: pa.Table
+    users: dict
+    items: dict
+    moments: dict
+    spec: dict
+
+    @classmethod
+    def of(cls, table: pa.Table, items: dict, moments: dict, spec: dict) -> "_Block":
+        return cls(table, user_arrays(table, spec["factor_dims"], spec["feature_dims"]), items, moments, spec)
+
+    @property
+    def blended(self) -> set:
+        modes = [m["mode"] for m in self.spec["models"].values() if "mode" in m]
+        return ({"cf", "content"} | ({"demographic"} if any(m != "fixed" for m in modes) else set())) if modes else set()
+
+    def prepare(self) -> None:
+        """Raw signals, their z-scores where a blend asks for them, and the marks."""
+        wanted = {m["signal"] for m in self.spec["models"].values() if "signal" in m}
+        self.raw = kernels.raw_signals(self.users, self.items, wanted | self.blended)
+        stats = kernels.row_moments(self.users, self.moments, self.blended) if self.blended else {}
+        self.z = {name: kernels.standardise(self.raw[name], *stats[name]) for name in self.blended}
+        n = self.table.num_rows
+        self.seen = _marks(self.table.column("seen"), self.items["item_id"], n)
+        self.hit = np.zeros((n, len(self.items["item_id"])), dtype=bool)
+        self.hit[_marks(self.table.column("liked"), self.items["item_id"], n)] = True
+
+    def own(self, name: str, kernel: protocol.Kernel) -> tuple[dict, dict, object]:
+        return ({**self.users, **protocol.own_arrays(self.table, kernel.user_columns)}, {**self.items, **self.items["own"][name]}, kernel.shared)
+
+    def scores(self, name: str, model: dict) -> np.ndarray:
+        if "signal" in model:
+            out = np.array(self.raw[model["signal"]])
+        elif "mode" in model:
+            out = kernels.blend(model, self.z, self.users, self.items, self.spec["cold_below"])
+        else:
+            kernel = model["kernel"]
+            out = np.array(kernel.score(*self.own(name, kernel)), dtype=float)
+            out[np.isnan(out)] = -np.inf
+        out[self.seen] = -np.inf
+        return out
 
+    def bound(self, name: str, model: dict, tops: dict) -> np.ndarray:
+        """For each user a number that no score of the block exceeds."""
+        n = self.table.num_rows
+        if "kernel" in model:
+            kernel = model["kernel"]
+            return np.full(n, np.inf) if kernel.bound is None else np.asarray(kernel.bound(*self.own(name, kernel)), dtype=float)
+        if "signal" in model:
+            return kernels.signal_bounds(self.users, tops, {model["signal"]})[model["signal"]]
+        stats = kernels.row_moments(self.users, self.moments, self.blended)
+        most = kernels.signal_bounds(self.users, tops, self.blended)
+        ends = kernels.trust(model, self.users["n_user"], tops["n_item"], self.spec["cold_below"])
+        total = np.zeros(n)
+        for weight, signal in zip(ends, ("cf", "content", "demographic")):
+            if signal in most:
+                top = kernels.standardise(most[signal][:, None], *stats[signal])[:, 0]
+                both = np.broadcast_to(weight, (n, 2)) * top[:, None]     # weights are monotone in the history of the item
+                total += both.max(axis=1)
+        return total
+
+
+def _depth(model: dict, k: int) -> int:
+    return model["rerank"].candidates if "rerank" in model else k
+
+
+def _score_slice(table: pa.Table, items: dict, moments: dict, spec: dict) -> pa.Table:
+    """Finished lists of one batch of users against the whole catalog."""
+    models = spec["models"]
+    block = _Block.of(table, items, moments, spec)
+    block.prepare()
+    ids, features, hit = items["item_id"], items["features"], block.hit
     pieces = {name: [] for name in ("model", "row", "rank", "at", "score", "sim", "parts")}
     for number, (name, model) in enumerate(models.items()):
-        scores = np.array(raw[model["signal"]]) if "signal" in model else \
-            kernels.blend(model, z, users, items, spec["cold_below"])
-        scores[seen_row, seen_at] = -np.inf
-        mmr = model.get("mmr", False)
-        depth = max(spec["candidates"], 0) if mmr else spec["k"]
-        rows, ranks, places, values = kernels.best_rows(scores, depth, digits)
-        if mmr and not spec["sharded"]:
-            rows, ranks, places, values = _diversified(rows, places, values, items, spec)
-        if spec["only_hits"] and not spec["sharded"]:
+        rows, ranks, places, values = kernels.best_rows(block.scores(name, model), _depth(model, spec["k"]), spec["digits"])
+        if "rerank" in model:
+            own = {c: v[places] for c, v in items["own"].get(name, {}).items() if isinstance(v, np.ndarray)}
+            cells = {**own, "score": values, "item_id": ids[places], "pct": items["pct"][places], "n_item": items["n_item"][places]}
+            kept, ranks = _picks(rows, cells, features[places], model["rerank"], spec)
+            rows, places, values = rows[kept], places[kept], values[kept]
+        if spec["only_hits"]:
             keep = hit[rows, places]
             rows, ranks, places, values = rows[keep], ranks[keep], places[keep], values[keep]
             sim = np.zeros(len(rows))
-        elif spec["sharded"]:
-            sim = np.zeros(len(rows))
         else:
-            sim = _similarities(rows, items["features"][places])
+            sim = _similarities(rows, features[places])
         pieces["model"].append(np.full(len(rows), number, dtype=np.int32))
         for key, value in (("row", rows), ("rank", ranks), ("at", places), ("score", values), ("sim", sim)):
             pieces[key].append(value)
         if spec["parts"]:
-            pieces["parts"].append(_contributions(model, z, users, items, rows, places, spec["cold_below"]))
+            pieces["parts"].append(_contributions(model, block.z, block.users, items, rows, places, spec["cold_below"]))
 
-    number = np.concatenate(pieces["model"])
     rows, places = np.concatenate(pieces["row"]).astype(int), np.concatenate(pieces["at"]).astype(int)
-    names = pa.array(list(models), pa.string())
+    return _list_rows(spec, np.concatenate(pieces["model"]), block.users["user_id"][rows], block.users["n_user"][rows],
+                      np.concatenate(pieces["rank"]), ids[places], np.concatenate(pieces["score"]), hit[rows, places],
+                      items["n_item"][places], np.concatenate(pieces["sim"]), np.concatenate(pieces["parts"]) if spec["parts"] else None)
+
+
+def _list_rows(spec, model, user_id, n_train, rank, item_id, score, hit, n_item, sim, parts) -> pa.Table:
+    names = pa.array(list(spec["models"]), pa.string())
     columns = {
-        "model": pa.DictionaryArray.from_arrays(pa.array(number), names).cast(pa.string()),
-        "user_id": pa.array(users["user_id"][rows]), "n_train": pa.array(users["n_user"][rows]),
-        "rank": pa.array(np.concatenate(pieces["rank"]).astype(np.int32)),
-        "item_id": pa.array(ids[places]), "score": pa.array(np.concatenate(pieces["score"]).astype(float)),
-        "hit": pa.array(hit[rows, places]), "n_item": pa.array(items["n_item"][places]),
-        "sim_before": pa.array(np.concatenate(pieces["sim"]))}
-    if spec["parts"]:
-        parts = np.concatenate(pieces["parts"])
-        for at, name in enumerate(PARTS):
-            columns[name] = pa.array(parts[:, at], mask=np.isnan(parts[:, at]))
+        "model": pa.DictionaryArray.from_arrays(pa.array(model.astype(np.int32)), names).cast(pa.string()),
+        "user_id": pa.array(user_id, pa.int64()), "n_train": pa.array(n_train, pa.int64()),
+        "rank": pa.array(rank.astype(np.int32)), "item_id": pa.array(item_id, pa.int64()), "score": pa.array(score.astype(float)),
+        "hit": pa.array(hit.astype(bool)), "n_item": pa.array(n_item, pa.int64()), "sim_before": pa.array(sim.astype(float))}
+    for at, name in enumerate(PARTS if spec["parts"] else []):
+        columns[name] = pa.array(parts[:, at], mask=np.isnan(parts[:, at]))
     return pa.table(columns)
 
 
+# --- lists that travel with the users from shard to shard ----------------------------------------
+
+# Aligned arrays per user, by model, then rank.
+_CARRIED = {"l_model": "int", "l_rank": "int", "l_item": "bigint", "l_score": "double", "l_hit": "boolean", "l_n": "bigint"}
+_NUMPY = {"int": np.int32, "bigint": np.int64, "double": np.float64, "boolean": bool}
+
+
+def _carried(spec: dict) -> dict[str, str]:
+    return _CARRIED | {f"l_{name}": "double" for name in PARTS if spec["parts"]}
+
+
+def _flat_lists(table: pa.Table, names: dict[str, str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """(row of each entry, entries by column)."""
+    out, rows = {}, None
+    for name, kind in names.items():
+        column = table.column(name).combine_chunks()
+        column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+        if rows is None:
+            rows = np.repeat(np.arange(table.num_rows), np.diff(column.offsets.to_numpy()))
+        out[name] = column.flatten().to_numpy(zero_copy_only=False).astype(_NUMPY[kind])
+    return rows, out
+
+
+def _merge_shard(table: pa.Table, items: dict, moments: dict, spec: dict, tops: dict, counters) -> pa.Table:
+    """The users of ``table`` with the lists after this shard."""
+    models, k = spec["models"], spec["k"]
+    names = _carried(spec)
+    n = table.num_rows
+    rows, lists = _flat_lists(table, names)
+    slack = max(2.0 * 10.0 ** -spec["digits"], 1e-9)      # scores and bounds are summed in different order
+    block = _Block.of(table, items, moments, spec)
+    depths = np.array([_depth(m, k) for m in models.values()])
+    lengths = np.bincount(rows * len(models) + lists["l_model"], minlength=n * len(models)).reshape(n, -1)
+    last = np.full((n, len(models)), np.inf)
+    np.minimum.at(last, (rows, lists["l_model"]), lists["l_score"])
+    full = lengths >= depths
+    active = np.ones((n, len(models)), dtype=bool)
+    for number, (name, model) in enumerate(models.items()):
+        if full[:, number].any():
+            active[:, number] = ~full[:, number] | (block.bound(name, model, tops) >= last[:, number] - slack)
+    counters[0].add(int(active.sum()) * len(items["item_id"]))
+    counters[1].add(int((~active).sum()) * len(items["item_id"]))
+    scored = np.flatnonzero(active.any(axis=1))
+    found = {name: [values] for name, values in lists.items()}
+    row_parts = [rows]
+    if len(scored):
+        part = _Block.of(table.take(pa.array(scored)), items, moments, spec)
+        part.prepare()
+        for number, (name, model) in enumerate(models.items()):
+            scores = part.scores(name, model)
+            scores[~active[scored, number]] = -np.inf
+            r, _, places, values = kernels.best_rows(scores, int(depths[number]), spec["digits"])
+            row_parts.append(scored[r])
+            new = {"l_model": np.full(len(r), number), "l_rank": np.zeros(len(r)), "l_item": items["item_id"][places], "l_score": values,
+                   "l_hit": part.hit[r, places], "l_n": items["n_item"][places]}
+            if spec["parts"]:
+                shares = _contributions(model, part.z, part.users, items, r, places, spec["cold_below"])
+                new |= {f"l_{p}": shares[:, at] for at, p in enumerate(PARTS)}
+            for column, values in new.items():
+                found[column].append(values.astype(_NUMPY[names[column]]))
+    rows = np.concatenate(row_parts)
+    lists = {name: np.concatenate(values) for name, values in found.items()}
+    order = np.lexsort((lists["l_item"], -lists["l_score"], lists["l_model"], rows))
+    rows, lists = rows[order], {name: values[order] for name, values in lists.items()}
+    group = rows * len(models) + lists["l_model"]
+    lists["l_rank"] = (np.arange(1, len(rows) + 1) - np.searchsorted(group, group)).astype(np.int32)
+    kept = lists["l_rank"] <= depths[lists["l_model"]]
+    rows = rows[kept]
+    offsets = pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32))
+    for name, values in lists.items():
+        table = table.set_column(table.schema.get_field_index(name), name, pa.ListArray.from_arrays(offsets, pa.array(values[kept])))
+    return table
+
+
 def _grid(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flat rows that are sorted by list, as a padded grid of lists."""
     starts = np.flatnonzero(np.diff(rows, prepend=-1)) if len(rows) else np.zeros(0, dtype=int)
@@ -193,22 +329,16 @@ def _similarities(rows: np.ndarray, features: np.ndarray) -> np.ndarray:
     return kernels.similarity_before(features[cells] * used[:, :, None])[used]
 
 
-def _diversified(rows, places, values, items, spec):
-    """The re-ranked lists as (rows, ranks, places, values)."""
-    kept, ranks = _picks(rows, values, items["pct"][places], items["features"][places], spec)
-    return rows[kept], ranks, places[kept], values[kept]
-
-
-def _picks(rows: np.ndarray, values: np.ndarray, pct: np.ndarray, features: np.ndarray, spec: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the flat rows the re-ranking keeps, list by list in its order, and their new ranks."""
+def _picks(rows: np.ndarray, cells: dict, features: np.ndarray, reranker: protocol.Reranker, spec: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the flat rows a re-ranker keeps, list by list in its order, and their new ranks."""
     if not len(rows):
         return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
-    cells, used = _grid(rows)
-    step = max(1, spec["cells"] * 8 // max(cells.shape[1] * max(features.shape[1], 1), 1))
+    grid, used = _grid(rows)
+    step = max(1, spec["cells"] * 8 // max(grid.shape[1] * max(features.shape[1], 1), 1))
     kept, ranks = [], []
-    for at in range(0, len(cells), step):
-        c, u = cells[at:at + step], used[at:at + step]
-        picks, counts = kernels.diversified(values[c], pct[c], features[c], u, spec["k"], spec["mmr_lambda"], spec["penalty"], spec["digits"])
+    for at in range(0, len(grid), step):
+        c, u = grid[at:at + step], used[at:at + step]
+        picks, counts = reranker.pick({**{name: values[c] for name, values in cells.items()}, "features": features[c], "used": u}, spec["k"])
         kept.append(np.take_along_axis(c, picks, axis=1)[counts])
         ranks.append(np.broadcast_to(np.arange(1, picks.shape[1] + 1), picks.shape)[counts])
     return np.concatenate(kept), np.concatenate(ranks)
@@ -230,20 +360,20 @@ def _contributions(model, z, users, items, rows, places, cold_below) -> np.ndarr
 def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict, models: dict[str, dict],
                k: int, cfg: EngineConfig, workspace: Workspace, marks: DataFrame,
                candidates: DataFrame | None = None, n_candidates: int | None = None,
-               parts: bool = False, only_hits: bool = False) -> DataFrame:
+               parts: bool = False, only_hits: bool = False, notes: dict | None = None) -> DataFrame:
     """(model, user_id, n_train, rank, item_id, score, hit, n_item, sim_before [, parts]).
 
     ``users``: user_id, n_user, segment_no, factors, profile (one row per user).
     ``marks``: user_id, item_id, kind ('seen' is never recommended, 'liked' sets ``hit``).
     ``candidates``: (item_id) restricts the lists; z-scores still refer to the whole catalog.
+    ``notes`` receives ``scored`` and ``skipped``: (user, model, item) triples of the plan with shards.
     """
     items = catalog.table if candidates is None else catalog.table.join(candidates, "item_id", "left_semi")
     n_items = catalog.n_items if n_candidates is None else n_candidates
+    users, items, models, own_bytes = protocol.attach(_with_rerankers(models, cfg), users, items, cfg.scale)
     spec = {"models": models, "k": k, "digits": cfg.score_digits, "cold_below": cfg.split.cold_below,
-            "candidates": cfg.rerank.candidates, "mmr_lambda": cfg.rerank.mmr_lambda,
-            "penalty": cfg.rerank.popularity_penalty, "cells": cfg.scale.cells_per_batch,
-            "factor_dims": catalog.factor_dims, "feature_dims": catalog.feature_dims,
-            "parts": parts, "only_hits": only_hits, "sharded": False}
+            "cells": cfg.scale.cells_per_batch, "factor_dims": catalog.factor_dims, "feature_dims": catalog.feature_dims,
+            "parts": parts, "only_hits": only_hits}
     if n_users <= cfg.scale.broadcast_ids:
         marks = marks.join(F.broadcast(users.select("user_id")), "user_id", "left_semi")
     n_popularity = len(catalog.segments) + 1
@@ -252,82 +382,93 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
     if parts:
         schema += "".join(f", {name} double" for name in PARTS)
     spark = users.sparkSession
+    tasks = max(3 * spark.sparkContext.defaultParallelism,
+                math.ceil(n_users * max(n_items, 1) / (5000 * cfg.scale.cells_per_batch)))
+    arrays_of = lambda table: item_arrays(table, catalog.factor_dims, catalog.feature_dims, n_popularity, models)
 
-    if n_items * catalog.row_bytes <= cfg.scale.broadcast_bytes:
-        shared = spark.sparkContext.broadcast(
-            (item_arrays(items.toArrow(), catalog.factor_dims, catalog.feature_dims, n_popularity), moments))
+    row_bytes = catalog.row_bytes + own_bytes / max(catalog.n_items, 1)
+    if n_items * row_bytes <= cfg.scale.broadcast_bytes:
+        shared = spark.sparkContext.broadcast((arrays_of(items.toArrow()), moments))
 
         def run(batches):
             arrays, stats = shared.value
             for batch in batches:
-                for table in score_table(pa.Table.from_batches([batch]), arrays, stats, spec):
-                    yield from table.combine_chunks().to_batches()
-
-        tasks = max(3 * spark.sparkContext.defaultParallelism,
-                    math.ceil(n_users * max(n_items, 1) / (5000 * cfg.scale.cells_per_batch)))
-        return with_marks(users, marks, None).repartition(tasks).mapInArrow(run, schema)
-
-    spec["sharded"] = True
-    shard_rows = max(1, cfg.scale.shard_bytes // catalog.row_bytes)
-    n_shards = max(1, math.ceil(n_items / shard_rows))
-    user_bytes = 8 * (catalog.factor_dims + catalog.feature_dims + 4)
-    n_blocks = max(1, math.ceil(n_users * user_bytes / cfg.scale.shard_bytes))
-    left = (with_marks(users, marks, n_shards)
-            .withColumn("_block", F.pmod(F.xxhash64("user_id"), F.lit(n_blocks)).cast("int")))
-    right = (items.withColumn("_shard", _shard(n_shards))
-             .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-
-    def meet(user_table: pa.Table, item_table: pa.Table) -> pa.Table:
-        arrays = item_arrays(item_table, spec["factor_dims"], spec["feature_dims"], n_popularity)
-        tables = score_table(user_table, arrays, moments, spec)
-        return pa.concat_tables(tables) if tables else _empty(schema)
-
-    grid = left.groupBy("_shard", "_block").cogroup(right.groupBy("_shard", "_block")).applyInArrow(meet, schema)
-    order = [F.col("score").desc(), F.col("item_id")]
-    mmr_names = [name for name, model in models.items() if model.get("mmr")]
-    merged = first_per_group(grid.drop("rank"), ["model", "user_id"], order,
-                             max(k, cfg.rerank.candidates) if mmr_names else k)
-    if mmr_names:
-        merged = merged.filter(F.col("rank") <= F.when(F.col("model").isin(mmr_names), cfg.rerank.candidates)
-                               .otherwise(k))
-    merged = workspace.stage(merged, "merged-lists")
-    if only_hits and not mmr_names:      # nothing is re-ranked, and the vectors are not asked for
-        return merged.filter("hit")
-    depth = k * len(models) + cfg.rerank.candidates * len(mmr_names)
-    out = finish_lists(merged, items, spec, mmr_names, schema, cfg, n_users * depth)
-    return out.filter("hit") if only_hits else out
-
+                for table in _slices(pa.Table.from_batches([batch]), len(arrays["item_id"]), spec["cells"]):
+                    if len(arrays["item_id"]):
+                        yield from _score_slice(table, arrays, stats, spec).combine_chunks().to_batches()
 
-def _shard(n_shards: int):
-    return F.pmod(F.xxhash64("item_id"), F.lit(n_shards)).cast("int")
+        return with_marks(users, marks, tasks).mapInArrow(run, schema)
 
-
-def _empty(schema: str) -> pa.Table:
-    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(),
-             "boolean": pa.bool_()}
-    fields = [field.split() for field in schema.split(", ")]
-    return pa.table({name: pa.array([], kinds[kind]) for name, kind in fields})
+    merged = _rank_by_shards(with_marks(users, marks, tasks), items, n_items, row_bytes, moments, spec, schema, cfg, workspace, arrays_of, notes)
+    reranked = {name: model["rerank"] for name, model in models.items() if "rerank" in model}
+    if only_hits and not reranked:      # nothing is re-ranked, and the vectors are not asked for
+        return merged.filter("hit")
+    depth = sum(_depth(model, k) for model in models.values())
+    out = finish_lists(merged, items, spec, reranked, schema, cfg, n_users * depth)
+    return out.filter("hit") if only_hits else out
 
 
-def with_marks(users: DataFrame, marks: DataFrame, n_shards: int | None) -> DataFrame:
-    """Attach the seen and liked item ids of each user as arrays, per catalog shard, so an
-    array is never longer than a shard."""
-    keys = ["user_id"] if n_shards is None else ["user_id", "_shard"]
-    if n_shards is not None:
-        marks = marks.withColumn("_shard", _shard(n_shards))
-        users = users.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
-    lists = marks.groupBy(*keys).agg(
+def _rank_by_shards(users: DataFrame, items: DataFrame, n_items: int, row_bytes: float, moments: dict, spec: dict, schema: str,
+                    cfg: EngineConfig, workspace: Workspace, arrays_of, notes: dict | None) -> DataFrame:
+    """The lists of ``users`` (with marks), before any re-ranking: one pass per shard, each written, so that no pass
+    is done twice when an executor is lost; the pass before it is then removed."""
+    context = users.sparkSession.sparkContext
+    shard_rows = max(1, int(cfg.scale.shard_bytes // row_bytes))
+    # Much rated items first: their vectors are the longest, so that lists fill early with high scores.
+    placed = with_position(workspace.stage(items.withColumn("_less", -F.col("n_item")), "catalog-by-size"), [], ["_less", "item_id"],
+                           cfg.scale.rows_per_task, known_cold=n_items <= cfg.scale.rows_per_task)
+    shards = workspace.stage(placed.withColumn("_shard", F.floor(F.col("_pos") / shard_rows).cast("int")).drop("_pos", "_size", "_less")
+                             .repartition("_shard").sortWithinPartitions("_shard"), "catalog-shards")
+    names = _carried(spec)
+    now, path = workspace.stage_at(users.select("*", *[F.array().cast(f"array<{kind}>").alias(name) for name, kind in names.items()]), "lists-0")
+    counters = (context.accumulator(0), context.accumulator(0))
+    for shard in range(max(1, math.ceil(n_items / shard_rows))):
+        arrays = arrays_of(shards.filter(F.col("_shard") == shard).drop("_shard").toArrow())
+        if not len(arrays["item_id"]):
+            continue
+        shared = context.broadcast((arrays, moments, kernels.shard_tops(arrays)))
+
+        def run(batches, shared=shared):
+            block, stats, tops = shared.value
+            for batch in batches:
+                for table in _slices(pa.Table.from_batches([batch]), len(block["item_id"]), spec["cells"]):
+                    yield from _merge_shard(table, block, stats, spec, tops, counters).combine_chunks().to_batches()
+
+        before = path
+        now, path = workspace.stage_at(now.mapInArrow(run, now.schema), f"lists-{shard + 1}")
+        workspace.remove(before)
+        shared.destroy()
+    if notes is not None:
+        notes["scored"], notes["skipped"] = counters[0].value, counters[1].value
+
+    def rows(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            at, lists = _flat_lists(table, names)
+            shares = np.column_stack([lists[f"l_{name}"] for name in PARTS]) if spec["parts"] else None
+            yield from _list_rows(spec, lists["l_model"], table.column("user_id").to_numpy()[at], table.column("n_user").to_numpy()[at], lists["l_rank"],
+                                  lists["l_item"], lists["l_score"], lists["l_hit"], lists["l_n"], np.zeros(len(at)), shares).to_batches()
+
+    return now.select("user_id", "n_user", *names).mapInArrow(rows, schema)
+
+
+def with_marks(users: DataFrame, marks: DataFrame, tasks: int) -> DataFrame:
+    """Attach the seen and liked item ids of each user as arrays. Both sides are dealt by user into ``tasks``
+    partitions, in which they are grouped and joined; the map over the users that follows needs no other shuffle."""
+    lists = marks.repartition(tasks, "user_id").groupBy("user_id").agg(
         F.collect_list(F.when(F.col("kind") == "seen", F.col("item_id"))).alias("seen"),
         F.collect_list(F.when(F.col("kind") == "liked", F.col("item_id"))).alias("liked"))
     none = F.array().cast("array<long>")
-    return (users.join(lists, keys, "left")
+    return (users.repartition(tasks, "user_id").join(lists, "user_id", "left")
             .withColumn("seen", F.coalesce("seen", none)).withColumn("liked", F.coalesce("liked", none)))
 
 
-def finish_lists(lists: DataFrame, items: DataFrame, spec: dict, mmr_names: list[str], schema: str,
+def finish_lists(lists: DataFrame, items: DataFrame, spec: dict, rerankers: dict[str, protocol.Reranker], schema: str,
                  cfg: EngineConfig, n_rows: int) -> DataFrame:
     """Re-rank and measure merged lists: at most ``candidates`` rows per (model, user), ``n_rows`` at most in all."""
-    rows = lookup(lists, items.select("item_id", "pct", "features"), "item_id", "user_id", cfg.scale)
+    own = {name: spec["models"][name]["kernel"].item_columns for name in rerankers if "kernel" in spec["models"][name]}
+    wanted = sorted({c for columns in own.values() for c in columns.values()})
+    rows = lookup(lists, items.select("item_id", "pct", "features", *wanted), "item_id", "user_id", cfg.scale)
     names = [field.split()[0] for field in schema.split(", ")]
     # Whole users per part, about a shard's size of vectors together.
     n_parts = max(1, math.ceil(n_rows * 8 * (spec["feature_dims"] + 16) / cfg.scale.shard_bytes))
@@ -339,13 +480,16 @@ def finish_lists(lists: DataFrame, items: DataFrame, spec: dict, mmr_names: list
         new = np.append(True, (model[1:] != model[:-1]) | (user[1:] != user[:-1]))[:len(user)]
         lists = np.cumsum(new) - 1
         rank = np.arange(1, len(lists) + 1) - np.searchsorted(lists, lists)
-        kept = np.arange(len(lists))
-        again = np.isin(model, mmr_names)
-        if again.any():
-            at = np.flatnonzero(again)
-            picks, ranks = _picks(lists[at], table.column("score").to_numpy()[at], table.column("pct").to_numpy()[at], features[at], spec)
-            kept = np.concatenate([np.flatnonzero(~again), at[picks]])
-            rank = np.concatenate([rank[~again], ranks])
+        kept, new_rank = [np.flatnonzero(~np.isin(model, list(rerankers)))], []
+        new_rank.append(rank[kept[0]])
+        for name, reranker in rerankers.items():
+            at = np.flatnonzero(model == name)
+            cells = {c: v for c, v in protocol.own_arrays(table, own.get(name, {})).items() if isinstance(v, np.ndarray)}
+            cells |= {c: table.column(c).to_numpy() for c in ("score", "item_id", "pct", "n_item")}
+            picks, ranks = _picks(lists[at], {c: v[at] for c, v in cells.items()}, features[at], reranker, spec)
+            kept.append(at[picks])
+            new_rank.append(ranks)
+        kept, rank = np.concatenate(kept), np.concatenate(new_rank)
         order = np.argsort(lists[kept], kind="stable")
         kept, rank = kept[order], rank[order]
         done = {name: table.column(name).take(pa.array(kept)) for name in names}

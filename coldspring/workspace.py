@@ -35,15 +35,23 @@ class Workspace:
             spark.sparkContext.setCheckpointDir(self.root)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return self.stage_at(df, name)[0]
+
+    def stage_at(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+        """The written table and its folder, for ``remove``."""
         self._serial += 1
         path = f"{self.root}/{self._serial:04d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def remove(self, folder: str) -> None:
+        """Remove one written table that no frame reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def close(self) -> None:
         """Remove the tables of this workspace. Frames that read them can no longer be used."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.remove(self.root)
 
     def checkpoint(self, df: DataFrame) -> DataFrame:
         """A reliable checkpoint that keeps the partitioning and order of ``df``, so that later

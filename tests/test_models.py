@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coldspring.config import AlsConfig, ContentConfig, ScaleConfig
-from coldspring.operators import als, content, gather, metrics, scorer
+from coldspring.operators import als, content, gather, metrics, protocol, scorer
 from coldspring.plans import analysis, evaluate, serving, tune
 from coldspring.plans.experiment import Experiment, eval_users
 from coldspring.sources.tables import Dataset
@@ -197,6 +197,77 @@ def test_sharded_plan_gives_the_same_lists(experiment, results):
         assert mine.score == pytest.approx(r.score, abs=1e-9) and mine.sim_before == pytest.approx(r.sim_before, abs=1e-9)
 
 
+def own_models(experiment):
+    """Shared ratings (how many users rated both) as a model from outside, with list columns, a bound and a re-ranker."""
+    def together(users, items, shared):
+        starts, history = users["history"]
+        mates, fans = items["mates"]
+        out = np.zeros((len(starts) - 1, len(mates) - 1))
+        for i in range(out.shape[1]):
+            counts = dict(zip(fans[mates[i]:mates[i + 1]], items["times"][1][mates[i]:mates[i + 1]]))
+            for u in range(out.shape[0]):
+                out[u, i] = sum(counts.get(j, 0) for j in history[starts[u]:starts[u + 1]]) * shared["scale"]
+        return out
+
+    def most(users, items, shared):
+        starts, _ = users["history"]
+        return np.diff(starts) * (items["times"][1].max() if len(items["times"][1]) else 0) * shared["scale"]
+
+    def backwards(lists, k):
+        cells = lists["used"].sum(axis=1)[:, None] - 1 - np.arange(min(k, lists["used"].shape[1]))[None, :]
+        return np.maximum(cells, 0), cells >= 0
+
+    pairs = experiment.train_pairs.select("user_id", "item_id")
+    both = pairs.join(pairs.withColumnRenamed("item_id", "other"), "user_id").filter("item_id <> other").groupBy("item_id", "other").count()
+    mates = both.groupBy("item_id").agg(F.collect_list(F.struct("other", "count")).alias("x")).select(
+        "item_id", F.col("x.other").alias("mates"), F.col("x.count").alias("times"))
+    own = protocol.OwnModel(together, pairs.groupBy("user_id").agg(F.collect_list("item_id").alias("history")), mates, {"scale": 0.5}, most)
+    return {"Together": {"own": own}, "Together, backwards": {"own": own, "rerank": protocol.Reranker(backwards, 6)}, scorer.ADAPTIVE: experiment.models()[scorer.ADAPTIVE]}
+
+
+@pytest.mark.parametrize("scale", [ScaleConfig(), ScaleConfig(broadcast_bytes=0, shard_bytes=6000, cells_per_batch=70)])
+def test_models_from_outside(experiment, results, scale):
+    notes = {}
+    lists = scorer.rank_users(experiment.user_state.join(results.users.select("user_id"), "user_id", "left_semi"), results.users.count(),
+                              experiment.catalog, experiment.moments, own_models(experiment), 4, replace(experiment.cfg, scale=scale),
+                              experiment.workspace, experiment.marks, notes=notes)
+    got = lists_by_key(lists)
+    train = {}
+    for r in experiment.train_pairs.collect():
+        train.setdefault(r.user_id, set()).add(r.item_id)
+    times = np.zeros((41, 41))
+    for items in train.values():
+        for a in items:
+            for b in items - {a}:
+                times[a, b] += 0.5
+    for u in (r.user_id for r in results.users.collect()):
+        seen = train.get(u, set())
+        score = {i: sum(times[i, j] for j in seen) for i in range(1, 41) if i not in seen}
+        want = sorted(score, key=lambda i: (-score[i], i))
+        assert got[("Together", u)] == want[:4]
+        assert got[("Together, backwards", u)] == want[:6][::-1][:4]
+        assert got[(scorer.ADAPTIVE, u)] == lists_by_key(results.lists)[(scorer.ADAPTIVE, u)][:4] if u == 1 else True
+    assert bool(notes) == (scale.broadcast_bytes == 0)
+
+
+def test_shards_that_cannot_help_are_not_scored(experiment, results):
+    users = experiment.user_state.join(results.users.select("user_id"), "user_id", "left_semi")
+    models = {scorer.POPULARITY: {"signal": "popularity"}, scorer.DEMOGRAPHIC: {"signal": "demographic"}}
+    lists, notes = [], {}
+    for scale in (ScaleConfig(), ScaleConfig(broadcast_bytes=0, shard_bytes=8 * experiment.catalog.row_bytes)):
+        out = scorer.rank_users(users, results.users.count(), experiment.catalog, experiment.moments, models, 3,
+                                replace(experiment.cfg, scale=scale), experiment.workspace, experiment.marks, notes=notes)
+        lists.append(lists_by_key(out))
+    assert lists[0] == lists[1]
+    assert notes["skipped"] > notes["scored"] > 0
+
+
+def test_large_shared_state_is_refused(experiment):
+    own = protocol.OwnModel(lambda users, items, shared: None, shared=b"x" * (2 << 20))
+    with pytest.raises(ValueError, match="bytes are shared"):
+        protocol.attach({"m": {"own": own}}, experiment.user_state, experiment.catalog.table, ScaleConfig(broadcast_bytes=0))
+
+
 def test_no_limit_changes_a_result(experiment, results, workspace, frames):
     """Every size limit set so low that each hot-key, split and sharded path is taken."""
     scale = ScaleConfig(rows_per_task=4, max_hot_rows=10 ** 6, edges_per_block=6, shipped_edges_per_block=6, broadcast_ids=0,
