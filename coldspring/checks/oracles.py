@@ -121,6 +121,29 @@ _part("idf", """SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM items)) / (
 _part("tfidf", """SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w
   FROM (SELECT item_id, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM tf JOIN idf USING (term))""")
 
+# Two leading directions of the TF-IDF rows: the terms' Gram matrix is squared until only the first direction is left
+# (power 2^14), then the same without that direction.
+SQUARINGS = 14
+
+
+def _leading(prefix: str, start: str) -> None:
+    _part(f"{prefix}0", start)
+    for step in range(1, SQUARINGS + 1):
+        last = f"{prefix}{step - 1}"
+        _part(f"{prefix}{step}", f"""SELECT a.i, b.j, sum(a.m * b.m) / any_value(s.t) AS m FROM {last} a JOIN {last} b ON a.j = b.i
+          CROSS JOIN (SELECT sum(m * m) AS t FROM {last}) s GROUP BY 1, 2""")
+    # every column is a multiple of the direction; the longest one is the most exact
+    _part(f"{prefix}dir", f"""SELECT i AS term, m / sqrt(sum(m * m) OVER ()) AS v FROM {prefix}{SQUARINGS}
+      WHERE j = (SELECT j FROM {prefix}{SQUARINGS} WHERE i = j ORDER BY m DESC, j LIMIT 1)""")
+
+
+_part("term_gram", """SELECT i, j, coalesce(m, 0) AS m FROM (SELECT a.term AS i, b.term AS j FROM idf a CROSS JOIN idf b) LEFT JOIN
+  (SELECT a.term AS i, b.term AS j, sum(a.w * b.w) AS m FROM tfidf a JOIN tfidf b USING (item_id) GROUP BY 1, 2) USING (i, j)""")
+_leading("lead", "SELECT * FROM term_gram")
+_part("lead_weight", "SELECT sum(a.v * m * b.v) AS l FROM term_gram JOIN leaddir a ON a.term = i JOIN leaddir b ON b.term = j")
+_leading("next", """SELECT i, j, m - (SELECT l FROM lead_weight) * a.v * b.v AS m FROM term_gram JOIN leaddir a ON a.term = i
+  JOIN leaddir b ON b.term = j""")
+
 # --- one-factor least squares (alpha 1, lambda 1, two rounds) ---------------------------
 
 _part("y0", f"SELECT item_id AS id, 0.01::DOUBLE * ({_normal('als', 7, 'item_id', '0')}) AS v FROM items")
@@ -130,6 +153,27 @@ for _i, (_name, _prev, _target, _source) in enumerate(
     _part(_name, f"""SELECT t.{_target} AS id, sum(p.v * (1 + t.rating)) / (sum(t.rating * p.v * p.v)
       + (SELECT sum(v * v) + 1.0 FROM {_prev})) AS v FROM train t JOIN {_prev} p ON p.id = t.{_source} GROUP BY 1""")
 
+# --- two factors: the 2 x 2 normal equations, solved by Cramer's rule ------------------------
+
+_part("b0", f"""SELECT item_id AS id, 0.01::DOUBLE * ({_normal('als', 7, 'item_id', '0')}) AS p, 0.01::DOUBLE * ({_normal('als', 7, 'item_id', '1')}) AS q
+  FROM items""")
+
+
+def _two_factors(name: str, prev: str, pairs: str, target: str, source: str) -> None:
+    _part(name, f"""SELECT id, (bp * cqq - bq * cpq) / (cpp * cqq - cpq * cpq) AS p, (bq * cpp - bp * cpq) / (cpp * cqq - cpq * cpq) AS q FROM (
+        SELECT t.{target} AS id, sum(t.rating * f.p * f.p) + any_value(g.pp) AS cpp, sum(t.rating * f.p * f.q) + any_value(g.pq) AS cpq,
+          sum(t.rating * f.q * f.q) + any_value(g.qq) AS cqq, sum(f.p * (1 + t.rating)) AS bp, sum(f.q * (1 + t.rating)) AS bq
+        FROM {pairs} t JOIN {prev} f ON f.id = t.{source}
+        CROSS JOIN (SELECT sum(p * p) + 1.0 AS pp, sum(p * q) AS pq, sum(q * q) + 1.0 AS qq FROM {prev}) g GROUP BY 1)""")
+
+
+for _name, _prev, _target, _source in [("a1", "b0", "user_id", "item_id"), ("b1", "a1", "item_id", "user_id"),
+                                       ("a2", "b1", "user_id", "item_id"), ("b2", "a2", "item_id", "user_id")]:
+    _two_factors(_name, _prev, "train", _target, _source)
+_part("rank2_lists", """SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+  SELECT user_id, item_id, round(coalesce(a.p * b.p + a.q * b.q, 0), 6) + 0.0 AS score FROM eval_users CROSS JOIN items
+  LEFT JOIN a2 a ON a.id = user_id LEFT JOIN b2 b ON b.id = item_id ANTI JOIN train USING (user_id, item_id))""")
+
 # --- all signals of every known user and item ---------------------------------------------
 
 _part("cosines", """SELECT user_id, item_id, sum(p.value * f.value) AS c FROM profiles p JOIN features f USING (feature)
@@ -289,6 +333,7 @@ _part("new_people", """SELECT s_suppkey::BIGINT AS user_id, CASE WHEN s_suppkey
   LEFT JOIN (SELECT request_id, count(*) AS n FROM new_pairs GROUP BY 1) ON request_id = s_suppkey""")
 _part("folded", """SELECT request_id AS id, sum(y.v * (1 + rating)) / (sum(rating * y.v * y.v)
   + (SELECT sum(v * v) + 1.0 FROM y2)) AS v FROM new_pairs JOIN y2 y ON y.id = item_id GROUP BY 1""")
+_two_factors("folded2", "b2", "new_pairs", "request_id", "item_id")
 _part("new_raw_profiles", """SELECT request_id AS user_id, feature, sum((rating - 2.5) * value) AS value
   FROM new_pairs JOIN features USING (item_id) GROUP BY 1, 2""")
 _part("new_profiles", """SELECT user_id, feature, CASE WHEN length > 0 THEN value / length ELSE value END AS value
@@ -586,8 +631,15 @@ def statements() -> dict[str, str]:
           30.0::DOUBLE AS k_content FROM item_stats""",
         "request_validation": "SELECT request_id, errors = '' AS valid, errors FROM checked",
     }
-    out["als_gram"] = f"""SELECT 'user' AS side, count(*) AS vectors, {_r('sum(v * v)')} AS gram FROM x2
-      UNION ALL SELECT 'item', count(*), {_r('sum(v * v)')} FROM y2"""
+    both = lambda name: f"SELECT id, 0 AS dim, p AS v FROM {name} UNION ALL SELECT id, 1, q FROM {name}"
+    out["als_rank2_factors"] = f"""SELECT side, id, dim::BIGINT AS dim, {_r('v')} AS value FROM (
+      SELECT 'user' AS side, * FROM ({both('a2')}) UNION ALL SELECT 'item', * FROM ({both('b2')}))"""
+    out["als_rank2_fold_in"] = f"SELECT id AS request_id, dim::BIGINT AS dim, {_r('v')} AS value FROM ({both('folded2')})"
+    out["als_gram"] = " UNION ALL ".join(
+        f"SELECT '{side}' AS side, {i}::BIGINT AS \"row\", {j}::BIGINT AS col, count(*) AS vectors, {_r(f'sum({x} * {y})')} AS gram FROM {name}"
+        for side, name in (("user", "a2"), ("item", "b2")) for i, x in enumerate("pq") for j, y in enumerate("pq"))
+    out["topk_als_rank2"] = """SELECT user_id, rank, item_id, score, l.user_id IS NOT NULL AS hit FROM rank2_lists
+      LEFT JOIN liked l USING (user_id, item_id) WHERE rank <= 10"""
     out["blend_grid"] = f"""SELECT k_user, k_item, k_content, {_r('warm_users')} AS warm_users, {_r('cold_users')} AS cold_users,
       {_r('cold_items')} AS cold_items, {_r("""exp((ln(greatest(warm_users, 1e-9)) + ln(greatest(cold_users, 1e-9))
       + ln(greatest(cold_items, 1e-9))) / 3)""")} AS objective FROM grid_slices JOIN grid_cold_slice USING (k_user, k_item, k_content)"""
@@ -609,6 +661,8 @@ def statements() -> dict[str, str]:
         UNION ALL SELECT 'Price, two per decade', user_id, place, item_id, score FROM price_mixed WHERE place <= 10
         UNION ALL SELECT model, user_id, rank, item_id, score FROM lists WHERE model = '{scorer.POPULARITY}' AND rank <= 10) b
       LEFT JOIN liked l USING (user_id, item_id)"""
+    out["lsa_rank2_embedding"] = f"""SELECT item_id, {_r('abs(sum(w * a.v))')} AS first, {_r('abs(sum(w * b.v))')} AS second
+      FROM tfidf JOIN leaddir a USING (term) JOIN nextdir b USING (term) GROUP BY 1"""
     titles = r"""SELECT p_partkey AS item_id, CASE p_partkey % 6 WHEN 0 THEN nm || ', The' || yr WHEN 1 THEN '  ' || nm || yr
         WHEN 2 THEN nm || ', A' WHEN 3 THEN nm || ', An (also, The)' || yr WHEN 4 THEN nm || ' (alias)' || yr || '  '
         ELSE nm END AS raw FROM (SELECT p_partkey, ' (' || (1950 + p_size) || ')' AS yr, array_to_string(

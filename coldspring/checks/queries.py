@@ -27,6 +27,7 @@ from coldspring.workspace import Workspace
 # Settings shared with the SQL counterparts.
 PLAIN = EngineConfig(score_digits=9, als=AlsConfig(factors=1, regularization=1.0, iterations=2),
                      content=ContentConfig(text_weight=0.0))
+RANK2 = EngineConfig(score_digits=6, als=AlsConfig(factors=2, regularization=1.0, iterations=2), content=ContentConfig(text_weight=0.0))
 FULL = EngineConfig(als=AlsConfig(factors=16, regularization=10.0, iterations=3))
 PLAIN_MODELS = [scorer.POPULARITY, scorer.DEMOGRAPHIC, scorer.CF, scorer.CONTENT, scorer.FIXED, scorer.SWITCH,
                 scorer.ADAPTIVE]
@@ -57,6 +58,22 @@ class Lab:
     def results(self) -> evaluate.Results:
         return evaluate.evaluate(self.plain)
 
+    @cached_property
+    def rank2(self) -> Experiment:
+        """The plain experiment with two factors instead of one."""
+        made = Experiment(self.plain.dataset, RANK2, self.workspace)
+        for name in ("split", "train_pairs", "user_stats", "item_stats", "sizes", "liked", "user_segments", "popularity_vectors", "percentiles",
+                     "features", "by_user", "by_item", "profiles"):
+            setattr(made, name, getattr(self.plain, name))
+        return made
+
+    @cached_property
+    def new_pairs(self) -> gather.EdgeBlocks:
+        _, ratings = self.new_requests
+        pairs = self.workspace.stage(ratings.select(F.col("request_id").alias("target"), F.col("item_id").alias("src"),
+                                                    F.col("rating").alias("w")), "fold-pairs")
+        return gather.build_blocks(pairs, pairs.count(), PLAIN.scale, self.workspace, "fold")
+
     @cached_property
     def full(self) -> Experiment:
         made = Experiment(load_tables(self.spark, self.folder), FULL, self.workspace)
@@ -231,24 +248,37 @@ def als_rank1_factors(lab):
 
 
 def als_rank1_fold_in(lab):
-    _, ratings = lab.new_requests
-    pairs = lab.workspace.stage(ratings.select(F.col("request_id").alias("target"), F.col("item_id").alias("src"),
-                                               F.col("rating").alias("w")), "fold-pairs")
-    blocks = gather.build_blocks(pairs, pairs.count(), PLAIN.scale, lab.workspace, "fold")
-    folded = als.fold_in(blocks, lab.plain.factors, PLAIN.als)
+    folded = als.fold_in(lab.new_pairs, lab.plain.factors, PLAIN.als)
     return folded.select(F.col("id").alias("request_id"), F.get("vec", F.lit(0)).alias("value"))
 
 
+def als_rank2_factors(lab):
+    f = lab.rank2.factors
+    rows = f.users.select(F.lit("user").alias("side"), "id", F.posexplode("vec").alias("dim", "value"))
+    return rows.unionByName(f.items.select(F.lit("item").alias("side"), "id", F.posexplode("vec").alias("dim", "value")))
+
+
+def als_rank2_fold_in(lab):
+    folded = als.fold_in(lab.new_pairs, lab.rank2.factors, RANK2.als)
+    return folded.select(F.col("id").alias("request_id"), F.posexplode("vec").alias("dim", "value"))
+
+
 def als_gram(lab):
-    """Sum of outer products of the factor vectors, as the solver uses it."""
-    e, rows = lab.plain, []
+    """Sums of outer products of the factor vectors, as the solver uses them."""
+    e, rows = lab.rank2, []
     for side, df in (("user", e.factors.users), ("item", e.factors.items)):
-        total = float(gather.gram(df, "vec", PLAIN.als.factors)[0, 0])
-        rows.append(df.agg(F.count(F.lit(1)).alias("vectors")).select(F.lit(side).alias("side"), "vectors",
-                                                                      F.lit(total).alias("gram")))
+        total = gather.gram(df, "vec", RANK2.als.factors)
+        cells = [F.struct(F.lit(i).alias("row"), F.lit(j).alias("col"), F.lit(float(total[i, j])).alias("gram")) for i in range(2) for j in range(2)]
+        rows.append(df.agg(F.count(F.lit(1)).alias("vectors"))
+                    .select(F.lit(side).alias("side"), "vectors", F.inline(F.array(*cells))))
     return rows[0].unionByName(rows[1])
 
 
+def topk_als_rank2(lab):
+    lists = evaluate.ranked(lab.rank2, lab.results.users, {scorer.CF: {"signal": "cf"}}, 10, "rank2-lists")
+    return lists.select("user_id", "rank", "item_id", "score", "hit")
+
+
 # --- blending and ranking ---------------------------------------------------------
 
 def zscore_per_user(lab):
@@ -440,6 +470,14 @@ def lsa_embedding(lab):
                        F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x).alias("energy"))
 
 
+def lsa_rank2_embedding(lab):
+    """The two leading directions (sign left open)."""
+    e, cfg = lab.plain, ContentConfig(text_dims=2)
+    weights_ = content.tfidf_table(e.dataset.items, e.dataset.tags, e.sizes["n_items"], cfg, PLAIN.scale, lab.workspace)
+    vecs, _ = content.text_embedding(weights_, e.sizes["n_items"], cfg, PLAIN.scale, lab.workspace)
+    return vecs.select(F.col("id").alias("item_id"), F.abs(F.get("vec", F.lit(0))).alias("first"), F.abs(F.get("vec", F.lit(1))).alias("second"))
+
+
 def als_topk(lab):
     return lab.full_results.lists.filter((F.col("model") == scorer.CF) & (F.col("rank") <= 10)).select(
         "user_id", "rank", "item_id", "score")
@@ -521,11 +559,11 @@ _NAMED = [interactions_collapse, drop_orphan_ratings, cold_pick_users, cold_pick
           interaction_stats, sample_users, truth_relevant, validation_split, title_year_split, genre_parse,
           history_buckets, display_titles, popularity_global, popularity_segment, popularity_percentile, head_tail_items,
           item_feature_blocks, tfidf_titles, user_profiles, similar_items, als_rank1_factors, als_rank1_fold_in,
-          als_gram, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain, custom_scorer_topk,
+          als_rank2_factors, als_rank2_fold_in, als_gram, topk_als_rank2, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain, custom_scorer_topk,
           ranking_metrics, hit_flags, beyond_accuracy, slice_metrics, cold_item_slice, robustness_table, best_models,
           geo_mean_objective, model_lift, dataset_facts, ndcg_by_history, weights_by_history, mainstream_quintiles,
           popularity_bias, genre_recall, cold_user_rating_bands, case_studies, hardest_cold_items, content_ablation, content_ablation_text,
-          lsa_embedding, als_topk, full_slice_metrics, blend_grid, recommend_new_users, catalog_search,
+          lsa_embedding, lsa_rank2_embedding, als_topk, full_slice_metrics, blend_grid, recommend_new_users, catalog_search,
           user_history_top, user_summary, example_users, dataset_meta, request_validation]
 
 

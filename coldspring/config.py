@@ -35,12 +35,13 @@ class ContentConfig:
     text_weight: float = 0.7
     text_dims: int = 64
     min_df: int = 2
-    # Text embedding: the subspace is iterated until the residual of every kept direction is below this share of its
-    # weight; more than ``svd_passes`` passes are an error. Further directions speed it up: as many again, at least
-    # ``svd_oversample``.
+    # Text embedding: the basis grows until the residual of every kept direction is below this share of its
+    # weight; more than ``svd_passes`` passes are an error. Each pass adds the kept number of directions and as many
+    # again, at least ``svd_oversample``; a basis of more than ``svd_basis`` such blocks is cut down.
     svd_tolerance: float = 1e-7
-    svd_passes: int = 100
+    svd_passes: int = 60
     svd_oversample: int = 10
+    svd_basis: int = 12
     seed: int = 0
     # None means the English list that ships with Spark ML.
     stop_words: tuple | None = None

@@ -58,7 +58,7 @@ def ridge_rows(targets, sources, weights, vector_ids, vectors, gram, split_targe
 
     Returns (ids, solutions, split ids, packed partial equations). A target in
     ``split_targets`` has only a part of its rows here, so its equations
-    [Y'diag(w)Y | Y'(1+w)] are passed on for summing instead.
+    [upper triangle of Y'diag(w)Y | Y'(1+w)] are passed on for summing instead.
     """
     dims = vectors.shape[1]
     unique, starts, ends, found, weights = _grouped(targets, sources, weights, vector_ids)
@@ -83,23 +83,36 @@ def ridge_rows(targets, sources, weights, vector_ids, vectors, gram, split_targe
                 a = gram + (y * w[:, :, None]).transpose(0, 2, 1) @ y
                 b = ((1.0 + w)[:, None, :] @ y)[:, 0, :]
                 solved[some] = np.linalg.solve(a, b[:, :, None])[:, :, 0]
-    parts = np.zeros((int(is_split.sum()), dims * dims + dims))
+    parts = np.zeros((int(is_split.sum()), dims * (dims + 1) // 2 + dims))
     for row, at in enumerate(np.flatnonzero(is_split)):
         y, w = vectors[found[starts[at]:ends[at]]], weights[starts[at]:ends[at]]
-        parts[row] = np.concatenate([((y.T * w) @ y).ravel(), y.T @ (1.0 + w)])
+        parts[row] = np.concatenate([pack_triangle((y.T * w) @ y), y.T @ (1.0 + w)])
     return unique[~is_split], solved[~is_split], unique[is_split], parts
 
 
 def _short_ridge(y, z, w):
     """(G + Y'WY)^-1 Y'(1+w) for a stack of targets with fewer rows than dims, from a
-    rows x rows system (Woodbury identity); ``z`` = Y G^-1, shared by all targets."""
-    root = np.sqrt(w)
-    inner = (z @ y.transpose(0, 2, 1)) * root[:, :, None] * root[:, None, :]
+    rows x rows system (Woodbury identity); ``z`` = Y G^-1, shared by all targets. Weights may be negative or 0."""
+    inner = (z @ y.transpose(0, 2, 1)) * w[:, :, None]
     inner += np.eye(y.shape[1])
     base = ((1.0 + w)[:, None, :] @ z)[:, 0, :]
-    right = root * (y @ base[:, :, None])[:, :, 0]
+    right = w * (y @ base[:, :, None])[:, :, 0]
     left = np.linalg.solve(inner, right[:, :, None])[:, :, 0]
-    return base - ((root * left)[:, None, :] @ z)[:, 0, :]
+    return base - (left[:, None, :] @ z)[:, 0, :]
+
+
+def pack_triangle(matrix: np.ndarray) -> np.ndarray:
+    """The upper triangle of a symmetric matrix, row by row."""
+    return matrix[np.triu_indices(len(matrix))]
+
+
+def unpack_triangle(packed: np.ndarray, dims: int) -> np.ndarray:
+    """The symmetric matrices (... x dims x dims) of packed upper triangles."""
+    out = np.zeros((*packed.shape[:-1], dims, dims))
+    i, j = np.triu_indices(dims)
+    out[..., i, j] = packed
+    out[..., j, i] = packed
+    return out
 
 
 def scatter(lengths, places, values, width: int) -> np.ndarray:
@@ -109,9 +122,15 @@ def scatter(lengths, places, values, width: int) -> np.ndarray:
     return out
 
 
-def solve_packed(packed: np.ndarray, gram: np.ndarray) -> np.ndarray:
+def solve_packed(packed: np.ndarray, gram: np.ndarray, step: int = 256) -> np.ndarray:
+    """Solutions of summed equations (rows of [packed triangle | right side]) with ``gram`` added to each."""
     dims = gram.shape[0]
-    return np.linalg.solve(gram + packed[:dims * dims].reshape(dims, dims), packed[dims * dims:])
+    cells = dims * (dims + 1) // 2
+    out = np.zeros((len(packed), dims))
+    for at in range(0, len(packed), step):
+        rows = packed[at:at + step]
+        out[at:at + step] = np.linalg.solve(gram + unpack_triangle(rows[:, :cells], dims), rows[:, cells:, None])[:, :, 0]
+    return out
 
 
 # --- scoring ---------------------------------------------------------------

@@ -71,9 +71,8 @@ def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale:
                    workspace: Workspace) -> tuple[DataFrame, int]:
     """(id, vec): uncentred truncated SVD of the TF-IDF rows, as U * Sigma.
 
-    Found by subspace iteration at every size of the vocabulary: each pass multiplies by the sparse matrix and its
-    transpose with a gather, and only matrices of the width of the subspace reach the driver. The iteration ends when the
-    kept directions have settled; if the subspace has a direction for every term, that is after the first pass.
+    Found by block Lanczos iteration with full re-orthogonalisation (see ``_lanczos_embedding``): each pass multiplies by
+    the sparse matrix and its transpose with a gather, and only matrices of the width of the basis reach the driver.
     """
     weights = workspace.stage(weights, "tfidf")
     counts = workspace.stage(weights.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-sizes")
@@ -88,45 +87,76 @@ def text_embedding(weights: DataFrame, n_items: int, cfg: ContentConfig, scale:
     limit = row_limit(total, scale)
     hot = hot_keys(counts, "term", "n", limit) if top > limit else None
     cells = spread_join(weights, numbered, "term", hot, "item_id").select("item_id", "term_no", "w")
-    return _subspace_embedding(workspace.stage(cells, "tfidf-cells"), total, n_items, n_terms, dims, cfg, scale,
+    return _lanczos_embedding(workspace.stage(cells, "tfidf-cells"), total, n_items, n_terms, dims, cfg, scale,
                                workspace), dims
 
 
-def _subspace_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: int, dims: int,
-                        cfg: ContentConfig, scale: ScaleConfig, workspace: Workspace) -> DataFrame:
+def _lanczos_embedding(cells: DataFrame, n_cells: int, n_items: int, n_terms: int, dims: int,
+                       cfg: ContentConfig, scale: ScaleConfig, workspace: Workspace) -> DataFrame:
+    """The leading directions of A'A over a growing orthonormal basis [P | N] of the term space, A being items x terms.
+
+    A pass takes W = A'A N and splits it by the basis: the part inside extends the projected matrix T = [P N]' A'A [P N],
+    the rest, made orthonormal, is the next N with N R = rest. A direction q of T has the residual R q_N, a norm taken
+    as it is and not as a difference. The iteration ends when all kept directions have settled; if the basis spans every
+    term, nothing is left over and that is so at once. A basis wider than ``svd_basis`` blocks is replaced by its leading
+    directions (thick restart). The lengths of the rows of A come in with one more gather at the end.
+    """
     width = min(n_terms, dims + max(dims, cfg.svd_oversample))
     to_items = gather.build_blocks(cells.select(F.col("item_id").alias("target"), F.col("term_no").alias("src"), "w"),
                                    n_cells, scale, workspace, "svd-items")
     to_terms = gather.build_blocks(cells.select(F.col("term_no").alias("target"), F.col("item_id").alias("src"), "w"),
                                    n_cells, scale, workspace, "svd-terms")
 
-    def settled(df: DataFrame, n: int, name: str) -> gather.Vectors:
-        return gather.Vectors(df, n, width, scale).settle(workspace, name)
-
-    def turned(v: gather.Vectors) -> tuple[np.ndarray, np.ndarray]:
-        """Weights of the directions of ``v``, largest first, and the matrix that makes them orthonormal (directions
-        without weight become 0)."""
-        values, basis = np.linalg.eigh(v.gram())
-        order = np.argsort(-values)
-        values, basis = np.maximum(values[order], 0.0), basis[:, order]
-        return values, basis * np.where(values > values[0] * 1e-14, 1.0 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-
-    by_term = settled(numbered_normals(cells, cfg.seed, width), n_terms, "svd-draws")
-    by_term = by_term.times(turned(by_term)[1])
+    def settled(df: DataFrame, n: int, wide: int, name: str) -> gather.Vectors:
+        return gather.Vectors(df, n, wide, scale).settle(workspace, name)
+
+    def orthonormal(gram: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """(F, R) for columns W with this Gram matrix: W F is orthonormal, without directions below ``least``, and W = (W F) R."""
+        values, turn = np.linalg.eigh(gram)
+        length = np.sqrt(np.maximum(values, 0.0))
+        kept = length > least
+        return turn[:, kept] / length[kept], length[kept, None] * turn[:, kept].T
+
+    draws = settled(numbered_normals(cells, cfg.seed, width), n_terms, width, "svd-draws")
+    newest = draws.times(orthonormal(draws.gram(), 0.0)[0])
+    newest = newest.times(orthonormal(newest.gram(), 0.5)[0]).settle(workspace, "svd-start")
+    basis, projected, old = newest, np.zeros((0, 0)), 0
+    worst = np.inf
     for step in range(cfg.svd_passes):
-        # For orthonormal V: A V = U S, with U orthonormal, then A' U. If V is invariant, the lengths of A' U are S again.
-        by_item = settled(gather.gather_sum(to_items, by_term), n_items, f"svd-items-{step}")
-        weight, unit = turned(by_item)
-        basis = by_item.times(unit)
-        by_term = settled(gather.gather_sum(to_terms, basis), n_terms, f"svd-terms-{step}")
-        lengths = np.diag(by_term.gram())
-        kept = weight[:dims] > weight[0] * 1e-14
-        residual = np.sqrt(np.maximum(lengths[:dims][kept] - weight[:dims][kept], 0.0) / weight[:dims][kept])
-        if residual.max(initial=0.0) <= cfg.svd_tolerance or width == n_terms:
-            rotation = np.eye(width)[:, :dims] * np.sqrt(weight[:dims])
-            return basis.times(rotation).as_table(workspace, "svd-embedding")
-        by_term = by_term.times(turned(by_term)[1])
-    raise RuntimeError(f"the text embedding has not settled after {cfg.svd_passes} passes (residual {residual.max():.1e}): raise "
+        b = newest.dims
+        by_item = settled(gather.gather_sum(to_items, newest), n_items, b, f"svd-items-{step}")
+        image = gather.Vectors(gather.gather_sum(to_terms, by_item), n_terms, b, scale)
+        both = gather.side_by_side(basis, image).settle(workspace, f"svd-basis-{step}")
+        have = basis.dims
+        # Twice, as the first subtraction leaves rounding errors of the size of W.
+        inside = both.gram()[:have, have:]
+        less = np.block([[np.eye(have), -inside], [np.zeros((b, have)), np.eye(b)]])
+        again = both.times(less).gram()
+        inside2 = again[:have, have:]
+        inside = inside + inside2
+        projected = np.block([[projected, inside[:old]], [inside[:old].T, (inside[old:] + inside[old:].T) / 2]])
+        values, turn = np.linalg.eigh(projected)
+        values, turn = values[::-1], turn[:, ::-1]
+        fresh, rest = orthonormal(again[have:, have:] - inside2.T @ inside2, 1e-11 * values[0])
+        residual = np.linalg.norm(rest @ turn[old:, :dims], axis=0)
+        kept = values[:dims] > 1e-14 * values[0]
+        worst = (residual[kept] / values[:dims][kept]).max(initial=0.0)
+        if worst <= cfg.svd_tolerance or not fresh.shape[1]:
+            leading = turn[:, :dims] * (values[:dims] > 1e-14 * values[0])
+            found = gather.gather_sum(to_items, basis.times(leading).settle(workspace, "svd-directions"))
+            return gather.Vectors(found, n_items, leading.shape[1], scale).settle(workspace, "svd-vectors").as_table(workspace, "svd-embedding")
+        if have + fresh.shape[1] > cfg.svd_basis * width:
+            lead = turn[:, :dims + (width - dims) // 2]
+            projected = np.diag(values[:lead.shape[1]])
+        else:
+            lead = np.eye(have)
+        # [P | N] turned, and the next N, in one linear map of [P | N | W]
+        keep = np.vstack([lead, np.zeros((b, lead.shape[1]))])
+        next_block = less @ np.vstack([-inside2 @ fresh, fresh])
+        basis = both.times(np.hstack([keep, next_block])).settle(workspace, f"svd-next-{step}")
+        old = lead.shape[1]
+        newest = basis.times(np.eye(basis.dims)[:, old:])
+    raise RuntimeError(f"the text embedding has not settled after {cfg.svd_passes} passes (residual {worst:.1e}): raise "
                        "svd_passes, svd_oversample or svd_tolerance")
 
 

@@ -63,19 +63,37 @@ def tree_sum(df: DataFrame, column: str, width: int, fan_in: int = 32) -> np.nda
     return np.sum([np.array(row.v) for row in few.collect()], axis=0)
 
 
-def gram(df: DataFrame, column: str, dims: int, centre: np.ndarray | None = None,
-         fan_in: int = 32) -> np.ndarray:
-    """Sum of outer products of a vector column (dims x dims)."""
+TRIANGLE_PIECE = 8192     # cells of a packed triangle that are summed together
+MANY_TASKS = 512          # partial sums one task adds up
+
+
+def gram(df: DataFrame, column: str, dims: int, centre: np.ndarray | None = None) -> np.ndarray:
+    """Sum of outer products of a vector column (dims x dims). Each task packs the upper triangle of its sum in pieces;
+    the pieces are summed in tasks of their own, so the driver receives one triangle, whatever the number of tasks."""
+    cells = dims * (dims + 1) // 2
+    cuts = range(0, max(cells, 1), TRIANGLE_PIECE)
+
     def outer(batches):
-        total = np.zeros(dims * dims)
+        total = np.zeros((dims, dims))
         for batch in batches:
             if batch.num_rows:
                 m = kernels.to_matrix(batch.column(0), dims)
-                total += kernels.outer_sum(m if centre is None else m - centre)
-        yield pa.RecordBatch.from_arrays([kernels.to_list_column(total[None, :])], ["v"])
+                total += kernels.outer_sum(m if centre is None else m - centre).reshape(dims, dims)
+        packed = kernels.pack_triangle(total)
+        for number, at in enumerate(cuts):
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), kernels.to_list_column(packed[None, at:at + TRIANGLE_PIECE])], ["piece", "v"])
 
-    return tree_sum(df.select(column).mapInArrow(outer, "v array<double>"), "v", dims * dims,
-                    fan_in).reshape(dims, dims)
+    def add(key, table):
+        width = min(TRIANGLE_PIECE, cells - cuts[key[0].as_py()])
+        total = kernels.to_matrix(table.column("v"), width).sum(axis=0)
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "v": kernels.to_list_column(total[None, :])})
+
+    parts = df.select(column).mapInArrow(outer, "piece int, v array<double>")
+    if df.rdd.getNumPartitions() > MANY_TASKS:      # ``df`` is a staged table: no job runs here
+        slots = parts.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(MANY_TASKS // 8)))
+        parts = slots.groupBy("piece", "slot").applyInArrow(add, "piece int, v array<double>")
+    summed = parts.groupBy("piece").applyInArrow(add, "piece int, v array<double>").toArrow().sort_by("piece")
+    return kernels.unpack_triangle(summed.column("v").combine_chunks().flatten().to_numpy(), dims)
 
 
 def densify(cells: DataFrame, key: str, place: str, value: str, width: int) -> DataFrame:
@@ -192,6 +210,22 @@ class Vectors:
         return out
 
 
+def side_by_side(left: Vectors, right: Vectors) -> Vectors:
+    """The vectors of ``left``, each followed by that of ``right`` with the same id (zeros if there is none)."""
+    zeros = F.array_repeat(F.lit(0.0), right.dims)
+    joined = (left.table.select("id", F.col("vec").alias("_a")).join(right.table.select("id", F.col("vec").alias("_b")), "id", "left")
+              .select("id", F.concat("_a", F.coalesce("_b", zeros)).alias("vec")))
+    out = Vectors(joined, left.n, left.dims + right.dims, left.scale)
+    if left.is_small and right.is_small:
+        (ids, a), (other, b) = left.local, right.local
+        order = np.argsort(other)
+        place = np.minimum(np.searchsorted(other, ids, sorter=order), max(len(other) - 1, 0))
+        at = order[place] if len(other) else place
+        known = other[at] == ids if len(other) else np.zeros(len(ids), dtype=bool)
+        out.local = (ids, np.hstack([a, np.where(known[:, None], b[at], 0.0) if len(other) else np.zeros((len(ids), right.dims))]))
+    return out
+
+
 def _per_block(blocks: EdgeBlocks, vectors: Vectors, fn, schema: str) -> DataFrame:
     """Run ``fn(edge arrays, vector ids, vector matrix)`` on every block.
 
@@ -271,8 +305,10 @@ def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
 
 def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray, alpha: float = 1.0) -> DataFrame:
     """(id, vec): the ridge solution of each target with any edge. ``gram_matrix`` holds
-    Y'Y + lambda I; the confidence of an edge is 1 + alpha * w."""
+    Y'Y + lambda I; the confidence of an edge is 1 + alpha * w. Of a target that is spread over several blocks, each
+    block passes on its part of the equations as a packed triangle and a right side."""
     dims = vectors.dims
+    packed_size = dims * (dims + 1) // 2 + dims
 
     def run(edges, known, matrix) -> pa.Table:
         targets, sources, weights, split = edges
@@ -292,11 +328,10 @@ def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray,
 
     def solve(batches):
         for batch in batches:
-            packed = kernels.to_matrix(batch.column(1), dims * dims + dims)
-            solved = np.array([kernels.solve_packed(p, gram_matrix) for p in packed]).reshape(-1, dims)
+            solved = kernels.solve_packed(kernels.to_matrix(batch.column(1), packed_size), gram_matrix)
             yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(solved)], ["id", "vec"])
 
     packed = out.filter(F.col("part").isNotNull()).select("id", F.col("part").alias("vec"))
-    summed = _sum_parts(packed, dims * dims + dims)
+    summed = _sum_parts(packed, packed_size)
     return (out.filter(F.col("part").isNull()).select("id", "vec")
             .unionByName(summed.mapInArrow(solve, "id long, vec array<double>")))

@@ -58,6 +58,21 @@ def test_als_matches_dense_solution(everything, workspace, scale):
     np.testing.assert_allclose(matrix(got.items, 40), items, atol=1e-7)
 
 
+@pytest.mark.parametrize("scale", [ScaleConfig(), ScaleConfig(edges_per_block=9, broadcast_bytes=0)])
+def test_als_of_rank_128_matches_dense_solution(everything, workspace, scale):
+    """More factors than ratings of any user or item; small blocks send the equations of split targets as triangles."""
+    cfg = AlsConfig(factors=128, regularization=2.0, iterations=1)
+    e = everything
+    start = matrix(als.initial_items(e.item_stats, cfg), 40)
+    blocks = [als.rating_blocks(e.train_pairs, e.sizes["n_pairs"], scale, workspace, *side)
+              for side in (("user_id", "item_id", e.user_stats, "n_user"), ("item_id", "user_id", e.item_stats, "n_item"))]
+    got = als.fit(*blocks, e.item_stats, e.user_stats, cfg, scale, workspace)
+    users, items = dense_als(train_matrix(e), start, cfg)
+    np.testing.assert_allclose(matrix(got.users, 60), users, atol=1e-7)
+    np.testing.assert_allclose(matrix(got.items, 40), items, atol=1e-7)
+    np.testing.assert_allclose(gather.gram(got.items, "vec", 128), items.T @ items, atol=1e-9)
+
+
 def test_factors_rank_what_lies_near_higher(everything):
     scores = matrix(everything.factors.users, 60) @ matrix(everything.factors.items, 40).T
     far = np.array([[data.away(u, i) for i in range(1, 41)] for u in range(1, 61)])
@@ -102,6 +117,37 @@ def test_text_embedding_is_the_truncated_svd(spark, workspace, scale):
     np.testing.assert_allclose(got @ got.T, want @ want.T, atol=1e-6)
 
 
+def test_text_embedding_of_many_words_settles_in_ten_passes(spark, workspace):
+    """5,000 words by Zipf's law: the basis needs at most ten passes (blocks of 128 directions)."""
+    rng = np.random.default_rng(1)
+    share = 1 / np.arange(1, 5001)
+    rows = [(i + 1, " ".join(f"w{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in rng.choice(5000, size=rng.integers(2, 7), p=share / share.sum())))
+            for i in range(3000)]
+    items = spark.createDataFrame(rows, "item_id long, title string")
+    cfg = ContentConfig(stop_words=(), svd_passes=10)
+    weights = workspace.stage(content.tfidf_table(items, None, len(rows), cfg, ScaleConfig(), workspace), "many-words")
+    vecs, dims = content.text_embedding(weights, len(rows), cfg, ScaleConfig(), workspace)
+    cells = weights.toPandas()
+    dense = cells.pivot_table(index="item_id", columns="term", values="w", fill_value=0.0)
+    _, s, _ = np.linalg.svd(dense.to_numpy(), full_matrices=False)
+    got = {r.id: r.vec for r in vecs.collect()}
+    gram = np.array([got[i] for i in dense.index])
+    gram = gram.T @ gram
+    np.testing.assert_allclose(np.diag(gram), s[:64] ** 2, rtol=1e-9)
+    np.testing.assert_allclose(gram, np.diag(np.diag(gram)), atol=1e-6)
+
+
+def test_text_embedding_restarts_from_its_leading_directions(spark, workspace):
+    rows, items = random_titles(spark)
+    cfg = ContentConfig(text_dims=3, svd_oversample=2, svd_basis=3, stop_words=())
+    weights = content.tfidf_table(items, None, len(rows), cfg, ScaleConfig(), workspace)
+    vecs, _ = content.text_embedding(weights, len(rows), cfg, ScaleConfig(), workspace)
+    dense = weights.toPandas().pivot_table(index="item_id", columns="term", values="w", fill_value=0.0)
+    _, s, _ = np.linalg.svd(dense.to_numpy(), full_matrices=False)
+    got = np.array([r.vec for r in vecs.collect()])
+    np.testing.assert_allclose((got ** 2).sum(axis=0), s[:3] ** 2, rtol=1e-9)
+
+
 def test_text_embedding_says_when_it_does_not_settle(spark, workspace):
     rows, items = random_titles(spark)
     cfg = ContentConfig(text_dims=8, svd_passes=1, svd_oversample=1, svd_tolerance=1e-12, stop_words=())

@@ -146,6 +146,23 @@ def test_gather_ridge_matches_numpy(spark, workspace, scale):
         np.testing.assert_allclose(got[target], want, atol=1e-8)
 
 
+@pytest.mark.parametrize("scale", PLANS)
+def test_ridge_of_weights_of_any_sign(spark, workspace, scale):
+    """More dimensions than edges for most targets (the small system), negative weights and weights of 0."""
+    rows, _, _, _ = edges(spark, 2)
+    rng = np.random.default_rng(9)
+    rows["w"] = np.where(rng.random(len(rows)) < 0.3, 0.0, rng.uniform(-0.02, 0.3, len(rows)))
+    vecs = rng.normal(size=(80, 24))
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, vec array<double>")
+    source = gather.Vectors(table, 80, 24, scale)
+    gram = source.gram() + 3.0 * np.eye(24)
+    blocks = gather.build_blocks(spark.createDataFrame(rows), len(rows), scale, workspace, "t")
+    got = {r.id: r.vec for r in gather.gather_ridge(blocks, source, gram).collect()}
+    for target, mine in rows.groupby("target"):
+        y, w = vecs[mine.src], mine.w.to_numpy()
+        np.testing.assert_allclose(got[target], np.linalg.solve(gram + (y.T * w) @ y, y.T @ (1 + w)), atol=1e-8)
+
+
 def test_edges_are_not_shuffled_again(spark, workspace):
     rows, _, df, table = edges(spark)
     scale = ScaleConfig(edges_per_block=100)
