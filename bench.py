@@ -50,7 +50,7 @@ def main() -> None:
 
     noop = lambda df: df.write.format("noop").mode("overwrite").save()
     timed("q_interactions_collapse", lambda: noop(interactions.collapse(rating_rows(spark, folder))))
-    timed("q_similar_items", lambda: noop(analysis.similar_items(e, e.item_stats, e.sizes["n_items"], 10)))
+    timed("q_similar_items", lambda: noop(analysis.similar_items(e, 10)))
     timed("q_user_history", lambda: noop(serving.user_history(e)))
     timed("q_pair_signals", lambda: noop(evaluate.pair_signals(e, e.dataset.ratings.select("user_id", "item_id"))))
     timed("q_request_lists", lambda: noop(serving.recommend_users(

@@ -237,8 +237,7 @@ def user_profiles(lab):
 
 
 def similar_items(lab):
-    e = lab.plain
-    return analysis.similar_items(e, e.item_stats, e.sizes["n_items"], 5)
+    return analysis.similar_items(lab.plain, 5)
 
 
 def als_rank1_factors(lab):

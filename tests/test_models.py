@@ -356,7 +356,7 @@ def test_cold_lists_hold_cold_items_only(experiment, results):
 
 
 def test_similar_items_share_the_genre(experiment):
-    near = analysis.similar_items(experiment, experiment.item_stats, 40, 3).toPandas()
+    near = analysis.similar_items(experiment, 3).toPandas()
     assert len(near) == 120 and (near.item_id != near.neighbour_id).all()
     assert ((near.item_id - 1) // 10 == (near.neighbour_id - 1) // 10).all()
 
