@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coldspring.config import ScaleConfig
+from coldspring.workspace import Workspace
 
 
 def row_limit(total_rows: int, scale: ScaleConfig) -> int:
@@ -62,11 +63,10 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], limit: int,
     """Exact 0-based place ``_pos`` of each row in its group, the group size ``_size``, and
     for each ``sums`` entry (name -> column) the running sum up to and including the row.
 
-    Groups above ``limit`` rows are cut into ordered ranges: the rows whose order columns
-    hash to 0 modulo ``limit`` are the cut points, so a range holds about ``limit`` rows.
-    Places within a range come from a window, and the rows before a range from the counts
-    of the ranges. ``order`` is ascending and must be unique within a group for a stable
-    result. ``df`` is read several times when there are hot groups, so stage it first.
+    If a group has more than ``limit`` rows, the table is range-partitioned by keys and order and written (the bounds
+    are sampled, so they must not be drawn twice). A window counts inside each range, and the rows of the group in
+    earlier ranges come from one row per group and range. ``order`` is ascending and must be unique within a group for
+    a stable result. ``df`` is read several times when there are hot groups, so stage it first.
     """
     sums = sums or {}
     lone = not keys
@@ -88,33 +88,25 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], limit: int,
             out = out.withColumn(name, F.sum(column).over(upto))
         return out.drop("_all") if lone else out
 
-    here = F.struct(*order)
-    cuts = (df.join(F.broadcast(hot), keys)
-            .filter(F.pmod(F.xxhash64(*order), F.lit(limit)) == 0)
-            .groupBy(*keys).agg(F.sort_array(F.collect_list(here)).alias("_cuts")))
-    ranged = (df.join(F.broadcast(cuts), keys, "left")
-              .withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-                  F.size(F.filter("_cuts", lambda c: c <= here))))
-              .drop("_cuts"))
+    ranges = max(2, math.ceil(df.count() / limit))
+    ranged = Workspace(df.sparkSession).stage(
+        df.repartitionByRange(ranges, *keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = [F.count(F.lit(1)).alias("_n")]
-    per_range += [F.sum(column).alias(f"_sum_{name}") for name, column in sums.items()]
-    offsets = (ranged.join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
-               .groupBy(*keys, "_range").agg(*per_range)
-               .select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-                       F.sum("_n").over(Window.partitionBy(*keys)).alias("_whole"),
-                       *[F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_off_{name}")
-                         for name in sums]))
+    counted = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(column).alias(f"_sum_{name}") for name, column in sums.items()])
+    offsets = counted.select(
+        *[F.col(k).alias(f"_o_{k}") for k in [*keys, "_range"]], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_size"),
+        *[F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_off_{name}") for name in sums])
     group = Window.partitionBy(*keys, "_range")
     upto = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = (ranged.join(F.broadcast(offsets), [*keys, "_range"], "left")
-           .withColumn("_pos", F.row_number().over(group.orderBy(*order)) - 1
-                       + F.coalesce("_before", F.lit(0)))
-           .withColumn("_size", F.coalesce("_whole", F.count(F.lit(1)).over(group))))
+    same = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in [*keys, "_range"]]
+    out = ranged.withColumn("_pos", F.row_number().over(group.orderBy(*order)) - 1)
     for name, column in sums.items():
-        out = out.withColumn(name, F.sum(column).over(upto)
-                             + F.coalesce(f"_off_{name}", F.lit(0))).drop(f"_off_{name}")
-    out = out.drop("_range", "_before", "_whole")
+        out = out.withColumn(name, F.sum(column).over(upto))
+    out = out.join(offsets, same).withColumn("_pos", F.col("_pos") + F.col("_before"))
+    for name in sums:
+        out = out.withColumn(name, F.col(name) + F.col(f"_off_{name}")).drop(f"_off_{name}")
+    out = out.drop("_range", "_before", *[f"_o_{k}" for k in [*keys, "_range"]])
     return out.drop("_all") if lone else out
 
 

@@ -35,6 +35,24 @@ def test_positions_of_hot_groups_are_exact(spark, limit):
         assert (merged[name] == merged[f"{name}_want"]).all()
 
 
+def test_positions_count_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None if i % 3 else i % 2, i % 7, i) for i in range(200)], "k int, t int, id int")
+    got = skew.with_position(df, ["k"], ["t", "id"], 20).toPandas()
+    want = df.toPandas().sort_values(["t", "id"])
+    want["_pos"] = want.groupby("k", dropna=False).cumcount()
+    merged = got.merge(want, on="id", suffixes=("", "_want"))
+    assert len(merged) == 200 and (merged["_pos"] == merged["_pos_want"]).all()
+
+
+def test_no_task_holds_a_hot_group(spark):
+    """The window of a group of 5,000 rows runs over ranges of some hundred."""
+    df = skew.with_position(spark.range(5000).select((F.col("id") % 1).alias("k"), "id"), ["k"], ["id"], 500)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan and "_cuts" not in plan
+    ranges = df.sparkSession.read.parquet(df.inputFiles()[0].rsplit("/", 1)[0])
+    assert ranges.groupBy("_range").count().agg(F.max("count")).first()[0] < 2000
+
+
 def test_global_positions_do_not_need_one_task(spark):
     df = skewed(spark)
     got = skew.with_position(df, [], ["t", "id"], 100).toPandas().sort_values(["t", "id"])
