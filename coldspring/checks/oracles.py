@@ -159,12 +159,13 @@ _part("b0", f"""SELECT item_id AS id, 0.01::DOUBLE * ({_normal('als', 7, 'item_i
   FROM items""")
 
 
-def _two_factors(name: str, prev: str, pairs: str, target: str, source: str) -> None:
+def _two_factors(name: str, prev: str, pairs: str, target: str, source: str, ridge: float = 1.0, alpha: float = 1.0) -> None:
+    w = f"{alpha!r}::DOUBLE * t.rating"
     _part(name, f"""SELECT id, (bp * cqq - bq * cpq) / (cpp * cqq - cpq * cpq) AS p, (bq * cpp - bp * cpq) / (cpp * cqq - cpq * cpq) AS q FROM (
-        SELECT t.{target} AS id, sum(t.rating * f.p * f.p) + any_value(g.pp) AS cpp, sum(t.rating * f.p * f.q) + any_value(g.pq) AS cpq,
-          sum(t.rating * f.q * f.q) + any_value(g.qq) AS cqq, sum(f.p * (1 + t.rating)) AS bp, sum(f.q * (1 + t.rating)) AS bq
+        SELECT t.{target} AS id, sum({w} * f.p * f.p) + any_value(g.pp) AS cpp, sum({w} * f.p * f.q) + any_value(g.pq) AS cpq,
+          sum({w} * f.q * f.q) + any_value(g.qq) AS cqq, sum(f.p * (1 + {w})) AS bp, sum(f.q * (1 + {w})) AS bq
         FROM {pairs} t JOIN {prev} f ON f.id = t.{source}
-        CROSS JOIN (SELECT sum(p * p) + 1.0 AS pp, sum(p * q) AS pq, sum(q * q) + 1.0 AS qq FROM {prev}) g GROUP BY 1)""")
+        CROSS JOIN (SELECT sum(p * p) + {ridge!r}::DOUBLE AS pp, sum(p * q) AS pq, sum(q * q) + {ridge!r}::DOUBLE AS qq FROM {prev}) g GROUP BY 1)""")
 
 
 for _name, _prev, _target, _source in [("a1", "b0", "user_id", "item_id"), ("b1", "a1", "item_id", "user_id"),
@@ -408,7 +409,7 @@ def _copy(prefix: str, names: list[str], swaps: dict | None = None) -> None:
 _copy("inner_", ["train", "user_stats", "item_stats", "liked", "totals", "eval_users", "cold_ids", "cold_eval_users", "global_pop",
                  "segments", "segment_n", "segment_total", "segment_pop", "raw_profiles", "profile_norm", "profiles", "x1", "y1",
                  "x2", "y2", "cosines", "has_profile", "signals", "z"], {"split": "inner_split"})
-_GRID = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a in (10, 100) for b in (10, 100) for c in (10, 100))
+_GRID = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a in (3, 10, 30, 100, 300) for b in (3, 10, 30, 100, 300, 1000) for c in (3, 10, 30, 100, 300))
 _part("grid", f"SELECT * FROM (VALUES {_GRID}) g(k_user, k_item, k_content)")
 
 
@@ -431,6 +432,25 @@ _part("grid_slices", """SELECT k_user, k_item, k_content, avg(ndcg) FILTER (WHER
     avg(ndcg) FILTER (WHERE n_train < 5) AS cold_users FROM grid_ndcg GROUP BY 1, 2, 3""")
 _part("grid_cold_slice", "SELECT k_user, k_item, k_content, avg(ndcg) AS cold_items FROM grid_cold_ndcg GROUP BY 1, 2, 3")
 
+# The factor grid: each point fitted on the inner training rows, ranked for warm users.
+_part("flat0", "SELECT id, p, 0.0::DOUBLE AS q FROM b0")
+ALS_POINTS = [(f, r, a) for f in (1, 2) for r, a in ((1.0, 1.0), (5.0, 0.25), (20.0, 1.0))]
+_point_sums = []
+for _at, (_factors, _ridge, _alpha) in enumerate(ALS_POINTS):
+    _last = "flat0" if _factors == 1 else "b0"      # with q = 0 everywhere the second factor stays 0
+    for _round in (1, 2):
+        _two_factors(f"gu{_at}_{_round}", _last, "inner_train", "user_id", "item_id", _ridge, _alpha)
+        _two_factors(f"gi{_at}_{_round}", f"gu{_at}_{_round}", "inner_train", "item_id", "user_id", _ridge, _alpha)
+        _last = f"gi{_at}_{_round}"
+    _part(f"als_ndcg{_at}", f"""SELECT {_factors}::BIGINT AS factors, {_ridge!r}::DOUBLE AS regularization, {_alpha!r}::DOUBLE AS alpha,
+        sum(coalesce(gain, 0)) / count(*) AS ndcg FROM (SELECT user_id, n_relevant FROM inner_eval_users WHERE n_train >= 5) LEFT JOIN (
+        SELECT r.user_id, sum(1.0::DOUBLE / log2(rank + 1.0::DOUBLE)) / any_value({_ideal(10)}) AS gain FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+            SELECT user_id, n_relevant, item_id, round(coalesce(u.p * i.p + u.q * i.q, 0), 9) + 0.0 AS score FROM inner_eval_users CROSS JOIN items
+            LEFT JOIN gu{_at}_2 u ON u.id = user_id LEFT JOIN gi{_at}_2 i ON i.id = item_id ANTI JOIN inner_train USING (user_id, item_id))) r
+        JOIN inner_liked l ON l.user_id = r.user_id AND l.item_id = r.item_id WHERE rank <= 10 GROUP BY 1) USING (user_id)""")
+    _point_sums.append(f"SELECT factors, regularization, alpha, {_r('ndcg')} AS ndcg FROM als_ndcg{_at}")
+
 # Content without the decade block, ranked on the cold-item slice.
 _part("genre_only_blocks", "SELECT * FROM blocks WHERE feature LIKE 'genre:%'")
 _copy("genre_only_", ["features", "raw_profiles", "profile_norm", "profiles", "cosines", "has_profile", "signals", "z"],
@@ -656,6 +676,7 @@ def statements() -> dict[str, str]:
     out["hardest_cold_items"] = f"""SELECT item_id, shown AS title, array_to_string(genres, ', ') AS genres, n_item AS train_ratings,
         fans_in_test, {_r('hit_rate')} AS hit_rate, near AS nearest_by_content FROM hardest JOIN shown USING (item_id)
       JOIN items USING (item_id) JOIN item_stats USING (item_id) JOIN nearest USING (item_id)"""
+    out["als_grid"] = " UNION ALL ".join(_point_sums)
     out["custom_scorer_topk"] = f"""SELECT model, user_id, rank, item_id, score, l.user_id IS NOT NULL AS hit FROM (
         SELECT 'Price' AS model, user_id, place AS rank, item_id, score FROM price_lists WHERE place <= 10
         UNION ALL SELECT 'Price, two per decade', user_id, place, item_id, score FROM price_mixed WHERE place <= 10

@@ -31,7 +31,7 @@ RANK2 = EngineConfig(score_digits=6, als=AlsConfig(factors=2, regularization=1.0
 FULL = EngineConfig(als=AlsConfig(factors=16, regularization=10.0, iterations=3))
 PLAIN_MODELS = [scorer.POPULARITY, scorer.DEMOGRAPHIC, scorer.CF, scorer.CONTENT, scorer.FIXED, scorer.SWITCH,
                 scorer.ADAPTIVE]
-SMALL_BLEND_GRID = {"k_user": [10.0, 100.0], "k_item": [10.0, 100.0], "k_content": [10.0, 100.0]}
+ALS_POINTS = [{"factors": f, "regularization": r, "alpha": a} for f in (1, 2) for r, a in ((1.0, 1.0), (5.0, 0.25), (20.0, 1.0))]
 
 
 class Lab:
@@ -54,6 +54,10 @@ class Lab:
     def plain(self) -> Experiment:
         return Experiment(load_tables(self.spark, self.folder), PLAIN, self.workspace)
 
+    @cached_property
+    def validation(self) -> Experiment:
+        return tune.validation_experiment(self.plain.dataset, PLAIN, self.workspace)
+
     @cached_property
     def results(self) -> evaluate.Results:
         return evaluate.evaluate(self.plain)
@@ -161,8 +165,7 @@ def truth_relevant(lab):
 
 
 def validation_split(lab):
-    made = tune.validation_experiment(lab.plain.dataset, PLAIN, lab.workspace)
-    return made.split.ratings.select("user_id", "item_id", "case_id", "in_train")
+    return lab.validation.split.ratings.select("user_id", "item_id", "case_id", "in_train")
 
 
 # --- text and projections -----------------------------------------------------
@@ -488,7 +491,11 @@ def full_slice_metrics(lab):
 
 
 def blend_grid(lab):
-    return tune.blend_grid(tune.validation_experiment(lab.plain.dataset, PLAIN, lab.workspace), SMALL_BLEND_GRID)
+    return tune.blend_grid(lab.validation)
+
+
+def als_grid(lab):
+    return tune.als_grid(lab.validation, ALS_POINTS)
 
 
 # --- serving -----------------------------------------------------------------------
@@ -562,7 +569,7 @@ _NAMED = [interactions_collapse, drop_orphan_ratings, cold_pick_users, cold_pick
           ranking_metrics, hit_flags, beyond_accuracy, slice_metrics, cold_item_slice, robustness_table, best_models,
           geo_mean_objective, model_lift, dataset_facts, ndcg_by_history, weights_by_history, mainstream_quintiles,
           popularity_bias, genre_recall, cold_user_rating_bands, case_studies, hardest_cold_items, content_ablation, content_ablation_text,
-          lsa_embedding, lsa_rank2_embedding, als_topk, full_slice_metrics, blend_grid, recommend_new_users, catalog_search,
+          lsa_embedding, lsa_rank2_embedding, als_topk, full_slice_metrics, blend_grid, als_grid, recommend_new_users, catalog_search,
           user_history_top, user_summary, example_users, dataset_meta, request_validation]
 
 

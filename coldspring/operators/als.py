@@ -51,19 +51,40 @@ def rating_blocks(train_pairs: DataFrame, n_pairs: int, scale: ScaleConfig, work
 
 def fit(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stats: DataFrame, user_stats: DataFrame,
         cfg: AlsConfig, scale: ScaleConfig, workspace: Workspace) -> Factors:
+    items, users = _alternate(by_user, by_item, item_stats, user_stats, [cfg], scale, workspace)
+    return Factors(users.as_table(workspace, "als-users"), items.as_table(workspace, "als-items"), items,
+                   regularised_gram(items, cfg))
+
+
+def fit_together(by_user: gather.EdgeBlocks, by_item: gather.EdgeBlocks, item_stats: DataFrame, user_stats: DataFrame,
+                 points: list[AlsConfig], scale: ScaleConfig, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(users, items), both (id, vec), of several settings with the same number of factors, iterations and seed: vec holds
+    the factors of the points one after the other. The passes over the edges are those of a single fit."""
+    if len({(p.factors, p.iterations, p.seed) for p in points}) > 1:
+        raise ValueError("points that are fitted together differ in regularization and alpha only")
+    items, users = _alternate(by_user, by_item, item_stats, user_stats, points, scale, workspace)
+    return users.as_table(workspace, "als-users"), items.as_table(workspace, "als-items")
+
+
+def _alternate(by_user, by_item, item_stats, user_stats, points: list[AlsConfig], scale, workspace) -> tuple[gather.Vectors, gather.Vectors]:
     n_items, n_users = item_stats.count(), user_stats.count()
+    r, cfg = points[0].factors, points[0]
+    width = r * len(points)
 
     def half_step(blocks: gather.EdgeBlocks, fixed: gather.Vectors, n: int, name: str) -> gather.Vectors:
-        solved = gather.gather_ridge(blocks, fixed, regularised_gram(fixed, cfg), cfg.alpha)
-        return gather.Vectors(solved, n, cfg.factors, scale).settle(workspace, name)
-
-    items = gather.Vectors(initial_items(item_stats, cfg), n_items, cfg.factors, scale).settle(workspace, "als-init")
+        whole = fixed.gram()
+        grams = [whole[i * r:(i + 1) * r, i * r:(i + 1) * r] + p.regularization * np.eye(r) for i, p in enumerate(points)]
+        solved = gather.gather_ridges(blocks, fixed, grams, [p.alpha for p in points])
+        return gather.Vectors(solved, n, width, scale).settle(workspace, name)
+
+    start = gather.Vectors(initial_items(item_stats, cfg), n_items, r, scale)
+    items = start.times(np.tile(np.eye(r), len(points))) if len(points) > 1 else start
+    items = items.settle(workspace, "als-init")
     users = None
     for step in range(cfg.iterations):
         users = half_step(by_user, items, n_users, f"als-users-{step}")
         items = half_step(by_item, users, n_items, f"als-items-{step}")
-    return Factors(users.as_table(workspace, "als-users"), items.as_table(workspace, "als-items"), items,
-                   regularised_gram(items, cfg))
+    return items, users
 
 
 def fold_in(by_new_user: gather.EdgeBlocks, factors: Factors, cfg: AlsConfig) -> DataFrame:

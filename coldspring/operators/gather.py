@@ -305,21 +305,34 @@ def _sum_parts(parts: DataFrame, dims: int) -> DataFrame:
 
 def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray, alpha: float = 1.0) -> DataFrame:
     """(id, vec): the ridge solution of each target with any edge. ``gram_matrix`` holds
-    Y'Y + lambda I; the confidence of an edge is 1 + alpha * w. Of a target that is spread over several blocks, each
-    block passes on its part of the equations as a packed triangle and a right side."""
-    dims = vectors.dims
+    Y'Y + lambda I; the confidence of an edge is 1 + alpha * w."""
+    return gather_ridges(blocks, vectors, [gram_matrix], [alpha])
+
+
+def gather_ridges(blocks: EdgeBlocks, vectors: Vectors, grams: list[np.ndarray], alphas: list[float]) -> DataFrame:
+    """``gather_ridge`` for several settings at once: the vectors of all of them stand one after the other in ``vec``, so
+    each vector travels to a block once and each edge is read once. Of a target that is spread over several blocks,
+    each block passes on its part of the equations as packed triangles and right sides."""
+    dims = len(grams[0])
     packed_size = dims * (dims + 1) // 2 + dims
 
+    def part(m: np.ndarray, point: int, size: int) -> np.ndarray:
+        return np.ascontiguousarray(m[:, point * size:(point + 1) * size])
+
     def run(edges, known, matrix) -> pa.Table:
         targets, sources, weights, split = edges
-        ids, solved, split_ids, parts = kernels.ridge_rows(
-            targets, sources, alpha * weights, known, matrix, gram_matrix, np.unique(targets[split]))
+        solved, parts = [], []
+        for point, (g, alpha) in enumerate(zip(grams, alphas)):
+            ids, done, split_ids, open_parts = kernels.ridge_rows(
+                targets, sources, alpha * weights, known, part(matrix, point, dims), g, np.unique(targets[split]))
+            solved.append(done)
+            parts.append(open_parts)
         none_a = pa.nulls(len(split_ids), pa.list_(pa.float64()))
         none_b = pa.nulls(len(ids), pa.list_(pa.float64()))
         return pa.table({
             "id": pa.array(np.concatenate([ids, split_ids]), pa.int64()),
-            "vec": pa.chunked_array([kernels.to_list_column(solved), none_a]),
-            "part": pa.chunked_array([none_b, kernels.to_list_column(parts)])})
+            "vec": pa.chunked_array([kernels.to_list_column(np.hstack(solved)), none_a]),
+            "part": pa.chunked_array([none_b, kernels.to_list_column(np.hstack(parts))])})
 
     out = _per_block(blocks, vectors, run, "id long, vec array<double>, part array<double>")
     if not blocks.has_split:
@@ -328,10 +341,11 @@ def gather_ridge(blocks: EdgeBlocks, vectors: Vectors, gram_matrix: np.ndarray,
 
     def solve(batches):
         for batch in batches:
-            solved = kernels.solve_packed(kernels.to_matrix(batch.column(1), packed_size), gram_matrix)
+            packed = kernels.to_matrix(batch.column(1), packed_size * len(grams))
+            solved = np.hstack([kernels.solve_packed(part(packed, point, packed_size), g) for point, g in enumerate(grams)])
             yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(solved)], ["id", "vec"])
 
     packed = out.filter(F.col("part").isNotNull()).select("id", F.col("part").alias("vec"))
-    summed = _sum_parts(packed, packed_size)
+    summed = _sum_parts(packed, packed_size * len(grams))
     return (out.filter(F.col("part").isNull()).select("id", "vec")
             .unionByName(summed.mapInArrow(solve, "id long, vec array<double>")))
