@@ -40,11 +40,11 @@ def _normal(tag: str, seed: int, *ids: str) -> str:
 
 # --- data set and split ---------------------------------------------------------
 
-_part("raw", """SELECT o_custkey AS user_id, l_partkey AS item_id, 1.0::DOUBLE + floor((l_quantity - 1) / 10) AS rating,
-  epoch(o_orderdate)::BIGINT AS ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
-_part("ratings", "SELECT user_id, item_id, max(rating) AS rating, min(ts) AS ts FROM raw GROUP BY 1, 2")
 _part("items", """SELECT p_partkey AS item_id, p_name AS title, 1950 + p_size AS year, [p_type, p_brand] AS genres
   FROM part""")
+_part("raw", """SELECT o_custkey AS user_id, l_partkey AS item_id, 1.0::DOUBLE + floor((l_quantity - 1) / 10) AS rating,
+  epoch(o_orderdate)::BIGINT AS ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+_part("ratings", "SELECT user_id, item_id, max(rating) AS rating, min(ts) AS ts FROM raw SEMI JOIN items USING (item_id) GROUP BY 1, 2")
 _part("users", """SELECT c_custkey AS user_id, c_mktsegment AS gender, n_regionkey AS age
   FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 
@@ -237,7 +237,29 @@ def _lists(users: str, k: int, models=None, only: str = "") -> str:
     return f"SELECT b.*, l.user_id IS NOT NULL AS hit FROM ({body}) b LEFT JOIN liked l USING (user_id, item_id)"
 
 
-_part("lists", _lists("eval_users", 20))
+# --- diversity re-ranking, twenty greedy steps -------------------------------------------------
+
+_part("mmr_pool", f"""SELECT user_id, item_id, score, place, CASE WHEN hi > lo THEN (score - lo) / (hi - lo) ELSE 1.0::DOUBLE END
+    - 0.1::DOUBLE * pct AS relevance
+  FROM (SELECT *, min(score) OVER (PARTITION BY user_id) AS lo, max(score) OVER (PARTITION BY user_id) AS hi FROM (
+    SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS place
+    FROM (SELECT user_id, item_id, round({_blend('adaptive')}, 9) + 0.0 AS score FROM z JOIN eval_users USING (user_id)
+          ANTI JOIN train USING (user_id, item_id))) WHERE place <= 100) JOIN pct USING (item_id)""")
+_part("cos_pairs", "SELECT a.item_id AS a, b.item_id AS b, sum(a.value * b.value) AS c FROM features a JOIN features b USING (feature) GROUP BY 1, 2")
+_part("m0", "SELECT user_id, item_id, place, relevance, 0.0::DOUBLE AS nearest, 0 AS picked FROM mmr_pool")
+for _step in range(1, 21):
+    _part(f"p{_step}", f"""SELECT user_id, item_id FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id
+      ORDER BY round(0.7::DOUBLE * relevance - 0.3::DOUBLE * nearest, 9) DESC, place) AS o FROM m{_step - 1}
+      WHERE picked = 0) WHERE o = 1""")
+    _part(f"m{_step}", f"""SELECT m.user_id, m.item_id, place, relevance, greatest(nearest, coalesce(c, 0)) AS nearest,
+      CASE WHEN picked = 0 AND m.item_id = p.item_id THEN {_step} ELSE picked END AS picked
+      FROM m{_step - 1} m LEFT JOIN p{_step} p USING (user_id)
+      LEFT JOIN cos_pairs ON a = m.item_id AND b = p.item_id""")
+
+_part("plain_lists", _lists("eval_users", 20))
+_part("lists", f"""SELECT * FROM plain_lists UNION ALL BY NAME SELECT '{scorer.MMR}' AS model, m.user_id, u.n_train, m.item_id, i.n_item,
+  NULL::DOUBLE AS score, m.picked AS rank, l.user_id IS NOT NULL AS hit FROM m20 m JOIN eval_users u USING (user_id)
+  JOIN item_stats i ON i.item_id = m.item_id LEFT JOIN liked l ON l.user_id = m.user_id AND l.item_id = m.item_id WHERE m.picked > 0""")
 _part("cold_lists", _lists("cold_eval_users", 20, only="SEMI JOIN cold_ids USING (item_id)"))
 
 
@@ -249,22 +271,22 @@ def _ideal(k: int) -> str:
     return f"([{', '.join(sums)}])[least(n_relevant, {k})]"
 
 
-def _frame(lists: str, users: str) -> str:
+def _frame(lists: str, users: str, models: list[str]) -> str:
     cols = []
     for k in (5, 10, 20):
         hits = f"coalesce(count(*) FILTER (WHERE hit AND rank <= {k}), 0)"
         dcg = f"coalesce(sum(1.0::DOUBLE / log2(rank + 1.0::DOUBLE)) FILTER (WHERE hit AND rank <= {k}), 0)"
         cols += [f"{hits} / {k}.0::DOUBLE AS precision_{k}", f"{hits} / n_relevant::DOUBLE AS recall_{k}",
                  f"{dcg} / {_ideal(k)} AS ndcg_{k}", f"CASE WHEN {hits} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hit_{k}"]
-    models = ", ".join(f"('{m}')" for m in _SCORES)
+    models = ", ".join(f"('{m}')" for m in models)
     return f"""SELECT m.model, u.user_id, u.n_relevant, u.n_train, {', '.join(cols)},
         avg(-log2((n_item + 1.0::DOUBLE) / ((SELECT count(*) FROM user_stats) + 1.0::DOUBLE))) FILTER (WHERE rank <= 10) AS novelty
       FROM {users} u CROSS JOIN (VALUES {models}) m(model)
       LEFT JOIN {lists} l ON l.model = m.model AND l.user_id = u.user_id GROUP BY 1, 2, 3, 4"""
 
 
-_part("frame", _frame("lists", "eval_users"))
-_part("cold_frame", _frame("cold_lists", "cold_eval_users"))
+_part("frame", _frame("lists", "eval_users", [*_SCORES, scorer.MMR]))
+_part("cold_frame", _frame("cold_lists", "cold_eval_users", list(_SCORES)))
 
 
 def _diversity(lists: str) -> str:
@@ -284,37 +306,19 @@ _part("user_slices", f"""SELECT user_id, unnest(CASE WHEN n_train >= 5 THEN ['{m
 _part("cold_user_slices", f"SELECT user_id, '{metrics.cold_item_slice(5)}' AS slice FROM cold_eval_users")
 
 
-def _summary(frame: str, lists: str, diverse: str, slices: str) -> str:
-    return f"""SELECT slice, model, users, precision, recall, ndcg, hit, coalesce(coverage, 0) AS coverage, novelty, diversity
-      FROM (SELECT slice, model, count(*) AS users, avg(precision_10) AS precision, avg(recall_10) AS recall,
-              avg(ndcg_10) AS ndcg, avg(hit_10) AS hit, coalesce(avg(novelty), 0) AS novelty,
-              coalesce(avg(diversity), 0) AS diversity
-            FROM {frame} JOIN {slices} USING (user_id) LEFT JOIN {diverse} USING (model, user_id) GROUP BY 1, 2)
+def _summary(frame: str, lists: str, diverse: str, slices: str, names: list[str], models: list[str]) -> str:
+    every = ", ".join(f"('{n}', '{m}')" for n in names for m in models)
+    return f"""SELECT slice, model, coalesce(users, 0) AS users, precision, recall, ndcg, hit, coalesce(coverage, 0) AS coverage,
+        coalesce(novelty, 0) AS novelty, coalesce(diversity, 0) AS diversity
+      FROM (VALUES {every}) e(slice, model) LEFT JOIN (SELECT slice, model, count(*) AS users, avg(precision_10) AS precision, avg(recall_10) AS recall,
+              avg(ndcg_10) AS ndcg, avg(hit_10) AS hit, avg(novelty) AS novelty, avg(diversity) AS diversity
+            FROM {frame} JOIN {slices} USING (user_id) LEFT JOIN {diverse} USING (model, user_id) GROUP BY 1, 2) USING (slice, model)
       LEFT JOIN (SELECT slice, model, count(DISTINCT item_id) / (SELECT n_items FROM totals) AS coverage
             FROM {lists} JOIN {slices} USING (user_id) WHERE rank <= 10 GROUP BY 1, 2) USING (slice, model)"""
 
 
-_part("summary", _summary("frame", "lists", "diverse", "user_slices")
-      + " UNION ALL " + _summary("cold_frame", "cold_lists", "cold_diverse", "cold_user_slices"))
-
-# --- diversity re-ranking, ten greedy steps -------------------------------------------------
-
-_part("mmr_pool", f"""SELECT user_id, item_id, score, place, CASE WHEN hi > lo THEN (score - lo) / (hi - lo) ELSE 1.0::DOUBLE END
-    - 0.1::DOUBLE * pct AS relevance
-  FROM (SELECT *, min(score) OVER (PARTITION BY user_id) AS lo, max(score) OVER (PARTITION BY user_id) AS hi FROM (
-    SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS place
-    FROM (SELECT user_id, item_id, round({_blend('adaptive')}, 9) + 0.0 AS score FROM z JOIN eval_users USING (user_id)
-          ANTI JOIN train USING (user_id, item_id))) WHERE place <= 100) JOIN pct USING (item_id)""")
-_part("cos_pairs", "SELECT a.item_id AS a, b.item_id AS b, sum(a.value * b.value) AS c FROM features a JOIN features b USING (feature) GROUP BY 1, 2")
-_part("m0", "SELECT user_id, item_id, place, relevance, 0.0::DOUBLE AS nearest, 0 AS picked FROM mmr_pool")
-for _step in range(1, 11):
-    _part(f"p{_step}", f"""SELECT user_id, item_id FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id
-      ORDER BY round(0.7::DOUBLE * relevance - 0.3::DOUBLE * nearest, 9) DESC, place) AS o FROM m{_step - 1}
-      WHERE picked = 0) WHERE o = 1""")
-    _part(f"m{_step}", f"""SELECT m.user_id, m.item_id, place, relevance, greatest(nearest, coalesce(c, 0)) AS nearest,
-      CASE WHEN picked = 0 AND m.item_id = p.item_id THEN {_step} ELSE picked END AS picked
-      FROM m{_step - 1} m LEFT JOIN p{_step} p USING (user_id)
-      LEFT JOIN cos_pairs ON a = m.item_id AND b = p.item_id""")
+_part("summary", _summary("frame", "lists", "diverse", "user_slices", metrics.slice_names(5), [*_SCORES, scorer.MMR])
+      + " UNION ALL " + _summary("cold_frame", "cold_lists", "cold_diverse", "cold_user_slices", [metrics.cold_item_slice(5)], list(_SCORES)))
 
 # --- a model from outside: distance of prices, bare and with at most two items of a decade --------
 
@@ -416,13 +420,14 @@ _part("grid", f"SELECT * FROM (VALUES {_GRID}) g(k_user, k_item, k_content)")
 def _grid_hits(users: str, only: str = "") -> str:
     cf = "(n_user / (n_user + k_user)) * (n_item / (n_item + k_item))"
     t = "(n_user / (n_user + k_content))"
+    # the ten best by score, then lowest id, kept while scanning
     return f"""SELECT k_user, k_item, k_content, r.user_id, n_relevant, n_train,
         coalesce(sum(1.0::DOUBLE / log2(rank + 1.0::DOUBLE)) FILTER (WHERE l.item_id IS NOT NULL), 0) / {_ideal(10)} AS ndcg
-      FROM (SELECT *, row_number() OVER (PARTITION BY k_user, k_item, k_content, user_id ORDER BY score DESC, item_id) AS rank
-        FROM (SELECT k_user, k_item, k_content, user_id, item_id, n_relevant, n_train, round({cf} * z_cf
-            + (1 - {cf}) * {t} * z_content + (1 - {cf}) * (1 - {t}) * z_popularity, 9) + 0.0 AS score
-          FROM inner_z JOIN {users} USING (user_id) ANTI JOIN inner_train USING (user_id, item_id) {only} CROSS JOIN grid)) r
-      LEFT JOIN inner_liked l ON l.user_id = r.user_id AND l.item_id = r.item_id WHERE rank <= 10
+      FROM (SELECT k_user, k_item, k_content, user_id, n_relevant, n_train, -unnest(top).i AS item_id, generate_subscripts(top, 1) AS rank
+        FROM (SELECT k_user, k_item, k_content, user_id, any_value(n_relevant) AS n_relevant, any_value(n_train) AS n_train,
+            max({{'s': round({cf} * z_cf + (1 - {cf}) * {t} * z_content + (1 - {cf}) * (1 - {t}) * z_popularity, 9) + 0.0, 'i': -item_id}}, 10) AS top
+          FROM inner_z JOIN {users} USING (user_id) ANTI JOIN inner_train USING (user_id, item_id) {only} CROSS JOIN grid GROUP BY 1, 2, 3, 4)) r
+      LEFT JOIN inner_liked l ON l.user_id = r.user_id AND l.item_id = r.item_id
       GROUP BY k_user, k_item, k_content, r.user_id, n_relevant, n_train"""
 
 
@@ -526,6 +531,14 @@ def _mean_weights(n: str, source: str, columns: str) -> str:
 _METRIC_COLUMNS = ", ".join(f"{_r(m)} AS {m}" for m in ("precision", "recall", "ndcg", "hit", "coverage", "novelty", "diversity"))
 
 
+_EXAMPLES = """SELECT label, user_id, ratings FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY user_id) - 1 AS pos,
+            count(*) OVER (PARTITION BY label) AS size FROM (SELECT user_id, n_user AS ratings, unnest([
+              CASE WHEN n_user = 0 THEN 'new sign-up' END, CASE WHEN n_user = 1 THEN '1 rating' END,
+              CASE WHEN n_user = 3 THEN '3 ratings' END, CASE WHEN n_user >= 40 THEN 'warm' END,
+              CASE WHEN n_user >= 300 THEN 'power user' END]) AS label
+            FROM user_stats SEMI JOIN liked USING (user_id)) WHERE label IS NOT NULL) WHERE pos = size // 2"""
+
+
 def statements() -> dict[str, str]:
     cold_item = metrics.cold_item_slice(5)
     out = {
@@ -539,6 +552,8 @@ def statements() -> dict[str, str]:
           UNION ALL SELECT 'item', item_id, n_item FROM item_stats""",
         "sample_users": f"""SELECT user_id, item_id, rating, ts FROM ratings WHERE user_id IN (SELECT user_id FROM
           (SELECT DISTINCT user_id FROM ratings) ORDER BY {_md5('sample', 0, 'user_id')}, user_id LIMIT 500)""",
+        "sample_users_table": f"""SELECT user_id, gender, age::BIGINT AS age FROM users WHERE user_id IN (SELECT user_id FROM
+          (SELECT DISTINCT user_id FROM ratings) ORDER BY {_md5('sample', 0, 'user_id')}, user_id LIMIT 500)""",
         "truth_relevant": "SELECT user_id, item_id FROM liked",
         "validation_split": "SELECT user_id, item_id, case_id, in_train FROM inner_split",
         "history_buckets": f"SELECT {_HISTORY.format(n='n_user')} AS history, count(*) AS users FROM user_stats GROUP BY 1",
@@ -575,7 +590,8 @@ def statements() -> dict[str, str]:
           SELECT model, max(ndcg) FILTER (WHERE slice = '{metrics.ALL}') AS all_users,
             max(ndcg) FILTER (WHERE slice = '{metrics.warm_slice(5)}') AS warm_users,
             max(ndcg) FILTER (WHERE slice = '{metrics.cold_slice(5)}') AS cold_users,
-            max(ndcg) FILTER (WHERE slice = '{cold_item}') AS cold_items FROM summary GROUP BY 1)""",
+            max(ndcg) FILTER (WHERE slice = '{cold_item}') AS cold_items FROM summary
+          WHERE model IN (SELECT model FROM summary WHERE slice = '{cold_item}') GROUP BY 1)""",
         "geo_mean_objective": f"""SELECT model, {_r('exp(avg(ln(greatest(ndcg, 1e-9))))')} AS objective FROM summary
           WHERE slice IN ('{metrics.warm_slice(5)}', '{metrics.cold_slice(5)}', '{cold_item}') GROUP BY 1""",
         "model_lift": f"""SELECT slice, m.model, CASE WHEN b.ndcg > 0 THEN round((m.ndcg / b.ndcg - 1) * 100)::BIGINT END AS lift
@@ -602,7 +618,7 @@ def statements() -> dict[str, str]:
           FROM lists JOIN head USING (item_id) CROSS JOIN (SELECT count(*) FILTER (WHERE is_head) AS hn,
             count(*) FILTER (WHERE NOT is_head) AS tn, coalesce(sum(relevant) FILTER (WHERE is_head), 0) AS hr,
             coalesce(sum(relevant) FILTER (WHERE NOT is_head), 0) AS tr FROM head LEFT JOIN item_relevant USING (item_id))
-          WHERE rank <= 10 AND model IN ('{scorer.DEMOGRAPHIC}', '{scorer.CF}', '{scorer.ADAPTIVE}') GROUP BY 1""",
+          WHERE rank <= 10 AND model IN ('{scorer.DEMOGRAPHIC}', '{scorer.CF}', '{scorer.ADAPTIVE}', '{scorer.MMR}') GROUP BY 1""",
         "genre_recall": f"""SELECT genre, relevant AS relevant_pairs, {_r('hits / relevant::DOUBLE')} AS recall,
             {_r('relevant / (sum(relevant) OVER ())::DOUBLE')} AS share_of_relevant,
             {_r('recommended / (sum(recommended) OVER ())::DOUBLE')} AS share_of_recommendations FROM (
@@ -640,15 +656,12 @@ def statements() -> dict[str, str]:
           CASE age {' '.join(f"WHEN {k} THEN '{v}'" for k, v in buckets.AGE_LABELS.items())} ELSE '' END AS age
           FROM user_stats LEFT JOIN (SELECT user_id, count(*) AS n FROM liked GROUP BY 1) USING (user_id)
           LEFT JOIN users USING (user_id)""",
-        "example_users": """SELECT label, user_id, ratings FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY user_id) - 1 AS pos,
-            count(*) OVER (PARTITION BY label) AS size FROM (SELECT user_id, n_user AS ratings, unnest([
-              CASE WHEN n_user = 0 THEN 'new sign-up' END, CASE WHEN n_user = 1 THEN '1 rating' END,
-              CASE WHEN n_user = 3 THEN '3 ratings' END, CASE WHEN n_user >= 40 THEN 'warm' END,
-              CASE WHEN n_user >= 300 THEN 'power user' END]) AS label
-            FROM user_stats SEMI JOIN liked USING (user_id)) WHERE label IS NOT NULL) WHERE pos = size // 2""",
-        "dataset_meta": """SELECT 'tables' AS dataset, (SELECT count(*) FROM user_stats) AS users, count(*) AS items,
+        "example_users": _EXAMPLES,
+        "dataset_meta": f"""SELECT 'tables' AS dataset, (SELECT count(*) FROM user_stats) AS users, count(*) AS items,
           sum(n_item)::BIGINT AS train_ratings, true AS demographics, 30.0::DOUBLE AS k_user, 300.0::DOUBLE AS k_item,
-          30.0::DOUBLE AS k_content FROM item_stats""",
+          30.0::DOUBLE AS k_content, '{' | '.join(sorted(serving.MODEL_KEYS))}' AS models,
+          '{' | '.join(f"{k} {v}" for k, v in sorted(buckets.AGE_LABELS.items()))}' AS age_groups,
+          (SELECT string_agg(label || ' ' || user_id || ' ' || ratings, ' | ' ORDER BY ratings, label) FROM ({_EXAMPLES})) AS examples FROM item_stats""",
         "request_validation": "SELECT request_id, errors = '' AS valid, errors FROM checked",
     }
     both = lambda name: f"SELECT id, 0 AS dim, p AS v FROM {name} UNION ALL SELECT id, 1, q FROM {name}"

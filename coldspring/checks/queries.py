@@ -20,8 +20,7 @@ from coldspring.operators import split as splitting
 from coldspring.operators.skew import spread_join
 from coldspring.plans import analysis, evaluate, serving, tune
 from coldspring.plans.experiment import Experiment
-from coldspring.sources.movielens import drop_orphans
-from coldspring.sources.tables import load_tables, rating_rows, table
+from coldspring.sources.tables import drop_orphans, load_tables, rating_rows, table
 from coldspring.workspace import Workspace
 
 # Settings shared with the SQL counterparts.
@@ -29,8 +28,6 @@ PLAIN = EngineConfig(score_digits=9, als=AlsConfig(factors=1, regularization=1.0
                      content=ContentConfig(text_weight=0.0))
 RANK2 = EngineConfig(score_digits=6, als=AlsConfig(factors=2, regularization=1.0, iterations=2), content=ContentConfig(text_weight=0.0))
 FULL = EngineConfig(als=AlsConfig(factors=16, regularization=10.0, iterations=3))
-PLAIN_MODELS = [scorer.POPULARITY, scorer.DEMOGRAPHIC, scorer.CF, scorer.CONTENT, scorer.FIXED, scorer.SWITCH,
-                scorer.ADAPTIVE]
 ALS_POINTS = [{"factors": f, "regularization": r, "alpha": a} for f in (1, 2) for r, a in ((1.0, 1.0), (5.0, 0.25), (20.0, 1.0))]
 
 
@@ -157,7 +154,11 @@ def interaction_stats(lab):
 
 
 def sample_users(lab):
-    return splitting.sample_users(lab.plain.dataset.ratings, 500, 0, PLAIN.scale, lab.workspace)
+    return splitting.sample_users(lab.plain.dataset, 500, 0, PLAIN.scale, lab.workspace).ratings
+
+
+def sample_users_table(lab):
+    return splitting.sample_users(lab.plain.dataset, 500, 0, PLAIN.scale, lab.workspace).users.select("user_id", "gender", "age")
 
 
 def truth_relevant(lab):
@@ -360,25 +361,24 @@ def custom_scorer_topk(lab):
 
 def ranking_metrics(lab):
     names = metrics.metric_names(PLAIN.ks)
-    frame = lab.results.per_user.filter(F.col("model").isin(PLAIN_MODELS))
-    return frame.select("model", "user_id", "n_relevant", "n_train",
+    return lab.results.per_user.select("model", "user_id", "n_relevant", "n_train",
                         *[F.col(f"`{n}`").alias(n.replace("@", "_")) for n in names])
 
 
 def hit_flags(lab):
     lists = lab.results.lists.filter(F.col("rank") <= 10).drop("hit")
     flagged = metrics.flag_hits(lists, lab.plain.liked)
-    return flagged.filter(F.col("model").isin(PLAIN_MODELS)).groupBy("model", "rank").agg(
+    return flagged.groupBy("model", "rank").agg(
         F.count_if("hit").alias("hits"), F.count(F.lit(1)).alias("rows"))
 
 
 def beyond_accuracy(lab):
-    return lab.results.summary.filter((F.col("slice") == metrics.ALL) & F.col("model").isin(PLAIN_MODELS)).select(
+    return lab.results.summary.filter(F.col("slice") == metrics.ALL).select(
         "model", "users", "coverage", "novelty", "diversity")
 
 
 def _summary(lab):
-    return lab.results.summary.filter(F.col("model").isin(PLAIN_MODELS))
+    return lab.results.summary
 
 
 def slice_metrics(lab):
@@ -435,8 +435,7 @@ def mainstream_quintiles(lab):
 
 
 def popularity_bias(lab):
-    models = [scorer.DEMOGRAPHIC, scorer.CF, scorer.ADAPTIVE]
-    return analysis.popularity_bias(lab.plain, lab.results, 10, models)
+    return analysis.popularity_bias(lab.plain, lab.results, 10)
 
 
 def genre_recall(lab):
@@ -527,7 +526,10 @@ def example_users(lab):
 
 
 def dataset_meta(lab):
-    return serving.meta(lab.plain)
+    rows = serving.meta(lab.plain)
+    pairs = lambda c, *names: F.array_join(F.transform(c, lambda r: F.concat_ws(" ", *[r[n].cast("string") for n in names])), " | ")
+    return rows.withColumns({"models": F.array_join("models", " | "), "age_groups": pairs("age_groups", "value", "label"),
+                             "examples": pairs("examples", "label", "user_id", "ratings")})
 
 
 def requests_from_orders(lab):
@@ -562,7 +564,7 @@ _LISTS = {"topk_popularity": scorer.POPULARITY, "topk_popularity_segment": score
           "hybrid_topk": scorer.ADAPTIVE}
 
 _NAMED = [interactions_collapse, drop_orphan_ratings, cold_pick_users, cold_pick_items, cold_start_split, split_counts,
-          interaction_stats, sample_users, truth_relevant, validation_split, title_year_split, genre_parse,
+          interaction_stats, sample_users, sample_users_table, truth_relevant, validation_split, title_year_split, genre_parse,
           history_buckets, display_titles, popularity_global, popularity_segment, popularity_percentile, head_tail_items,
           item_feature_blocks, tfidf_titles, user_profiles, similar_items, als_rank1_factors, als_rank1_fold_in,
           als_rank2_factors, als_rank2_fold_in, als_gram, topk_als_rank2, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain, custom_scorer_topk,

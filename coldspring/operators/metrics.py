@@ -89,23 +89,35 @@ def slices_of(n_train: Column, cold_below: int) -> Column:
         F.array(F.lit(ALL), F.lit(cold_slice(cold_below)), exact))
 
 
-def coverage(lists: DataFrame, list_k: int, n_items: int, slices: Column) -> DataFrame:
-    """Share of the whole catalog found in the first ``list_k`` of anybody in the slice."""
-    kept = lists.filter(F.col("rank") <= list_k).select("model", "item_id", slices.alias("_slices")).distinct()
-    return (kept.select("model", "item_id", F.explode("_slices").alias("slice")).distinct()
-            .groupBy("slice", "model").agg((F.count(F.lit(1)) / F.lit(float(n_items))).alias("coverage")))
+def slice_names(cold_below: int) -> list[str]:
+    """Every slice that ``slices_of`` can name."""
+    return [ALL, warm_slice(cold_below), cold_slice(cold_below), *[exact_slice(n) for n in range(cold_below)]]
 
 
-def summarise(frame: DataFrame, lists: DataFrame, ks, list_k: int, n_items: int, slices: Column) -> DataFrame:
-    """(slice, model, users, mean of every metric, coverage, novelty, diversity)."""
+def coverage(lists: DataFrame, list_k: int, n_items: int, slices: Column) -> DataFrame:
+    """Share of the whole catalog found in the first ``list_k`` of anybody in the slice. Items are collected in bitmaps by
+    groups of users with the same slices; overlapping slices merge the bitmaps of their groups."""
+    kept = lists.filter(F.col("rank") <= list_k).select(
+        "model", slices.alias("_slices"), F.bitmap_bucket_number("item_id").alias("_bucket"), F.bitmap_bit_position("item_id").alias("_bit"))
+    groups = kept.groupBy("model", "_slices", "_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    return (groups.select("model", "_bucket", "_bits", F.explode("_slices").alias("slice"))
+            .groupBy("slice", "model", "_bucket").agg(F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_n"))
+            .groupBy("slice", "model").agg((F.sum("_n") / F.lit(float(n_items))).alias("coverage")))
+
+
+def summarise(frame: DataFrame, lists: DataFrame, ks, list_k: int, n_items: int, slices: Column, names: list[str],
+              models: list[str]) -> DataFrame:
+    """(slice, model, users, mean of every metric, coverage, novelty, diversity) for each of the slices ``names`` and each
+    model. A slice without users has 0 users and no means."""
     means = [F.avg(f"`{name}`").alias(name) for name in metric_names(ks)]
     grouped = (frame.withColumn("slice", F.explode(slices)).groupBy("slice", "model")
-               .agg(F.count(F.lit(1)).alias("users"), *means,
-                    F.coalesce(F.avg("novelty"), F.lit(0.0)).alias("novelty"),
-                    F.coalesce(F.avg("diversity"), F.lit(0.0)).alias("diversity")))
+               .agg(F.count(F.lit(1)).alias("users"), *means, F.avg("novelty").alias("novelty"), F.avg("diversity").alias("diversity")))
     share = coverage(lists, list_k, n_items, slices)
-    return (grouped.join(share, ["slice", "model"], "left")
-            .withColumn("coverage", F.coalesce("coverage", F.lit(0.0))))
+    every = (frame.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("slice"))
+             .select("slice", F.explode(F.array(*[F.lit(m) for m in models])).alias("model")))
+    out = every.join(grouped, ["slice", "model"], "left").join(share, ["slice", "model"], "left")
+    return out.select("slice", "model", F.coalesce("users", F.lit(0)).alias("users"), *[f"`{n}`" for n in metric_names(ks)],
+                      *[F.coalesce(n, F.lit(0.0)).alias(n) for n in ("novelty", "diversity", "coverage")])
 
 
 def robustness(summary: DataFrame, k: int, cold_below: int) -> DataFrame:

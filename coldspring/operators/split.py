@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from coldspring.config import ScaleConfig, SplitConfig
 from coldspring.functions import hashing
 from coldspring.operators import skew
+from coldspring.sources.tables import Dataset
 from coldspring.workspace import Workspace
 
 
@@ -89,11 +90,13 @@ def make_split(ratings: DataFrame, cfg: SplitConfig, scale: ScaleConfig, workspa
     return Split(out, cold_users, cold_items)
 
 
-def sample_users(ratings: DataFrame, n: int, seed: int, scale: ScaleConfig, workspace: Workspace) -> DataFrame:
-    """All ratings of ``n`` users drawn by seeded hash."""
-    users = workspace.stage(counts_per(ratings, "user_id"), "sample-counts")
+def sample_users(dataset: Dataset, n: int, seed: int, scale: ScaleConfig, workspace: Workspace) -> Dataset:
+    """``n`` users with ratings, drawn by seeded hash: all their ratings, and their rows of the users table. The catalog stays whole."""
+    users = workspace.stage(counts_per(dataset.ratings, "user_id"), "sample-counts")
     n_users, rows, top = users.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
     limit = skew.row_limit(rows or 0, scale)
     hot = skew.hot_keys(users, "user_id", "n", limit) if (top or 0) > limit else None
-    picked = lowest_by_hash(users, "user_id", "sample", seed, n, limit, n_users)
-    return skew.spread_join(ratings, picked, "user_id", hot, "item_id", "left_semi")
+    picked = workspace.stage(lowest_by_hash(users, "user_id", "sample", seed, n, limit, n_users), "sampled-users")
+    ratings = skew.spread_join(dataset.ratings, picked, "user_id", hot, "item_id", "left_semi")
+    known = None if dataset.users is None else dataset.users.join(picked, "user_id", "left_semi")
+    return replace(dataset, ratings=ratings, users=known, stored=False)

@@ -142,13 +142,18 @@ def example_users(experiment: Experiment) -> DataFrame:
 
 
 def meta(experiment: Experiment) -> DataFrame:
-    """One row of data-set facts."""
+    """One row of data-set facts: sizes, settings, the models a request may name, age groups (value, label) and example
+    users (label, user_id, ratings; fewest ratings first)."""
     sizes, blend = experiment.sizes, experiment.cfg.blend
+    examples = example_users(experiment).agg(F.sort_array(F.collect_list(F.struct("ratings", "label", "user_id"))).alias("examples"))
+    ages = [F.struct(F.lit(value).alias("value"), F.lit(label).alias("label")) for value, label in sorted(buckets.AGE_LABELS.items())]
+    # One row each, and at most five examples.
     return experiment.item_stats.agg(
         F.lit(experiment.cfg.dataset).alias("dataset"), F.lit(sizes["n_users"]).alias("users"),
         F.count(F.lit(1)).alias("items"), F.sum("n_item").alias("train_ratings"),
         F.lit(experiment.dataset.users is not None).alias("demographics"),
-        F.lit(blend.k_user).alias("k_user"), F.lit(blend.k_item).alias("k_item"), F.lit(blend.k_content).alias("k_content"))
+        F.lit(blend.k_user).alias("k_user"), F.lit(blend.k_item).alias("k_item"), F.lit(blend.k_content).alias("k_content"),
+        F.lit(sorted(MODEL_KEYS)).alias("models"), F.array(*ages).alias("age_groups")).join(F.broadcast(examples), F.lit(True))
 
 
 def validate_requests(experiment: Experiment, requests: DataFrame, ages=tuple(buckets.AGE_LABELS),

@@ -6,10 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldspring.config import ScaleConfig
 from coldspring.functions import text
-from coldspring.operators.skew import lookup
-from coldspring.sources.tables import Dataset
+from coldspring.sources.tables import Dataset, drop_orphans
 
 # The files of each layout.
 DAT_FILES = ("ratings.dat", "movies.dat", "users.dat")
@@ -49,15 +47,6 @@ def catalog(movies: DataFrame) -> DataFrame:
                          text.genre_list(F.col("genres")).alias("genres"))
 
 
-def drop_orphans(ratings: DataFrame, items: DataFrame, scale: ScaleConfig = ScaleConfig()) -> DataFrame:
-    """Keep ratings whose item is in the catalog. A short id list is broadcast; for a long one
-    the ratings of hot items are spread."""
-    known = items.select("item_id").distinct()
-    if known.count() <= scale.broadcast_ids:
-        return ratings.join(F.broadcast(known), "item_id", "left_semi")
-    return lookup(ratings, known, "item_id", "user_id", scale, "left_semi")
-
-
 def join_tags(tags: DataFrame) -> DataFrame:
     """(item_id, tags): the lower-case tags of an item as one string. A presentation column;
     the text features use the tag rows themselves, so no job depends on its size."""

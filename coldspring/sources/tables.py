@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coldspring.config import ScaleConfig
+from coldspring.operators.skew import lookup
+
 RATINGS = "user_id long, item_id long, rating double, ts long"
 ITEMS = "item_id long, title string, year int, genres array<string>"
 USERS = "user_id long, gender string, age int, occupation int"
@@ -40,14 +43,24 @@ def rating_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.unix_timestamp("o_orderdate").alias("ts"))
 
 
+def drop_orphans(ratings: DataFrame, items: DataFrame, scale: ScaleConfig = ScaleConfig()) -> DataFrame:
+    """Keep ratings whose item is in the catalog. A short id list is broadcast; for a long one
+    the ratings of hot items are spread."""
+    known = items.select("item_id").distinct()
+    if known.count() <= scale.broadcast_ids:
+        return ratings.join(F.broadcast(known), "item_id", "left_semi")
+    return lookup(ratings, known, "item_id", "user_id", scale, "left_semi")
+
+
 def load_tables(spark: SparkSession, folder: str) -> Dataset:
-    """One rating per (user, item): the highest rating and the earliest time."""
-    ratings = rating_rows(spark, folder).groupBy("user_id", "item_id").agg(
-        F.max("rating").alias("rating"), F.min("ts").alias("ts"))
+    """One rating per (user, item): the highest rating and the earliest time. Ratings of parts that are not in the
+    catalog are dropped."""
     items = table(spark, folder, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"),
         (F.lit(1950) + F.col("p_size")).cast("int").alias("year"),
         F.array("p_type", "p_brand").alias("genres"))
+    ratings = drop_orphans(rating_rows(spark, folder), items).groupBy("user_id", "item_id").agg(
+        F.max("rating").alias("rating"), F.min("ts").alias("ts"))
     nation = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     customer = table(spark, folder, "customer")
     users = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
