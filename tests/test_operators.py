@@ -232,6 +232,20 @@ def test_catalog_share_and_list_spread(spark):
     assert np.allclose(frame["diversity"], 1 - 0.75 / 3)
 
 
+def test_slices_without_users_are_listed(spark):
+    lists = lists_of(spark, [("a", u, r, u + r, 2, 0.0) for u in (1, 2) for r in (1, 2)]).withColumn("hit", F.lit(True))
+    users = spark.createDataFrame([(1, 1, 9), (2, 2, 3)], "user_id long, n_relevant long, n_train long")
+    frame = metrics.per_user(lists, users, ["a", "b"], [2], 2, 14)
+    slices = metrics.slices_of(F.col("n_train"), 5)
+    lists = lists.join(users, "user_id")
+    out = {(r.slice, r.model): r for r in metrics.summarise(frame, lists, [2], 2, 10, slices, metrics.slice_names(5), ["a", "b"]).collect()}
+    assert len(out) == 16
+    assert (out[metrics.ALL, "a"].users, out[metrics.ALL, "a"].coverage) == (2, 0.3) and out[metrics.warm_slice(5), "a"].coverage == 0.2
+    nobody = out[metrics.exact_slice(0), "a"]
+    assert (nobody.users, nobody["ndcg@2"], nobody.coverage, nobody.novelty, nobody.diversity) == (0, None, 0.0, 0.0, 0.0)
+    assert out[metrics.ALL, "b"].users == 2 and out[metrics.ALL, "b"]["ndcg@2"] == 0.0
+
+
 def test_title_parsing(spark):
     cases = {"American President, The (1995)": ("The American President", 1995), "No Year Here": ("No Year Here", None),
              "  City of Lost Children, The (Cité, La) (1995) ": ("The City of Lost Children (Cité, La)", 1995),

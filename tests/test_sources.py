@@ -1,11 +1,15 @@
+import datetime as dt
 import json
 import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from coldspring.config import EngineConfig
+from coldspring.operators import split as splitting
 from coldspring.sources import movielens, state
+from coldspring.sources.tables import Dataset, load_tables
 from coldspring.plans import evaluate
 from coldspring.workspace import Workspace, checkpoint_root
 from tests.conftest import SMALL
@@ -55,11 +59,44 @@ def test_state_round_trip(spark, experiment, tmp_path):
     assert lists[0] == lists[1]
     written = os.listdir(again.workspace.root.removeprefix("file:"))
     assert not [name for name in written if name.split("-", 1)[1] in ("ratings", "items", "users", "tags", "split")]      # no copy of the inputs
-    os.rename(f"{path}/users", f"{path}/users-lost")
+    folder = state.Store(spark, path).latest()[0].folder
+    os.rename(f"{path}/{folder}/users", f"{path}/{folder}/users-lost")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         state.load_experiment(spark, path, Workspace(spark))
 
 
+def test_a_save_that_dies_leaves_the_old_version(spark, experiment, tmp_path):
+    path = str(tmp_path / "versions")
+    with pytest.raises(FileNotFoundError):
+        state.load_experiment(spark, path, Workspace(spark))
+    state.save_experiment(experiment, path)
+    first = state.Store(spark, path).latest()[0]
+
+    class Dies:
+        """The saved experiment up to its features; then the machine is gone."""
+        def __getattr__(self, name):
+            if name == "profiles":
+                raise KeyboardInterrupt
+            return getattr(experiment, name)
+
+    half = Dies()
+    with pytest.raises(KeyboardInterrupt):
+        state.save_experiment(half, path)
+    broken = state.Store(spark, path)
+    folder = broken.version()
+    experiment.item_stats.write.parquet(f"{path}/{folder}/items")            # tables without a commit
+    (tmp_path / "versions" / "commits" / "abc.draft").write_text('{"seq": 99, "dataset": "fix')      # a commit half written
+    assert [r.folder for r in state.Store(spark, path).latest()] == [first.folder]
+    again = state.load_experiment(spark, path, Workspace(spark))
+    assert again.dataset.items.count() == 40 and again.profiles.count() == experiment.profiles.count()
+
+    state.save_experiment(experiment, path)
+    last = state.Store(spark, path).latest()[0]
+    assert last.seq == first.seq + 1 and last.folder != first.folder
+    assert first.folder in broken.remove_unused() and sorted(os.listdir(f"{path}/versions")) == [last.folder.split("/")[1]]
+    assert state.load_experiment(spark, path, Workspace(spark), "fixture").dataset.items.count() == 40
+
+
 def test_config_round_trip():
     assert EngineConfig.from_json(SMALL.to_json()) == SMALL
 
@@ -106,6 +143,24 @@ def test_rows_that_do_not_fit_are_an_error(spark, tmp_path):
         movielens.load_csv(spark, str(tmp_path)).ratings.collect()
 
 
+def test_table_adapter_drops_ratings_of_unknown_parts(spark, tmp_path):
+    frames = {"part": [(1, "p", 5, "T", "B")], "orders": [(10, 7, dt.datetime(2020, 1, 1))], "lineitem": [(10, 1, 5.0), (10, 2, 5.0)],
+              "nation": [(0, 3)], "customer": [(7, "BUILDING", 0)]}
+    columns = {"part": "p_partkey long, p_name string, p_size int, p_type string, p_brand string", "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp",
+               "lineitem": "l_orderkey long, l_partkey long, l_quantity double", "nation": "n_nationkey int, n_regionkey int",
+               "customer": "c_custkey long, c_mktsegment string, c_nationkey int"}
+    for name, rows in frames.items():
+        spark.createDataFrame(rows, columns[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert [(r.user_id, r.item_id, r.rating) for r in load_tables(spark, str(tmp_path)).ratings.collect()] == [(7, 1, 1.0)]
+
+
+def test_sample_keeps_rows_of_drawn_users_only(spark, frames, workspace):
+    drawn = splitting.sample_users(Dataset("fixture", *frames, None), 7, 3, SMALL.scale, workspace)
+    ids = {r.user_id for r in drawn.ratings.select("user_id").collect()}
+    assert len(ids) == 7 and {r.user_id for r in drawn.users.collect()} == ids and drawn.items.count() == 40
+    assert drawn.ratings.count() == frames[0].filter(F.col("user_id").isin(*ids)).count()
+
+
 def test_slice_table(spark):
     names = ["precision@3", "recall@3", "ndcg@3", "hit@3", "coverage", "novelty", "diversity"]
     rows = [("warm", "a", 4, *[0.5] * 7), ("cold", "a", 2, *[0.25] * 7), ("cold", "b", 2, *[0.75] * 7)]
