@@ -199,7 +199,8 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
     """One row (conv_id, place, turn, role, rendered) per line of ``lines``, in place order of each conversation from 0.
 
     ``rendered`` is the line of the canonical transcript: a line that opens a turn is led by ``<|role|>`` (and closes the turn
-    before), its own speaker marker is taken off if it names a role of the chain; the last line closes the transcript. A transcript is the rendered lines,
+    before), its own speaker marker is taken off if it names a role of the chain; the last line closes the transcript. A blank line
+    that only ends a turn is no part of it: its ``rendered`` is null. A transcript is the rendered lines that are not null,
     joined by \\n in order of place.
 
     Lines are ordered by the two order columns, nulls first, ties by text. Null texts are empty lines; lines with a null
@@ -218,7 +219,7 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
     def run(table: pa.Table) -> pa.Table:
         table = _sorted(table)
         conv, texts, number = table.column("_conv").to_numpy(), table.column("_text").to_pylist(), table.column("_range")[0].as_py()
-        role, opens, shown = [], [], []
+        role, opens, shown, parts = [], [], [], []
         for a, b in _stretches(conv):
             entry, leave = borders.get((int(conv[a]), number), (None, None))
             features = line_features(texts[a:b], chain.roles)
@@ -227,15 +228,18 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
             for s, marker, text in zip(state.tolist(), features[:, 0].tolist(), texts[a:b]):
                 role.append(chain.roles[s // 3])
                 opens.append(s % 3 == 0)
+                parts.append(s % 3 != 2 or bool(text.strip()))
                 shown.append(MARKER.sub("", text, count=1) if s % 3 == 0 and marker >= 2 else text)
         return pa.table({c: table.column(c) for c in ("_conv", *order, "_range")} |
-                        {"_role": pa.array(role, pa.string()), "_opens": pa.array(opens, pa.bool_()), "_shown": pa.array(shown, pa.string())})
-    schema = "_conv long, _turn long, _line long, _tie string, _range int, _role string, _opens boolean, _shown string"
+                        {"_role": pa.array(role, pa.string()), "_opens": pa.array(opens, pa.bool_()), "_shown": pa.array(shown, pa.string()),
+                         "_part": pa.array(parts, pa.bool_())})
+    schema = "_conv long, _turn long, _line long, _tie string, _range int, _role string, _opens boolean, _shown string, _part boolean"
     told = workspace.stage(cut.groupBy("_range").applyInArrow(run, schema).withColumn("_one", F.lit(1).cast("long"))
                            .withColumn("_new", F.col("_opens").cast("long")), "chat-decoded")
     placed = ordered.running_sums(told, ["_conv"], order, {"_place": "_one", "_turns": "_new"})
     turn = F.col("_turns") + F.col("_new") - 1
     head = F.when(F.col("_opens"), F.concat(F.when(F.col("_place") > 0, F.lit("<|end|>\n")).otherwise(""), F.lit("<|"), "_role", F.lit("|>\n"))).otherwise("")
-    tail = F.when(F.col("_place") + 1 == F.col("_place_all"), F.lit("\n<|end|>")).otherwise("")
+    last = F.col("_place") + 1 == F.col("_place_all")
+    body = F.when(F.col("_part"), F.concat(head, "_shown", F.when(last, F.lit("\n<|end|>")).otherwise(""))).when(last, F.lit("<|end|>"))
     return placed.select(F.when(F.col("_conv") != LOWEST, F.col("_conv")).alias(conv_col), F.col("_place").alias("place"), F.greatest(turn, F.lit(0)).alias("turn"),
-                         F.col("_role").alias("role"), F.concat(head, "_shown", tail).alias("rendered"))
+                         F.col("_role").alias("role"), body.alias("rendered"))

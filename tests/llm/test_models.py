@@ -395,17 +395,33 @@ def test_chat_ranges_give_the_same_path(spark, workspace):
         assert [found[conv, i][0] for i in range(len(rows))] == [chain.roles[s // 3] for s in state]
         right += sum(found[conv, i][0] == r.role for i, r in enumerate(rows) if not (r.bare and r.line == 0))
         total += sum(not (r.bare and r.line == 0) for r in rows)
-        text = "\n".join(found[conv, i][1] for i in range(len(rows)))
+        text = "\n".join(found[conv, i][1] for i in range(len(rows)) if found[conv, i][1] is not None)
         assert text.startswith("<|") and text.endswith("<|end|>") and text.count("<|end|>") == sum(s % 3 == 0 for s in state)
     assert right > 0.95 * total
 
 
+def test_chat_transcripts_come_back_as_the_turns(spark, workspace):
+    """Fitted on some conversations, scored on others; blank lines before unmarked turns are no part of any turn."""
+    draw = random.Random(17)
+    table = turns(spark, draw, [draw.randrange(2, 12) for _ in range(160)])
+    chain = chat_format.learn_chain(table.filter("conv_id < 80"))
+    others = table.filter("conv_id >= 80")
+    want, got = {}, {}
+    for r in others.orderBy("conv_id", "turn").collect():
+        want.setdefault(r.conv_id, []).append(f"<|{r.role}|>\n{r.text}\n<|end|>")
+    for r in chat_format.parse_transcripts(chat_format.written_transcripts(others), chain, workspace).orderBy("conv_id", "place").collect():
+        if r.rendered is not None:
+            got.setdefault(r.conv_id, []).append(r.rendered)
+    same = sum("\n".join(got[c]) == "\n".join(t) for c, t in want.items())
+    assert len(want) == 80 and same >= 72
+
+
 def test_chat_keeps_words_that_name_no_role(spark, workspace):
     chain = chat_format.learn_chain(turns(spark, random.Random(1), [6] * 12))
     starts = ["Note: see below", "Error: no file", "[Draft] a text", "**Important:** read it", "### Title: x"]
     rows = [(c, t, text) for c, start in enumerate(starts) for t, text in enumerate([start, "Bot: it is.", "", start, "Human: thanks, is it?"])]
     lines = spark.createDataFrame(rows, "conv_id long, turn long, text string").withColumn("line", F.lit(0))
-    found = {(r.conv_id, r.place): r.rendered.split("\n") for r in chat_format.parse_transcripts(lines, chain, workspace).collect()}
+    found = {(r.conv_id, r.place): (r.rendered or "").split("\n") for r in chat_format.parse_transcripts(lines, chain, workspace).collect()}
     for c, start in enumerate(starts):
         assert found[c, 0][0].startswith("<|") and found[c, 0][1] == start and start in found[c, 3]
         assert found[c, 1][-1] == "it is." and found[c, 4][-2] == "thanks, is it?"
