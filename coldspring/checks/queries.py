@@ -63,7 +63,7 @@ class Lab:
     def rank2(self) -> Experiment:
         """The plain experiment with two factors instead of one."""
         made = Experiment(self.plain.dataset, RANK2, self.workspace)
-        for name in ("split", "train_pairs", "user_stats", "item_stats", "sizes", "liked", "user_segments", "popularity_vectors", "percentiles",
+        for name in ("split", "train_pairs", "user_stats", "item_stats", "sizes", "liked", "user_segments", "segments", "n_deltas", "popularity_vectors", "percentiles",
                      "features", "by_user", "by_item", "profiles"):
             setattr(made, name, getattr(self.plain, name))
         return made

@@ -149,9 +149,20 @@ def raw_signals(users: dict, items: dict, wanted: set) -> dict:
         has = users["profile"].any(axis=1)
         out["content"] = users["profile"] @ items["features"].T + has[:, None] * items["tie_break"][None, :]
     if "demographic" in wanted:
-        out["demographic"] = items["popularity"][users["segment"]]
+        out["demographic"] = segment_scores(users["segment"], items)
     if "popularity" in wanted:
-        out["popularity"] = np.broadcast_to(items["popularity"][-1], (len(users["user_id"]), len(items["item_id"])))
+        out["popularity"] = np.broadcast_to(items["popularity"], (len(users["user_id"]), len(items["item_id"])))
+    return out
+
+
+def segment_scores(segment: np.ndarray, items: dict) -> np.ndarray:
+    """(users x items): the global scores, the base of each user's segment, and its deltas where it has any."""
+    out = items["segment_base"][segment][:, None] + items["popularity"][None, :]
+    starts = items["segment_starts"]
+    sizes = starts[segment + 1] - starts[segment]
+    rows = np.repeat(np.arange(len(segment)), sizes)
+    entries = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts[segment], sizes)
+    out[rows, items["segment_places"][entries]] += items["segment_deltas"][entries]
     return out
 
 
@@ -159,7 +170,15 @@ def shard_tops(items: dict) -> dict:
     """What bounds the scores of a block of items: largest norms and values, and the ends of their history."""
     norm = lambda m: float(np.sqrt(np.einsum("ij,ij->i", m, m).max(initial=0.0)))
     return {"cf": norm(items["factors"]), "content": norm(items["features"]), "tie_break": float(items["tie_break"].max(initial=0.0)),
-            "popularity": items["popularity"].max(axis=1), "n_item": np.array([items["n_item"].min(), items["n_item"].max()])}
+            "popularity": float(items["popularity"].max()), "segments": _segment_tops(items), "n_item": np.array([items["n_item"].min(), items["n_item"].max()])}
+
+
+def _segment_tops(items: dict) -> np.ndarray:
+    """The highest score of each segment in the block (an item without a delta may be the highest)."""
+    top = np.full(len(items["segment_base"]), items["popularity"].max())
+    segment = np.repeat(np.arange(len(top)), np.diff(items["segment_starts"]))
+    np.maximum.at(top, segment, items["popularity"][items["segment_places"]] + items["segment_deltas"])
+    return top + items["segment_base"]
 
 
 def signal_bounds(users: dict, tops: dict, wanted: set) -> dict:
@@ -171,9 +190,9 @@ def signal_bounds(users: dict, tops: dict, wanted: set) -> dict:
         length = np.linalg.norm(users["profile"], axis=1)
         out["content"] = (length * tops["content"] + (length > 0) * tops["tie_break"]) * more
     if "demographic" in wanted:
-        out["demographic"] = tops["popularity"][users["segment"]]
+        out["demographic"] = tops["segments"][users["segment"]]
     if "popularity" in wanted:
-        out["popularity"] = np.full(len(users["user_id"]), tops["popularity"][-1])
+        out["popularity"] = np.full(len(users["user_id"]), tops["popularity"])
     return out
 
 

@@ -198,20 +198,36 @@ class FeatureBlocks:
     n_genres: int
     text_dims: int
 
+    def _weights(self, cfg: ContentConfig) -> np.ndarray:
+        return np.concatenate([np.full(self.n_decades, cfg.year_weight), np.full(self.n_genres, cfg.genre_weight),
+                               np.full(self.text_dims, cfg.text_weight)])
+
     def weighted(self, cfg: ContentConfig) -> ItemFeatures:
         """Dense unit rows [decades | genres | text]."""
-        weights = np.concatenate([np.full(self.n_decades, cfg.year_weight), np.full(self.n_genres, cfg.genre_weight),
-                                  np.full(self.text_dims, cfg.text_weight)])
-        dims = len(weights)
+        return self._projected([self._weights(cfg)], [slice(None)])
+
+    def side_by_side(self, cfgs: list[ContentConfig]) -> tuple[ItemFeatures, list[tuple[int, int]]]:
+        """The unit rows of several choices of weights, one after the other without the blocks they switch off, and the
+        place (first, end) of each."""
+        weights = [self._weights(cfg) for cfg in cfgs]
+        kept = [np.flatnonzero(w) for w in weights]
+        ends = np.cumsum([len(k) for k in kept])
+        return self._projected(weights, kept), [(int(end) - len(k), int(end)) for end, k in zip(ends, kept)]
+
+    def _projected(self, weights: list[np.ndarray], columns: list) -> ItemFeatures:
+        dims = len(weights[0])
 
         def run(batches):
             for batch in batches:
-                m = kernels.to_matrix(batch.column(1), dims) * weights
-                length = np.linalg.norm(m, axis=1, keepdims=True)
-                unit = np.divide(m, length, out=m, where=length > 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(unit)], ["item_id", "features"])
-
-        return ItemFeatures(self.table.mapInArrow(run, "item_id long, features array<double>"), self.n_items, dims)
+                blocks, parts = kernels.to_matrix(batch.column(1), dims), []
+                for w, kept in zip(weights, columns):
+                    m = (blocks * w)[:, kept]
+                    length = np.linalg.norm(m, axis=1, keepdims=True)
+                    parts.append(np.divide(m, length, out=m, where=length > 0))
+                yield pa.RecordBatch.from_arrays([batch.column(0), kernels.to_list_column(np.hstack(parts))], ["item_id", "features"])
+
+        wide = sum(len(w[k]) for w, k in zip(weights, columns))
+        return ItemFeatures(self.table.mapInArrow(run, "item_id long, features array<double>"), self.n_items, wide)
 
 
 def feature_blocks(items: DataFrame, n_items: int, embedding: tuple[DataFrame, int] | None, scale: ScaleConfig,

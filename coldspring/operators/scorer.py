@@ -17,7 +17,7 @@ from the mean and covariance of the item vectors, so they agree.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -66,16 +66,18 @@ def _with_rerankers(models: dict[str, dict], cfg: EngineConfig) -> dict[str, dic
 
 @dataclass
 class Catalog:
-    """One row per item: item_id, n_item, pct, factors, features, popularity, tie_break."""
+    """One row per item: item_id, n_item, pct, factors, features, popularity, seg_no, seg_delta, tie_break.
+    ``segment_base``: see ``popularity.Segments``; ``n_deltas``: entries of all seg_delta lists together."""
     table: DataFrame
     n_items: int
     factor_dims: int
     feature_dims: int
-    segments: list[str] = field(default_factory=list)
+    segment_base: np.ndarray
+    n_deltas: int
 
     @property
     def row_bytes(self) -> int:
-        return 8 * (self.factor_dims + self.feature_dims + len(self.segments) + 6)
+        return 8 * (self.factor_dims + self.feature_dims + 7) + 16 * math.ceil(self.n_deltas / max(self.n_items, 1))
 
 
 def catalog_moments(catalog: Catalog) -> dict:
@@ -84,23 +86,36 @@ def catalog_moments(catalog: Catalog) -> dict:
     joint = catalog.table.select(F.concat("factors", "features", F.array("tie_break")).alias("v"))
     mean = gather.tree_sum(joint, "v", r + d + 1) / n
     cov = gather.gram(joint, "v", r + d + 1, centre=mean) / n
-    by_segment = (catalog.table.select(F.posexplode("popularity").alias("s", "x"))
-                  .groupBy("s").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("sd")).collect())
-    by_segment.sort(key=lambda row: row.s)
+    # A segment's scores are those of all users, its base, and the deltas of some items.
+    whole = catalog.table.agg(F.avg("popularity").alias("m"), F.var_pop("popularity").alias("v")).first()
+    deltas = (catalog.table.select("popularity", F.explode(F.arrays_zip("seg_no", "seg_delta")).alias("d"))
+              .select(F.col("d.seg_no").alias("s"), F.col("d.seg_delta").alias("x"), (F.col("popularity") - F.lit(whole.m)).alias("g"))
+              .groupBy("s").agg(F.sum("x").alias("x"), F.sum(F.col("x") * F.col("x") + 2 * F.col("x") * F.col("g")).alias("xx")).toArrow())
+    first, second = np.zeros(len(catalog.segment_base)), np.zeros(len(catalog.segment_base))
+    first[deltas.column("s").to_numpy()] = deltas.column("x").to_numpy() / n
+    second[deltas.column("s").to_numpy()] = deltas.column("xx").to_numpy() / n
     return {"factors_mean": mean[:r], "factors_cov": cov[:r, :r],
             "features_mean": mean[r:r + d], "features_cov": cov[r:r + d, r:r + d],
             "features_tie_cov": cov[r:r + d, r + d], "tie_mean": mean[r + d], "tie_var": cov[r + d, r + d],
-            "popularity_mean": np.array([row.m for row in by_segment]),
-            "popularity_std": np.array([row.sd for row in by_segment])}
+            "popularity_mean": whole.m + catalog.segment_base + first,
+            "popularity_std": np.sqrt(np.maximum(whole.v + second - first * first, 0.0))}
 
 
-def item_arrays(table: pa.Table, factor_dims: int, feature_dims: int, n_popularity: int, models: dict | None = None) -> dict:
+def item_arrays(table: pa.Table, factor_dims: int, feature_dims: int, segment_base: np.ndarray, models: dict | None = None) -> dict:
     table = table.sort_by("item_id")
+    numbers, deltas = (table.column(c).combine_chunks() for c in ("seg_no", "seg_delta"))
+    numbers, deltas = (pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c for c in (numbers, deltas))
+    places = np.repeat(np.arange(table.num_rows), np.diff(numbers.offsets.to_numpy()))
+    segment = numbers.flatten().to_numpy(zero_copy_only=False)
+    order = np.argsort(segment, kind="stable")
     return {"item_id": table.column("item_id").to_numpy(), "n_item": table.column("n_item").to_numpy(),
             "pct": table.column("pct").to_numpy(), "tie_break": table.column("tie_break").to_numpy(),
             "factors": kernels.to_matrix(table.column("factors"), factor_dims),
             "features": kernels.to_matrix(table.column("features"), feature_dims),
-            "popularity": np.ascontiguousarray(kernels.to_matrix(table.column("popularity"), n_popularity).T),
+            "popularity": table.column("popularity").to_numpy(), "segment_base": segment_base,
+            # the deltas of segment s: entries starts[s] .. starts[s + 1] - 1
+            "segment_starts": np.searchsorted(segment[order], np.arange(len(segment_base) + 1)), "segment_places": places[order],
+            "segment_deltas": deltas.flatten().to_numpy(zero_copy_only=False)[order],
             "own": {name: protocol.own_arrays(table, m["kernel"].item_columns) for name, m in (models or {}).items() if "kernel" in m}}
 
 
@@ -376,7 +391,6 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
             "parts": parts, "only_hits": only_hits}
     if n_users <= cfg.scale.broadcast_ids:
         marks = marks.join(F.broadcast(users.select("user_id")), "user_id", "left_semi")
-    n_popularity = len(catalog.segments) + 1
     schema = ("model string, user_id long, n_train long, rank int, item_id long, score double, "
               "hit boolean, n_item long, sim_before double")
     if parts:
@@ -384,7 +398,7 @@ def rank_users(users: DataFrame, n_users: int, catalog: Catalog, moments: dict,
     spark = users.sparkSession
     tasks = max(3 * spark.sparkContext.defaultParallelism,
                 math.ceil(n_users * max(n_items, 1) / (5000 * cfg.scale.cells_per_batch)))
-    arrays_of = lambda table: item_arrays(table, catalog.factor_dims, catalog.feature_dims, n_popularity, models)
+    arrays_of = lambda table: item_arrays(table, catalog.factor_dims, catalog.feature_dims, catalog.segment_base, models)
 
     row_bytes = catalog.row_bytes + own_bytes / max(catalog.n_items, 1)
     if n_items * row_bytes <= cfg.scale.broadcast_bytes:

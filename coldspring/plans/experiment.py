@@ -97,24 +97,25 @@ class Experiment:
             popularity.user_segments(self.dataset.users.join(self.user_stats.select("user_id"), "user_id", "left_semi")),
             "user-segments")
 
-    @cached_property
-    def segments(self) -> list[str]:
-        """The distinct (gender, age) labels; a handful, whatever the number of users."""
-        return sorted(row.segment for row in self.user_segments.select("segment").distinct().collect())
-
     @cached_property
     def segment_counts(self) -> DataFrame:
         return self.workspace.stage(
             popularity.segment_counts(self.train_pairs, self.user_segments, self.hot_users), "segment-counts")
 
+    @cached_property
+    def segments(self) -> popularity.Segments:
+        """The distinct (gender, age) labels, numbered."""
+        return popularity.number_segments(self.user_segments, self.segment_counts, self.cfg.popularity_smoothing, self.cfg.scale, self.workspace)
+
+    @cached_property
+    def n_deltas(self) -> int:
+        return self.segment_counts.count()
+
     @cached_property
     def popularity_vectors(self) -> DataFrame:
-        totals = {row.segment: row.n for row in
-                  self.segment_counts.groupBy("segment").agg(F.sum("n").alias("n")).collect()}
-        totals = {s: totals.get(s, 0) for s in self.segments}
         return self.workspace.stage(popularity.segment_vectors(
-            self.item_stats, self.segment_counts, self.segments, totals, self.sizes["n_pairs"],
-            self.sizes["n_items"], self.cfg.popularity_smoothing), "popularity")
+            self.item_stats, self.segment_counts, self.segments, self.sizes["n_pairs"], self.sizes["n_items"],
+            self.cfg.popularity_smoothing), "popularity")
 
     @cached_property
     def percentiles(self) -> DataFrame:
@@ -179,7 +180,7 @@ class Experiment:
         else:
             rows = rows.join(factor_rows.select(F.col("id").alias("item_id"), F.col("vec").alias("_vec")), "item_id", "left")
             rows = rows.withColumn("factors", F.coalesce("_vec", zero))
-        return rows.select("item_id", "n_item", "pct", "factors", "features", "popularity",
+        return rows.select("item_id", "n_item", "pct", "factors", "features", "popularity", "seg_no", "seg_delta",
                            (content.TIE_BREAK * F.log1p(F.col("n_item").cast("double"))).alias("tie_break"))
 
     @cached_property
@@ -189,7 +190,7 @@ class Experiment:
         n = table.count()
         if n != self.sizes["n_items"]:
             raise ValueError(f"catalog has {n} rows for {self.sizes['n_items']} items")
-        return scorer.Catalog(table, n, dims, self.features.dims, self.segments)
+        return scorer.Catalog(table, n, dims, self.features.dims, self.segments.base, self.n_deltas)
 
     @cached_property
     def moments(self) -> dict:
@@ -214,13 +215,11 @@ class Experiment:
         return scorer.registry(self.cfg, self.dataset.users is not None)
 
 
-def assemble_users(stats: DataFrame, segments_of: DataFrame, segments: list[str], profiles: DataFrame,
+def assemble_users(stats: DataFrame, segments_of: DataFrame, segments: popularity.Segments, profiles: DataFrame,
                    feature_dims: int, factor_rows: DataFrame | None, factor_dims: int) -> DataFrame:
-    names = F.array(*[F.lit(s) for s in segments]) if segments else F.array().cast("array<string>")
-    place = F.array_position(names, F.col("segment"))
-    rows = (stats.select("user_id", "n_user").join(segments_of, "user_id", "left")
-            .withColumn("segment_no", F.when(F.coalesce(place, F.lit(0)) > 0, place - 1)
-                        .otherwise(F.lit(len(segments))).cast("int"))
+    numbers = segments_of.join(F.broadcast(segments.table.select("segment", "segment_no")), "segment").select("user_id", "segment_no")
+    rows = (stats.select("user_id", "n_user").join(numbers, "user_id", "left")
+            .withColumn("segment_no", F.coalesce("segment_no", F.lit(segments.n)).cast("int"))
             .join(profiles.select(F.col("id").alias("user_id"), F.col("vec").alias("_p")), "user_id", "left")
             .withColumn("profile", F.coalesce("_p", F.array_repeat(F.lit(0.0), feature_dims))))
     if factor_rows is None:

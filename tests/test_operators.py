@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coldspring import kernels
 from coldspring.config import ScaleConfig, SplitConfig
 from coldspring.functions import buckets, text, vectors
-from coldspring.operators import gather, metrics, skew, split, weights
+from coldspring.operators import gather, metrics, popularity, skew, split, weights
 from coldspring.config import BlendConfig
 from tests import data
 
@@ -333,3 +333,28 @@ def test_similarity_before_adds_up_to_all_pairs():
 def test_padding_of_flat_lists():
     cells, used = kernels.padded(np.array([0, 3, 4]), np.array([3, 1, 2]))
     assert cells[used].tolist() == [0, 1, 2, 3, 4, 5] and used.sum(axis=1).tolist() == [3, 1, 2]
+
+
+def test_many_segments_are_kept_as_deltas(spark, workspace):
+    """3,000 segments of one or two users each: an item stores only the segments that have rated it."""
+    scale = ScaleConfig()
+    pairs = spark.createDataFrame([(u, (u * 7 + j) % 50) for u in range(4000) for j in range(3)], "user_id long, item_id long")
+    segments_of = spark.createDataFrame([(u, f"s{u % 3000:04d}") for u in range(4000) if u % 5], "user_id long, segment string")
+    stats = workspace.stage(spark.range(60).withColumnRenamed("id", "item_id").join(pairs.groupBy("item_id").count(), "item_id", "left")
+                            .select("item_id", F.coalesce("count", F.lit(0)).alias("n_item")), "stats")
+    counts = workspace.stage(popularity.segment_counts(pairs, segments_of, None), "counts")
+    found = popularity.number_segments(segments_of, counts, 10.0, scale, workspace)
+    vectors = workspace.stage(popularity.segment_vectors(stats, counts, found, 12_000, 60, 10.0), "vectors")
+    assert found.n == segments_of.select("segment").distinct().count() and len(found.base) == found.n + 1
+    assert vectors.agg(F.sum(F.size("seg_no"))).first()[0] == counts.count()
+    n_item, n, total = {r.item_id: r.n_item for r in stats.collect()}, {}, {}
+    for r in counts.collect():
+        n[r.segment, r.item_id] = r.n
+        total[r.segment] = total.get(r.segment, 0) + r.n
+    scores = popularity.segment_table(vectors, found)
+    assert scores.count() == 60 * found.n
+    for r in scores.filter(F.col("segment") < "s0020").collect():
+        g = (n_item[r.item_id] + 1) / 12_060
+        assert r.score == pytest.approx(math.log((n.get((r.segment, r.item_id), 0) + 10 * g) / (total.get(r.segment, 0) + 10)), abs=1e-12)
+    with pytest.raises(ValueError, match="smoothing"):
+        popularity.number_segments(segments_of, counts, 0.0, scale, workspace)
