@@ -29,10 +29,12 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex[:12]}"
+        shared = checkpoint_root(spark)
+        self.root = f"{shared}/run-{uuid.uuid4().hex[:12]}"
         self._serial = 0
+        # Checkpoints belong to the session and may serve other workspaces: they do not lie in the folder ``close`` removes.
         if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(self.root)
+            spark.sparkContext.setCheckpointDir(f"{shared}/checkpoints")
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         return self.stage_at(df, name)[0]

@@ -33,8 +33,8 @@ def frames(spark):
             spark.createDataFrame(users, "user_id long, gender string, age int, occupation int"))
 
 
-SMALL = EngineConfig(k=5, extra_ks=(3,), split=SplitConfig(cold_user_share=0.2, cold_item_share=0.1, min_item_ratings=5),
-                     als=AlsConfig(factors=4, regularization=0.1, iterations=8), content=ContentConfig(text_dims=4))
+SMALL = EngineConfig(k=5, extra_ks=(3,), split=SplitConfig(cold_user_share=0.25, cold_item_share=0.12, min_item_ratings=6),
+                     als=AlsConfig(factors=5, regularization=0.2, iterations=7), content=ContentConfig(text_dims=3))
 
 
 @pytest.fixture(scope="session")

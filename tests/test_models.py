@@ -86,7 +86,7 @@ def test_new_user_is_placed_by_a_few_ratings(spark, everything, workspace):
     y = matrix(everything.factors.items, 40)
     w = SMALL.als.alpha * np.array([5.0, 4.0, 5.0])
     some = y[[32, 33, 35]]
-    want = np.linalg.solve(y.T @ y + SMALL.als.regularization * np.eye(4) + (some.T * w) @ some, some.T @ (1 + w))
+    want = np.linalg.solve(y.T @ y + SMALL.als.regularization * np.eye(SMALL.als.factors) + (some.T * w) @ some, some.T @ (1 + w))
     np.testing.assert_allclose(vec, want, atol=1e-8)
     nobody = gather.build_blocks(pairs.filter("target < 0"), 0, SMALL.scale, workspace, "fold")
     assert als.fold_in(nobody, everything.factors, SMALL.als).isEmpty()      # the zero vector has no row

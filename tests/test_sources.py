@@ -33,12 +33,12 @@ def test_dat_layout(spark, tmp_path):
 
 def test_csv_layout(spark, tmp_path):
     write(tmp_path, "ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.5,964982703\n1,3,4.0,964981247\n")
-    write(tmp_path, "movies.csv", 'movieId,title,genres\n1,"American President, The (1995)",Comedy|Drama\n'
+    write(tmp_path, "movies.csv", 'movieId,title,genres\n1,"Market at Noon, The (1995)",Comedy|Drama\n'
                                   '2,"He said ""no""",(no genres listed)\n')
     write(tmp_path, "tags.csv", "userId,movieId,tag,timestamp\n1,1,Funny Stuff,1\n2,1,POLITICS,2\n")
     data = movielens.load_csv(spark, str(tmp_path))
     items = {r.item_id: r for r in movielens.with_tags(data.items, data.tags).collect()}
-    assert items[1].title == "The American President" and items[1].tags == "funny stuff politics"
+    assert items[1].title == "The Market at Noon" and items[1].tags == "funny stuff politics"
     assert items[2].title == 'He said "no"' and items[2].year is None and items[2].genres == [] and items[2].tags == ""
     assert [r.item_id for r in data.ratings.collect()] == [1] and data.users is None
 
