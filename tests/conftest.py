@@ -33,8 +33,9 @@ def frames(spark):
             spark.createDataFrame(users, "user_id long, gender string, age int, occupation int"))
 
 
+# Eight directions hold the whole title space: fewer would cut through equally long ones, and any rotation of those is right.
 SMALL = EngineConfig(k=5, extra_ks=(3,), split=SplitConfig(cold_user_share=0.25, cold_item_share=0.12, min_item_ratings=6),
-                     als=AlsConfig(factors=5, regularization=0.2, iterations=7), content=ContentConfig(text_dims=3))
+                     als=AlsConfig(factors=5, regularization=0.2, iterations=7), content=ContentConfig(text_dims=8))
 
 
 @pytest.fixture(scope="session")
