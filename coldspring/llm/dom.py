@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 
@@ -25,16 +27,7 @@ SIBLING_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
           "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
 
-# Words that sites use in class and id names.
-AWAY = set("ad ads advert adverts advertisement advertising adsense banner promo promotion promoted sponsor sponsored outbrain taboola".split())
-NAVIGATION = set("nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc skip tabs topbar toolbar sitemap".split())
-ASIDE = set("sidebar side aside related recommended widget widgets share sharing social trending popular tags more newsletter subscribe signup promo".split())
-NOTICE = set("notice notices cookie cookies consent gdpr alert alerts banner popup modal overlay paywall disclaimer warning message toast legal".split())
-TALK = set("comment comments commentlist reply replies respond discussion disqus thread reader readers responses feedback review reviews".split())
-EDGE = set("header masthead footer foot bottom copyright site top logo branding head credits".split())
-FORM = set("form login search input field newsletter subscribe signin register contact".split())
-BODY = set("article content main post entry body text story story-body copy prose page hentry paragraph section maincontent articlebody".split())
-FAMILIES = [AWAY, NAVIGATION, ASIDE, NOTICE, TALK, EDGE, FORM, BODY]
+TOKEN_BUCKETS = 1 << 14   # attribute words are hashed; what a bucket speaks for is learned
 TAGS = ["article", "main", "section", "div", "p", "h", "li", "list", "nav", "aside", "footer", "header", "form", "table", "cell", "quote", "figure", "body", "other"]
 _TAG_KIND = {"article": "article", "main": "main", "section": "section", "div": "div", "p": "p", "li": "li", "ul": "list", "ol": "list", "dl": "list",
              "dt": "li", "dd": "li", "nav": "nav", "menu": "nav", "aside": "aside", "footer": "footer", "header": "header", "form": "form", "fieldset": "form",
@@ -47,7 +40,7 @@ LOOSE = "#text"   # stands for a unit of text directly in the page
 
 
 class Node:
-    __slots__ = ("tag", "tokens", "parent", "children", "units", "order", "depth", "chars", "linked", "tags", "words", "marks", "blocks", "place", "truth")
+    __slots__ = ("tag", "tokens", "parent", "children", "units", "order", "depth", "chars", "linked", "tags", "words", "marks", "blocks", "titles", "truth")
 
     def __init__(self, tag: str, tokens: frozenset, parent: "Node | None", order: int):
         self.tag, self.tokens, self.parent, self.order = tag, tokens, parent, order
@@ -177,18 +170,38 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-N_OWN = len(TAGS) + len(FAMILIES) + 2
-FEATURES = N_OWN + len(FAMILIES) + 8 + 22
+@lru_cache(maxsize=1 << 16)
+def bucket(token: str) -> int:
+    return zlib.crc32(token.encode("utf-8", "surrogatepass")) % TOKEN_BUCKETS
 
 
-def features(nodes: list[Node]) -> np.ndarray:
-    """One row per node: kind of tag, words of its attributes, what stands above, subtree densities, depth and siblings."""
+N_OWN = len(TAGS) + 2       # kind of tag, hidden, loose
+N_TOKENS = 6                # of the evidence of attribute words: lowest, highest and sum, on the node and above it
+N_ABOVE = 8
+N_TREE = 22
+N_PAGE = 9
+AT_TOKENS = N_OWN
+AT_TREE = N_OWN + N_TOKENS + N_ABOVE
+FEATURES = AT_TREE + N_TREE + N_PAGE
+NO_EVIDENCE = np.zeros(TOKEN_BUCKETS)
+
+
+def _largest_core(nodes: list[Node]) -> Node | None:
+    """The article or main element with the most text; the outermost at equal length."""
+    cores = [n for n in nodes if n.tag in ("article", "main") and n.chars]
+    return max(cores, key=lambda n: (n.chars, -n.order)) if cores else None
+
+
+def features(nodes: list[Node], evidence: np.ndarray = NO_EVIDENCE) -> np.ndarray:
+    """One row per node: kind of tag, evidence of the hashed words of its attributes (``evidence``: log odds by bucket, 0 for
+    words never seen), what stands above, subtree densities, depth and siblings, place on the page."""
     for node in reversed(nodes):
         node.chars = sum(len(t) for _, t, _ in node.units)
         node.linked = sum(n for _, _, n in node.units)
         node.words = sum(t.count(" ") + 1 for _, t, _ in node.units)
         node.marks = sum(t.count(".") + t.count(",") + t.count("!") + t.count("?") for _, t, _ in node.units)
         node.tags, node.blocks = 1, len(node.units)
+        node.titles = int(node.tag == "h1")
         for child in node.children:
             node.chars += child.chars
             node.linked += child.linked
@@ -196,46 +209,64 @@ def features(nodes: list[Node]) -> np.ndarray:
             node.marks += child.marks
             node.tags += child.tags
             node.blocks += child.blocks
-    around = {}   # of the children of each node: their number, characters, longest, and how many have each tag
+            node.titles += child.titles
+    around = {}   # of the children of each node: their number, characters, longest, and how many have each tag or each set of words
     spots = [0] * len(nodes)
     for node in nodes:
         if node.children:
             sizes = [c.chars for c in node.children]
-            around[node.order] = len(sizes), sum(sizes), max(sizes), Counter(c.tag for c in node.children)
+            around[node.order] = (len(sizes), sum(sizes), max(sizes), Counter(c.tag for c in node.children),
+                                  Counter(c.tokens for c in node.children if c.tokens))
             for spot, child in enumerate(node.children):
                 spots[child.order] = spot
+    core = _largest_core(nodes)
+    holders = set()   # elements around the core
+    up = core.parent if core else None
+    while up is not None:
+        holders.add(up.order)
+        up = up.parent
+    inside = [False] * len(nodes)
     whole = max(nodes[0].chars, 1)
     out = np.zeros((len(nodes), FEATURES))
-    before = 0
+    before = titles = 0
     for i, node in enumerate(nodes):
         row = out[i]
         kind = _KIND[_TAG_KIND.get(node.tag, "other")]
         row[kind] = 1
-        for k, family in enumerate(FAMILIES):
-            row[len(TAGS) + k] = not family.isdisjoint(node.tokens)
         row[N_OWN - 2] = "hidden" in node.tokens
         row[N_OWN - 1] = node.tag == LOOSE
         parent = node.parent
-        at = N_OWN
+        at = AT_TOKENS
+        if node.tokens:
+            own_words = evidence[[bucket(t) for t in node.tokens]]
+            row[at:at + 3] = min(own_words.min(), 0), max(own_words.max(), 0), own_words.sum()
         if parent is not None:
-            up = out[parent.order]
-            # families above, from the element itself or further up
-            row[at:at + len(FAMILIES)] = np.maximum(up[at:at + len(FAMILIES)], up[len(TAGS):len(TAGS) + len(FAMILIES)])
-            at += len(FAMILIES)
+            above = out[parent.order]
+            row[at + 3] = min(above[at + 3], above[at])
+            row[at + 4] = max(above[at + 4], above[at + 1])
+            row[at + 5] = above[at + 5] + above[at + 2]
+            at += N_TOKENS
             for k, name in enumerate(("article", "main", "nav", "aside", "footer", "header", "form", "list")):
-                row[at + k] = max(up[at + k], up[_KIND[name]])
-        at = N_OWN + len(FAMILIES) + 8
+                row[at + k] = max(above[at + k], above[_KIND[name]])
+            inside[i] = inside[parent.order] or parent is core
+        at = AT_TREE
         own = sum(len(t) for _, t, _ in node.units)
         chars = max(node.chars, 1)
-        siblings, total, longest, tags = around[parent.order] if parent else (1, node.chars, node.chars, {node.tag: 1})
-        below = around[node.order][3]["p"] if node.children else 0
-        row[at:at + 22] = (
+        siblings, total, longest, tags, alike = around[parent.order] if parent else (1, node.chars, node.chars, {node.tag: 1}, {})
+        below, kinds = (around[node.order][3]["p"], around[node.order][4]) if node.children else (0, {})
+        row[at:at + N_TREE] = (
             np.log1p(node.chars), np.log1p(own), node.linked / chars, node.tags / chars * 50, node.chars / whole, node.words / max(node.blocks, 1) / 20,
             node.marks / max(node.words, 1), node.depth, len(node.children), node.blocks, siblings, spots[i] / siblings,
             np.log1p(total / siblings), node.chars / max(longest, 1), tags[node.tag] / siblings,
             before / whole, out[parent.order][at + 2] if parent else 0, len(node.tokens), node.chars == 0, below,
             out[parent.order][at + 4] if parent else 1, parent.chars / whole if parent else 1)
+        at += N_TREE
+        row[at:at + N_PAGE] = (
+            core is not None, inside[i] or node is core, node.order in holders, node.titles > 0, parent is not None and parent.titles > 0, titles > 0,
+            alike.get(node.tokens, 0) / siblings if alike else 0, max(kinds.values()) / len(node.children) if kinds else 0,
+            out[parent.order][at + 7] if parent else 0)
         before += own
+        titles += node.tag == "h1"
     return out
 
 
