@@ -53,22 +53,29 @@ def written_transcripts(turns: DataFrame, config: ChatConfig = ChatConfig()) ->
             .select("conv_id", "turn", F.col("line").cast("long").alias("line"), "text", "role", "bare"))
 
 
-def line_features(lines: list[str], roles: list[str]) -> np.ndarray:
-    """Three categories per line: marker (none, unknown, or a role's), words, last character."""
-    out = np.zeros((len(lines), 3), dtype=np.int64)
-    place = {role: i + 2 for i, role in enumerate(roles)}
-    for i, line in enumerate(lines):
+def line_marks(lines: list[str]) -> list[tuple[str | None, int, int]]:
+    """Per line: the role or name that its marker spells, a class of its number of words, a class of its last character."""
+    out = []
+    for line in lines:
         found = MARKER.match(line)
-        if found:
-            name = next(g for g in found.groups() if g).lower()
-            out[i, 0] = place.get(_ROLE_OF.get(name, name), 1)
+        name = next(g for g in found.groups() if g).lower() if found else None
         words = len(line.split())
-        out[i, 1] = 0 if not words else 1 if words < 4 else 2 if words < 12 else 3 if words < 40 else 4
         last = line.rstrip()[-1:]
-        out[i, 2] = 0 if not last else 1 if last == "?" else 2 if last in ".!" else 3 if last in ":," else 4
+        out.append((_ROLE_OF.get(name, name), 0 if not words else 1 if words < 4 else 2 if words < 12 else 3 if words < 40 else 4,
+                    0 if not last else 1 if last == "?" else 2 if last in ".!" else 3 if last in ":," else 4))
     return out
 
 
+def categories(marks: list[tuple[str | None, int, int]], roles: list[str]) -> np.ndarray:
+    """Three categories per line: marker (none, unknown, or a role's), words, last character."""
+    place = {role: i + 2 for i, role in enumerate(roles)} | {None: 0}
+    return np.array([(place.get(name, 1), words, last) for name, words, last in marks], dtype=np.int64).reshape(-1, 3)
+
+
+def line_features(lines: list[str], roles: list[str]) -> np.ndarray:
+    return categories(line_marks(lines), roles)
+
+
 @dataclass
 class Chain:
     """Log probabilities of a hidden Markov model. States of role r: 3 r for a line that opens a turn, 3 r + 1 for its other lines,
@@ -106,7 +113,7 @@ class Chain:
 
 
 def fit_chain(rows: list[tuple], roles: list[str] | None = None) -> Chain:
-    """From (conversation, place, text, role, kind of line: 0, 1 or 2) in order: counts with one added to each."""
+    """From (conversation, place, marks of the line, role, kind of line: 0, 1 or 2) in order: counts with one added to each."""
     roles = roles or sorted({r[3] for r in rows}) or ["user"]
     states, sizes = 3 * len(roles), (len(roles) + 2, 5, 5)
     first, step = np.ones(states), np.ones((states, states))
@@ -121,7 +128,7 @@ def fit_chain(rows: list[tuple], roles: list[str] | None = None) -> Chain:
         state = np.array([3 * number[r[3]] + r[4] for r in part])
         first[state[0]] += 1
         np.add.at(step, (state[:-1], state[1:]), 1)
-        for k, column in enumerate(line_features([r[2] for r in part], roles).T):
+        for k, column in enumerate(categories([r[2] for r in part], roles).T):
             np.add.at(emit[k], (state, column), 1)
         start = end
     # a role's other lines follow a line of the same role only
@@ -133,17 +140,29 @@ def fit_chain(rows: list[tuple], roles: list[str] | None = None) -> Chain:
 
 
 def learn_chain(turns: DataFrame, config: ChatConfig = ChatConfig()) -> Chain:
-    """The model fitted on transcripts written from at most ``sample`` conversations of (conv_id, turn, role, text)."""
+    """The model fitted on transcripts written from at most ``sample`` conversations of (conv_id, turn, role, text).
+
+    Null conversations are left out, null roles are ``other``, null texts empty lines. Without any line the only role is ``user``."""
     drawn = (turns.select("conv_id").filter("conv_id is not null").distinct().orderBy(F.xxhash64("conv_id"), "conv_id").limit(config.sample))
     part = turns.join(F.broadcast(drawn), "conv_id").filter(F.col("turn") < config.sample_lines // config.sample)
-    lines = written_transcripts(part, config).orderBy("conv_id", "turn", "line").limit(config.sample_lines).collect()
+    fields = "conv_id long, turn long, line long, role string, bare boolean, name string, words int, last int"
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name, words, last = zip(*line_marks(batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("conv_id", "turn", "line", "role", "bare")],
+                                              pa.array(name, pa.string()), pa.array(words, pa.int32()), pa.array(last, pa.int32())],
+                                             names=[f.split()[0] for f in fields.split(", ")])
+    # lines become marks in the tasks, so no text reaches the driver
+    lines = (written_transcripts(part, config).withColumn("conv_id", F.col("conv_id").cast("long")).withColumn("turn", F.col("turn").cast("long"))
+             .mapInArrow(marks, fields).orderBy("conv_id", "turn", "line", "role", "bare", "name", "words", "last").limit(config.sample_lines).collect())
     rows = []
     for r in lines:
         # the blank line before an unmarked turn still belongs to the turn before
         lead = r["bare"] and r["line"] == 0
         role = rows[-1][3] if lead and rows and rows[-1][0] == r["conv_id"] else r["role"]
         kind = 2 if lead else 0 if r["line"] == (1 if r["bare"] else 0) else 1
-        rows.append((r["conv_id"], (r["turn"], r["line"]), r["text"], role, kind))
+        rows.append((r["conv_id"], (r["turn"], r["line"]), (r["name"], r["words"], r["last"]), role, kind))
     return fit_chain(rows)
 
 

@@ -157,18 +157,17 @@ def _logistic(features: np.ndarray, target: np.ndarray, weight: np.ndarray, pena
 
 
 def fit_field(texts: list[tuple[bytes, int]], config: LineConfig) -> Field:
-    """A field from documents with a quality label.
+    """A field from documents with a quality label."""
+    return fit_rows([(Lines([text]).features()[:config.sample_lines], label) for text, label in texts], config)
+
+
+def fit_rows(rows: list[tuple[np.ndarray, int]], config: LineConfig) -> Field:
+    """A field from the features of the lines of documents and the documents' labels.
 
     The label says nothing of single lines, so a logistic model of single lines first tells which lines of bad documents
     look like those of good ones; they count as content. The chain is then fitted on these lines by maximum likelihood (gradient
     ascent with forward and backward sums over all texts at once)."""
-    parts, good = [], []
-    for text, label in texts:
-        lines = Lines([text])
-        x = lines.features()[:config.sample_lines]
-        if len(x):
-            parts.append(x)
-            good.append(label)
+    parts, good = [x for x, _ in rows if len(x)], [label for x, label in rows if len(x)]
     n_features = len(FEATURES)
     if not parts or len(set(good)) < 2:
         return Field(np.concatenate([[-1.0], np.zeros(n_features - 1)]), np.zeros((2, 2)))
@@ -247,15 +246,28 @@ def _keep(text_at: int, field: Field, config: LineConfig):
     return run
 
 
+def _line_rows(config: LineConfig):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [Lines([text]).features()[:config.sample_lines].astype(float).tobytes() for text in textkit.utf8(batch.column("_text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_label"), pa.array(found, pa.binary())], names=["_id", "_label", "_rows"])
+    return run
+
+
 def fit_lines(docs: DataFrame, labels: DataFrame, config: LineConfig = LineConfig(), id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "quality") -> Field:
-    """The field fitted on at most ``sample`` labelled documents."""
-    drawn = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
-             .orderBy(F.xxhash64("_id"), "_id").limit(config.sample))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(drawn), "_id")
-            .filter(F.col("_text").isNotNull()).select("_id", "_text", "_label").limit(2 * config.sample).collect())
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
-    return fit_field([(r["_text"].encode("utf-8"), int(r["_label"])) for r in rows], config)
+    """The field fitted on at most ``sample`` labelled documents and ``sample_lines`` lines of each.
+
+    Their features are made in the tasks; only those reach the driver. An id that is repeated gives its least text and its
+    least label, so reruns agree. Null ids, texts and labels are left out. Without documents of both labels, every line is content.
+    """
+    drawn = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id"))
+             .agg(F.min(F.col(label_col).cast("int")).alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(config.sample))
+    chosen = (docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(drawn), "_id")
+              .filter(F.col("_text").isNotNull()).groupBy("_id").agg(F.min("_text").alias("_text"), F.min("_label").alias("_label")))
+    rows = chosen.mapInArrow(_line_rows(config), "_id long, _label int, _rows binary").collect()
+    rows.sort(key=lambda r: r["_id"])
+    return fit_rows([(np.frombuffer(r["_rows"]).reshape(-1, len(FEATURES)), r["_label"]) for r in rows], config)
 
 
 def judge_documents(docs: DataFrame, field: Field, config: LineConfig = LineConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,7 +276,7 @@ def judge_documents(docs: DataFrame, field: Field, config: LineConfig = LineConf
     Words are runs of bytes other than ASCII white space. A document fails the base rules with fewer than ``least_words`` words,
     or if more than ``repeat_percent`` of its words stand in 3-word windows that occur twice. Else it is kept if at least
     ``least_share`` of its words stand in lines that the field marks as content. Null and empty texts have no words and fail.
-    Ids may be null or repeat; only the id and text columns are read.
+    An empty table gives an empty table. Ids may be null or repeat; only the id and text columns are read.
     """
     schema = ("_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_words long, "
               "base_failed boolean, kept boolean")

@@ -187,6 +187,28 @@ def test_line_labels_keep_good_documents(spark):
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.35 * len(bad)
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_line_labels_of_documents_not_fitted_on(spark):
+    table, labels = (spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("documents", "labels"))
+    field = line_quality.fit_lines(table, labels.filter("doc_id % 2 = 0"))
+    found = line_quality.judge_documents(table.filter("doc_id % 2 = 1"), field).filter("not base_failed").join(labels, "doc_id").collect()
+    good, bad = [r.kept for r in found if r.quality == 1], [r.kept for r in found if r.quality == 0]
+    assert len(good) > 20 and bad and sum(good) >= 0.95 * len(good) and sum(bad) <= 0.4 * len(bad)
+
+
+def test_fitting_takes_one_text_of_an_id_and_stands_odd_rows(spark):
+    rows = [(1, "a b c\n| x | y |"), (1, "zz\nyy"), (2, None), (None, "t"), (3, ""), (4, "w " * 30000), (5, "good line of words.")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (None, 0), (6, None)], "doc_id long, quality int")
+    one, two = (line_quality.fit_lines(t, labels) for t in (table, table.orderBy(table.text.desc())))
+    want = line_quality.fit_field([(b"a b c\n| x | y |", 0), (b"", 1), (b"w " * 30000, 1), (b"good line of words.", 1)], line_quality.LineConfig())
+    for field in (one, two):
+        assert (field.line == want.line).all() and (field.step == want.step).all()
+    empty = line_quality.fit_lines(table.limit(0), labels)
+    assert empty.decode(np.ones((3, len(line_quality.FEATURES)))).tolist() == [0, 0, 0]
+    assert line_quality.judge_documents(table.limit(0), empty).count() == 0
+
+
 # pairwise quality
 
 def test_ranking_separates_and_is_scaled():
