@@ -719,4 +719,5 @@ def statements() -> dict[str, str]:
                                                "bucket_no, history, n_mid").replace("SELECT bucket_no, history, n_mid,", "SELECT bucket_no, history,")
     from coldspring.checks.queries import _LISTS
     done.update({name: _top_list(model) for name, model in _LISTS.items()})
+    done["topk_content_sparse"] = done["topk_content"]
     return done

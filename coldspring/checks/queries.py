@@ -357,6 +357,11 @@ def custom_scorer_topk(lab):
     return lists.select("model", "user_id", "rank", "item_id", "score", "hit")
 
 
+def topk_content_sparse(lab):
+    lists = evaluate.ranked_by_sparse_content(lab.plain, lab.results.users, 10, "sparse-lists")
+    return lists.select("user_id", "rank", "item_id", "score")
+
+
 # --- metrics ---------------------------------------------------------------------
 
 def ranking_metrics(lab):
@@ -567,7 +572,7 @@ _NAMED = [interactions_collapse, drop_orphan_ratings, cold_pick_users, cold_pick
           interaction_stats, sample_users, sample_users_table, truth_relevant, validation_split, title_year_split, genre_parse,
           history_buckets, display_titles, popularity_global, popularity_segment, popularity_percentile, head_tail_items,
           item_feature_blocks, tfidf_titles, user_profiles, similar_items, als_rank1_factors, als_rank1_fold_in,
-          als_rank2_factors, als_rank2_fold_in, als_gram, topk_als_rank2, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain, custom_scorer_topk,
+          als_rank2_factors, als_rank2_fold_in, als_gram, topk_als_rank2, zscore_per_user, adaptive_weights, switch_weights, user_mean_weights, mmr_rerank, hybrid_explain, custom_scorer_topk, topk_content_sparse,
           ranking_metrics, hit_flags, beyond_accuracy, slice_metrics, cold_item_slice, robustness_table, best_models,
           geo_mean_objective, model_lift, dataset_facts, ndcg_by_history, weights_by_history, mainstream_quintiles,
           popularity_bias, genre_recall, cold_user_rating_bands, case_studies, hardest_cold_items, content_ablation, content_ablation_text,
