@@ -14,7 +14,8 @@ from coldspring.workspace import Workspace
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are mostly boilerplate lines go."""
+    """Documents that fail the base rules or are mostly boilerplate lines go. So do null and empty texts, as they have no words.
+    Null and repeated ids do not matter: each row is judged by its text. An empty table stays empty."""
     field = line_quality.fit_lines(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return line_quality.keep_documents(docs, field)
 
@@ -35,12 +36,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item go."""
+    """Documents that hold a test item go. Null and empty texts hold none and stay; each row is judged by its text, whatever its
+    id. Without documents or without items nothing changes."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
+    """How many words the mix takes of each document: one row per row, also for null and repeated ids. Null and empty texts have no
+    words; a null source is a source of its own. An empty table gives an empty table."""
     return mixing.mix_sources(docs, Workspace(spark))
 
 
