@@ -223,7 +223,7 @@ def parse_transcripts(lines: DataFrame, chain: Chain, workspace: Workspace, conv
     joined by \\n in order of place.
 
     Lines are ordered by the two order columns, nulls first, ties by text. Null texts are empty lines; lines with a null
-    conversation are one conversation. Only the named columns are read.
+    conversation are one conversation. An empty table gives an empty table. Only the named columns are read.
     """
     first, second = order_cols
     low = F.lit(LOWEST)

@@ -203,7 +203,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakC
 
     Null and empty texts match nothing; an item shorter than ``least`` characters counts only where it begins and ends at word
     boundaries, by the same budget of edits; equal items are reported each.
-    Rows that share an id are reported each. Only the named columns are read. The test items are the query set: they go to the
+    Rows that share an id are reported each. Without documents or items there are no rows. Only the named columns are read. The test items are the query set: they go to the
     tasks in blocks of at most ``block_bytes``, each block meets all documents.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))

@@ -162,7 +162,7 @@ def identify(docs: DataFrame, profiles: Profiles, config: LanguageConfig = Langu
     """One row (id, lang_pred, score) per row of ``docs``: the language whose profile is least out of place, ties by
     name; score is the second least distance as a share of the two least together (0.5: a tie), for a single
     language its closeness. ``und`` with score 0 for null texts, texts without a letter, and without any profile.
-    Only the id and text columns are read; whole texts count.
+    Only the id and text columns are read; whole texts count; ids may be null or repeat. An empty table gives an empty table.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -123,6 +123,15 @@ def test_leaks_of_nothing(spark):
     assert decontaminate.find_leaks(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leak_at_the_end_of_a_very_long_text(spark):
+    item = "which river runs through the largest city of the northern plain"
+    body = "plain words of no meaning, " * 60_000
+    rows = [(1, body + item), (2, body), (3, item + " " + body), (4, body + item.replace("largest", "largst"))]
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.find_leaks(docs(spark, rows), bench).collect()) == [(1, 9, 0), (3, 9, 0), (4, 9, 1)]
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs(spark, rows), bench).collect()] == [2]
+
+
 # line labels
 
 def base_counts(text):
@@ -247,6 +256,17 @@ def test_held_out_language(spark):
     assert odd == [("und", 0.0)] * 3
 
 
+def test_languages_of_nothing_and_of_very_long_texts(spark):
+    rows = [("en", "the cat and the dog and the bird"), ("de", "der hund und die katze und der vogel")]
+    profiles = language_id.learn_profiles(spark.createDataFrame(rows, "lang string, text string"))
+    assert language_id.identify(docs(spark, []), profiles).count() == 0
+    none = language_id.learn_profiles(spark.createDataFrame([], "lang string, text string"))
+    assert [(r.lang_pred, r.score) for r in language_id.identify(docs(spark, [(1, "text")]), none).collect()] == [("und", 0.0)]
+    # the whole text counts, not how it begins
+    long = docs(spark, [(1, "der hund " * 50 + "the dog and the cat " * 40_000), (1, "the dog and " * 50 + "und die katze " * 40_000)])
+    assert [r.lang_pred for r in language_id.identify(long, profiles).collect()] == ["en", "de"]
+
+
 def test_profiles_by_hand():
     config = language_id.LanguageConfig(grams=4, longest=2)
     codes = language_id.gram_codes("Aa, b!", 2)
@@ -368,6 +388,10 @@ def written(*parts):
     return "".join(f"<p>{p}</p>" for p in parts)
 
 
+def test_no_pages_give_no_rows(spark, extractor):
+    assert html_extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string"), extractor[1]).count() == 0
+
+
 @pytest.mark.parametrize("before, after", [
     ('<main class="review">', "</main>"), ('<div class="post tag-social more-news">', "</div>"), ('<div class="site"><div class="site-content">', "</div></div>"),
     ('<article class="discussion">', "</article>"), ('<div id="css-1x9k">', "</div>")])
@@ -487,6 +511,18 @@ def test_chat_ranges_give_the_same_path(spark, workspace):
     assert right > 0.95 * total
 
 
+def test_a_very_long_turn_and_no_lines(spark, workspace):
+    chain = chat_format.learn_chain(turns(spark, random.Random(3), [6] * 12))
+    said = "\n".join(["many words of one line " * 2000] + [f"line {i} of a long answer" for i in range(4000)])
+    table = spark.createDataFrame([(1, 0, "user", "Tell me all."), (1, 1, "assistant", said), (1, 2, "user", "Thanks.")],
+                                  "conv_id long, turn long, role string, text string")
+    lines = chat_format.written_transcripts(table, chat_format.ChatConfig(unmarked=1 << 30))
+    found = sorted(chat_format.parse_transcripts(lines, chain, workspace).collect(), key=lambda r: r.place)
+    assert [r.place for r in found] == list(range(4003)) and [found[i].role for i in (0, 1, 2000, 4001, 4002)] == ["user"] + ["assistant"] * 3 + ["user"]
+    assert "\n".join(r.rendered for r in found) == f"<|user|>\nTell me all.\n<|end|>\n<|assistant|>\n{said}\n<|end|>\n<|user|>\nThanks.\n<|end|>"
+    assert chat_format.parse_transcripts(lines.limit(0), chain, workspace).count() == 0
+
+
 def test_chat_transcripts_come_back_as_the_turns(spark, workspace):
     """Fitted on some conversations, scored on others; blank lines before unmarked turns are no part of any turn."""
     draw = random.Random(17)
