@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldspring.config import ScaleConfig
 from coldspring.kernels import to_list_column, to_matrix
 from coldspring.llm import textkit
 from coldspring.llm.line_quality import Lines, _BANG, _DIGIT, _LOWER, _MARK, _PIPE, _SYMBOL, _UPPER
@@ -27,6 +26,7 @@ class PairConfig:
     pairs: int = 60_000      # at least as many preference pairs; every labelled document is in one or more
     penalty: float = 1e-3
     rounds: int = 60
+    rows_per_task: int = 5_000           # labelled rows that one task puts in order
     broadcast_labels: int = 2_000_000    # up to so many labels go to the texts; beyond, both are shuffled
 
 
@@ -146,7 +146,7 @@ def fit_everything(features: DataFrame, config: PairConfig, workspace: Workspace
     # Documents take the slots of the pairs in turn, in the order of a hash; the bad ones begin one later in each round.
     n_pairs = max(config.pairs, n_good, n_bad)
     order = ["_h", "_id", "_row"]
-    limit = ScaleConfig().rows_per_task
+    limit = config.rows_per_task
     placed = workspace.stage(with_position(features.withColumn("_h", F.xxhash64("_id")), ["_good"], order, limit,
                                            known_cold=max(n_good, n_bad) <= limit), "ranking-places")
     turn = lambda size: F.explode(F.sequence(F.lit(0), F.floor((F.lit(n_pairs - 1) - F.least("_pos", F.lit(n_pairs - 1))) / size) + 1))
