@@ -1,11 +1,13 @@
 """What travels through the shuffles of the wide joins, and how much of it one task takes."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from coldspring.config import ScaleConfig
+from coldspring.plans import serving
 from coldspring.sources.tables import rating_rows
 
 
@@ -17,6 +19,14 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def exchanged(df) -> list[str]:
+    """The columns of each shuffle in the plan."""
+    mode = df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    found = re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*)\]", df._jdf.queryExecution().explainString(mode))
+    assert found
+    return found
+
+
 @pytest.mark.parametrize("limit", [100, 1_000_000])
 def test_lines_meet_orders_in_tasks_of_bounded_size(spark, tmp_path, no_broadcast, limit):
     lines = [(n % 40 if n < 300 else 7, n % 11, float(n % 50 + 1)) for n in range(900)] + [(None, 1, 1.0), (99, 1, 1.0)]
@@ -31,3 +41,13 @@ def test_lines_meet_orders_in_tasks_of_bounded_size(spark, tmp_path, no_broadcas
         assert sorted(map(tuple, rows.collect())) == sorted(expected)
         most = rows.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
         assert limit > 900 or most < 450         # the long order alone has 608 lines
+
+
+def test_joins_of_requests_carry_no_ratings(spark, experiment, no_broadcast):
+    rating = "ratings array<struct<item_id:bigint,rating:double>>"
+    requests = spark.createDataFrame([(1, "cf", 5, None, [(1, 4.0)], "M", 25), (2, "cf", 5, "1", [], None, None),
+                                      (3, "cf", 5, None, [(1, 4.0)] * 201, "M", 25)],
+                                     f"request_id long, model string, k int, user_id string, {rating}, gender string, age int")
+    checked = serving.validate_requests(experiment, requests)
+    assert {r.request_id: r.errors for r in checked.collect()} == {1: [], 2: [], 3: ["too_many_ratings"]}
+    assert not [c for c in exchanged(checked) if re.search(r"\bratings#", c)]
