@@ -3,10 +3,13 @@
 import datetime as dt
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from coldspring import kernels
 from coldspring.config import ScaleConfig
+from coldspring.operators import gather
 from coldspring.plans import serving
 from coldspring.sources.tables import rating_rows
 
@@ -51,3 +54,24 @@ def test_joins_of_requests_carry_no_ratings(spark, experiment, no_broadcast):
     checked = serving.validate_requests(experiment, requests)
     assert {r.request_id: r.errors for r in checked.collect()} == {1: [], 2: [], 3: ["too_many_ratings"]}
     assert not [c for c in exchanged(checked) if re.search(r"\bratings#", c)]
+
+
+def test_packed_rows_keep_every_entry():
+    draws = np.random.default_rng(3)
+    matrix = draws.normal(size=(60, 12)) * (draws.random((60, 12)) < draws.random((60, 1)))
+    matrix[4], matrix[5] = 0.0, 1.5
+    (of_places, places), (of_values, values) = kernels.pack_rows(matrix)
+    assert np.array_equal(kernels.unpack_rows(np.diff(of_places), places, np.diff(of_values), values, 12), matrix)
+    assert 12 * len(places) + 8 * (len(values) - len(places)) < matrix.size * 8
+
+
+def test_shipped_vectors_are_packed(spark, workspace, monkeypatch):
+    wide = np.zeros((30, 40))
+    wide[np.arange(30), np.arange(30)] = np.arange(30) + 1.0
+    rows = spark.createDataFrame([(n, wide[n].tolist()) for n in range(30)], "id long, vec array<double>")
+    edges = spark.createDataFrame([(n % 5, n, float(n)) for n in range(30)], "target long, src long, w double")
+    scale = ScaleConfig(broadcast_bytes=1, shipped_edges_per_block=8)
+    blocks = gather.build_blocks(edges, 30, scale, workspace, "packed", shipped=True)
+    summed = gather.gather_sum(blocks, gather.Vectors(rows, 30, 40, scale))
+    assert {r.id: r.vec for r in summed.collect()} == {t: sum(n * wide[n] for n in range(t, 30, 5)).tolist() for t in range(5)}
+    assert not [c for c in exchanged(summed) if "block#" in c and "vec#" in c]
