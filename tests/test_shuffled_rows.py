@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from coldspring import kernels
 from coldspring.config import ScaleConfig
 from coldspring.operators import gather
-from coldspring.plans import serving
+from coldspring.plans import evaluate, serving
 from coldspring.sources.tables import rating_rows
 
 
@@ -75,3 +75,9 @@ def test_shipped_vectors_are_packed(spark, workspace, monkeypatch):
     summed = gather.gather_sum(blocks, gather.Vectors(rows, 30, 40, scale))
     assert {r.id: r.vec for r in summed.collect()} == {t: sum(n * wide[n] for n in range(t, 30, 5)).tolist() for t in range(5)}
     assert not [c for c in exchanged(summed) if "block#" in c and "vec#" in c]
+
+
+def test_pairs_carry_no_profile(experiment, no_broadcast):
+    rows = evaluate.pair_signals(experiment, experiment.dataset.ratings.select("user_id", "item_id"))
+    assert rows.count() == experiment.dataset.ratings.count()
+    assert not [c for c in exchanged(rows) if "user_id#" in c and "item_id#" in c and re.search(r"\b(profile|features|seg_no)#", c)]
