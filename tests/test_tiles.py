@@ -74,3 +74,50 @@ def test_tiles_that_cannot_enter_a_list_are_not_scored(tile_rows):
     assert scored.value + skipped.value == 40 * n * len(models)
     if tile_rows == 16:
         assert skipped.value > scored.value
+
+
+def plain_items(n, models, factors, kinds):
+    """Items whose history falls with the id, all popular alike in their segment."""
+    table = pa.table({"item_id": np.arange(n), "n_item": np.arange(n)[::-1], "pct": np.zeros(n), "factors": kernels.to_list_column(factors),
+                      "features": kernels.to_list_column(kinds), "popularity": np.linspace(1, 0, n), "seg_no": pa.array([[0]] * n, pa.list_(pa.int32())),
+                      "seg_delta": pa.array([[0.01 * (i % 5)] for i in range(n)]), "tie_break": np.zeros(n)})
+    return scorer.item_arrays(table, factors.shape[1], kinds.shape[1], np.array([0.5]), models, 16)
+
+
+def plain_users(factors, profile):
+    n = len(factors)
+    nothing = pa.array([[]] * n, pa.list_(pa.int64()))
+    return pa.table({"user_id": np.arange(n), "n_user": np.zeros(n, dtype=np.int64), "segment_no": np.zeros(n, dtype=np.int32),
+                     "factors": kernels.to_list_column(factors), "profile": kernels.to_list_column(profile), "seen": nothing, "liked": nothing})
+
+
+SPEC = {"k": 10, "digits": 9, "cold_below": 5, "cells": 400_000, "factor_dims": 1, "feature_dims": 2, "parts": False, "only_hits": False, "blended": set()}
+
+
+def test_users_of_whom_nothing_is_known_do_not_score_every_tile():
+    """All their scores are 0: the lowest ids win, and tiles of higher ids are left out."""
+    models = {"cf": {"signal": "cf"}, "content": {"signal": "content"}}
+    draw, n = np.random.default_rng(5), 4800
+    items = plain_items(n, models, draw.uniform(0.5, 1, (n, 1)), np.tile([[1.0, 0.0]], (n, 1)))
+    scored, skipped = Count(), Count()
+    best = scorer._best_entries(plain_users(np.zeros((30, 1)), np.zeros((30, 2))), items, {}, SPEC | {"models": models, "wanted": {"cf", "content"}},
+                                counters=(scored, skipped))
+    for held in best.values():
+        assert held.entries["l_item"].tolist() == list(range(10)) * 30
+    assert scored.value + skipped.value == 30 * n * 2
+    assert scored.value < 0.2 * skipped.value
+
+
+@pytest.mark.parametrize("cells", [20, 400_000])
+def test_groups_and_tiles_give_the_same_lists(cells):
+    """Few cells: groups are scored tile by tile; many: at once. Equal scores are in order of the id either way."""
+    models = {"cf": {"signal": "cf"}, "seg": {"signal": "demographic"}}
+    n = 700
+    factors = (np.arange(n)[:, None] * 7 % 12).astype(float)
+    items = plain_items(n, models, factors, np.eye(2)[np.arange(n) % 2])
+    x = np.concatenate([np.linspace(0, 1, 9), -np.linspace(0, 1, 2), np.zeros(21)])[:, None]
+    best = scorer._best_entries(plain_users(x, np.zeros((32, 2))), items, {}, SPEC | {"models": models, "wanted": {"cf", "demographic"}, "cells": cells})
+    for name, scores in (("cf", x @ factors.T), ("seg", np.tile(np.linspace(1, 0, n) + 0.5 + 0.01 * (np.arange(n) % 5), (32, 1)))):
+        rows, _, places, values = kernels.best_rows(scores, 10, 9)
+        assert best[name].rows.tolist() == rows.tolist() and best[name].entries["l_item"].tolist() == places.tolist()
+        np.testing.assert_allclose(best[name].entries["l_score"], values, atol=1e-9)
