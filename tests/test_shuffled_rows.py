@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from coldspring import kernels
-from coldspring.config import ScaleConfig
+from coldspring.config import ScaleConfig, SplitConfig
 from coldspring.operators import gather
+from coldspring.operators import split as splitting
 from coldspring.plans import evaluate, serving
 from coldspring.sources.tables import rating_rows
 
@@ -81,3 +82,12 @@ def test_pairs_carry_no_profile(experiment, no_broadcast):
     rows = evaluate.pair_signals(experiment, experiment.dataset.ratings.select("user_id", "item_id"))
     assert rows.count() == experiment.dataset.ratings.count()
     assert not [c for c in exchanged(rows) if "user_id#" in c and "item_id#" in c and re.search(r"\b(profile|features|seg_no)#", c)]
+
+
+def test_ratings_meet_short_cold_lists_where_they_are(spark, workspace, frames, no_broadcast):
+    cfg = SplitConfig(cold_user_share=0.25, cold_item_share=0.12, min_item_ratings=6)
+    rows = [splitting.make_split(frames[0], cfg, scale, workspace).ratings for scale in (ScaleConfig(), ScaleConfig(broadcast_ids=0, rows_per_task=400))]
+    short, long = ([c for c in exchanged(r) if "rating#" in c] for r in rows)
+    assert len(short) == 1      # the window of the split
+    assert len(long) > 1 and rows[1].rdd.getNumPartitions() == 2      # 720 ratings, dealt
+    assert sorted(map(tuple, rows[0].collect())) == sorted(map(tuple, rows[1].collect()))
