@@ -117,6 +117,18 @@ def test_text_embedding_is_the_truncated_svd(spark, workspace, scale):
     np.testing.assert_allclose(got @ got.T, want @ want.T, atol=1e-6)
 
 
+def test_text_embedding_sends_no_vector_of_an_item_to_the_driver(spark, workspace, monkeypatch):
+    rows, items = random_titles(spark)
+    cfg = ContentConfig(text_dims=2, stop_words=())
+    weights = workspace.stage(content.tfidf_table(items, None, len(rows), cfg, ScaleConfig(), workspace), "sent-words")
+    sent, collect = [], type(items).toArrow
+    monkeypatch.setattr(type(items), "toArrow", lambda df: sent.append(found := collect(df)) or found)
+    vecs, _ = content.text_embedding(weights, len(rows), cfg, ScaleConfig(edges_per_block=100), workspace)
+    assert 0 < max(t.num_rows for t in sent) <= 60      # words
+    monkeypatch.undo()
+    assert vecs.count() == weights.select("item_id").distinct().count() > 200
+
+
 def test_text_embedding_of_many_words_settles_in_ten_passes(spark, workspace):
     """5,000 words by Zipf's law: the basis needs at most ten passes (blocks of 128 directions)."""
     rng = np.random.default_rng(1)
