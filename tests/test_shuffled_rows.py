@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from coldspring import kernels
-from coldspring.config import ScaleConfig, SplitConfig
-from coldspring.operators import gather
+from coldspring.config import AlsConfig, ScaleConfig, SplitConfig
+from coldspring.operators import als, gather
 from coldspring.operators import split as splitting
 from coldspring.plans import evaluate, serving
 from coldspring.sources.tables import rating_rows
@@ -91,3 +91,32 @@ def test_ratings_meet_short_cold_lists_where_they_are(spark, workspace, frames,
     assert len(short) == 1      # the window of the split
     assert len(long) > 1 and rows[1].rdd.getNumPartitions() == 2      # 720 ratings, dealt
     assert sorted(map(tuple, rows[0].collect())) == sorted(map(tuple, rows[1].collect()))
+
+
+def test_factors_above_their_limit_never_reach_the_driver(everything, workspace, monkeypatch):
+    e, cfg, frame = everything, AlsConfig(factors=3, regularization=0.1, iterations=2), type(everything.train_pairs)
+    found, sent, collect = [], [], frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: sent.append(rows := collect(df)) or rows)
+    for scale in (ScaleConfig(), ScaleConfig(renewed_bytes=100, shipped_edges_per_block=50)):
+        sent.clear()
+        blocks = [als.rating_blocks(e.train_pairs, e.sizes["n_pairs"], scale, workspace, *side, src_bytes=4 * 8 * 40)
+                  for side in (("user_id", "item_id", e.user_stats, "n_user"), ("item_id", "user_id", e.item_stats, "n_item"))]
+        made = als.fit(*blocks, e.item_stats, e.user_stats, cfg, scale, workspace)
+        most = max(t.num_rows for t in sent)
+        found.append([{r.id: r.vec for r in df.collect()} for df in (made.users, made.items)])
+    assert most == 1 and blocks[0].n_blocks == 15       # sums of outer products
+    for plain, shipped in zip(*found):
+        assert plain.keys() == shipped.keys()
+        np.testing.assert_allclose([shipped[i] for i in plain], list(plain.values()), atol=1e-10)
+
+
+def test_vectors_for_one_block_travel_as_lists(spark):
+    rows = spark.range(3000, numPartitions=2).select("id", (F.col("id") % 3).cast("int").alias("block"), F.transform(
+        F.sequence(F.lit(0), F.lit(11)), lambda d: F.when((d + F.col("id")) % 5 == 0, F.col("id") + d * 0.5).otherwise(0.0)).alias("vec"))
+    packed = rows.select(F.col("id").alias("src"), "block").join(gather.packed(rows.select(F.col("id").alias("src"), "vec"), 12), "src")
+    sent = gather.bundled(packed)
+    assert sent.count() <= 3 * packed.rdd.getNumPartitions()
+    ids, matrix = gather.unbundled(sent.toArrow(), 12)
+    at, d = np.arange(3000)[:, None], np.arange(12)
+    assert np.array_equal(matrix[np.argsort(ids)], np.where((at + d) % 5 == 0, at + d * 0.5, 0.0))
+    assert gather.unbundled(sent.limit(0).toArrow(), 12)[1].shape == (0, 12)
