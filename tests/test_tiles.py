@@ -1,11 +1,18 @@
 """Tiles of the scorer against whole rows of scores."""
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from coldspring import kernels
-from coldspring.operators import scorer
+from coldspring.config import ScaleConfig
+from coldspring.operators import protocol, scorer
+from coldspring.plans import evaluate
+from coldspring.plans.experiment import Experiment
+from coldspring.sources.tables import Dataset
+from tests.conftest import SMALL
 
 
 class Count:
@@ -121,3 +128,84 @@ def test_groups_and_tiles_give_the_same_lists(cells):
         rows, _, places, values = kernels.best_rows(scores, 10, 9)
         assert best[name].rows.tolist() == rows.tolist() and best[name].entries["l_item"].tolist() == places.tolist()
         np.testing.assert_allclose(best[name].entries["l_score"], values, atol=1e-9)
+
+
+def many_of_few_kinds(models, n=12_000, kinds=24, items_of=None):
+    """Items of few kinds of features whose histories and deltas differ, and users with tastes."""
+    draw = np.random.default_rng(8)
+    n_item = draw.integers(0, 60, n)
+    table = pa.table({"item_id": draw.permutation(n), "n_item": n_item, "pct": n_item / 60, "factors": kernels.to_list_column(np.log1p(n_item)[:, None] * draw.uniform(0.9, 1.1, (n, 1))),
+                      "features": kernels.to_list_column(np.eye(kinds)[draw.integers(0, kinds, n)]), "popularity": np.log1p(n_item),
+                      "seg_no": pa.array([[0]] * n, pa.list_(pa.int32())), "seg_delta": pa.array(draw.uniform(0, 0.1, (n, 1)).tolist()), "tie_break": 1e-6 * np.log1p(n_item)})
+    if items_of is not None:
+        table = items_of(table)
+    users = plain_users(draw.uniform(0, 1, (60, 1)), draw.uniform(0, 1, (60, kinds)))
+    spec = SPEC | {"models": models, "wanted": {"cf", "content", "demographic"}, "blended": {"cf", "content", "demographic"}, "feature_dims": kinds}
+    moments = {"factors_mean": np.array([3.0]), "factors_cov": np.eye(1), "features_mean": np.full(kinds, 1 / kinds), "features_cov": np.eye(kinds) / kinds,
+               "features_tie_cov": np.zeros(kinds), "tie_mean": 0.0, "tie_var": 0.0, "popularity_mean": np.array([3.0]), "popularity_std": np.ones(1)}
+    return users, scorer.item_arrays(table, 1, kinds, np.array([0.5]), models, 128), moments, spec
+
+
+def test_items_of_few_kinds_are_hardly_scored():
+    """Tiles end where the features change, so the content of a tile is that of its items."""
+    models = {"content": {"signal": "content"}, "fixed": {"mode": "fixed"}, "switch": {"mode": "switch"},
+              "adaptive": {"mode": "adaptive", "k_user": 30.0, "k_item": 300.0, "k_content": 30.0}}
+    users, items, moments, spec = many_of_few_kinds(models)
+    scored, skipped = Count(), Count()
+    scorer._best_entries(users, items, moments, spec, counters=(scored, skipped))
+    assert scored.value + skipped.value == 60 * 12_000 * len(models)
+    assert scored.value < 0.08 * skipped.value
+
+
+def test_equal_bounds_are_taken_by_the_lowest_ids():
+    """All items of two of the kinds score alike for everyone: only tiles with low ids are looked at."""
+    models = {"content": {"signal": "content"}}
+    users, items, moments, spec = many_of_few_kinds(models, items_of=lambda t: t.set_column(t.schema.get_field_index("tie_break"), "tie_break", pa.array(np.zeros(t.num_rows))))
+    users = users.set_column(users.schema.get_field_index("profile"), "profile", kernels.to_list_column(np.tile(np.eye(24)[3] + np.eye(24)[7], (60, 1))))
+    scored, skipped = Count(), Count()
+    best = scorer._best_entries(users, items, moments, spec, counters=(scored, skipped))["content"]
+    alike = np.sort(items["item_id"][items["distinct"][items["kind"]][:, [3, 7]].any(axis=1)])
+    assert best.entries["l_item"].tolist() == alike[:10].tolist() * 60
+
+
+def test_blocks_are_cut_along_the_order_of_a_model():
+    near = protocol.Kernel(lambda users, items, shared: -np.abs(users["factors"][:, :1] * 60 - items["price"][None, :]),
+                           lambda users, items, shared: -np.maximum(np.maximum(items["price"].min() - users["factors"][:, 0] * 60, users["factors"][:, 0] * 60 - items["price"].max()), 0),
+                           None, {}, {"price": "price"}, lambda items, shared: items["price"])
+    prices = np.random.default_rng(9).uniform(0, 60, 12_000)
+    models = {"near": {"kernel": near}}
+    users, items, moments, spec = many_of_few_kinds(models, items_of=lambda t: t.append_column("price", pa.array(prices)))
+    scored, skipped = Count(), Count()
+    best = scorer._best_entries(users, items, moments, spec, counters=(scored, skipped))["near"]
+    by_id = np.empty(12_000)
+    by_id[items["item_id"]] = items["own"]["near"]["price"]
+    want = np.argsort(np.abs(scorer.user_arrays(users, 1, 24)["factors"] * 60 - by_id[None, :]), axis=1, kind="stable")[:, :10]
+    assert best.entries["l_item"].reshape(60, 10).tolist() == want.tolist()
+    assert scored.value + skipped.value == 60 * 12_000
+    assert scored.value < 0.5 * skipped.value
+
+
+def test_equal_features_travel_once_and_lists_are_finished_where_they_are(workspace, frames, monkeypatch):
+    plain = replace(SMALL, content=replace(SMALL.content, text_weight=0.0), score_digits=7)
+    made = Experiment(Dataset("fixture", *frames, None), plain, workspace)
+    users = made.user_state.join(made.liked.select("user_id").distinct(), "user_id", "left_semi")
+    size = made.catalog.row_bytes - 8 * made.catalog.feature_dims
+    lists = []
+    for scale in (ScaleConfig(), ScaleConfig(broadcast_bytes=20 * size, shard_bytes=12 * size)):
+        notes = {}
+        if scale.broadcast_bytes < 10 ** 6:
+            monkeypatch.setattr(scorer, "finish_lists", lambda *args: pytest.fail("lists meet the features in a shuffle"))
+        out = scorer.rank_users(users, users.count(), made.catalog, made.moments, made.models(), 4, replace(plain, scale=scale), workspace, made.marks, notes=notes)
+        lists.append({(r.model, r.user_id, r.rank): r for r in out.collect()})
+    assert notes["scored"] > 0 and lists[0].keys() == lists[1].keys()
+    for key, a in lists[0].items():
+        b = lists[1][key]
+        assert (a.item_id, a.hit, a.n_item, a.n_train) == (b.item_id, b.hit, b.n_item, b.n_train)
+        assert a.score == pytest.approx(b.score, abs=1e-9) and a.sim_before == pytest.approx(b.sim_before, abs=1e-9)
+
+
+def test_nobody_is_ranked_for_tables_that_need_no_lists(experiment, monkeypatch):
+    monkeypatch.setattr(scorer, "rank_users", lambda *args, **options: pytest.fail("ranked"))
+    results = evaluate.evaluate(experiment)
+    facts = evaluate.dataset_facts(experiment, results).first()
+    assert facts.eval_users == results.users.count() and facts.cold_item_eval_users == results.cold_users.count()
