@@ -209,3 +209,10 @@ def test_nobody_is_ranked_for_tables_that_need_no_lists(experiment, monkeypatch)
     results = evaluate.evaluate(experiment)
     facts = evaluate.dataset_facts(experiment, results).first()
     assert facts.eval_users == results.users.count() and facts.cold_item_eval_users == results.cold_users.count()
+
+
+def test_an_evaluation_refuses_items_that_come_twice(workspace, frames):
+    ratings, items, users = frames
+    made = Experiment(Dataset("fixture", ratings, items.unionByName(items.limit(1)), users, None), SMALL, workspace)
+    with pytest.raises(ValueError, match="catalog has 41 rows for 40 items"):
+        evaluate.evaluate(made)
